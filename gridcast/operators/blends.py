@@ -54,27 +54,27 @@ def weight_search(
     """
     a, b, c = preds
     rows = scored_history(history, dedup).select("actual", *preds)
-    coarse = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"))
-                       for i in range(0, 101, 5) for j in range(0, 101 - i, 5)])
-    best = _best(rows, coarse, preds)
+    best = _best(rows, F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")), preds, range(0, 101, 5))
     if refine:
-        near = best.select(F.struct("_i", "_j")).scalar()
-        fine = F.array(*[
-            F.struct((near["_i"] + i).cast("int").alias("_i"), (near["_j"] + j).cast("int").alias("_j"))
-            for i in range(-5, 6) for j in range(-5, 6)])
-        best = _best(rows, fine, preds)
+        best = _best(rows, best.select(F.struct(F.col("_i").alias("i"), F.col("_j").alias("j"))).scalar(),
+                     preds, range(-5, 6))
     return best.where(F.col("n_rows_used") >= min_rows).select(
         (F.col("_i") / 100.0).alias(a), (F.col("_j") / 100.0).alias(b),
         ((100 - F.col("_i") - F.col("_j")) / 100.0).alias(c),
         F.round("_mape", 4).alias("mape_at_optimum"), "n_rows_used")
 
 
-def _best(rows: DataFrame, points: Column, preds: Sequence[str]) -> DataFrame:
+def _best(rows: DataFrame, origin: Column, preds: Sequence[str], steps: range) -> DataFrame:
+    """The best point (in hundredths) among ``origin`` plus each pair of steps, inside the simplex."""
     i, j = F.col("_i"), F.col("_j")
+    shifts = F.array(*[F.struct(F.lit(a).alias("_di"), F.lit(b).alias("_dj"))
+                       for a in steps for b in steps if a + b <= 100])
+    moved = rows.withColumn("_o", origin).select("*", F.inline(shifts)).select(
+        "actual", *preds, (F.col("_o.i") + F.col("_di")).alias("_i"), (F.col("_o.j") + F.col("_dj")).alias("_j"))
     w = [i / 100.0, j / 100.0, (100 - i - j) / 100.0]
     error = _objective(w, [F.col(p) for p in preds], F.col("actual"))
     per_point = (
-        rows.select("*", F.inline(points)).where((i >= 0) & (j >= 0) & (i + j <= 100))
+        moved.where((i >= 0) & (j >= 0) & (i + j <= 100))
         .groupBy("_i", "_j").agg(F.avg(error).alias("_mape"), F.count(error).alias("_valid"),
                                  F.count("*").alias("n_rows_used"))
         .where(F.col("_valid") == F.col("n_rows_used"))

@@ -8,47 +8,63 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.config import STEP_MINUTES, WEEK_LAG
-from gridcast.functions.dates import minutes
+from gridcast.functions.dates import hours, minutes
 from gridcast.operators.ordered import WEEK, drop_halo, local_window, with_halo
 
 
+def time_grid(
+    keys: DataFrame, start: Column, end: Column, key: str = "zone", date: str = "for_date",
+    step_minutes: int = STEP_MINUTES,
+) -> DataFrame:
+    """Every step from ``start`` to ``end`` for each row of ``keys``.
+
+    Built in two stages, days then slots, spread by (key, day) in between: otherwise the slots of a
+    key, or of all keys when their list is short, would be made in one task.
+    """
+    n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    day = F.expr("INTERVAL 1 DAY")
+    days = keys.select(key, start.alias("_lo"), end.alias("_hi")).where("_lo <= _hi").select(
+        key, "_hi", F.explode(F.sequence(F.col("_lo"), F.col("_hi"), day)).alias("_from"),
+    ).repartition(n, key, "_from")
+    last = F.least(F.col("_hi"), F.col("_from") + day - minutes(step_minutes))
+    return days.select(key, F.explode(F.sequence(F.col("_from"), last, minutes(step_minutes))).alias(date))
+
+
 def densify_grid(
     df: DataFrame, values: Mapping[str, float | None], key: str = "zone", date: str = "for_date",
-    step_minutes: int = STEP_MINUTES, start: Column | None = None, end: Column | None = None,
+    step_minutes: int = STEP_MINUTES,
 ) -> DataFrame:
-    """Every key on every step from ``start`` to ``end`` (default: the key's own first and last).
+    """Every key on every step between its first and last date; repeated stamps stay.
 
-    ``values`` maps each column to the fill for a missing step. The grid is built in two steps, days
-    then slots, so that no key needs one long array.
+    ``values`` maps each column to the fill for a missing step.
     """
-    spans = df.groupBy(key).agg(F.min(date).alias("_lo"), F.max(date).alias("_hi"))
-    lo = F.col("_lo") if start is None else start
-    hi = F.col("_hi") if end is None else end
-    day = F.expr("INTERVAL 1 DAY")
-    blocks = spans.where(lo <= hi).select(
-        key, hi.alias("_hi"), F.explode(F.sequence(lo, hi, day)).alias("_from"))
-    slots = blocks.select(key, F.explode(F.sequence(
-        F.col("_from"), F.least(F.col("_hi"), F.col("_from") + day - minutes(step_minutes)),
-        minutes(step_minutes))).alias(date))
+    spans = df.groupBy(key).agg(F.min(date).alias("_first"), F.max(date).alias("_last"))
+    grid = time_grid(spans, F.col("_first"), F.col("_last"), key, date, step_minutes)
     filled = [F.col(c) if v is None else F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in values.items()]
-    return slots.join(df, [key, date], "left").select(key, date, *filled)
+    return grid.join(df, [key, date], "left").select(key, date, *filled)
 
 
 def add_clock_lags(
     df: DataFrame, lags: Mapping[str, int], value: str = "requirement",
-    key: str = "zone", date: str = "for_date",
+    key: str = "zone", date: str = "for_date", unique: bool = False,
 ) -> DataFrame:
     """For each ``name -> hours``, the value that many hours earlier; null where there is none.
 
     Each row is sent once per lag to the slot it serves and all lags meet in one aggregate, so any
-    number of lags costs one exchange and one join.
+    number of lags costs one exchange and one join. If (key, date) is ``unique``, rows are sent to
+    their own slot as well and the join goes too.
     """
-    sent = df.select(key, value, F.inline(F.array(*[
-        F.struct(F.lit(h).alias("_h"), (F.col(date) + F.expr(f"INTERVAL {h} HOURS")).alias(date))
-        for h in sorted(set(lags.values()))])))
-    table = sent.groupBy(key, date).agg(
-        *[F.max(F.when(F.col("_h") == h, F.col(value))).alias(name) for name, h in lags.items()])
-    return df.join(table, [key, date], "left").select(*df.columns, *lags)
+    def sent(own: bool) -> DataFrame:
+        shifts = sorted({*lags.values(), *([0] if own else [])})
+        return df.select(*[c for c in df.columns if c != date], F.inline(F.array(*[
+            F.struct(F.lit(h).alias("_h"), (F.col(date) + hours(h)).alias(date)) for h in shifts])))
+
+    lagged = [F.max(F.when(F.col("_h") == h, F.col(value))).alias(name) for name, h in lags.items()]
+    if unique:
+        own = [F.max(F.when(F.col("_h") == 0, F.col(c))).alias(c) for c in df.columns if c not in (key, date)]
+        here = F.count_if(F.col("_h") == 0).alias("_here")
+        return sent(True).groupBy(key, date).agg(here, *own, *lagged).where("_here > 0").select(*df.columns, *lags)
+    return df.join(sent(False).groupBy(key, date).agg(*lagged), [key, date], "left").select(*df.columns, *lags)
 
 
 def add_rolling(
@@ -98,17 +114,6 @@ def add_is_holiday(
     )
 
 
-def add_timegap(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("for_date",),
-    step_minutes: int = STEP_MINUTES, seconds: int = WEEK,
-) -> DataFrame:
-    """``is_gap``: the row lies more than one and a half steps after the one before it."""
-    rows = with_halo(df.where(F.col(order[0]).isNotNull()), keys, order, before=1, seconds=seconds)
-    prev = F.lag(order[0]).over(local_window(keys, order))
-    gap = F.col(order[0]) > prev + F.expr(f"INTERVAL {int(step_minutes * 90)} SECONDS")
-    return drop_halo(rows.withColumn("is_gap", F.coalesce(gap, F.lit(False))))
-
-
 def add_sequences(
     df: DataFrame, features: Sequence[str], length: int, include_current: bool,
     keys: Sequence[str] = ("zone", "split"), order: Sequence[str] = ("for_date",),

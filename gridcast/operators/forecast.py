@@ -15,9 +15,11 @@ from gridcast.config import SEED, SEQUENCE_LENGTH
 from gridcast.operators.features import add_clock_lags, add_sequences
 
 
-def seasonal_naive(df: DataFrame, hours: int = 168, target: str = "requirement", out: str = "pred") -> DataFrame:
+def seasonal_naive(
+    df: DataFrame, hours: int = 168, target: str = "requirement", out: str = "pred", unique: bool = False,
+) -> DataFrame:
     """The value of the same slot ``hours`` earlier."""
-    return add_clock_lags(df, {out: hours}, target)
+    return add_clock_lags(df, {out: hours}, target, unique=unique)
 
 
 def zone_ols(

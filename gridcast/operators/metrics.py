@@ -85,7 +85,15 @@ def summary_all_weighted(metrics: DataFrame) -> DataFrame:
 
 
 def with_all_rows(metrics: DataFrame) -> DataFrame:
-    return metrics.unionByName(summary_all_weighted(metrics))
+    """Zone rows followed by the ALL rows, from one pass over the zone rows."""
+    n = F.col("n_rows_scored")
+    is_all = F.grouping("zone") == 1
+    both = metrics.groupingSets([["zone", "model"], ["model"]], "zone", "model").agg(
+        is_all.alias("_all"),
+        *[F.when(is_all, F.try_divide(F.sum(F.col(m) * n), F.sum(n))).otherwise(F.max(m)).alias(m) for m in METRICS],
+        *[F.sum(c).alias(c) for c in COUNTS])
+    return both.withColumn("zone", F.when(F.col("_all"), "ALL").otherwise(F.col("zone"))).select(
+        "zone", "model", *METRICS, *COUNTS)
 
 
 def daily_mape(

@@ -131,8 +131,8 @@ def fill_both_ways(
     """Replace ``column`` by ``value`` filled forward, then backward, along ``order`` per key."""
     keys = list(keys)
     rows = df.withColumn(BUCKET, time_bucket(order[0], seconds)).withColumn("_v", value)
-    position = F.struct(*[F.coalesce(F.col(c), F.lit("9999-12-31").cast("timestamp_ntz"))
-                          if i == 0 else F.col(c) for i, c in enumerate(order)])
+    dated = F.coalesce(F.col(order[0]), F.lit("9999-12-31").cast("timestamp_ntz"))
+    position = F.struct(dated, *order[1:]) if len(order) > 1 else dated
     known = F.when(F.col("_v").isNotNull(), position)
     edges = rows.groupBy(*keys, BUCKET).agg(
         F.max_by("_v", known).alias("_last"), F.min_by("_v", known).alias("_first"))

@@ -6,12 +6,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcast.config import STEP_MINUTES
-from gridcast.operators.features import add_timegap
-from gridcast.operators.ordered import WEEK
+from gridcast.operators.ordered import BUCKET, WEEK, local_window, time_bucket
 
 CHECKS = ("rows", "missing_total", "duplicate_dates", "target_zero_count")
 
@@ -45,9 +44,19 @@ def timegap_count(
     df: DataFrame, keys: Sequence[str] = ("zone", "split"), date: str = "for_date",
     step_minutes: int = STEP_MINUTES, seconds: int = WEEK,
 ) -> DataFrame:
-    """Steps longer than one and a half grid steps, per key."""
-    return add_timegap(df.select(*keys, date), keys, (date,), step_minutes, seconds).groupBy(*keys).agg(
-        F.count_if("is_gap").alias("time_gaps_30min"))
+    """Steps longer than one and a half grid steps, per key.
+
+    Gaps inside a time bucket are counted there; those between buckets from each bucket's ends.
+    """
+    keys = list(keys)
+    limit = F.expr(f"INTERVAL {int(step_minutes * 90)} SECONDS")
+    rows = df.where(F.col(date).isNotNull()).select(*keys, date).withColumn(BUCKET, time_bucket(date, seconds))
+    before = F.lag(date).over(local_window(keys, [date]))
+    per_bucket = rows.withColumn("_gap", F.col(date) - before > limit).groupBy(*keys, BUCKET).agg(
+        F.count_if("_gap").alias("_gaps"), F.min(date).alias("_first"), F.max(date).alias("_last"))
+    previous = F.lag("_last").over(Window.partitionBy(*keys).orderBy(BUCKET))
+    return per_bucket.withColumn("_edge", F.col("_first") - previous > limit).groupBy(*keys).agg(
+        (F.sum("_gaps") + F.count_if("_edge")).alias("time_gaps_30min"))
 
 
 def validate_split(

@@ -14,7 +14,7 @@ from gridcast.config import LAG_COLUMNS
 from gridcast.functions.blend import simple_average, weighted_average
 from gridcast.functions.dates import timestamp
 from gridcast.functions.scores import add_ape, is_realized
-from gridcast.operators.features import add_clock_lags, densify_grid
+from gridcast.operators.features import add_clock_lags, time_grid
 from gridcast.operators.forecast import trailing_mean
 from gridcast.sources.history import tag_run
 
@@ -50,26 +50,42 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def load_30m(spark: SparkSession, sf: str) -> DataFrame:
-    """(zone, for_date, requirement) on the full half-hour grid; 0 where nothing was measured."""
-    sums = events(spark, sf).groupBy(feeder().alias("zone"), slot("ts").alias("for_date")).agg(
+    """(zone, for_date, requirement) on the full half-hour grid; 0 where nothing was measured.
+
+    Events and empty slots meet in one aggregate, so the grid costs no join.
+    """
+    e = events(spark, sf).select(feeder().alias("zone"), slot("ts").alias("for_date"), "value")
+    grid = time_grid(feeders(spark, sf), timestamp(START), timestamp(END))
+    return e.unionByName(grid.withColumn("value", F.lit(0.0))).groupBy("zone", "for_date").agg(
         exact64(F.sum("value")).alias("requirement"))
-    return densify_grid(sums, {"requirement": 0.0}, start=timestamp(START), end=timestamp(END))
+
+
+def feeders(spark: SparkSession, sf: str) -> DataFrame:
+    return events(spark, sf).select(feeder().alias("zone")).distinct()
 
 
 def split_of(date: str = "for_date", at: str = SPLIT) -> Column:
     return F.when(F.col(date) < timestamp(at), "train").otherwise("test")
 
 
+def masked_load(spark: SparkSession, sf: str) -> DataFrame:
+    """The load with placeholders from NOW on."""
+    return load_30m(spark, sf).withColumn(
+        "requirement", F.when(F.col("for_date") >= timestamp(NOW), 0.0).otherwise(F.col("requirement")))
+
+
 def masked(spark: SparkSession, sf: str) -> DataFrame:
-    """The load with its split; slots from NOW on are placeholders."""
-    return load_30m(spark, sf).select(
-        "zone", "for_date", split_of().alias("split"),
-        F.when(F.col("for_date") >= timestamp(NOW), 0.0).otherwise(F.col("requirement")).alias("requirement"))
+    return with_split(masked_load(spark, sf))
+
+
+def with_split(df: DataFrame) -> DataFrame:
+    rest = [c for c in df.columns if c not in ("zone", "for_date")]
+    return df.select("zone", "for_date", split_of().alias("split"), *rest)
 
 
 def features(spark: SparkSession, sf: str, *lags: str) -> DataFrame:
     names = lags or tuple(n for n in LAG_COLUMNS if n != "REQUIREMENT_LAG_4D")
-    return add_clock_lags(masked(spark, sf), {n: LAG_COLUMNS[n] for n in names})
+    return with_split(add_clock_lags(masked_load(spark, sf), {n: LAG_COLUMNS[n] for n in names}, unique=True))
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
@@ -166,5 +182,4 @@ def holidays(spark: SparkSession) -> DataFrame:
 
 def registry(spark: SparkSession, sf: str) -> DataFrame:
     """The zones seen in the data, plus one that has no file."""
-    seen = events(spark, sf).select(feeder().alias("zone")).distinct()
-    return seen.unionByName(spark.sql("SELECT 'Z_EMPTY' AS zone"))
+    return feeders(spark, sf).unionByName(spark.sql("SELECT 'Z_EMPTY' AS zone"))

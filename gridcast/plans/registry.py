@@ -12,7 +12,7 @@ from gridcast.operators import (
     blends, clean, compare, cv, dashboard, features, forecast, importance, metrics, monitor, quality, slices,
 )
 from gridcast.plans import inputs as I
-from gridcast.session import shared_dir
+from gridcast.session import materialize, shared_dir
 from gridcast.sources import history as hist
 from gridcast.sources import tables, zones
 from gridcast.streaming import streams
@@ -215,12 +215,12 @@ def fill_zero_lag(spark, sf):
 
 @query
 def impute_train_median(spark, sf):
-    return clean.impute_train_median(I.features(spark, sf, *IMPUTED), IMPUTED)
+    return clean.impute_train_median(materialize(I.features(spark, sf, *IMPUTED)), IMPUTED)
 
 
 @query
 def impute_split_median(spark, sf):
-    return clean.impute_split_median(I.features(spark, sf, *IMPUTED), IMPUTED)
+    return clean.impute_split_median(materialize(I.features(spark, sf, *IMPUTED)), IMPUTED)
 
 
 @query
@@ -588,7 +588,7 @@ def _complete(spark, sf):
 
 @query
 def fc_seasonal_naive(spark, sf):
-    return forecast.seasonal_naive(I.masked(spark, sf)).where(F.col("split") == "test").drop("split")
+    return forecast.seasonal_naive(I.masked(spark, sf), unique=True).where(F.col("split") == "test").drop("split")
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, **conf: str) -> SparkSession:
@@ -37,3 +37,11 @@ def shared_dir(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="gridcast-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/gridcast-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, before an operator that passes over it
+    several times. Losing an executor then costs a re-read, not the whole lineage."""
+    path = shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
