@@ -53,7 +53,10 @@ def weight_search(
     ``min_rows`` scored rows; a point for which some row has no blend is left out.
     """
     a, b, c = preds
-    rows = scored_history(history, dedup).select("actual", *preds)
+    n = int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # each row is worth hundreds of evaluations, so spread the rows evenly first
+    rows = scored_history(history, dedup).select("zone", "for_date", "actual", *preds).repartition(
+        n, "zone", "for_date").select("actual", *preds)
     best = _best(rows, F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")), preds, range(0, 101, 5))
     if refine:
         best = _best(rows, best.select(F.struct(F.col("_i").alias("i"), F.col("_j").alias("j"))).scalar(),
@@ -67,10 +70,12 @@ def weight_search(
 def _best(rows: DataFrame, origin: Column, preds: Sequence[str], steps: range) -> DataFrame:
     """The best point (in hundredths) among ``origin`` plus each pair of steps, inside the simplex."""
     i, j = F.col("_i"), F.col("_j")
-    shifts = F.array(*[F.struct(F.lit(a).alias("_di"), F.lit(b).alias("_dj"))
-                       for a in steps for b in steps if a + b <= 100])
-    moved = rows.withColumn("_o", origin).select("*", F.inline(shifts)).select(
-        "actual", *preds, (F.col("_o.i") + F.col("_di")).alias("_i"), (F.col("_o.j") + F.col("_dj")).alias("_j"))
+    n = len(steps)
+    pair = F.explode(F.sequence(F.lit(0), F.lit(n * n - 1)))
+    moved = rows.withColumn("_o", origin).select("*", pair.alias("_k")).select(
+        "actual", *preds,
+        (F.col("_o.i") + steps.start + steps.step * F.floor(F.col("_k") / n)).cast("int").alias("_i"),
+        (F.col("_o.j") + steps.start + steps.step * (F.col("_k") % n)).cast("int").alias("_j"))
     w = [i / 100.0, j / 100.0, (100 - i - j) / 100.0]
     error = _objective(w, [F.col(p) for p in preds], F.col("actual"))
     per_point = (

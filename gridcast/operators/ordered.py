@@ -77,10 +77,13 @@ def row_halo(
     bucket they reach by comparing running row counts.
     """
     keys = list(keys)
-    rows = df.withColumn(BUCKET, time_bucket(order[0], seconds))
+    tagged = df.withColumn(BUCKET, time_bucket(order[0], seconds))
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # one exchange serves the search for edge rows and the caller's window
+    rows = tagged.repartition(n_parts, *keys, BUCKET)
     per_key = Window.partitionBy(*keys).orderBy(BUCKET)
     buckets = (
-        rows.groupBy(*keys, BUCKET).agg(F.count("*").alias("_n"))
+        tagged.groupBy(*keys, BUCKET).agg(F.count("*").alias("_n"))
         .withColumn("_end", F.sum("_n").over(per_key.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )
@@ -106,9 +109,9 @@ def row_halo(
         )
 
     if before:
-        parts.append(borrowed(before, True))
+        parts.append(borrowed(before, True).repartition(n_parts, *keys, BUCKET))
     if after:
-        parts.append(borrowed(after, False))
+        parts.append(borrowed(after, False).repartition(n_parts, *keys, BUCKET))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -136,24 +139,20 @@ def fill_both_ways(
     known = F.when(F.col("_v").isNotNull(), position)
     edges = rows.groupBy(*keys, BUCKET).agg(
         F.max_by("_v", known).alias("_last"), F.min_by("_v", known).alias("_first"))
-    per_key = Window.partitionBy(*keys).orderBy(BUCKET)
+    earlier = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(F.col(BUCKET).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = edges.select(
-        *keys, BUCKET,
-        F.last("_last", ignorenulls=True).over(
-            per_key.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
-        F.first("_first", ignorenulls=True).over(
-            per_key.rowsBetween(1, Window.unboundedFollowing)).alias("_ahead"),
-    )
-    w = local_window(keys, order)
-    filled = F.coalesce(
-        F.last("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        F.col("_carry"),
-        F.first("_v", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)),
-        F.col("_ahead"),
+        *keys, BUCKET, "_first",
+        F.last("_last", ignorenulls=True).over(earlier).alias("_carry"),
+        F.last("_first", ignorenulls=True).over(later).alias("_ahead"),
     )
+    # a row with nothing before it in its bucket lies before the bucket's first known value, so
+    # looking ahead needs no second window
+    local = F.last("_v", ignorenulls=True).over(
+        local_window(keys, order).rowsBetween(Window.unboundedPreceding, 0))
     return (
         rows.join(carry, [*keys, BUCKET], "left")
-        .withColumn(column, filled)
+        .withColumn(column, F.coalesce(local, F.col("_carry"), F.col("_first"), F.col("_ahead")))
         .select(*df.columns)
     )
 

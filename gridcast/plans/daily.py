@@ -93,9 +93,11 @@ def attach(df: DataFrame, forecasters: Mapping[str, Forecaster], names: Sequence
 def run_daily(
     series: DataFrame, holidays: DataFrame, history: DataFrame, stored_weights: DataFrame,
     run_ts: str, run_date: str, now: Column, forecasters: Mapping[str, Forecaster] | None = None,
+    filled_shift: bool = False,
 ) -> DailyRun:
     """``series``: (zone, split, for_date, requirement, lag and other feature columns).
 
+    The shift check looks at raw actuals; ``filled_shift`` counts filled placeholders as realised.
     History and weights are those of earlier runs, so a run never learns from itself.
     """
     table, names = prepare(series, holidays)
@@ -107,7 +109,7 @@ def run_daily(
 
     scored = metrics.metrics_zone_model(blended)
     full = metrics.with_all_rows(scored)
-    shift = monitor.shift_zscore(table.withColumn(C.TARGET, F.col("actual")))
+    shift = monitor.shift_zscore(table if filled_shift else table.withColumn(C.TARGET, F.col("actual")))
     drift = monitor.drift_flags(shift)
     alerts = monitor.mape_alerts(full)
     corrections = monitor.bias_compute(history)

@@ -54,14 +54,15 @@ def load_30m(spark: SparkSession, sf: str) -> DataFrame:
 
     Events and empty slots meet in one aggregate, so the grid costs no join.
     """
-    e = events(spark, sf).select(feeder().alias("zone"), slot("ts").alias("for_date"), "value")
-    grid = time_grid(feeders(spark, sf), timestamp(START), timestamp(END))
+    table = events(spark, sf)
+    e = table.select(feeder().alias("zone"), slot("ts").alias("for_date"), "value")
+    grid = time_grid(feeders(table), timestamp(START), timestamp(END))
     return e.unionByName(grid.withColumn("value", F.lit(0.0))).groupBy("zone", "for_date").agg(
         exact64(F.sum("value")).alias("requirement"))
 
 
-def feeders(spark: SparkSession, sf: str) -> DataFrame:
-    return events(spark, sf).select(feeder().alias("zone")).distinct()
+def feeders(table: DataFrame) -> DataFrame:
+    return table.select(feeder().alias("zone")).distinct()
 
 
 def split_of(date: str = "for_date", at: str = SPLIT) -> Column:
@@ -182,4 +183,4 @@ def holidays(spark: SparkSession) -> DataFrame:
 
 def registry(spark: SparkSession, sf: str) -> DataFrame:
     """The zones seen in the data, plus one that has no file."""
-    return feeders(spark, sf).unionByName(spark.sql("SELECT 'Z_EMPTY' AS zone"))
+    return feeders(events(spark, sf)).unionByName(spark.sql("SELECT 'Z_EMPTY' AS zone"))

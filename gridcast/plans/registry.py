@@ -29,7 +29,7 @@ STANDALONE = {"M1": "pred_m1", "M2": "pred_m2", "M3": "pred_m3", "Ensemble": "pr
 TAGS = {"m1": "pred_m1", "m2": "pred_m2", "m3": "pred_m3", "ensemble": "pred_ensemble"}
 TOKEN = "Ensemble_M1_M2"
 PENALTIES = (0.001, 0.1, 1.0)
-DAY = 86400
+HALF_HOUR, DAY = 1800, 86400  # bucket widths: the finer one keeps buckets of single events small
 
 
 def query(f: Query) -> Query:
@@ -238,7 +238,8 @@ def lag_hours(spark, sf):
 # Window features
 
 def _rolled(spark, sf, name):
-    rolled = features.add_rolling(I.readings(spark, sf), "requirement", ["zone"], ["for_date", "event_id"], seconds=DAY)
+    rolled = features.add_rolling(I.readings(spark, sf), "requirement", ["zone"], ["for_date", "event_id"],
+                                  seconds=HALF_HOUR)
     return rolled.select("zone", "event_id", F.round(f"requirement_{name}", 6).alias(name))
 
 
@@ -288,7 +289,7 @@ def pre_post_holiday_day(spark, sf):
 
 @query
 def timegap_count(spark, sf):
-    return quality.timegap_count(I.readings(spark, sf), ["zone"], seconds=DAY)
+    return quality.timegap_count(I.readings(spark, sf), ["zone"], seconds=HALF_HOUR)
 
 
 @query
@@ -320,7 +321,7 @@ def seq_windows_carry(spark, sf):
 @query
 def seq_windows_rows(spark, sf):
     seq = features.add_sequences(I.readings(spark, sf), ["requirement"], 6, True, ["zone"],
-                                 ["for_date", "event_id"], seconds=DAY)
+                                 ["for_date", "event_id"], seconds=HALF_HOUR)
     return seq.select("zone", "event_id", *[F.col("seq")[i][0].alias(f"x{i + 1}") for i in range(6)])
 
 
@@ -394,7 +395,7 @@ def ens_inverse_mape(spark, sf):
 
 @query
 def weight_search(spark, sf):
-    return blends.weight_search(I.history(spark, sf), I.PREDS)
+    return blends.weight_search(materialize(I.history(spark, sf)), I.PREDS)
 
 
 # Aggregations and metrics
@@ -581,8 +582,8 @@ def dashboard_v4(spark, sf):
 
 # Forecasters and cross-validation
 
-def _complete(spark, sf):
-    f = I.features(spark, sf, *PAIR)
+def _complete_train(spark, sf):
+    f = I.features(spark, sf, *PAIR).where(F.col("split") == "train")
     return f.where(F.col("REQ_LAST168H").isNotNull() & F.col("REQ_LAST336H").isNotNull())
 
 
@@ -629,23 +630,23 @@ def fc_sequence(spark, sf):
 
 @query
 def cv_folds(spark, sf):
-    return cv.cv_folds(_complete(spark, sf).where(F.col("split") == "train").select(*KEY))
+    return cv.cv_folds(_complete_train(spark, sf).select(*KEY))
 
 
 @query
 def cv_folds_rows(spark, sf):
     o = I.orders(spark, sf).select("zone", "for_date", "o_orderkey")
-    return cv.cv_folds(o, order=("for_date", "o_orderkey")).drop("for_date")
+    return cv.cv_folds(o, order=("for_date", "o_orderkey"), seconds=DAY).drop("for_date")
 
 
 @query
 def cv_mape(spark, sf):
-    return r6(cv.cv_mape(_complete(spark, sf).where(F.col("split") == "train"), "REQ_LAST168H"), "cv_mape")
+    return r6(cv.cv_mape(materialize(_complete_train(spark, sf)), "REQ_LAST168H"), "cv_mape")
 
 
 @query
 def param_search(spark, sf):
-    train = _complete(spark, sf).where(F.col("split") == "train")
+    train = materialize(_complete_train(spark, sf))
     return r6(cv.param_search(train, PAIR, PENALTIES), "best_cv_mape")
 
 
@@ -682,7 +683,7 @@ def _stream(spark, df, path):
 @query
 def stream_daily_mape(spark, sf):
     root = shared_dir(spark)
-    p = I.predictions(spark, sf)
+    p = materialize(I.predictions(spark, sf))
     actuals = _stream(spark, p.select("zone", F.col("for_date").cast("timestamp"), "actual"), f"{root}/in")
     streams.stream_daily_mape(actuals, p, "pred_m2", f"{root}/out", f"{root}/checkpoint")
     return r6(spark.read.parquet(f"{root}/out"), "daily_mape")
