@@ -124,12 +124,18 @@ def sequence_forecast(
     df: DataFrame, features: Sequence[str], target: str = "requirement", length: int = SEQUENCE_LENGTH,
     out: str = "pred", carry: bool = True, grid: bool = False, penalty: float = 1e-3,
 ) -> DataFrame:
-    """Forecast from the ``length`` rows before each one, by ridge on the flattened window.
+    """Forecast from a window of ``length`` rows, by ridge on the flattened window.
 
-    With ``carry`` test windows begin in the train rows; without it the first rows stay null.
+    Training windows end before their row. With ``carry`` so do test windows, which then begin in
+    the train rows; without it test windows include their own row and the first ``length - 1`` test
+    rows stay null.
     """
-    keys = ("zone",) if carry else ("zone", "split")
-    seq = add_sequences(df, features, length, False, keys=keys, grid=grid)
+    if carry:
+        seq = add_sequences(df, features, length, False, keys=("zone",), grid=grid)
+    else:
+        train, test = df.where(F.col("split") == "train"), df.where(F.col("split") == "test")
+        seq = add_sequences(train, features, length, False, grid=grid).unionByName(
+            add_sequences(test, features, length, True, grid=grid))
     flat = {f"_x{i}_{j}": F.col("seq")[i][j] for i in range(length) for j in range(len(features))}
     wide = seq.withColumns(flat)
     return zone_ridge(wide, list(flat), target, out, penalty).select(*df.columns, out)
@@ -138,12 +144,11 @@ def sequence_forecast(
 class GbtFit:
     """Fitted boosted trees: scores rows and reports importances."""
 
-    def __init__(self, model, assembler: VectorAssembler, features: list[str], target: str, scale: DataFrame):
-        self.model, self.assembler, self.features, self.target, self.scale = (
-            model, assembler, features, target, scale)
+    def __init__(self, model, assembler: VectorAssembler, features: list[str], loads: set[str], scale: DataFrame):
+        self.model, self.assembler, self.features, self.loads, self.scale = model, assembler, features, loads, scale
 
     def predict(self, df: DataFrame, out: str = "pred") -> DataFrame:
-        ready = self.assembler.transform(_scaled(df, self.scale, self.features))
+        ready = self.assembler.transform(_scaled(df, self.scale, self.features, self.loads))
         return self.model.transform(ready).withColumn(
             out, F.col("_raw") * F.col("_level")).select(*df.columns, out)
 
@@ -153,31 +158,41 @@ class GbtFit:
         return spark.createDataFrame(rows, "zone string, model string, feature string, importance double")
 
 
-def _scaled(df: DataFrame, scale: DataFrame, features: Sequence[str]) -> DataFrame:
+def _scaled(df: DataFrame, scale: DataFrame, features: Sequence[str], loads: set[str]) -> DataFrame:
+    """Assembler inputs; those in load units are divided by the zone's level."""
     joined = df.join(scale, "zone", "left")
-    return joined.withColumns({f"_f_{f}": F.coalesce(F.col(f).cast("double") / F.col("_level"), F.lit(0.0))
-                               for f in features})
+    number = {f: F.col(f).cast("double") for f in features}
+    return joined.withColumns({
+        f"_f_{f}": F.coalesce(c / F.col("_level") if f in loads else c, F.lit(0.0)) for f, c in number.items()})
+
+
+def is_load(feature: str) -> bool:
+    """Lags of the load and their means, deviations and differences are in load units; ratios are not."""
+    name = feature.upper()
+    return name.startswith("REQ") and "PCT_CHANGE" not in name
 
 
 def fit_gbt(
     train: DataFrame, features: Sequence[str], target: str = "requirement", maxIter: int = 10,
     maxDepth: int = 4, stepSize: float = 0.1, subsamplingRate: float = 0.9, seed: int = SEED,
+    load_features: Sequence[str] | None = None,
 ) -> GbtFit:
     """Boosted trees over all zones in one distributed fit.
 
-    Loads are divided by their zone's mean, so one model serves zones of any size and the number of
+    Loads (``load_features``, by default told by name) are divided by their zone's mean, so one model serves zones of any size and the number of
     zones does not set the number of jobs. Pass one zone's rows for a model of its own.
     """
     features = list(features)
+    loads = {f for f in features if is_load(f)} if load_features is None else set(load_features)
     scale = train.groupBy("zone").agg(F.avg(target).alias("_mean")).select(
         "zone", F.when(F.abs("_mean") > 1e-9, F.col("_mean")).otherwise(1.0).alias("_level"))
     assembler = VectorAssembler(inputCols=[f"_f_{f}" for f in features], outputCol="_features")
-    ready = assembler.transform(_scaled(train.where(F.col(target).isNotNull()), scale, features)).select(
+    ready = assembler.transform(_scaled(train.where(F.col(target).isNotNull()), scale, features, loads)).select(
         "_features", (F.col(target) / F.col("_level")).alias("_label"))
     model = GBTRegressor(
         featuresCol="_features", labelCol="_label", predictionCol="_raw", maxIter=maxIter, maxDepth=maxDepth,
         stepSize=stepSize, subsamplingRate=subsamplingRate, seed=seed).fit(ready)
-    return GbtFit(model, assembler, features, target, scale)
+    return GbtFit(model, assembler, features, loads, scale)
 
 
 def trailing_mean(

@@ -13,7 +13,7 @@ _GROUP = ("zone", "model")  # one row per feature, so a group is as wide as the
 def corr_importance(
     df: DataFrame, features: Sequence[str], target: str = "requirement", key: str = "zone", model: str = "corr",
 ) -> DataFrame:
-    """Squared correlation with the target per feature; null where either is constant.
+    """Squared correlation with the target per feature; 0 where either is constant.
 
     Written with covariance and variances: ``corr`` divides by zero on a constant column.
     """
@@ -24,8 +24,8 @@ def corr_importance(
         yy = F.when(F.col(f).isNotNull(), y)
         aggs += [F.covar_pop(x, yy).alias(f"c{i}"), F.var_pop(x).alias(f"vx{i}"), F.var_pop(yy).alias(f"vy{i}")]
     cells = [
-        F.struct(F.lit(f).alias("feature"), F.try_divide(
-            F.col(f"c{i}") * F.col(f"c{i}"), F.col(f"vx{i}") * F.col(f"vy{i}")).alias("importance"))
+        F.struct(F.lit(f).alias("feature"), F.coalesce(F.try_divide(
+            F.col(f"c{i}") * F.col(f"c{i}"), F.col(f"vx{i}") * F.col(f"vy{i}")), F.lit(0.0)).alias("importance"))
         for i, f in enumerate(features)
     ]
     return df.groupBy(key).agg(*aggs).select(key, F.lit(model).alias("model"), F.inline(F.array(*cells)))

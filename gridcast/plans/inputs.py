@@ -183,4 +183,4 @@ def holidays(spark: SparkSession) -> DataFrame:
 
 def registry(spark: SparkSession, sf: str) -> DataFrame:
     """The zones seen in the data, plus one that has no file."""
-    return feeders(events(spark, sf)).unionByName(spark.sql("SELECT 'Z_EMPTY' AS zone"))
+    return feeders(events(spark, sf)).unionByName(spark.sql("SELECT * FROM VALUES ('Z_EMPTY') AS t(zone)"))

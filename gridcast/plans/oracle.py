@@ -86,8 +86,8 @@ CTES = {
     "hol": """SELECT unnest([DATE '2024-01-01', DATE '2024-01-16', DATE '2024-01-26']) AS d""",
     "reg": f"SELECT DISTINCT {FEEDER} AS zone FROM events UNION ALL SELECT 'Z_EMPTY'",
     "imp": "SELECT zone, 'corr' AS model, feature, importance FROM (" + " UNION ALL ".join(
-        f"SELECT zone, '{f}' AS feature, covar_pop({f}, requirement) * covar_pop({f}, requirement) / "
-        f"nullif(var_pop({f}) * var_pop(CASE WHEN {f} IS NOT NULL THEN requirement END), 0) AS importance "
+        f"SELECT zone, '{f}' AS feature, coalesce(covar_pop({f}, requirement) * covar_pop({f}, requirement) / "
+        f"nullif(var_pop({f}) * var_pop(CASE WHEN {f} IS NOT NULL THEN requirement END), 0), 0) AS importance "
         "FROM f4 GROUP BY zone" for f in FEATURES) + ")",
     "met": " UNION ALL ".join(
         f"""SELECT zone, '{m}' AS model,

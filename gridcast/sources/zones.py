@@ -56,4 +56,4 @@ def union_zones(*frames: DataFrame) -> DataFrame:
 
 def zones_failed(registry: DataFrame, done: DataFrame) -> DataFrame:
     """Registered zones without a result row."""
-    return registry.select("zone").distinct().join(done.select("zone"), "zone", "left_anti")
+    return registry.select("zone").distinct().join(done.select("zone").distinct(), "zone", "left_anti")

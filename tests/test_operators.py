@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridcast.functions import blend, dates, scores
 from gridcast.operators import blends, clean, compare, dashboard, importance, metrics, monitor, quality, slices
+from gridcast.operators.forecast import fit_gbt, sequence_forecast
 from gridcast.plans import inputs as I
 from gridcast.plans.daily import ridge, run_daily, sequence, trees, write_daily
 from gridcast.plans.standalone import next_history, run_standalone
@@ -106,7 +107,7 @@ def test_importance_of_constant_and_zero_total(spark):
     table = importance.importance_pct(importance.corr_importance(df, ["a", "k"]))
     got = {(r.zone, r.feature): (r.importance, r.importance_pct) for r in table.collect()}
     assert got[("A", "a")] == (pytest.approx(1.0), pytest.approx(100.0))
-    assert got[("A", "k")][0] is None and got[("B", "a")] == (None, 0.0)
+    assert got[("A", "k")] == (0.0, 0.0) and got[("B", "a")] == (0.0, 0.0)
 
 
 def test_slices(spark):
@@ -284,7 +285,7 @@ def test_daily_run_writes_and_learns_from_history(spark, tmp_path):
     write_daily(run, str(tmp_path))
     p = spark.read.parquet(str(tmp_path / "predictions"))
     assert p.count() == 2 * 288
-    assert p.where("pred_lstm IS NULL").groupBy("zone").count().collect()[0]["count"] == 2
+    assert p.where("pred_lstm IS NULL").groupBy("zone").count().collect()[0]["count"] == 1
     assert spark.read.parquet(str(tmp_path / "history")).where("run_date = DATE'2024-01-28'").count() == 2 * 288
     assert spark.read.parquet(str(tmp_path / "dashboard")).count() == 2
     m = spark.read.parquet(str(tmp_path / "metrics"))
@@ -320,3 +321,29 @@ def test_row_scores(spark):
     assert [r.ape_p for r in rows] == [20.0, None, None]
     e = scores.add_row_errors(df, {"t": "p"}).collect()
     assert (e[0].abs_error_t, e[0].bias_t, e[1].ape_t, e[2].ape_t) == (2.0, 2.0, 100.0, None)
+
+
+def test_trees_share_one_fit_over_zones_of_any_size(spark):
+    start = dt.datetime(2024, 1, 1)
+    rows = []
+    for zone, level in (("A", 10.0), ("B", 1000.0)):
+        for i in range(400):
+            split = "train" if i < 300 else "test"
+            hour = i % 24
+            rows.append((zone, split, start + dt.timedelta(hours=i), hour, level * (2.0 if 8 <= hour < 20 else 1.0)))
+    df = spark.createDataFrame(rows, "zone string, split string, for_date timestamp_ntz, hour int, requirement double")
+    fit = fit_gbt(df.where("split = 'train'"), ["hour"], maxIter=5, maxDepth=3)
+    out = fit.predict(df.where("split = 'test'"))
+    worst = out.select(F.max(F.abs(F.col("pred") / F.col("requirement") - 1))).collect()[0][0]
+    assert worst < 0.05
+    assert fit.importance(spark, "m").collect()[0].importance == 1.0
+
+
+def test_sequence_warm_up(spark):
+    rows = [("A", "train" if i < 40 else "test", T + dt.timedelta(minutes=30 * i), float(i % 5), float(i % 5))
+            for i in range(60)]
+    df = spark.createDataFrame(rows, "zone string, split string, for_date timestamp_ntz, x double, requirement double")
+    own = sequence_forecast(df, ["x"], length=4, carry=False).where("split = 'test'")
+    carried = sequence_forecast(df, ["x"], length=4, carry=True).where("split = 'test'")
+    assert own.where("pred IS NULL").count() == 3 and carried.where("pred IS NULL").count() == 0
+    assert own.count() == carried.count() == 20
