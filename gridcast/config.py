@@ -57,6 +57,16 @@ STANDALONE_MODELS = {
     "Ensemble_W": "pred_ensemble_w",
 }
 ALERT_TOKEN = "Ensemble_XGB_LGBM"
+RUN_STAMP = "yyyyMMdd_HHmmss"
+ALERT_TEXT = "MAPE ALERT | %s | Ensemble MAPE=%.2f%% > {limit}%% | BIAS=%.1f MW"
+ALERT_DETAIL = "MAPE=%.2f%% BIAS=%.1f"
+DRIFT_DETAIL = "z=%.3f"
+BIAS_DETAIL = "bias=%.2f corr=%.2f n=%d"
+REASON_NO_HISTORY = "no history"
+REASON_NO_DATA = "insufficient recent data"
+REASON_NO_SCORE = "MAPE nan% OK"
+REASON_OK = "MAPE %.2f%% OK"
+REASON_DRIFT = "MAPE %.2f%% > threshold {threshold}%% over last {days} days"
 
 # Boosted-tree settings in Spark ML terms: trees, depth, learning rate, row sampling.
 TREES_MODULAR = {"maxIter": 300, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.9}

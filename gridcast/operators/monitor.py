@@ -7,9 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.config import (
-    ALERT_TOKEN, DRIFT_DAYS, DRIFT_MAPE_PCT, DRIFT_Z_CRITICAL, DRIFT_Z_WARN, MAPE_ALERT_PCT, MIN_ROWS_BIAS,
-)
+from gridcast import config as C
 from gridcast.functions.scores import is_realized
 from gridcast.sources.history import log_events, scored_history
 
@@ -86,7 +84,7 @@ def shift_zscore(
     return wide.select("zone", F.inline(F.filter(cells, lambda c: c.isNotNull())))
 
 
-def drift_flags(shift: DataFrame, warn: float = DRIFT_Z_WARN, critical: float = DRIFT_Z_CRITICAL) -> DataFrame:
+def drift_flags(shift: DataFrame, warn: float = C.DRIFT_Z_WARN, critical: float = C.DRIFT_Z_CRITICAL) -> DataFrame:
     """Zones whose z-score against train reaches a threshold, with its severity."""
     z = shift.where(F.col("metric") == "z_score_vs_train").groupBy("zone").agg(F.max("value").alias("z_score"))
     size = F.abs("z_score")
@@ -96,12 +94,12 @@ def drift_flags(shift: DataFrame, warn: float = DRIFT_Z_WARN, critical: float =
 
 def drift_events(flags: DataFrame, now: Column) -> DataFrame:
     kind = F.when(F.col("severity") == "critical", "DRIFT_CRITICAL").otherwise("DRIFT_WARNING")
-    return log_events(flags, kind, F.format_string("z=%.3f", "z_score"), F.col("z_score"), now)
+    return log_events(flags, kind, F.format_string(C.DRIFT_DETAIL, "z_score"), F.col("z_score"), now)
 
 
 def drift_recent_mape(
-    history: DataFrame, registry: DataFrame, now: Column, days: int = DRIFT_DAYS,
-    threshold: float = DRIFT_MAPE_PCT, ape: str = "ape_ensemble",
+    history: DataFrame, registry: DataFrame, now: Column, days: int = C.DRIFT_DAYS,
+    threshold: float = C.DRIFT_MAPE_PCT, ape: str = "ape_ensemble",
 ) -> DataFrame:
     """Each registered zone's mean ensemble APE since ``now - days``, with the verdict and reason."""
     recent = history.where(F.col("for_date") >= now - F.expr(f"INTERVAL {int(days)} DAYS")).groupBy("zone").agg(
@@ -110,31 +108,30 @@ def drift_recent_mape(
     m = F.col("recent_mape")
     over = F.coalesce(m > threshold, F.lit(False))
     reason = (
-        F.when(F.col("_n").isNull() & empty, "no history")
-        .when(F.col("_n").isNull(), "insufficient recent data")
-        .when(m.isNull(), "MAPE nan% OK")
-        .when(over, F.format_string(f"MAPE %.2f%% > threshold {threshold}%% over last {days} days", m))
-        .otherwise(F.format_string("MAPE %.2f%% OK", m))
+        F.when(F.col("_n").isNull() & empty, C.REASON_NO_HISTORY)
+        .when(F.col("_n").isNull(), C.REASON_NO_DATA)
+        .when(m.isNull(), C.REASON_NO_SCORE)
+        .when(over, F.format_string(C.REASON_DRIFT.format(threshold=threshold, days=days), m))
+        .otherwise(F.format_string(C.REASON_OK, m))
     )
     return registry.select("zone").distinct().join(recent, "zone", "left").select(
         "zone", over.alias("drift"), "recent_mape", reason.alias("reason"))
 
 
-def mape_alerts(metrics: DataFrame, limit: float = MAPE_ALERT_PCT, token: str = ALERT_TOKEN) -> DataFrame:
+def mape_alerts(metrics: DataFrame, limit: float = C.MAPE_ALERT_PCT, token: str = C.ALERT_TOKEN) -> DataFrame:
     """Zone rows of ensemble models whose MAPE is above the limit, with the alert text."""
     hit = (F.col("zone") != "ALL") & F.col("model").contains(token) & (F.col("MAPE") > limit)
-    text = F.format_string(
-        f"MAPE ALERT | %s | Ensemble MAPE=%.2f%% > {limit}%% | BIAS=%.1f MW", "zone", "MAPE", "BIAS")
+    text = F.format_string(C.ALERT_TEXT.format(limit=limit), "zone", "MAPE", "BIAS")
     return metrics.where(hit).select("zone", "model", "MAPE", "BIAS", text.alias("message"))
 
 
 def alert_events(alerts: DataFrame, now: Column) -> DataFrame:
-    return log_events(alerts, "MAPE_ALERT", F.format_string("MAPE=%.2f%% BIAS=%.1f", "MAPE", "BIAS"),
+    return log_events(alerts, "MAPE_ALERT", F.format_string(C.ALERT_DETAIL, "MAPE", "BIAS"),
                       F.col("MAPE"), now)
 
 
 def bias_compute(
-    history: DataFrame, pred: str = "pred_ensemble", min_rows: int = MIN_ROWS_BIAS, dedup: str | None = None,
+    history: DataFrame, pred: str = "pred_ensemble", min_rows: int = C.MIN_ROWS_BIAS, dedup: str | None = None,
 ) -> DataFrame:
     """(zone, correction, n): minus the mean error over scored history, for zones with enough rows."""
     error = F.col(pred) - F.col("actual")
@@ -143,7 +140,7 @@ def bias_compute(
 
 
 def bias_events(corrections: DataFrame, now: Column) -> DataFrame:
-    detail = F.format_string("bias=%.2f corr=%.2f n=%d", -F.col("correction"), F.col("correction"), F.col("n"))
+    detail = F.format_string(C.BIAS_DETAIL, -F.col("correction"), F.col("correction"), F.col("n"))
     return log_events(corrections, "BIAS_CORRECTION_COMPUTED", detail, F.col("correction"), now)
 
 

@@ -9,16 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridcast.config import RUN_STAMP
 from gridcast.functions.scores import is_realized
 
-RUN_FORMAT = "yyyyMMdd_HHmmss"
 LOG_SCHEMA = "timestamp timestamp_ntz, event_type string, zone string, detail string, value double"
 
 
 def tag_run(df: DataFrame, run_ts: str | Column) -> DataFrame:
     ts = F.lit(run_ts) if isinstance(run_ts, str) else run_ts
     return df.withColumn("run_timestamp", ts).withColumn(
-        "run_date", F.to_date(F.try_to_timestamp(F.col("run_timestamp"), F.lit(RUN_FORMAT))))
+        "run_date", F.to_date(F.try_to_timestamp(F.col("run_timestamp"), F.lit(RUN_STAMP))))
 
 
 def history_append(df: DataFrame, path: str, run_ts: str | Column) -> None:
