@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from gridcast.session import materialize, shared_dir
 
-__all__ = ["ascii_lower", "add_columns", "materialize", "remainder", "shared_dir", "table"]
+__all__ = ["ascii_lower", "add_columns", "fresh", "materialize", "remainder", "shared_dir", "table"]
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -25,6 +25,13 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, ASCII_UPPER, ASCII_LOWER)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` begins with it."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name += "_"
+    return name
+
+
 def remainder(key: str, of: int = 5) -> Column:
     """crc32 of the key written as text, modulo ``of``; null for a null key."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % of
@@ -43,9 +50,7 @@ def add_columns(df: DataFrame, text: str, fields: list[tuple[str, str]],
 
     taken = {name.lower() for name, _ in fields}
     carried = [c for c in (only if only is not None else df.columns) if c.lower() not in taken]
-    source = "__text"
-    while source in df.columns:
-        source += "_"
+    source = fresh(df, "__text")
     given = df.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").cast("string").alias(source),
                       *[F.col(c).alias(source + c) for c in before or ()])
     added = T._parse_datatype_string(", ".join(f"`{n}` {t}" for n, t in fields))

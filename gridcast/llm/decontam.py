@@ -9,7 +9,7 @@ Defined cases: a null or empty text has no words and no hits; an item without wo
 an item of fewer words than ``width`` is one window; repeated items count once per id; an item
 without id marks words and is listed as the empty string; repeated texts are judged alike. An empty
 benchmark leaves every text clean. Input columns named like an output column are
-replaced in :func:`scan` and refused in :func:`decontaminate`.
+replaced by :func:`scan`; :func:`decontaminate` returns all input columns untouched.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import add_columns, materialize
+from gridcast.llm.common import add_columns, fresh, materialize
 from gridcast.llm.textscan import ALNUM, U64, Chunk, chunks, grams, hash_spans, spans_of
 
 FIELDS = [("n_words", "bigint"), ("n_hit", "bigint"), ("items", "array<string>"),
@@ -87,26 +87,22 @@ def _slices(bench: DataFrame, item_id: str, text: str, max_chars: int):
 
 def scan(docs: DataFrame, bench: DataFrame, width: int = 10, text: str = "text", item_id: str = "item_id",
          item_text: str = "text", max_chars: int = 8_000_000, only: list[str] | None = None,
-         clean: bool = True) -> DataFrame:
+         clean: bool = True, prefix: str = "") -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit`` (words inside any window), ``items`` (sorted ids found),
     ``spans`` (UTF-8 byte ranges of hit runs) and ``clean_text`` (the text without those ranges; null
-    where nothing was hit or ``clean`` is off). ``only`` limits the input columns carried over."""
-    names = {n for n, _ in FIELDS}
+    where nothing was hit or ``clean`` is off). ``only`` limits the input columns carried over; ``prefix`` is put before the new names."""
+    names = {prefix + n for n, _ in FIELDS}
     carried = [c for c in (docs.columns if only is None else only) if c.lower() not in names]
     spark, out = docs.sparkSession, None
     for items in _slices(bench, item_id, item_text, max_chars):
         windows = spark.sparkContext.broadcast(Windows(items, width))
         if out is not None:  # a further slice goes over the texts and what was found so far
             out = materialize(out)
-        out = _pass(docs if out is None else out, text, windows, clean, out is not None)
-    return out.select(*[F.col(f"`{c}`") for c in carried], *names_in_order())
+        out = _pass(docs if out is None else out, text, windows, clean, out is not None, prefix)
+    return out.select(*[F.col(f"`{c}`") for c in carried], *[prefix + n for n, _ in FIELDS])
 
 
-def names_in_order() -> list[str]:
-    return [n for n, _ in FIELDS]
-
-
-def _pass(docs: DataFrame, text: str, windows, clean: bool, again: bool) -> DataFrame:
+def _pass(docs: DataFrame, text: str, windows, clean: bool, again: bool, prefix: str) -> DataFrame:
     """One scan; with ``again`` the columns of an earlier one are taken into account."""
 
     def rows(texts: list[bytes], before: list[list] | None) -> list[list]:
@@ -130,7 +126,8 @@ def _pass(docs: DataFrame, text: str, windows, clean: bool, again: bool) -> Data
                 out[4].append(_without(texts[chunk.first + i], spans) if clean and spans else None)
         return out
 
-    return add_columns(docs, text, FIELDS, rows, before=["items", "spans"] if again else None)
+    fields = [(prefix + n, t) for n, t in FIELDS]
+    return add_columns(docs, text, fields, rows, before=[prefix + "items", prefix + "spans"] if again else None)
 
 
 def _runs(chunk: Chunk, hit: np.ndarray, i: int) -> list[tuple[int, int]]:
@@ -153,13 +150,12 @@ def decontaminate(docs: DataFrame, bench: DataFrame, remove: str = "documents",
     """``docs``, same columns: without contaminated documents, or (``remove="spans"``) without the hit runs."""
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
-    scanned = scan(docs, bench, text=text, clean=remove == "spans", **options)
-    own = [c for c in docs.columns if c.lower() in set(names_in_order())]
-    if own:
-        raise ValueError(f"rename the columns {own} first: the scan writes columns of these names")
+    new = fresh(docs, "found_")
+    scanned = scan(docs, bench, text=text, clean=remove == "spans", prefix=new, **options)
     if remove == "documents":
-        return scanned.where("n_hit = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
-    return scanned.select(*[(F.coalesce("clean_text", F.col(f"`{c}`")).alias(c) if c == text else F.col(f"`{c}`")) for c in docs.columns])
+        return scanned.where(F.col(new + "n_hit") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return scanned.select(*[
+        F.coalesce(F.col(new + "clean_text"), F.col(f"`{c}`")).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
 
 
 def report(docs: DataFrame, bench: DataFrame) -> DataFrame:

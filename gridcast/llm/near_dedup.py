@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import materialize
+from gridcast.llm.common import fresh, materialize
 from gridcast.llm.minhash import digest, linked, signature, tune_bands, ROWS
 from gridcast.llm.textscan import SPACED, U64, Chunk, as_bytes, chunks, grams
 
@@ -68,10 +68,11 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text", percent:
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         """Recomputed from the texts of one row per wanted class."""
-        keys = classes.join(wanted, "node").select(F.col("least").alias("__least"), F.col("node").alias("__node"))
-        some = docs.join(keys.select("__least").distinct(), F.col(f"`{key}`").eqNullSafe(F.col("__least")), "left_semi")
-        found = _describe(some, key, text, "set").select("node", "set")
-        return materialize(found.join(keys.select(F.col("__node").alias("node")), "node").groupBy("node").agg(F.first("set").alias("set")))
+        keys = classes.join(wanted, "node").select("node", "least")
+        texts = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+        some = texts.join(keys.select("least").distinct(), F.col("key").eqNullSafe(F.col("least")), "left_semi")
+        found = _describe(some, "key", "text", "set").select("node", "set")
+        return materialize(found.join(keys.select("node"), "node").groupBy("node").agg(F.first("set").alias("set")))
 
     roots = linked(classes.select("node", "n", "sig"), sets_of, percent, miss, hashes)
     placed = classes.select("node", "least").join(roots, "node", "left").select(
@@ -91,9 +92,10 @@ def report(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs``, same columns, without the rows whose component has a smaller key."""
+    name = fresh(docs, "__gone")
     gone = classify(docs, key, text).where(~F.col("key").eqNullSafe(F.col("component"))).select(
-        F.col("key").alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{key}`").eqNullSafe(F.col("__gone")), "left_anti")
+        F.col("key").alias(name)).distinct()
+    return docs.join(gone, F.col(f"`{key}`").eqNullSafe(F.col(name)), "left_anti")
 
 
 REPORT_SQL = r"""

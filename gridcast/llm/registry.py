@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcast.llm import decontam, near_dedup
+from gridcast.llm import decontam, near_dedup, quality
 from gridcast.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,5 +20,9 @@ def op4_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.report(table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op4_minhash_near_dedup)}
+def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op4_minhash_near_dedup, op5_quality_rules)}
 SQL: dict[str, str] = {"op1_decontamination": decontam.REPORT_SQL, "op4_minhash_near_dedup": near_dedup.REPORT_SQL}
