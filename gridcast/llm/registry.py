@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcast.llm import decontam, near_dedup, quality
+from gridcast.llm import decontam, near_dedup, packing, quality, separators
 from gridcast.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,5 +24,14 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.report(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op4_minhash_near_dedup, op5_quality_rules)}
+def op8_separator_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return separators.report(table(spark, sf, "documents"))
+
+
+def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op4_minhash_near_dedup, op5_quality_rules,
+                                              op8_separator_scan, op9_best_fit_packing)}
 SQL: dict[str, str] = {"op1_decontamination": decontam.REPORT_SQL, "op4_minhash_near_dedup": near_dedup.REPORT_SQL}
