@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcast.llm import decontam, mixing, near_dedup, packing, quality, separators
+from gridcast.llm import ctw, decontam, mixing, near_dedup, packing, quality, separators
 from gridcast.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_temperature_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.report(table(spark, sf, "documents"))
 
 
+def op3_context_tree_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return ctw.report(table(spark, sf, "documents"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.report(table(spark, sf, "documents"))
 
@@ -36,7 +40,7 @@ def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op2_temperature_mixing, op4_minhash_near_dedup, op5_quality_rules,
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op2_temperature_mixing, op3_context_tree_scores, op4_minhash_near_dedup, op5_quality_rules,
                                               op8_separator_scan, op9_best_fit_packing)}
 SQL: dict[str, str] = {"op1_decontamination": decontam.REPORT_SQL, "op2_temperature_mixing": mixing.REPORT_SQL,
                        "op4_minhash_near_dedup": near_dedup.REPORT_SQL}
