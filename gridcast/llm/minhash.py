@@ -1,10 +1,11 @@
 """MinHash signatures, banded candidates, and sequential Bayesian verification of candidate pairs.
 
 Works on classes: rows with the same set are one class, named by a 128-bit digest of the set, so
-exact copies never meet each other. Candidate pairs come in three rounds, none of which lists the
-pairs of a bucket: every member against the bucket's smallest class, then against its largest, and
-at last, only in buckets whose members are still in different components, all pairs of different
-components, compared block by block inside tasks. A pair is confirmed on the full sets.
+exact copies never meet each other. Candidate pairs come in rounds, none of which lists the pairs
+of a bucket: every member against the bucket's smallest class, against its largest, against the one
+with the most links so far. A bucket whose members are all in one component is done. At last, in the
+buckets that are left, all members outside the largest component are compared with all others, block
+by block inside tasks, which is what makes the result complete. Every link is confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -129,38 +130,60 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
-def _across(live: DataFrame, classes: DataFrame, threshold: float, miss: float, hashes: int) -> DataFrame:
-    """Promising pairs of different components in ``live(key, node, root)``, each bucket cut into
-    blocks of about ``BLOCK`` members and each pair of blocks compared in a task of its own."""
+def _rest(open_: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, miss: float, hashes: int) -> DataFrame:
+    """Links between different components in ``open_(key, node, root)``: in every bucket, the members
+    outside its largest component against all others, block by block. Of the links of one class into
+    one component a block leaves only one, since more would not change any component."""
+    threshold = percent / 100
     needs = least_matches(threshold, miss, hashes)
-    size = live.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
-                                   F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.explode(F.expr("sequence(0, blocks - 1)"))
-    dealt = (live.join(size, "key").withColumn("own", own).withColumn("other", other)
-             .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root")
-             .join(classes.select("node", "n", "sig"), "node"))
+    parts = open_.groupBy("key", "root").agg(F.count("*").alias("m")).groupBy("key").agg(
+        F.max(F.struct("m", "root")).alias("bulk"), F.sum("m").alias("m"))
+    parts = parts.select("key", F.col("bulk.root").alias("bulk"), F.ceil(F.col("m") / BLOCK).cast("int").alias("columns"),
+                         F.ceil((F.col("m") - F.col("bulk.m")) / BLOCK).cast("int").alias("lines"))
+    member = open_.join(parts, "key")
+    column = member.select("key", F.explode(F.expr("sequence(0, lines - 1)")).alias("i"),
+                           F.pmod(F.xxhash64("node"), F.col("columns")).alias("j"), F.lit(False).alias("small"), "node", "root")
+    line = member.where("root <> bulk").select(
+        "key", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("lines")).alias("i"),
+        F.explode(F.expr("sequence(0, columns - 1)")).alias("j"), F.lit(True).alias("small"), "node", "root")
+    column, line = (x.withColumn("i", F.col("i").cast("long")).withColumn("j", F.col("j").cast("long")) for x in (column, line))
+    dealt = column.unionByName(line).join(classes.select("node", "n", "sig").join(sets, "node"), "node")
 
     def run(group: pa.Table) -> pa.Table:
-        sig = _signatures(group.column("sig").combine_chunks())
-        root = np.array(group.column("root").to_pylist(), object)
+        small = group.column("small").to_numpy()
         node = np.array(group.column("node").to_pylist(), object)
-        own, n = group.column("own").to_numpy(), group.column("n").to_numpy()
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        root = np.array(group.column("root").to_pylist(), object)
+        n = group.column("n").to_numpy()
         out: tuple[list, list] = ([], [])
-        right = np.flatnonzero(own == j)
-        for k in np.flatnonzero(own == i):
-            near = right[(root[right] != root[k]) & (node[right] > node[k] if i == j else True)
-                         & (np.minimum(n[right], n[k]) >= np.maximum(n[right], n[k]) * threshold)]
-            for m in near[_promising(np.broadcast_to(sig[k], (len(near), sig.shape[1])), sig[near], needs)]:
-                a, b = sorted((node[k], node[m]))
-                out[0].append(a)
-                out[1].append(b)
+        right = np.flatnonzero(~small)
+        if len(right) and small.any():
+            sig = _signatures(group.column("sig").combine_chunks())
+            full = [np.frombuffer(x, U64) for x in group.column("set").to_pylist()]
+            for k in np.flatnonzero(small):
+                near = right[(root[right] != root[k]) & (np.minimum(n[right], n[k]) >= np.maximum(n[right], n[k]) * threshold)]
+                near = near[_promising(np.broadcast_to(sig[k], (len(near), sig.shape[1])), sig[near], needs)]
+                if len(near):
+                    shared = _shared(full[k], [full[m] for m in near])
+                    met = set()
+                    for m in near[100 * shared >= percent * (n[near] + n[k] - shared)]:
+                        if root[m] not in met:
+                            met.add(root[m])
+                            a, b = sorted((node[k], node[m]))
+                            out[0].append(a)
+                            out[1].append(b)
         return pa.table({"a": pa.array(out[0], pa.binary()), "b": pa.array(out[1], pa.binary())})
 
     return dealt.groupBy("key", "i", "j").applyInArrow(run, "a binary, b binary").distinct()
 
 
+def _shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """The sizes of the intersections of a sorted set with non-empty ones."""
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    first = np.cumsum([0, *map(len, others[:-1])])
+    return np.add.reduceat((one[at] == flat).astype(np.int64), first)
+
+
 def linked(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int = 75, miss: float = 1e-6,
            hashes: int = 128) -> DataFrame:
     """(node, root) for every class linked with another one.
@@ -175,30 +198,41 @@ def linked(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percen
     bands = classes.select("node", F.explode(keys).alias("key"))
     hubs = bands.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
     live = materialize(bands.join(hubs, "key"))
+    sets = materialize(sets_of(live.select("node").distinct()))
     links = roots = None
-    for hub in ("first", "last", None):
-        if roots is None:
-            placed = live.withColumn("root", F.col("node"))
-        else:
-            at = roots.select("node", "root")
-            placed = live.join(at, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        if hub:
-            pairs = placed.where(F.col("node") != F.col(hub))
-            if roots is not None:
-                there = roots.select(F.col("node").alias(hub), F.col("root").alias("there"))
-                pairs = pairs.join(there, hub, "left").where(F.col("root") != F.coalesce("there", hub))
-            pairs = pairs.select(F.least("node", hub).alias("a"), F.greatest("node", hub).alias("b")).distinct()
-            maybe = materialize(_prune(pairs, classes, threshold, miss, hashes))
+    for step in ("first", "last", "central", "central", "rest"):
+        placed = live.withColumn("root", F.col("node"))
+        if roots is not None:  # only buckets in which components still meet
+            placed = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+            placed = materialize(placed.join(several.select("key"), "key", "left_semi"))
+            live = placed.drop("root")
+        if placed.isEmpty():
+            break
+        if step == "rest":
+            new = _rest(placed.select("key", "node", "root"), classes, sets, percent, miss, hashes)
         else:
-            maybe = materialize(_across(placed.select("key", "node", "root"), classes, threshold, miss, hashes))
-        if maybe.isEmpty():
-            continue
-        nodes = maybe.select(F.col("a").alias("node")).unionByName(maybe.select(F.col("b").alias("node"))).distinct()
-        new = materialize(_confirm(maybe, sets_of(nodes), percent))
-        if new.isEmpty():
-            continue
-        links = new if roots is None else new.unionByName(roots.where("node <> root").toDF("a", "b"))
-        roots = components(links)
+            pairs = _star(placed, step, links)
+            new = _confirm(_prune(pairs, classes, threshold, miss, hashes), sets, percent)
+        new = materialize(new)
+        if not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            roots = components(new if roots is None else new.unionByName(roots.where("node <> root").toDF("a", "b")))
     if roots is None:
         return classes.select("node", F.col("node").alias("root")).limit(0)
     return roots
+
+
+def _star(placed: DataFrame, step: str, links: DataFrame | None) -> DataFrame:
+    """Every member of a bucket with the bucket's hub, where their components differ: the smallest
+    class, the largest, or the one with the most links so far."""
+    if step == "central":
+        if links is None:
+            return placed.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+        hubs = placed.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node", "root")).alias("hub"))
+        hubs = hubs.select("key", F.col("hub.node").alias("hub"), F.col("hub.root").alias("there"))
+    else:
+        hubs = placed.where(F.col("node") == F.col(step)).select("key", F.col("node").alias("hub"), F.col("root").alias("there"))
+    pairs = placed.join(hubs, "key").where("node <> hub and root <> there")
+    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()

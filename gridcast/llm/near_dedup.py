@@ -72,7 +72,7 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text", percent:
         texts = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
         some = texts.join(keys.select("least").distinct(), F.col("key").eqNullSafe(F.col("least")), "left_semi")
         found = _describe(some, "key", "text", "set").select("node", "set")
-        return materialize(found.join(keys.select("node"), "node").groupBy("node").agg(F.first("set").alias("set")))
+        return found.join(keys.select("node"), "node").groupBy("node").agg(F.first("set").alias("set"))
 
     roots = linked(classes.select("node", "n", "sig"), sets_of, percent, miss, hashes)
     placed = classes.select("node", "least").join(roots, "node", "left").select(
