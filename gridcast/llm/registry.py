@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcast.llm import ctw, decontam, mixing, near_dedup, packing, paragraphs, quality, separators
+from gridcast.llm import ann, ctw, decontam, langid, mixing, near_dedup, packing, paragraphs, quality, separators
 from gridcast.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.report(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op6_adaptive_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.report(table(spark, sf, "embeddings"))
+
+
 def op7_paragraph_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return paragraphs.report(table(spark, sf, "documents"))
 
@@ -44,7 +48,12 @@ def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op2_temperature_mixing, op3_context_tree_scores, op4_minhash_near_dedup, op5_quality_rules,
-                                              op7_paragraph_dedup, op8_separator_scan, op9_best_fit_packing)}
+def op10_language_fusion(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.report(table(spark, sf, "pages"), table(spark, sf, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_decontamination, op2_temperature_mixing, op3_context_tree_scores, op4_minhash_near_dedup, op5_quality_rules,
+    op6_adaptive_scan, op7_paragraph_dedup, op8_separator_scan, op9_best_fit_packing, op10_language_fusion)}
 SQL: dict[str, str] = {"op1_decontamination": decontam.REPORT_SQL, "op2_temperature_mixing": mixing.REPORT_SQL,
                        "op4_minhash_near_dedup": near_dedup.REPORT_SQL}
