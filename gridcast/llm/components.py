@@ -8,27 +8,32 @@ from pyspark.sql import functions as F
 from gridcast.llm.common import materialize
 
 
+def _with_least(edges: DataFrame) -> DataFrame:
+    """``edges(u, v)`` with the least node among ``u`` and its neighbours."""
+    return edges.join(edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "u")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links(a, b)``; ``root`` is the smallest node reachable.
 
-    Each round hooks every node onto the smallest root seen among its neighbours and then shortens
-    the pointers, so long chains need a number of rounds that grows with the logarithm of their
-    length. Every round's table is written to the shared folder: losing an executor costs one round.
+    Large-star and small-star steps in turn: every node hands its larger neighbours, then its smaller
+    ones and itself, to the least node it knows. Components become stars after a number of rounds that
+    grows with the logarithm of their size. Only two columns of node numbers are shuffled, minima are
+    taken before the shuffle, and every round's table is written to the shared folder, so losing an
+    executor costs one round.
     """
-    both = links.select("a", "b").where("a <> b")
-    both = materialize(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
+    alone = links.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("root"))
+    edges = materialize(edges.distinct())
     while True:
-        # the smallest root among a node's neighbours, offered to the node's own root as well
-        seen = both.join(labels.select(F.col("node").alias("b"), F.col("root").alias("near")), "b").groupBy(
-            F.col("a").alias("node")).agg(F.min("near").alias("near"))
-        step = labels.join(seen, "node").select("node", "root", F.least("root", "near").alias("near"))
-        offers = step.select("node", "near").unionByName(
-            step.where("near < root").select(F.col("root").alias("node"), "near"))
-        hooked = materialize(offers.groupBy("node").agg(F.min("near").alias("root")))
-        jump = hooked.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        new = materialize(hooked.join(jump, "root").select("node", F.least("root", "up").alias("root")))
-        moved = new.join(labels.withColumnRenamed("root", "was"), "node").where("root <> was").limit(1).count()
-        labels = new
-        if not moved:
-            return labels
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = _with_least(large)
+        edges = materialize(small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(
+            F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct())
+        tails = edges.groupBy("u").agg(F.count("*").alias("n"))
+        if tails.where("n > 1").isEmpty() and edges.join(tails.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
+            break
+    stars = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    centres = edges.select(F.col("v").alias("node"), F.col("v").alias("root"))
+    return stars.unionByName(centres.unionByName(alone).distinct().join(stars.select("node"), "node", "left_anti"))

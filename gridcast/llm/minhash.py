@@ -1,9 +1,9 @@
 """MinHash signatures, banded candidates, and sequential Bayesian verification of candidate pairs.
 
-Works on classes: rows with the same set are one class, named by a 128-bit digest of the set, so
-exact copies never meet each other. Candidate pairs come in rounds, none of which lists the pairs
-of a bucket: every member against the bucket's smallest class, against its largest, against the one
-with the most links so far. A bucket whose members are all in one component is done. At last, in the
+Works on classes: rows with the same set are one class, told apart by a 128-bit digest of the set and
+numbered, so exact copies never meet each other. Candidate pairs come in rounds, none of which lists the pairs
+of a bucket: every member against the bucket's smallest and largest class, then against the one with
+the most links so far. A bucket whose members are all in one component is done. At last, in the
 buckets that are left, all members outside the largest component are compared with all others, block
 by block inside tasks, which is what makes the result complete. Every link is confirmed on full sets.
 """
@@ -110,7 +110,7 @@ def _prune(pairs: DataFrame, classes: DataFrame, threshold: float, miss: float,
                 keep = pa.array(_promising(_signatures(x.column(2)), _signatures(x.column(3)), needs))
                 yield pa.RecordBatch.from_arrays([x.column(0).take(keep), x.column(1).take(keep)], ["a", "b"])
 
-    return rows.mapInArrow(run, "a binary, b binary")
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -127,7 +127,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     keep.append(i)
             yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(keep, pa.int64())) for k in (0, 1)], ["a", "b"])
 
-    return rows.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+    return rows.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def _rest(open_: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, miss: float, hashes: int) -> DataFrame:
@@ -151,8 +151,7 @@ def _rest(open_: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, m
 
     def run(group: pa.Table) -> pa.Table:
         small = group.column("small").to_numpy()
-        node = np.array(group.column("node").to_pylist(), object)
-        root = np.array(group.column("root").to_pylist(), object)
+        node, root = group.column("node").to_numpy(), group.column("root").to_numpy()
         n = group.column("n").to_numpy()
         out: tuple[list, list] = ([], [])
         right = np.flatnonzero(~small)
@@ -171,9 +170,9 @@ def _rest(open_: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, m
                             a, b = sorted((node[k], node[m]))
                             out[0].append(a)
                             out[1].append(b)
-        return pa.table({"a": pa.array(out[0], pa.binary()), "b": pa.array(out[1], pa.binary())})
+        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
 
-    return dealt.groupBy("key", "i", "j").applyInArrow(run, "a binary, b binary").distinct()
+    return dealt.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
 def _shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
@@ -188,7 +187,7 @@ def linked(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percen
            hashes: int = 128) -> DataFrame:
     """(node, root) for every class linked with another one.
 
-    ``classes(node, n, sig)`` is a written table of distinct sets; ``sets_of(nodes)`` returns
+    ``classes(node, n, sig)`` is a written table of numbered distinct sets; ``sets_of(nodes)`` returns
     (node, set) for a table of nodes. A pair at the threshold is lost with a chance of about ``miss``
     in the banding and again in the pruning; all others are decided on their full sets.
     """
@@ -200,7 +199,7 @@ def linked(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percen
     live = materialize(bands.join(hubs, "key"))
     sets = materialize(sets_of(live.select("node").distinct()))
     links = roots = None
-    for step in ("first", "last", "central", "central", "rest"):
+    for step in ("ends", "central", "rest"):
         placed = live.withColumn("root", F.col("node"))
         if roots is not None:  # only buckets in which components still meet
             placed = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -224,15 +223,15 @@ def linked(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percen
 
 
 def _star(placed: DataFrame, step: str, links: DataFrame | None) -> DataFrame:
-    """Every member of a bucket with the bucket's hub, where their components differ: the smallest
-    class, the largest, or the one with the most links so far."""
-    if step == "central":
+    """Every member of a bucket with the bucket's hubs, where their components differ: the smallest
+    and the largest class, or the one with the most links so far."""
+    if step == "ends":
+        pairs = placed.select("node", F.explode(F.array("first", "last")).alias("hub")).where("node <> hub")
+    else:
         if links is None:
             return placed.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
         degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
         hubs = placed.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node", "root")).alias("hub"))
         hubs = hubs.select("key", F.col("hub.node").alias("hub"), F.col("hub.root").alias("there"))
-    else:
-        hubs = placed.where(F.col("node") == F.col(step)).select("key", F.col("node").alias("hub"), F.col("root").alias("there"))
-    pairs = placed.join(hubs, "key").where("node <> hub and root <> there")
+        pairs = placed.join(hubs, "key").where("root <> there")
     return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()

@@ -39,7 +39,7 @@ def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> Iterator[np.ndarray]:
 
 
 def _describe(docs: DataFrame, key: str, text: str, what: str, hashes: int = 0) -> DataFrame:
-    """(key, node, n) and, by ``what``, the signature ("sig"), the set ("set") or neither, per row."""
+    """(key, digest, n) and, by ``what``, the signature ("sig") or the set ("set"), per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -47,40 +47,39 @@ def _describe(docs: DataFrame, key: str, text: str, what: str, hashes: int = 0)
             for s in shingle_sets(as_bytes(batch.column(1))):
                 n.append(len(s))
                 node.append(digest(s) if len(s) else None)
-                extra.append(None if not len(s) or what == "none" else
-                             s.tobytes() if what == "set" else signature(s, hashes).tobytes())
+                extra.append(None if not len(s) else s.tobytes() if what == "set" else signature(s, hashes).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(node, pa.binary()), pa.array(n, pa.int64()), pa.array(extra, pa.binary())],
-                ["key", "node", "n", what])
+                ["key", "digest", "n", what])
 
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, node binary, n long, {what} binary")
+    return rows.mapInArrow(run, f"key {kind}, digest binary, n long, {what} binary")
 
 
 def classify(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, miss: float = 1e-6) -> DataFrame:
-    """(key, node, n, component): for every row its set's digest and size, and the smallest key of
-    its component."""
+    """(key, n, component): for every row its set's size and the smallest key of its component."""
     hashes = tune_bands(percent / 100, miss) * ROWS
-    nodes = materialize(_describe(docs, key, text, "sig", hashes))
-    classes = materialize(nodes.where("node is not null").groupBy("node").agg(
-        F.min("key").alias("least"), F.first("n").alias("n"), F.first("sig").alias("sig")))
+    rows = materialize(_describe(docs, key, text, "sig", hashes))
+    classes = materialize(rows.where("digest is not null").groupBy("digest").agg(
+        F.min("key").alias("least"), F.first("n").alias("n"), F.first("sig").alias("sig")).withColumn(
+        "node", F.monotonically_increasing_id()))
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         """Recomputed from the texts of one row per wanted class."""
-        keys = classes.join(wanted, "node").select("node", "least")
+        keys = classes.join(wanted, "node").select("node", "digest", "least")
         texts = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
         some = texts.join(keys.select("least").distinct(), F.col("key").eqNullSafe(F.col("least")), "left_semi")
-        found = _describe(some, "key", "text", "set").select("node", "set")
-        return found.join(keys.select("node"), "node").groupBy("node").agg(F.first("set").alias("set"))
+        found = _describe(some, "key", "text", "set").select("digest", "set").join(keys.select("digest", "node"), "digest")
+        return found.groupBy("node").agg(F.first("set").alias("set"))
 
     roots = linked(classes.select("node", "n", "sig"), sets_of, percent, miss, hashes)
-    placed = classes.select("node", "least").join(roots, "node", "left").select(
-        "node", F.coalesce("root", "node").alias("root"), "least")
+    placed = roots.join(classes.select("node", "least"), "node")
     first = placed.groupBy("root").agg(F.min("least").alias("component"))
-    named = materialize(placed.join(first, "root").select("node", "component"))
-    return nodes.select("key", "node", "n").join(named, "node", "left").select(
-        "key", "node", "n", F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("component")).alias("component"))
+    named = classes.select("node", "digest", "least").join(placed.join(first, "root").select("node", "component"), "node", "left").select(
+        "digest", F.coalesce("component", "least").alias("component"))
+    return rows.select("key", "digest", "n").join(named, "digest", "left").select(
+        "key", "n", F.when(F.col("digest").isNull(), F.col("key")).otherwise(F.col("component")).alias("component"))
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -120,7 +120,7 @@ def _band_keys(rows: DataFrame, hashes: int) -> DataFrame:
 
 
 def _described(rows: DataFrame) -> DataFrame:
-    """(doc, kind, start, words, node, n, sig, set) of the units listed in ``rows(doc, text, units)``."""
+    """(doc, kind, start, words, digest, n, sig, set) of the units listed in ``rows(doc, text, units)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,10 +143,10 @@ def _described(rows: DataFrame) -> DataFrame:
             kinds = [pa.int8(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(where, pa.int64())), *[pa.array(c, k) for c, k in zip(columns, kinds)]],
-                ["doc", "kind", "start", "words", "node", "n", "sig", "set"])
+                ["doc", "kind", "start", "words", "digest", "n", "sig", "set"])
 
     doc = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc {doc}, kind byte, start int, words int, node binary, n long, sig binary, set binary")
+    return rows.mapInArrow(run, f"doc {doc}, kind byte, start int, words int, digest binary, n long, sig binary, set binary")
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, miss: float = 1e-4) -> DataFrame:
@@ -163,16 +163,15 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     wanted = materialize(found.groupBy("doc").agg(F.collect_list(F.struct("kind", "start")).alias("units")))
     units = materialize(_described(rows.join(wanted, "doc").select("doc", "text", "units")))
     place = F.struct("doc", "start")
-    classes = materialize(units.groupBy("kind", "node").agg(
-        F.min(place).alias("least"), F.max("doc").alias("most"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("set").alias("set")))
+    classes = materialize(units.groupBy("kind", "digest").agg(
+        F.min(place).alias("least"), F.max("doc").alias("most"), F.first("n").alias("n"), F.first("sig").alias("sig"),
+        F.first("set").alias("set")).withColumn("node", F.monotonically_increasing_id()))
     lines = classes.where(F.col("kind") == PARAGRAPH)
-    sets = lines.select("node", "set")
-    roots = linked(lines.select("node", "n", "sig"), lambda nodes: sets.join(nodes, "node"), percent, miss, HASHES)
-    placed = classes.select("kind", "node", "least", "most").join(
-        roots.withColumn("kind", F.lit(PARAGRAPH).cast("byte")), ["kind", "node"], "left").withColumn("root", F.coalesce("root", "node"))
-    groups = placed.groupBy("kind", "root").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least.doc <> most")
-    named = materialize(placed.select("kind", "node", "root").join(groups, ["kind", "root"]).select("kind", "node", F.col("least").alias("lead")))
-    return units.select("doc", "kind", "start", "words", "node").distinct().join(named, ["kind", "node"]).select(
+    roots = linked(lines.select("node", "n", "sig"), lambda nodes: lines.select("node", "set").join(nodes, "node"), percent, miss, HASHES)
+    placed = classes.select("kind", "digest", "node", "least", "most").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    groups = placed.groupBy("root").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least.doc <> most")
+    named = materialize(placed.select("kind", "digest", "root").join(groups, "root").select("kind", "digest", F.col("least").alias("lead")))
+    return units.select("doc", "kind", "start", "words", "digest").distinct().join(named, ["kind", "digest"]).select(
         "doc", "kind", "start", "words", F.col("lead.doc").alias("first_doc"), F.col("lead.start").alias("first_start"),
         (place == F.col("lead")).alias("kept"))
 
