@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm.common import materialize, remainder
-from gridcast.llm.textscan import CHUNK, SPACED, U64, as_bytes, chunks
+from gridcast.llm.textscan import CHUNK, SPACED, as_bytes, chunks, distinct
 
 DEPTH = 5
 END = 10  # a newline, which is never inside a normal text
@@ -100,7 +100,7 @@ def count(docs: DataFrame, depth: int) -> DataFrame:
                 learn = np.repeat(train[at:at + len(some)], sizes)
                 keys, n = np.unique(key[learn], return_counts=True)
                 put(STRING, keys, n)
-                other = np.setdiff1d(key[~learn], keys)
+                other = distinct(key[~learn])
                 put(STRING, other, np.zeros(len(other), np.int64))
                 for chunk in chunks([t for t, known in zip(some, train[at:at + len(some)]) if known], SPACED):
                     put(TOKEN, *np.unique(chunk.words.view(np.int64), return_counts=True))

@@ -122,7 +122,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = []
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
                 x, y = (np.frombuffer(v.as_buffer(), U64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
+                both = int(_shared(x, [y])[0])
                 if 100 * both >= percent * (len(x) + len(y) - both):
                     keep.append(i)
             yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(keep, pa.int64())) for k in (0, 1)], ["a", "b"])

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from gridcast.llm.common import fresh, materialize
 from gridcast.llm.minhash import digest, linked, signature, tune_bands, ROWS
-from gridcast.llm.textscan import SPACED, U64, Chunk, as_bytes, chunks, grams
+from gridcast.llm.textscan import SPACED, U64, Chunk, as_bytes, chunks, distinct, grams
 
 SHINGLE = 5
 
@@ -35,7 +35,7 @@ def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> Iterator[np.ndarray]:
             if 0 < hi - lo < k:
                 yield grams(chunk.words[lo:hi], int(hi - lo))
             else:
-                yield np.unique(hashes[cut[i]:cut[i + 1]])
+                yield distinct(hashes[cut[i]:cut[i + 1]])
 
 
 def _describe(docs: DataFrame, key: str, text: str, what: str, hashes: int = 0) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from gridcast.llm.common import add_columns, fresh, materialize
 from gridcast.llm.minhash import digest, linked, signature
-from gridcast.llm.textscan import SPACED, U64, Chunk, as_bytes, chunks, grams, mix
+from gridcast.llm.textscan import SPACED, U64, Chunk, as_bytes, chunks, distinct, grams, mix
 
 SHINGLE, MIN_WORDS = 5, 20
 RUN, WINDOW = 18, 32  # a shared stretch of 49 words is always found
@@ -80,7 +80,7 @@ class Units:
         """(first word within the text, words, shingle set) of the long lines of text ``i``."""
         for k in range(self.of_text[i], self.of_text[i + 1]):
             at, n = self.lines[k], self.sizes[k]
-            yield int(at - self.chunk.bounds[i]), int(n), np.unique(grams(self.chunk.words[at:at + n], SHINGLE))
+            yield int(at - self.chunk.bounds[i]), int(n), distinct(grams(self.chunk.words[at:at + n], SHINGLE))
 
     def passage_name(self, i: int, at: int) -> bytes:
         lo = self.chunk.bounds[i] + at

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm.common import add_columns, fresh, materialize, remainder
-from gridcast.llm.textscan import SPACED, chunks
+from gridcast.llm.textscan import SPACED, chunks, distinct
 
 STATISTICS = (
     "log_bytes", "log_words", "word_length", "word_length_spread", "upper_share", "digit_share", "period_share",
@@ -71,7 +71,7 @@ def statistics(texts: list[bytes]) -> list[list[float]]:
                 math.log1p(len(text)), math.log1p(n), float(size.mean()) if n else 0.0, float(size.std()) if n else 0.0,
                 *shares.tolist(), len(counts) / n if n else 0.0, float(counts.max()) / max(1, n),
                 float((words[1:] == words[:-1]).mean()) if n > 1 else 0.0,
-                len(np.unique(runs)) / len(runs) if len(runs) else 1.0,
+                len(distinct(runs)) / len(runs) if len(runs) else 1.0,
                 math.log1p(len(lines)), n / m, len(set(lines)) / m,
                 sum(x.rstrip()[-1:] in (b".", b"!", b"?", b":", b'"') for x in lines) / m,
                 sum(x.lstrip()[:1].isupper() for x in lines) / m])

@@ -7,6 +7,7 @@ and "everything above 0x7F", so working on bytes gives the same words as working
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -88,6 +89,12 @@ def hash_spans(b: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool
     return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(U64))
 
 
+def distinct(a: np.ndarray) -> np.ndarray:
+    """The sorted distinct values; by sorting, which is faster here than numpy's hash table."""
+    a = np.sort(a)
+    return a[np.concatenate(([True], a[1:] != a[:-1]))] if len(a) else a
+
+
 def grams(words: np.ndarray, k: int) -> np.ndarray:
     """A hash for each run of ``k`` consecutive word hashes."""
     n = len(words) - k + 1
@@ -136,11 +143,18 @@ def words_of(b: np.ndarray, table: np.ndarray, piece: int = CHUNK) -> tuple[np.n
                 break
             stop = min(len(b), stop + 65536)
         s, e = spans_of(b[at:stop], table)
-        parts.append((s + at, e + at, hash_spans(b[at:stop], s, e)))
+        parts.append((s + at, e + at, hash_spans(b[at:stop], s, e) if stop - at <= 8 * piece else _long_words(b[at:stop], s, e)))
         at = stop
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
+def _long_words(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes where one word is many MB long: word by word, a long one by its digest."""
+    out = [hash_spans(b[s:e], np.array([0]), np.array([e - s])) if e - s <= CHUNK else np.frombuffer(
+        hashlib.blake2b(lower_ascii(b[s:e]).tobytes(), digest_size=8).digest(), U64) for s, e in zip(starts, ends)]
+    return np.concatenate(out) if out else np.empty(0, U64)
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """The texts of an Arrow string column as bytes; null becomes empty."""
     if pa.types.is_string(column.type):

@@ -1,25 +1,26 @@
 """Byte-level BPE of many texts at once, from a public vocabulary file.
 
 The split pattern of these vocabularies always ends a piece in front of a blank that is followed by
-an ASCII graph character, so a text can be cut there and each distinct cut-out encoded once. The
-distinct cut-outs of a few MB are found by numpy; a bounded cache keeps the frequent ones.
+an ASCII graph character, so a text can be cut there. The distinct cut-outs of a few MB, told apart
+by a 64-bit hash and their length, are encoded by one call, and numpy puts their ids in place.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 from functools import lru_cache
 
 import numpy as np
 
-from gridcast.llm.textscan import CHUNK, hash_spans
+from gridcast.llm.textscan import CHUNK, distinct, hash_spans
 
 #: The vocabulary file, its end-of-text id, and the split pattern that belongs to it.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END_OF_TEXT = 50256
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-_KEPT, _LONGEST = 200_000, 64
+GROUP = 8 << 20  # bytes of text whose cut-outs are encoded together
 
 
 class Encoder:
@@ -33,17 +34,18 @@ class Encoder:
         self.dtype = np.dtype(dtype)
         if max(ranks.values()) >= 1 << (8 * self.dtype.itemsize):
             raise ValueError(f"the ids do not fit {dtype}")
-        self.cache: dict[bytes, bytes] = {}
+        self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.sizes[list(ranks.values())] = list(map(len, ranks))
 
-    def _encode(self, unit: bytes) -> bytes:
-        return np.array(self.bpe.encode_ordinary(unit.decode("utf-8", "replace")), self.dtype).tobytes()
+    def _ids(self, raw: bytes) -> np.ndarray:
+        return np.array(self.bpe.encode_ordinary(raw.decode("utf-8", "replace")), np.int64)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of ids of each text."""
         ids, counts, at = [], [], 0
         while at < len(texts):
             stop, size = at, 0
-            while stop < len(texts) and (stop == at or size + len(texts[stop]) <= CHUNK):
+            while stop < len(texts) and (stop == at or size + len(texts[stop]) <= GROUP):
                 size += len(texts[stop])
                 stop += 1
             x, n = self._some(texts[at:stop])
@@ -55,10 +57,10 @@ class Encoder:
         return np.concatenate(ids), np.concatenate(counts)
 
     def _some(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(texts) == 1 and len(texts[0]) > 4 * CHUNK:  # one very long text, in parts that end at a cut
+        if len(texts) == 1 and len(texts[0]) > 2 * GROUP:  # one very long text, in parts that end at a cut
             text, parts, at = texts[0], [], 0
             while at < len(text):
-                stop = _cut_after(text, at + CHUNK)
+                stop = _cut_after(text, at + GROUP)
                 parts.append(self._some([text[at:stop]])[0])
                 at = stop
             return np.concatenate(parts), np.array([sum(map(len, parts))])
@@ -67,31 +69,59 @@ class Encoder:
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         first = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
         cuts = np.flatnonzero((b[:-1] == 32) & (b[1:] > 32) & (b[1:] < 127)) if len(b) > 1 else np.empty(0, np.int64)
-        starts = np.union1d(first[sizes > 0], cuts)
+        starts = distinct(np.concatenate((first[sizes > 0], cuts)))
+        if not len(starts):
+            return np.empty(0, self.dtype), np.zeros(len(texts), np.int64)
         owner = np.searchsorted(first, starts, side="right") - 1
         ends = np.minimum(np.append(starts[1:], len(b)), (first + sizes)[owner])
-        hashes = hash_spans(b, starts, ends, lower=False)
-        _, where, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.cache) > _KEPT:
-            self.cache.clear()
-        pool = []
-        for s, e in zip(starts[where].tolist(), ends[where].tolist()):
-            unit = raw[s:e]
-            found = self.cache.get(unit)
-            if found is None:
-                found = self._encode(unit)
-                if e - s <= _LONGEST:
-                    self.cache[unit] = found
-            pool.append(found)
-        lengths = np.fromiter(map(len, pool), np.int64, len(pool)) // self.dtype.itemsize
+        at_cut = np.zeros(len(b), bool)
+        at_cut[cuts] = True
+        at_cut = at_cut[starts]
+        _, where, which = np.unique(_names(b, starts, ends), return_index=True, return_inverse=True)
+        flat, lengths = self._units(raw, b, starts[where], ends[where], at_cut[where])
         begins = np.cumsum(lengths) - lengths
-        flat = np.frombuffer(b"".join(pool), self.dtype)
         n = lengths[which]
-        total = int(n.sum())
         shift = begins[which] - (np.cumsum(n) - n)
-        ids = flat[np.repeat(shift, n) + np.arange(total)]
+        ids = flat[np.repeat(shift, n) + np.arange(int(n.sum()))]
         return ids, np.bincount(owner, weights=n, minlength=len(texts)).astype(np.int64)
 
+    def _units(self, raw: bytes, b: np.ndarray, starts: np.ndarray, ends: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the given cut-outs and how many each has. Those that begin at a cut can be
+        encoded side by side, since the ids' lengths tell where each ends; the others stand alone."""
+        size = (ends - starts)[cut]
+        stop = np.cumsum(size)
+        joined = b[np.repeat(starts[cut] - (stop - size), size) + np.arange(int(size.sum()))].tobytes()
+        together = self._ids(joined)
+        last = np.searchsorted(np.cumsum(self.sizes[together]), stop) + 1 if len(stop) else stop
+        lengths = np.zeros(len(starts), np.int64)
+        lengths[cut] = np.diff(last, prepend=0)
+        alone = [self._ids(raw[s:e]) for s, e in zip(starts[~cut].tolist(), ends[~cut].tolist())]
+        lengths[~cut] = list(map(len, alone))
+        out = np.empty(int(lengths.sum()), self.dtype)
+        mine = np.repeat(cut, lengths)
+        out[mine] = together
+        if alone:
+            out[~mine] = np.concatenate(alone)
+        return out, lengths
+
+
+def _names(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of cut-outs, a few MB at a time."""
+    out, i = [], 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + CHUNK)))
+        lo, hi = starts[i], ends[j - 1]
+        if hi - lo > 4 * CHUNK:  # ends with a very long one
+            j = max(i + 1, j - 1)
+            hi = ends[j - 1]
+        if hi - lo > 4 * CHUNK:
+            name = int.from_bytes(hashlib.blake2b(b[lo:hi].tobytes(), digest_size=8).digest(), "little")
+            out.append(np.array([name], np.uint64))
+        else:
+            out.append(hash_spans(b[lo:hi], starts[i:j] - lo, ends[i:j] - lo, lower=False))
+        i = j
+    return np.concatenate(out)
+
 
 def _cut_after(text: bytes, at: int) -> int:
     """The first cut at or after ``at``, or the end."""

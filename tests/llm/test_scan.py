@@ -50,3 +50,11 @@ def test_runs_stay_inside_a_text():
     chunk = next(ts.chunks([b"a b c", b"b c", b"a b c d"], ts.SPACED))
     hashes, at = chunk.runs(3)
     assert at.tolist() == [0, 5, 6] and hashes[0] == hashes[1] != hashes[2]
+
+
+def test_a_word_of_many_pieces():
+    b = np.frombuffer(b"ab " + b"X" * 4000 + b" ab " + b"x" * 4000 + b" cd", np.uint8)
+    whole, parts = ts.words_of(b, ts.SPACED, len(b)), ts.words_of(b, ts.SPACED, 100)
+    assert (whole[0] == parts[0]).all() and (whole[1] == parts[1]).all()
+    for w in (whole[2], parts[2]):
+        assert w[0] == w[2] and w[1] == w[3] and len(set(w.tolist())) == 3

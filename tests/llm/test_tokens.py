@@ -30,11 +30,12 @@ def test_same_ids_as_text_by_text(bpe, case):
         assert ids[at:at + n].tolist() == bpe.bpe.encode_ordinary(t.decode())
         at += n
     long = " ".join(words(3, 2000)) + "  " + " , ".join(words(4, 2000))
-    old, tokens.CHUNK = tokens.CHUNK, 1000
+    old = tokens.CHUNK, tokens.GROUP
+    tokens.CHUNK, tokens.GROUP = 500, 2000
     try:
         assert bpe.encode([long.encode()])[0].tolist() == bpe.bpe.encode_ordinary(long)
     finally:
-        tokens.CHUNK = old
+        tokens.CHUNK, tokens.GROUP = old
 
 
 @pytest.mark.parametrize("window", [1 << 21, 3000])
