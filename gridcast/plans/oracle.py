@@ -113,7 +113,10 @@ CTES = {
         FROM met4 a JOIN met4 b USING (reg, model) WHERE a.config = 'org' AND b.config = 'tuned'""",
     "corr": """SELECT zone, -avg(pred_ensemble - actual) AS correction, count(*) AS n FROM f6
         WHERE abs(actual) >= 1 GROUP BY zone HAVING count(*) >= 24""",
-    "lag2": "SELECT * FROM f4 WHERE REQ_LAST168H IS NOT NULL AND REQ_LAST336H IS NOT NULL",
+    "lag2": """SELECT zone, for_date, split, requirement,
+        coalesce(REQ_LAST168H, median(REQ_LAST168H) OVER (PARTITION BY zone)) AS REQ_LAST168H,
+        coalesce(REQ_LAST336H, median(REQ_LAST336H) OVER (PARTITION BY zone)) AS REQ_LAST336H
+        FROM f4 WHERE split = 'train'""",
 }
 
 
@@ -253,7 +256,8 @@ SEARCH = ("sc AS (SELECT * FROM f6 WHERE abs(actual) >= 1)," + _search(
 
 # query -> (extra CTEs, SELECT)
 _SQL: dict[str, str | tuple[str, str]] = {
-    "scan_zone_csv": "SELECT zone, split, for_date_str AS for_date, requirement FROM f3",
+    "scan_zone_csv": """SELECT zone, split, for_date_str AS for_date, requirement,
+        CASE WHEN flag THEN 'true' ELSE 'false' END AS flag FROM f3""",
     "parse_for_date": "SELECT zone, split, for_date_str, for_date FROM f3",
     "sort_series": "SELECT zone, for_date, requirement FROM f3",
     "write_table": "SELECT * FROM f5",
@@ -319,7 +323,7 @@ _SQL: dict[str, str | tuple[str, str]] = {
         round(coalesce(stddev_samp({L168}) {_grid(5)}, 0), 6) AS {L168}_roll_std_6,
         round(coalesce({L168} - {L168_PREV}, 0), 6) AS {L168}_diff_1,
         round(coalesce(({L168} - {L168_PREV}) / nullif({L168_PREV}, 0), 0), 6) AS {L168}_pct_change_1
-        FROM f4 WHERE {L168} IS NOT NULL""",
+        FROM f4""",
     "pre_post_holiday": """SELECT zone, for_date, h AS is_holiday,
         coalesce(lead(h) OVER w, 0) AS is_pre_holiday, coalesce(lag(h) OVER w, 0) AS is_post_holiday
         FROM (SELECT *, CASE WHEN CAST(for_date AS DATE) IN (SELECT d FROM hol) THEN 1 ELSE 0 END AS h FROM f1m)
@@ -513,14 +517,10 @@ _SQL: dict[str, str | tuple[str, str]] = {
     "stream_ingest": """SELECT zone, for_date, CASE WHEN isfinite(x) THEN x END AS requirement FROM f3n
         WHERE for_date IS NOT NULL""",
     "stream_daily_mape": f"""SELECT CAST(for_date AS DATE) AS date, zone, round(avg({_ape('actual', 'pred_m2')}), 6) AS daily_mape,
-        count(*) AS n_scored FROM f5 WHERE abs(actual) >= 1 GROUP BY 1, 2
-        HAVING CAST(for_date AS DATE) + INTERVAL 1 DAY <=
-            (SELECT max(for_date) - INTERVAL 1 DAY FROM f5 WHERE abs(actual) >= 1)""",
+        count(pred_m2) AS n_scored FROM f5 WHERE abs(actual) >= 1 GROUP BY 1, 2""",
     "stream_drift": f"""SELECT zone, CAST(for_date AS DATE) - o AS window_start, round(avg({_ape('actual', 'pred_m2')}), 6)
         AS recent_mape, avg({_ape('actual', 'pred_m2')}) > 5 AS drift
-        FROM f5 CROSS JOIN (SELECT unnest([0, 1, 2]) AS o) WHERE abs(actual) >= 1 GROUP BY 1, 2
-        HAVING CAST(for_date AS DATE) - o + INTERVAL 3 DAYS <=
-            (SELECT max(for_date) - INTERVAL 1 DAY FROM f5 WHERE abs(actual) >= 1)""",
+        FROM f5 CROSS JOIN (SELECT unnest([0, 1, 2]) AS o) WHERE abs(actual) >= 1 GROUP BY 1, 2""",
 }
 
 

@@ -48,14 +48,23 @@ def now() -> Column:
 
 # Sources and sinks
 
+def _write_files(df, root):
+    """One file per zone; returns (zone, path) of all files in the zones' folders."""
+    df.repartition("zone").write.mode("append").partitionBy("zone").option("header", True).csv(root)
+    listed = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(root).select("path")
+    return listed.select(F.regexp_extract("path", "zone=([^/]*)", 1).alias("zone"), "path")
+
+
 @query
 def scan_zone_csv(spark, sf):
-    root = shared_dir(spark)
-    I.raw_series(spark, sf).drop("flag", "reg").write.partitionBy("zone", "split").option("header", True).csv(root)
-    splits = F.explode(F.array(F.lit("train"), F.lit("test"))).alias("split")
-    reg = I.registry(spark, sf).select("zone", splits).withColumn(
-        "path", F.format_string(f"{root}/zone=%s/split=%s", "zone", "split"))
-    return zones.scan_zone_csv(spark, reg, [f"{root}/zone=*/split=*"], zones.ZONE_SCHEMA)
+    """Train and test files side by side, in a folder with a blank, with their columns in another order."""
+    root = f"{shared_dir(spark)}/zone files"
+    raw = I.raw_series(spark, sf)
+    train = materialize(_write_files(raw.where("split = 'train'").select("zone", "for_date", "requirement", "flag"), root))
+    both = _write_files(raw.where("split = 'test'").select("zone", "flag", "requirement", "for_date"), root)
+    test = both.join(train, "path", "left_anti").select("zone", "path")
+    registry = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return zones.scan_zone_csv(spark, registry)
 
 
 @query
@@ -270,7 +279,7 @@ def pct_change_1(spark, sf):
 
 @query
 def rolling_on_grid(spark, sf):
-    f = I.features(spark, sf, "REQ_LAST168H").where(F.col("REQ_LAST168H").isNotNull())
+    f = I.features(spark, sf, "REQ_LAST168H")
     out = features.add_rolling(f, grid=True).drop("requirement")
     return r6(out, *[c for c in out.columns if c.startswith("REQ_LAST168H_")])
 
@@ -583,8 +592,8 @@ def dashboard_v4(spark, sf):
 # Forecasters and cross-validation
 
 def _complete_train(spark, sf):
-    f = I.features(spark, sf, *PAIR).where(F.col("split") == "train")
-    return f.where(F.col("REQ_LAST168H").isNotNull() & F.col("REQ_LAST336H").isNotNull())
+    train = materialize(I.features(spark, sf, *PAIR).where(F.col("split") == "train"))
+    return clean.impute_train_median(train, PAIR)
 
 
 @query
@@ -664,15 +673,14 @@ def ablation_ab(spark, sf):
 
 @query
 def stream_ingest(spark, sf):
+    """Two deliveries: the first has placeholders from the 20th on, the second states these days anew."""
     root = shared_dir(spark)
     raw = I.raw_series(spark, sf).select("zone", "for_date", "requirement")
-    stamped = raw.withColumn("_d", dates.parse_for_date(F.col("for_date")))
-    # three deliveries; each repeats the last day of the one before
-    for lo, hi in (("2024-01-01", "2024-01-12"), ("2024-01-11", "2024-01-22"), ("2024-01-21", "2024-01-31")):
-        part = stamped.where((F.col("_d") >= dates.timestamp(lo)) & (F.col("_d") < dates.timestamp(hi)))
-        part.drop("_d").write.mode("append").option("header", True).csv(f"{root}/in")
+    late = F.coalesce(dates.parse_for_date(F.col("for_date")) >= dates.timestamp("2024-01-20"), F.lit(True))
+    for part in (raw.withColumn("requirement", F.when(late, "0").otherwise(F.col("requirement"))), raw.where(late)):
+        part.write.mode("append").option("header", True).csv(f"{root}/in")
         streams.stream_ingest(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", raw.schema)
-    return spark.read.parquet(f"{root}/out").withColumn("for_date", F.col("for_date").cast("timestamp_ntz"))
+    return streams.read_series(spark, f"{root}/out")
 
 
 def _stream(spark, df, path):
@@ -684,16 +692,15 @@ def _stream(spark, df, path):
 def stream_daily_mape(spark, sf):
     root = shared_dir(spark)
     p = materialize(I.predictions(spark, sf))
-    actuals = _stream(spark, p.select("zone", F.col("for_date").cast("timestamp"), "actual"), f"{root}/in")
+    actuals = _stream(spark, p.select(*KEY, "actual"), f"{root}/in")
     streams.stream_daily_mape(actuals, p, "pred_m2", f"{root}/out", f"{root}/checkpoint")
-    return r6(spark.read.parquet(f"{root}/out"), "daily_mape")
+    return r6(streams.read_daily_mape(spark, f"{root}/out"), "daily_mape")
 
 
 @query
 def stream_drift(spark, sf):
     root = shared_dir(spark)
     p = I.predictions(spark, sf).where(scores.is_realized(F.col("actual")))
-    apes = _stream(spark, p.select("zone", F.col("for_date").cast("timestamp"),
-                                   scores.ape(F.col("actual"), F.col("pred_m2")).alias("ape")), f"{root}/in")
+    apes = _stream(spark, p.select(*KEY, scores.ape(F.col("actual"), F.col("pred_m2")).alias("ape")), f"{root}/in")
     streams.stream_drift(apes, f"{root}/out", f"{root}/checkpoint")
-    return r6(spark.read.parquet(f"{root}/out"), "recent_mape")
+    return r6(streams.read_drift(spark, f"{root}/out"), "recent_mape")

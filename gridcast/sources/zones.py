@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import re
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridcast.functions.dates import parse_for_date
 
-ZONE_SCHEMA = T.StructType([
-    T.StructField("for_date", T.StringType()),
-    T.StructField("requirement", T.StringType()),
-])
-
 
 def zone_registry(spark: SparkSession, paths: Mapping[str, Mapping[str, str]]) -> DataFrame:
     """``{zone: {"train": path, "test": path}}`` as a (zone, split, path) table."""
@@ -22,19 +19,45 @@ def zone_registry(spark: SparkSession, paths: Mapping[str, Mapping[str, str]]) -
     return spark.createDataFrame(rows, "zone string, split string, path string")
 
 
-def scan_zone_csv(
-    spark: SparkSession, registry: DataFrame, paths: Iterable[str], schema: T.StructType,
-) -> DataFrame:
-    """All zone files in one scan, each row tagged with its zone and split.
+def _open(spark: SparkSession, path: str) -> tuple[tuple[str, ...], list[str]] | None:
+    """Column names and files of a path; None if there is nothing. Only a first line is read."""
+    try:
+        df = spark.read.option("header", True).csv(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        return None
+    return (tuple(df.columns), [re.sub("^file:/+", "/", f) for f in df.inputFiles()]) if df.columns else None
+
+
+def scan_zone_csv(spark: SparkSession, registry: DataFrame, missing: str = "error") -> DataFrame:
+    """All registered files, every column as text, each row tagged with its zone and split.
 
-    The file a row came from is matched to the registry by folder, so one plan reads every zone.
+    ``registry(zone, split, path)`` names files or folders; train and test files may lie side by
+    side. Columns are matched by name, so files may order them differently; a column that a file
+    lacks is null. Files of one layout are read by one scan. Registered paths without a file are an
+    error, unless ``missing`` is "skip" (:func:`zones_failed` reports zones without rows).
     """
-    raw = spark.read.csv(list(paths), header=True, schema=schema, mode="PERMISSIVE")
-    folder = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""), "^file:/+", "/")
-    tagged = raw.withColumn("_folder", folder)
-    reg = registry.select(
-        "zone", "split", F.regexp_replace(F.regexp_replace("path", "/+$", ""), "^file:/+", "/").alias("_folder"))
-    return tagged.join(reg, "_folder").drop("_folder")
+    entries = [(r.zone, r.split, r.path) for r in registry.select("zone", "split", "path").collect()]  # one row per path
+    with ThreadPoolExecutor(8) as pool:
+        opened = list(pool.map(lambda e: _open(spark, e[2]), entries))
+    absent = [p for (_, _, p), found in zip(entries, opened) if not found]
+    if missing == "error" and absent:
+        raise FileNotFoundError(f"registered without a file: {absent[:5]} ({len(absent)} in all)")
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    owners = []
+    for (zone, split, path), found in zip(entries, opened):
+        if found:
+            layouts.setdefault(found[0], []).append(path)
+            owners += [(file, zone, split) for file in found[1]]
+    if not layouts:
+        return registry.select("zone", "split").limit(0)
+    own = spark.createDataFrame(owners, "_path string, zone string, split string")
+    path = F.regexp_replace("_metadata.file_path", "^file:/+", "/")
+    parts = [
+        spark.read.csv(paths, header=True, schema=", ".join(f"`{c}` string" for c in header)).select("*", path.alias("_path"))
+        for header, paths in layouts.items()]
+    return union_zones(*parts).join(own, "_path").drop("_path")
 
 
 def parse_dates(df: DataFrame, column: str = "for_date") -> DataFrame:

@@ -1,10 +1,16 @@
 """File-fed streams, each run to the end of the available input and safe to restart.
 
-Event time is wall-clock ``timestamp`` here, because watermarks do not take ``timestamp_ntz``.
+Every micro-batch is written to a folder named by its number, which a repeated batch overwrites, so
+a restart neither loses nor doubles rows. Nothing is dropped for being late: slots may come in any
+number of files and batches and may be delivered again. The ``read_*`` functions give the newest
+delivery of each slot, open days and windows included.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,55 +20,115 @@ from gridcast.functions.dates import parse_for_date
 from gridcast.functions.scores import ape_masked, finite_or_null, is_realized
 
 
-def _run(df: DataFrame, out_dir: str, checkpoint: str) -> None:
-    query = (
-        df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start(out_dir)
-    )
+def _run(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    query = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
+def _write_batch(path: str) -> Callable[[DataFrame, int], None]:
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+    return write
+
+
+def _newest(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The last delivered ``value`` per key; of equals in one file, the largest."""
+    order = F.struct("arrived", "batch", "file", value)
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(value), order).alias("_v")).select(*keys, f"_v.{value}")
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.schema(schema + ", batch long").parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema + ", batch long")
+
+
 def stream_ingest(
-    spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, schema: T.StructType,
-    delay: str = "2 days", files_per_batch: int = 64,
+    spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, schema: T.StructType, files_per_batch: int = 64,
 ) -> None:
-    """New zone files to one clean table: parse, drop repeats of (zone, for_date), append."""
+    """New zone files to ``out_dir``: parsed rows in ``rows``, those without a readable date in ``rejects``."""
     raw = (
         spark.readStream.schema(schema).option("header", True)
         .option("maxFilesPerTrigger", files_per_batch).csv(in_dir)
     )
     parsed = raw.select(
-        "zone", parse_for_date(F.col("for_date")).cast("timestamp").alias("for_date"),
-        finite_or_null(F.col("requirement").try_cast("double")).alias("requirement"))
-    fresh = parsed.where(F.col("for_date").isNotNull()).withWatermark("for_date", delay)
-    _run(fresh.dropDuplicatesWithinWatermark(["zone", "for_date"]), out_dir, checkpoint)
+        "zone", F.col("for_date").alias("for_date_text"), parse_for_date(F.col("for_date")).alias("for_date"),
+        F.col("requirement").alias("requirement_text"),
+        finite_or_null(F.col("requirement").try_cast("double")).alias("requirement"),
+        F.col("_metadata.file_modification_time").alias("arrived"), F.col("_metadata.file_path").alias("file"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()  # parsed once for both tables
+        try:
+            dated = batch.where("for_date IS NOT NULL").select("zone", "for_date", "requirement", "arrived", "file")
+            _write_batch(f"{out_dir}/rows")(dated, number)
+            bad = batch.where("for_date IS NULL").select("zone", "for_date_text", "requirement_text", "arrived", "file")
+            _write_batch(f"{out_dir}/rejects")(bad, number)
+        finally:
+            batch.unpersist()
+
+    _run(parsed, write, checkpoint)
+
+
+def read_series(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(zone, for_date, requirement) as last delivered: a load replaces its placeholder."""
+    rows = _stored(spark, f"{out_dir}/rows",
+                   "zone string, for_date timestamp_ntz, requirement double, arrived timestamp, file string")
+    return _newest(rows, ["zone", "for_date"], "requirement")
+
+
+def read_rejects(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Delivered rows whose date could not be read, as they came."""
+    return _stored(spark, f"{out_dir}/rejects",
+                   "zone string, for_date_text string, requirement_text string, arrived timestamp, file string")
+
+
+def _score(apes: DataFrame, out_dir: str, checkpoint: str) -> None:
+    """``apes(zone, for_date, ape)`` streams from files; each slot's score is kept with its delivery."""
+    stamped = apes.withColumns({"arrived": F.current_timestamp(), "file": F.lit("")})
+    _run(stamped, _write_batch(out_dir), checkpoint)
+
+
+def _scores(spark: SparkSession, out_dir: str) -> DataFrame:
+    rows = _stored(spark, out_dir, "zone string, for_date timestamp_ntz, ape double, arrived timestamp, file string")
+    return _newest(rows, ["zone", "for_date"], "ape")
+
+
+def _daily_sums(scored: DataFrame) -> DataFrame:
+    return scored.groupBy("zone", F.to_date("for_date").alias("date")).agg(F.sum("ape").alias("s"), F.count("ape").alias("n"))
 
 
 def stream_daily_mape(
-    actuals: DataFrame, predictions: DataFrame, pred: str, out_dir: str, checkpoint: str, delay: str = "1 day",
+    actuals: DataFrame, predictions: DataFrame, pred: str, out_dir: str, checkpoint: str,
 ) -> None:
-    """Daily MAPE per zone as days close. ``actuals`` streams; ``predictions`` is a static table."""
-    known = predictions.select("zone", F.col("for_date").cast("timestamp").alias("for_date"), F.col(pred).alias("_p"))
-    scored = (
-        actuals.where(is_realized(F.col("actual"))).withWatermark("for_date", delay)
-        .join(known, ["zone", "for_date"])
-        .groupBy("zone", F.window("for_date", "1 day").alias("w"))
-        .agg(F.avg(ape_masked(F.col("actual"), F.col("_p"))).alias("daily_mape"), F.count("*").alias("n_scored"))
-        .select(F.to_date("w.start").alias("date"), "zone", "daily_mape", "n_scored")
-    )
-    _run(scored, out_dir, checkpoint)
+    """Scores of arriving actuals. ``actuals`` streams; ``predictions`` is a static table."""
+    known = predictions.select("zone", F.col("for_date").cast("timestamp_ntz").alias("for_date"), F.col(pred).alias("_p"))
+    dated = actuals.withColumn("for_date", F.col("for_date").cast("timestamp_ntz"))
+    scored = dated.where(is_realized(F.col("actual"))).join(known, ["zone", "for_date"]).select(
+        "zone", "for_date", ape_masked(F.col("actual"), F.col("_p")).alias("ape"))
+    _score(scored, out_dir, checkpoint)
 
 
-def stream_drift(
-    apes: DataFrame, out_dir: str, checkpoint: str, days: int = DRIFT_DAYS,
-    threshold: float = DRIFT_MAPE_PCT, delay: str = "1 day",
-) -> None:
-    """Mean APE over every ``days``-day window as it closes, with the drift verdict."""
-    scored = (
-        apes.withWatermark("for_date", delay)
-        .groupBy("zone", F.window("for_date", f"{days} days", "1 day").alias("w"))
-        .agg(F.avg("ape").alias("recent_mape"))
-        .select("zone", F.to_date("w.start").alias("window_start"), "recent_mape",
-                (F.col("recent_mape") > threshold).alias("drift"))
-    )
-    _run(scored, out_dir, checkpoint)
+def read_daily_mape(spark: SparkSession, out_dir: str) -> DataFrame:
+    """MAPE per zone and day over all realised slots so far; ``n_scored`` counts slots with a prediction."""
+    return _daily_sums(_scores(spark, out_dir)).select(
+        "date", "zone", F.try_divide("s", "n").alias("daily_mape"), F.col("n").alias("n_scored"))
+
+
+def stream_drift(apes: DataFrame, out_dir: str, checkpoint: str) -> None:
+    """Errors of realised slots as they arrive: (zone, for_date, ape)."""
+    _score(apes.select("zone", F.col("for_date").cast("timestamp_ntz").alias("for_date"), "ape"), out_dir, checkpoint)
+
+
+def read_drift(
+    spark: SparkSession, out_dir: str, days: int = DRIFT_DAYS, threshold: float = DRIFT_MAPE_PCT,
+) -> DataFrame:
+    """Mean APE over every ``days``-day window that any slot lies in, with the drift verdict."""
+    windows = _daily_sums(_scores(spark, out_dir)).select(
+        "zone", F.explode(F.sequence(F.date_sub("date", days - 1), "date")).alias("window_start"), "s", "n")
+    mape = F.try_divide(F.sum("s"), F.sum("n"))
+    return windows.groupBy("zone", "window_start").agg(mape.alias("recent_mape")).select(
+        "zone", "window_start", "recent_mape", (F.col("recent_mape") > threshold).alias("drift"))

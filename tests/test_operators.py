@@ -240,14 +240,21 @@ def test_history_folder_and_snapshot(spark, tmp_path):
 
 
 def test_zone_files_from_a_registry(spark, tmp_path):
-    for z, s in [("A", "train"), ("A", "test"), ("B", "train")]:
-        spark.createDataFrame([("01/02/2024 00:30:00", "5")], zones.ZONE_SCHEMA).write.option("header", True).csv(
-            str(tmp_path / f"{z}_{s}"))
-    reg = zones.zone_registry(spark, {z: {s: str(tmp_path / f"{z}_{s}") for s in ss}
-                                      for z, ss in {"A": ["train", "test"], "B": ["train"]}.items()})
-    got = zones.parse_dates(zones.scan_zone_csv(spark, reg, [str(tmp_path / "*_*")], zones.ZONE_SCHEMA))
-    assert {(r.zone, r.split) for r in got.collect()} == {("A", "train"), ("A", "test"), ("B", "train")}
-    assert one(got).for_date == dt.datetime(2024, 2, 1, 0, 30)
+    root = tmp_path / "zone files + more"
+    root.mkdir()
+    (root / "A_train.csv").write_text("for_date,requirement,Temp_W\n01/02/2024 00:30:00,5,20\n")
+    (root / "A_test.csv").write_text("requirement,Temp_W,for_date\n6,21,02/02/2024 00:30:00\n")
+    spark.createDataFrame([("03/02/2024 00:30:00", "7")], "for_date string, requirement string").write.option("header", True).csv(
+        str(root / "B_train"))
+    paths = {"A": {"train": str(root / "A_train.csv"), "test": str(root / "A_test.csv")}, "B": {"train": f"{root}/B_train/"}}
+    got = zones.parse_dates(zones.scan_zone_csv(spark, zones.zone_registry(spark, paths)))
+    assert {(r.zone, r.split, r.for_date.day, r.requirement, r.Temp_W) for r in got.collect()} == {
+        ("A", "train", 1, "5", "20"), ("A", "test", 2, "6", "21"), ("B", "train", 3, "7", None)}
+    gone = zones.zone_registry(spark, {**paths, "C": {"train": str(root / "none.csv")}})
+    with pytest.raises(FileNotFoundError, match="none.csv"):
+        zones.scan_zone_csv(spark, gone)
+    kept = zones.scan_zone_csv(spark, gone, missing="skip")
+    assert kept.count() == 3 and [r.zone for r in zones.zones_failed(gone, kept).collect()] == ["C"]
 
 
 def test_quality_counts_null_and_repeated_dates(spark):
@@ -259,17 +266,47 @@ def test_quality_counts_null_and_repeated_dates(spark):
     assert (v.n_rows, v.total_missing, v.duplicate_timestamps, v.zero_lag_rows, v.time_gaps_30min) == (4, 1, 2, 1, 0)
 
 
-def test_stream_drops_late_rows_and_repeats(spark, tmp_path):
-    schema = "zone string, for_date string, requirement string"
-    def deliver(*rows):
-        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").option("header", True).csv(str(tmp_path / "in"))
-        streams.stream_ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"),
-                              spark.createDataFrame([], schema).schema)
-    deliver(("A", "10/01/2024 00:00:00", "1"), ("A", "bad", "1"))
-    deliver(("A", "10/01/2024 00:00:00", "2"), ("A", "11/01/2024 00:00:00", "n/a"))
-    deliver(("A", "01/01/2024 00:00:00", "3"))
-    got = sorted((r.for_date.day, r.requirement) for r in spark.read.parquet(str(tmp_path / "out")).collect())
-    assert got == [(10, 1.0), (11, None)]
+STREAM = "zone string, for_date string, requirement string"
+
+
+def _deliver(spark, root, rows, files=1, per_batch=64, ingest=True):
+    spark.createDataFrame(rows, STREAM).repartition(files).write.mode("append").option("header", True).csv(f"{root}/in")
+    if ingest:
+        streams.stream_ingest(spark, f"{root}/in", f"{root}/out", f"{root}/cp", spark.createDataFrame([], STREAM).schema, per_batch)
+
+
+def _series_rows(spark, root):
+    return sorted((r.zone, r.for_date, r.requirement) for r in streams.read_series(spark, f"{root}/out").collect())
+
+
+@pytest.mark.parametrize("files,per_batch", [(1, 1), (3, 1), (30, 64), (30, 4)])
+def test_stream_loses_nothing_however_it_is_cut(spark, tmp_path, files, per_batch):
+    rows = [("A", f"{d:02d}/01/2024 {h:02d}:00:00", str(d)) for d in range(1, 29) for h in range(0, 24, 6)]
+    _deliver(spark, tmp_path, rows + [("A", "bad", "1"), ("B", None, "2")], files, per_batch)
+    assert [(r[1].day, r[2]) for r in _series_rows(spark, tmp_path)] == [(d, float(d)) for d in range(1, 29) for _ in range(4)]
+    assert sorted(str(r.for_date_text) for r in streams.read_rejects(spark, f"{tmp_path}/out").collect()) == ["None", "bad"]
+
+
+def test_newest_delivery_of_a_slot_wins(spark, tmp_path):
+    _deliver(spark, tmp_path, [("A", "10/01/2024 00:00:00", "0"), ("A", "10/01/2024 00:30:00", "0")])
+    _deliver(spark, tmp_path, [("A", "10/01/2024 00:00:00", "900"), ("A", "01/01/2024 00:00:00", "3")])
+    _deliver(spark, tmp_path, [("A", "10/01/2024 00:30:00", "950"), ("A", "11/01/2024 00:00:00", "n/a")])
+    assert [(r[1].day, r[1].minute, r[2]) for r in _series_rows(spark, tmp_path)] == [
+        (1, 0, 3.0), (10, 0, 900.0), (10, 30, 950.0), (11, 0, None)]
+
+
+def test_streams_report_open_days(spark, tmp_path):
+    p = spark.createDataFrame([("A", T + dt.timedelta(hours=h), 110.0 if h != 5 else None) for h in range(60)],
+                              "zone string, for_date timestamp_ntz, pred double")
+    a = p.select("zone", "for_date", F.lit(100.0).alias("actual"))
+    a.write.parquet(f"{tmp_path}/in")
+    live = spark.readStream.schema(a.schema).parquet(f"{tmp_path}/in")
+    streams.stream_daily_mape(live, p, "pred", f"{tmp_path}/out", f"{tmp_path}/cp")
+    streams.stream_daily_mape(live, p, "pred", f"{tmp_path}/out", f"{tmp_path}/cp")  # nothing new: nothing changes
+    days = streams.read_daily_mape(spark, f"{tmp_path}/out").collect()
+    assert sum(r.n_scored for r in days) == 59 and all(abs(r.daily_mape - 10) < 1e-9 for r in days)
+    assert len(days) == len({(T + dt.timedelta(hours=h)).date() for h in range(60)})
+    assert streams.read_daily_mape(spark, f"{tmp_path}/nothing").count() == 0
 
 
 def _series(spark):

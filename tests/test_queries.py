@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from gridcast.plans.oracle import oracle_sql
+from gridcast.plans.registry import QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
