@@ -36,7 +36,7 @@ DEPTH = 5
 END = 10  # a newline, which is never inside a normal text
 END_WORD = -7046029254386353131  # the key under which the end is counted as a token
 STRING, TOKEN = 0, 1
-KNOWN_ROWS = 2_000_000
+KNOWN_STRINGS, KNOWN_WORDS = 4_000_000, 250_000
 FLUSH = 1_500_000  # distinct keys a task holds before it hands on what it has counted
 
 
@@ -212,7 +212,7 @@ def _frequent(rows: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", depth: int = DEPTH,
-          known_rows: int = KNOWN_ROWS) -> DataFrame:
+          known_strings: int = KNOWN_STRINGS, known_words: int = KNOWN_WORDS) -> DataFrame:
     """(key, train, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte) for every text.
 
     ``score`` is log10 of the trees' probability of the text, learnt from the rows where ``train`` is
@@ -228,7 +228,8 @@ def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text
         words.select(F.lit(TOKEN).alias("kind"), "key", "n", F.log10(F.col("n") + 0.5).alias("value"))))
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     known = spark.sparkContext.broadcast([
-        _frequent(values.where(F.col("kind") == kind).drop("kind"), known_rows) for kind in (STRING, TOKEN)])
+        _frequent(values.where(F.col("kind") == kind).drop("kind"), limit)
+        for kind, limit in ((STRING, known_strings), (TOKEN, known_words))])
     kind_of_key = rows.schema["key"].dataType.simpleString()
 
     def look_up(kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -61,7 +61,7 @@ def brute(depth):
 
 @pytest.mark.parametrize("known_rows", [1_000_000, 4])
 def test_scores_like_the_recursion(make, known_rows):
-    rows = ctw.score(make(TEXTS), ~F.col("doc_id").isin(*HELD), depth=3, known_rows=known_rows).collect()
+    rows = ctw.score(make(TEXTS), ~F.col("doc_id").isin(*HELD), depth=3, known_strings=known_rows, known_words=known_rows).collect()
     want = brute(3)
     counts = defaultdict(int)
     for i, t in enumerate(TEXTS):
