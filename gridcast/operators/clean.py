@@ -27,11 +27,19 @@ def select_features(
             and f.name.lower() in numeric and f.name.lower() not in skip]
 
 
-def present_features(df: DataFrame, columns: Sequence[str], split: str = "split") -> list[str]:
-    """Columns with a value in both splits. Two rows of counts come back, whatever the data size."""
-    counts = {r[split]: r for r in df.groupBy(split).agg(
-        *[F.max(F.col(c).isNotNull()).alias(c) for c in columns]).collect()}
-    return [c for c in columns if all(counts[s][c] for s in counts)]
+def zone_features(df: DataFrame, columns: Sequence[str], zone: str = "zone", split: str = "split") -> DataFrame:
+    """(zone, feature) for the features that have a value in each of the zone's splits."""
+    seen = df.groupBy(zone, split).agg(*[F.max(F.col(c).isNotNull()).alias(c) for c in columns])
+    both = seen.groupBy(zone).agg(*[F.min(c).alias(c) for c in columns])
+    kept = F.array(*[F.when(F.col(c), F.lit(c)) for c in columns])
+    return both.select(zone, F.explode(F.array_compact(kept)).alias("feature"))
+
+
+def without_absent(df: DataFrame, kept: DataFrame, columns: Sequence[str], zone: str = "zone") -> DataFrame:
+    """``df`` with 0 in the features a zone does not have, which no model can then learn from."""
+    has = kept.groupBy(zone).agg(*[F.max(F.col("feature") == c).alias(f"_has_{c}") for c in columns])
+    return df.join(has, zone, "left").withColumns({
+        c: F.when(F.coalesce(f"_has_{c}", F.lit(False)), F.col(c).cast("double")).otherwise(0.0) for c in columns}).select(*df.columns)
 
 
 def bool_to_int(df: DataFrame) -> DataFrame:

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcast.config import CV_FOLDS
 from gridcast.functions.scores import ape, is_realized
-from gridcast.operators.forecast import _line_sums, _lines, gram_sums, linear_score, ridge_solve
+from gridcast.operators.forecast import Moments, _line_sums, _lines, linear_score, moments, ridge_solve
 from gridcast.operators.ordered import WEEK, number_rows, time_bucket
 
 
@@ -45,6 +46,22 @@ def _fold_sums(blocks: DataFrame, aggs: Sequence[Column]) -> DataFrame:
     return per_block.select("zone", (F.col("block") + 1).alias("fold"), *[F.sum(c).over(upto).alias(c) for c in names])
 
 
+def _fold_moments(blocks: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Train moments of fold k: those of blocks 0..k-1 merged in turn (a handful of rows per zone)."""
+    per_block = moments(blocks, ["zone", "block"], columns)
+
+    def running(pdf: pd.DataFrame) -> pd.DataFrame:
+        total, out = None, []
+        for row in pdf.sort_values("block").itertuples(index=False):
+            block = Moments.read(row.moments, len(columns))
+            total = block if total is None else total.merge(block)
+            out.append((row.zone, int(row.block) + 1, total.write()))
+        return pd.DataFrame(out, columns=["zone", "fold", "moments"])
+
+    zone = blocks.schema["zone"].dataType.simpleString()
+    return per_block.groupBy("zone").applyInPandas(running, f"zone {zone}, fold int, moments binary")
+
+
 def cv_mape(df: DataFrame, x: str, target: str = "requirement", folds: int = CV_FOLDS, **kw) -> DataFrame:
     """Mean validation MAPE per zone of a straight line on ``x``; infinity when no fold scores."""
     blocks = add_block(df, folds=folds, **kw)
@@ -67,7 +84,7 @@ def param_search(
 ) -> DataFrame:
     """Per zone: the penalty with the lowest cross-validated MAPE, all trials scored in one job."""
     blocks = add_block(df, folds=folds, **kw)
-    sums = _fold_sums(blocks, gram_sums(features, target))
+    sums = _fold_moments(blocks, [*features, target])
     coefs = ridge_solve(sums, ["zone", "fold"], len(features), penalties)
     trials = coefs.groupBy("zone", "fold").agg(  # one entry per penalty, so the list is as long as the search
         F.array_sort(F.collect_list(F.struct("penalty", "coef"))).alias("trials"))

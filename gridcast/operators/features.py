@@ -63,7 +63,9 @@ def add_clock_lags(
     if unique:
         own = [F.max(F.when(F.col("_h") == 0, F.col(c))).alias(c) for c in df.columns if c not in (key, date)]
         here = F.count_if(F.col("_h") == 0).alias("_here")
-        return sent(True).groupBy(key, date).agg(here, *own, *lagged).where("_here > 0").select(*df.columns, *lags)
+        once = F.when(F.col("_here") <= 1, F.col("_here") == 1).otherwise(
+            F.raise_error(F.lit(f"({key}, {date}) was said to be unique and is not")).cast("boolean"))
+        return sent(True).groupBy(key, date).agg(here, *own, *lagged).where(once).select(*df.columns, *lags)
     return df.join(sent(False).groupBy(key, date).agg(*lagged), [key, date], "left").select(*df.columns, *lags)
 
 

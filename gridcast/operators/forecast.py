@@ -27,10 +27,9 @@ def zone_ols(
 ) -> DataFrame:
     """One straight line per zone, learnt on the ``fit`` rows (default: the train split)."""
     train = df.where(F.col("split") == "train" if fit is None else fit)
-    y, v = F.col(target), F.col(x)
-    lines = _lines(train.groupBy("zone").agg(*_line_sums(v, y)), ["zone"])
+    lines = train.groupBy("zone").agg(F.regr_slope(target, x).alias("_slope"), F.regr_intercept(target, x).alias("_intercept"))
     return df.join(lines, "zone", "left").withColumn(
-        out, F.col("_slope") * v + F.col("_intercept")).select(*df.columns, out)
+        out, F.col("_slope") * F.col(x) + F.col("_intercept")).select(*df.columns, out)
 
 
 def _line_sums(x: Column, y: Column) -> list[Column]:
@@ -52,53 +51,108 @@ def _lines(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.try_divide(F.col("_sy") - F.col("_slope") * F.col("_sx"), F.col("_n")).alias("_intercept"))
 
 
-def gram_sums(features: Sequence[str], target: str) -> list[Column]:
-    """Sums of products over complete rows: [1, features, target] times its transpose, upper half."""
-    terms = [F.lit(1.0), *[F.col(f).cast("double") for f in features], F.col(target).cast("double")]
-    full = F.col(target).isNotNull()
-    for f in features:
-        full = full & F.col(f).isNotNull()
-    return [F.sum(F.when(full, terms[i] * terms[j])).alias(f"g_{i}_{j}")
-            for i in range(len(terms)) for j in range(i, len(terms))]
+class Moments:
+    """Row count, means and centred products of some columns; two of them can be merged."""
+
+    def __init__(self, n: float, mean: np.ndarray, products: np.ndarray):
+        self.n, self.mean, self.products = n, mean, products
+
+    @classmethod
+    def of(cls, rows: np.ndarray) -> Moments:
+        if not len(rows):
+            return cls(0.0, np.zeros(rows.shape[1]), np.zeros((rows.shape[1],) * 2))
+        mean = rows.mean(axis=0)
+        return cls(float(len(rows)), mean, (rows - mean).T @ (rows - mean))
+
+    @classmethod
+    def read(cls, data: bytes, size: int) -> Moments:
+        flat = np.frombuffer(data)
+        return cls(float(flat[0]), flat[1:size + 1], flat[size + 1:].reshape(size, size))
+
+    def write(self) -> bytes:
+        return np.concatenate([[self.n], self.mean, self.products.ravel()]).tobytes()
+
+    def merge(self, other: Moments) -> Moments:
+        n = self.n + other.n
+        if not other.n or not self.n:
+            return self if self.n else other
+        step = other.mean - self.mean
+        return Moments(n, self.mean + step * (other.n / n),
+                       self.products + other.products + np.outer(step, step) * (self.n * other.n / n))
+
+
+KEYS_HELD = 256  # keys whose moments a task holds before it hands them on
+
+
+def moments(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(keys, moments) of the rows complete in ``columns``: one block per key and task, then merged.
+
+    A task leaves one row per key, however many rows the key has, so a key that holds most of the
+    rows is summed by all tasks alike.
+    """
+    keys, columns = list(keys), list(columns)
+    size = len(columns)
+    chosen = df.select(*keys, *[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(columns)])
+    key_types = ", ".join(f"`{k}` {chosen.schema[k].dataType.simpleString()}" for k in keys)
+    schema = f"{key_types}, moments binary"
+
+    def table(held: dict) -> pd.DataFrame:
+        return pd.DataFrame([(*k, m.write()) for k, m in held.items()], columns=[*keys, "moments"])
+
+    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, Moments] = {}
+        for pdf in batches:
+            values = pdf[[f"_c{i}" for i in range(size)]].to_numpy(float)
+            full = np.isfinite(values).all(axis=1)
+            for k, at in pdf.groupby(keys, dropna=False, sort=False).indices.items():
+                k = tuple(None if v is None or v != v else v for v in (k if isinstance(k, tuple) else (k,)))
+                new = Moments.of(values[at[full[at]]])
+                held[k] = held[k].merge(new) if k in held else new
+            if len(held) > KEYS_HELD:
+                yield table(held)
+                held = {}
+        if held:
+            yield table(held)
+
+    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = Moments.read(pdf["moments"].iloc[0], size)
+        for data in pdf["moments"].iloc[1:]:
+            total = total.merge(Moments.read(data, size))
+        return pdf[keys].iloc[:1].assign(moments=[total.write()])
+
+    return chosen.mapInPandas(blocks, schema).groupBy(*keys).applyInPandas(merged, schema)
 
 
 def ridge_solve(sums: DataFrame, keys: Sequence[str], k: int, penalties: Sequence[float]) -> DataFrame:
-    """(keys, penalty, coef) from Gram sums; ``coef`` is the intercept, then one number per feature.
+    """(keys, penalty, coef) from moments of [features, target]; ``coef`` is the intercept, then one
+    number per feature.
 
-    A key is one short row here, so many keys are solved per Arrow batch. Features are centred and
-    scaled before the penalty applies; a constant feature gets coefficient 0.
+    A key is one short row here. Features are centred and scaled before the penalty applies; a
+    constant feature gets coefficient 0.
     """
     keys = list(keys)
-    size = k + 2
-    names = {(i, j): f"g_{i}_{j}" for i in range(size) for j in range(i, size)}
     key_types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sums.schema if f.name in keys)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            pdf = pdf[pdf["g_0_0"].fillna(0.0) > 0]
-            if pdf.empty:
-                continue
-            gram = np.empty((len(pdf), size, size))
-            for (i, j), name in names.items():
-                gram[:, i, j] = gram[:, j, i] = pdf[name].to_numpy(float)
-            n = gram[:, 0, 0]
-            mean = gram[:, 0, 1:] / n[:, None]
-            cov = gram[:, 1:, 1:] / n[:, None, None] - mean[:, :, None] * mean[:, None, :]
-            var = np.einsum("nii->ni", cov[:, :k, :k])
-            usable = var > 1e-12 * np.maximum(1.0, mean[:, :k] ** 2)
-            scale = np.where(usable, np.sqrt(np.where(usable, var, 1.0)), 1.0)
-            a = cov[:, :k, :k] / (scale[:, :, None] * scale[:, None, :])
-            a = a * usable[:, :, None] * usable[:, None, :] + np.eye(k) * ~usable[:, :, None]
-            b = cov[:, :k, k] / scale * usable
-            for penalty in penalties:
-                beta = np.linalg.solve(a + max(penalty, 1e-9) * np.eye(k), b[:, :, None])[:, :, 0] / scale
-                intercept = mean[:, k] - (beta * mean[:, :k]).sum(axis=1)
-                yield pd.DataFrame({
-                    **{c: pdf[c].to_numpy() for c in keys}, "penalty": float(penalty),
-                    "coef": list(np.column_stack([intercept, beta])),
-                })
-
-    return sums.mapInPandas(solve, f"{key_types}, penalty double, coef array<double>")
+            rows = []
+            for row in pdf.itertuples(index=False):
+                m = Moments.read(row[-1], k + 1)
+                if not m.n:
+                    continue
+                cov, mean = m.products / m.n, m.mean
+                var = np.diag(cov)[:k]
+                usable = var > 1e-12 * np.maximum(1.0, mean[:k] ** 2)
+                scale = np.where(usable, np.sqrt(np.where(usable, var, 1.0)), 1.0)
+                a = cov[:k, :k] / np.outer(scale, scale) * np.outer(usable, usable) + np.diag((~usable).astype(float))
+                b = cov[:k, k] / scale * usable
+                for penalty in penalties:
+                    beta = np.linalg.solve(a + max(penalty, 1e-9) * np.eye(k), b) / scale
+                    rows.append((*row[:-1], float(penalty), np.concatenate([[mean[k] - beta @ mean[:k]], beta])))
+            if rows:
+                yield pd.DataFrame(rows, columns=[*keys, "penalty", "coef"])
+
+    return sums.select(*keys, "moments").mapInPandas(solve, f"{key_types}, penalty double, coef array<double>")
 
 
 def linear_score(coef: Column, features: Sequence[str]) -> Column:
@@ -112,9 +166,9 @@ def zone_ridge(
     df: DataFrame, features: Sequence[str], target: str = "requirement", out: str = "pred",
     penalty: float = 1e-3, fit: Column | None = None,
 ) -> DataFrame:
-    """Ridge regression per zone: products are summed by Spark, only the k x k solve is Python."""
+    """Ridge regression per zone, from merged blocks of moments; any number of features is one column."""
     train = df.where(F.col("split") == "train" if fit is None else fit)
-    sums = train.groupBy("zone").agg(*gram_sums(features, target))
+    sums = moments(train, ["zone"], [*features, target])
     coefs = ridge_solve(sums, ["zone"], len(features), [penalty]).select("zone", F.col("coef").alias("_coef"))
     return df.join(coefs, "zone", "left").withColumn(
         out, linear_score(F.col("_coef"), features)).select(*df.columns, out)
@@ -163,7 +217,9 @@ def _scaled(df: DataFrame, scale: DataFrame, features: Sequence[str], loads: set
     joined = df.join(scale, "zone", "left")
     number = {f: F.col(f).cast("double") for f in features}
     return joined.withColumns({
-        f"_f_{f}": F.coalesce(c / F.col("_level") if f in loads else c, F.lit(0.0)) for f, c in number.items()})
+        # a missing load counts as the zone's mean load; impute first for anything finer
+        f"_f_{f}": F.coalesce(c / F.col("_level"), F.lit(1.0)) if f in loads else F.coalesce(c, F.lit(0.0))
+        for f, c in number.items()})
 
 
 def is_load(feature: str) -> bool:

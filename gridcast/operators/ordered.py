@@ -174,7 +174,9 @@ def number_rows(
         (F.sum("_n").over(per_key.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_before"),
         F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
     )
-    numbered = rows.join(offsets, [*keys, BUCKET]).withColumn(
+    renamed = offsets.withColumnsRenamed({k: f"_o{i}" for i, k in enumerate((*keys, BUCKET))})
+    on = [F.col(k).eqNullSafe(F.col(f"_o{i}")) for i, k in enumerate((*keys, BUCKET))]  # a null key is a key
+    numbered = rows.join(renamed, on).withColumn(
         out, (F.col("_before") + F.row_number().over(local_window(keys, order))).cast("long"))
     extra = [F.col("_total").alias(total)] if total else []
     return numbered.select(*df.columns, out, *extra)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridcast import config as C
 from gridcast.functions.blend import weighted_average
@@ -20,7 +21,9 @@ from gridcast.sources import history as hist
 from gridcast.sources import tables
 
 Forecaster = Callable[[DataFrame, Sequence[str]], DataFrame]
-"""(rows of both splits, feature names) -> the test rows (zone, for_date, pred)."""
+"""(rows of both splits, feature names) -> the test rows (_row, pred); ``_row`` numbers the given rows."""
+
+ROW = "_row"
 
 
 @dataclass
@@ -47,21 +50,20 @@ def trees(**params) -> Forecaster:
     """Boosted trees; the defaults are the library's full setting, pass fewer trees to try things."""
     def predict(df: DataFrame, names: Sequence[str]) -> DataFrame:
         fit = forecast.fit_gbt(df.where(F.col("split") == "train"), names, **params)
-        return fit.predict(df.where(F.col("split") == "test")).select("zone", "for_date", "pred")
+        return fit.predict(df.where(F.col("split") == "test")).select(ROW, "pred")
     return predict
 
 
 def ridge(penalty: float = 1e-3) -> Forecaster:
     def predict(df: DataFrame, names: Sequence[str]) -> DataFrame:
-        return forecast.zone_ridge(df, names, penalty=penalty).where(F.col("split") == "test").select(
-            "zone", "for_date", "pred")
+        return forecast.zone_ridge(df, names, penalty=penalty).where(F.col("split") == "test").select(ROW, "pred")
     return predict
 
 
 def sequence(length: int = C.SEQUENCE_LENGTH, column: str = C.WEEK_LAG, carry: bool = False) -> Forecaster:
     def predict(df: DataFrame, names: Sequence[str]) -> DataFrame:
         return forecast.sequence_forecast(df, [column], length=length, carry=carry).where(
-            F.col("split") == "test").select("zone", "for_date", "pred")
+            F.col("split") == "test").select(ROW, "pred")
     return predict
 
 
@@ -72,21 +74,31 @@ DEFAULT_FORECASTERS: dict[str, Forecaster] = {
 }
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` written with a row number, by which predictions find their rows however dates repeat."""
+    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()))
+
+
 def prepare(series: DataFrame, holidays: DataFrame, exclude: Sequence[str] = C.EXCLUDED_FEATURES) -> tuple[DataFrame, list[str]]:
-    """Features of both splits with nulls imputed, the raw target kept as ``actual``."""
+    """Numbered rows of both splits with features: text as codes, nulls imputed, and, per zone, 0 in
+    the features that one of its splits lacks altogether; the raw target is kept as ``actual``."""
     raw = series.withColumn("actual", F.col(C.TARGET))
-    built = add_basic_time_features(features.build_features(raw, holidays))
-    table = materialize(clean.bool_to_int(built))
+    built = clean.bool_to_int(add_basic_time_features(features.build_features(raw, holidays)))
+    text = [f.name for f in built.schema if isinstance(f.dataType, T.StringType) and f.name not in ("zone", "split")]
+    table = materialize(built)
+    if text:
+        table = materialize(clean.encode_category(table, text, fit=F.col("split") == "train"))
     names = clean.select_features(table.schema, table.schema, exclude, (*clean.NOT_FEATURES, "actual"))
-    names = clean.present_features(table, names)
-    return materialize(clean.impute_train_median(table, names)), names
+    kept = clean.zone_features(table, names)
+    imputed = clean.impute_train_median(table, names)
+    return numbered(clean.without_absent(imputed, kept, names)), names
 
 
 def attach(df: DataFrame, forecasters: Mapping[str, Forecaster], names: Sequence[str]) -> DataFrame:
-    """Test rows with one column per forecaster, matched on (zone, for_date)."""
-    out = df.where(F.col("split") == "test").select("zone", "for_date", "actual")
+    """Test rows with one column per forecaster, matched by row number: as many rows as there were."""
+    out = df.where(F.col("split") == "test").select(ROW, "zone", "for_date", "actual")
     for column, f in forecasters.items():
-        out = out.join(f(df, names).withColumnRenamed("pred", column), ["zone", "for_date"], "left")
+        out = out.join(f(df, names).withColumnRenamed("pred", column), ROW, "left")
     return out
 
 
@@ -101,7 +113,7 @@ def run_daily(
     History and weights are those of earlier runs, so a run never learns from itself.
     """
     table, names = prepare(series, holidays)
-    preds = attach(table, forecasters or DEFAULT_FORECASTERS, names)
+    preds = attach(table, forecasters or DEFAULT_FORECASTERS, names).drop(ROW)
     paired = preds.withColumn("pred_ensemble_xgb_lgbm", weighted_average(C.PAIR_WEIGHTS))
     weights = hist.weights_load(stored_weights, C.DEFAULT_WEIGHTS)
     blended = materialize(add_ape(

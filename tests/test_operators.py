@@ -2,15 +2,17 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gridcast.functions import blend, dates, scores
-from gridcast.operators import blends, clean, compare, dashboard, importance, metrics, monitor, quality, slices
+from gridcast.operators import blends, clean, compare, dashboard, features, forecast, importance, metrics, monitor, quality, slices
 from gridcast.operators.forecast import fit_gbt, sequence_forecast
+from gridcast.operators.ordered import number_rows, time_bucket
 from gridcast.plans import inputs as I
-from gridcast.plans.daily import ridge, run_daily, sequence, trees, write_daily
-from gridcast.plans.standalone import next_history, run_standalone
+from gridcast.plans.daily import attach, prepare, ridge, run_daily, sequence, trees, write_daily
+from gridcast.plans.standalone import next_history, run_standalone, write_standalone
 from gridcast.plans.tuning import tune
 from gridcast.sources import history as hist
 from gridcast.sources import tables, zones
@@ -90,7 +92,7 @@ def test_feature_selection(spark):
                                "zone string, split string, for_date timestamp_ntz, requirement double, a int, b int, "
                                "REQUIREMENT_LAG_1D double, t string, f boolean")
     names = clean.select_features(df.schema, df.schema)
-    assert names == ["a", "b"] and clean.present_features(df, names) == []
+    assert names == ["a", "b"]
     assert one(clean.bool_to_int(df)).f == 1
 
 
@@ -384,3 +386,94 @@ def test_sequence_warm_up(spark):
     carried = sequence_forecast(df, ["x"], length=4, carry=True).where("split = 'test'")
     assert own.where("pred IS NULL").count() == 3 and carried.where("pred IS NULL").count() == 0
     assert own.count() == carried.count() == 20
+
+
+def _wide(spark, n=400, k=44, zones=("A", "B", None)):
+    r = np.random.default_rng(5)
+    rows = []
+    for z, zone in enumerate(zones):
+        x = r.standard_normal((n, k)) * (1 + np.arange(k)) + 1000 * z
+        x[:, 3:4] = 7.0
+        y = x @ np.linspace(-1, 1, k) + r.standard_normal(n) + 1e6
+        for i in range(n):
+            rows.append((zone, "train" if i < n - 50 else "test", T + dt.timedelta(minutes=30 * i), float(y[i]), *map(float, x[i])))
+    names = [f"f{i}" for i in range(k)]
+    return spark.createDataFrame(rows, "zone string, split string, for_date timestamp_ntz, requirement double, "
+                                 + ", ".join(f"{c} double" for c in names)), names
+
+
+def test_ridge_on_many_features_agrees_with_numpy(spark):
+    df, names = _wide(spark)
+    got = forecast.zone_ridge(df.repartition(5), names, penalty=0.1).toPandas()
+    assert len(got) == 1200
+    for zone, part in got.groupby("zone"):
+        train = part[part.split == "train"]
+        x, y = train[names].to_numpy(), train.requirement.to_numpy()
+        sd = x.std(axis=0)
+        on = sd > 1e-9
+        z = (x[:, on] - x[:, on].mean(axis=0)) / sd[on]
+        beta = np.linalg.solve(z.T @ z / len(z) + 0.1 * np.eye(on.sum()), z.T @ (y - y.mean()) / len(z))
+        want = y.mean() + (part[names].to_numpy()[:, on] - x[:, on].mean(axis=0)) / sd[on] @ beta
+        assert np.abs(want - part.pred).max() < 1e-6
+    assert got[got.zone.isna()].pred.isna().all()  # a null zone matches no model
+
+
+def test_moments_merge_and_keep_null_keys(spark):
+    df, names = _wide(spark, n=60, k=3)
+    for r in forecast.moments(df.repartition(7), ["zone"], names).collect():
+        x = df.where(F.col("zone").eqNullSafe(F.lit(r.zone))).select(*names).toPandas().to_numpy()
+        m = forecast.Moments.read(r.moments, 3)
+        assert m.n == 60 and np.allclose(m.mean, x.mean(axis=0)) and np.allclose(m.products, np.cov(x.T, bias=True) * 60)
+
+
+def test_sequence_over_all_features_is_planned_quickly(spark):
+    df, names = _wide(spark, n=300, zones=("A",))
+    out = sequence_forecast(df, names, length=6, penalty=0.1).where("split = 'test'")
+    assert out.where("pred IS NOT NULL").count() == 50
+
+
+def test_a_zone_without_a_feature_still_gets_forecasts(spark):
+    df, names = _wide(spark, k=4, zones=("A", "B"))
+    df = df.withColumn("f1", F.when(F.col("zone") == "A", F.col("f1"))).withColumn("f2", F.when(F.col("split") == "train", F.col("f2")))
+    kept = clean.zone_features(df, names)
+    assert {(r.zone, r.feature) for r in kept.collect()} == {("A", "f0"), ("A", "f1"), ("A", "f3"), ("B", "f0"), ("B", "f3")}
+    ready = clean.without_absent(clean.impute_train_median(df, names), kept, names)
+    assert forecast.zone_ridge(ready, names).where("split = 'test' AND pred IS NULL").count() == 0
+
+
+def test_repeated_stamps_keep_the_number_of_rows(spark):
+    df, names = _wide(spark, n=80, k=2, zones=("A",))
+    df = df.withColumnsRenamed({"f0": "REQUIREMENT_LAG_3D", "f1": "REQ_LAST168H"})
+    twice = df.unionByName(df.where("split = 'test'").limit(5)).withColumn("tariff", F.lit("x"))
+    table, found = prepare(twice, I.holidays(spark))
+    assert "tariff" in found  # text features reach the models as codes
+    preds = attach(table, {"a": ridge(), "b": ridge(1.0), "c": ridge(10.0)}, found)
+    assert preds.count() == 55 and preds.where("a IS NULL").count() == 0
+
+
+def test_row_numbers_keep_null_keys_and_unique_is_checked(spark):
+    df = spark.createDataFrame([(None, T, 1.0), (None, T + dt.timedelta(hours=1), 2.0), ("A", T, 3.0)],
+                               "zone string, for_date timestamp_ntz, requirement double")
+    assert sorted(r._no for r in number_rows(df, ["zone"], ["for_date"], time_bucket("for_date"), "_no").collect()) == [1, 1, 2]
+    assert features.add_clock_lags(df, {"l": 1}, unique=True).count() == 3
+    with pytest.raises(Exception, match="unique"):
+        features.add_clock_lags(df.unionByName(df), {"l": 1}, unique=True).collect()
+
+
+def test_history_ties_are_decided(spark):
+    rows = [("A", T, float(v), "20240126_060000") for v in (3, 1, 2)]
+    df = spark.createDataFrame(rows, "zone string, for_date timestamp_ntz, actual double, run_timestamp string")
+    assert one(hist.history_latest(df.repartition(3))).actual == 3.0
+
+
+def test_standalone_runs_follow_each_other(spark, tmp_path):
+    s, now = I.features(spark, SF), F.lit(I.NOW).cast("timestamp_ntz")
+    configs = {"org": {"pred_xgb": ridge(1.0), "pred_lgbm": ridge(0.1), "pred_lstm": ridge(0.01)}}
+    reg, history = I.registry(spark, SF), None
+    for ts in ("20240127_060000", "20240128_060000"):
+        run = run_standalone(s, reg, configs, ts, I.RUN_DATE, now, history)
+        path = write_standalone(run, str(tmp_path), ts, history)
+        history = spark.read.parquet(path)
+        assert history.count() == 2 * 288 and history.where(F.col("run_timestamp") != ts).count() == 0
+    assert {r.reason for r in spark.read.parquet(str(tmp_path / "drift")).collect()} != {"no history"}
+    assert spark.read.parquet(str(tmp_path / "manifests")).select("run_ts").distinct().count() == 2
