@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,57 +35,53 @@ def ens_inverse_mape(
         *df.columns, out)
 
 
-def _objective(w: Sequence[Column], preds: Sequence[Column], actual: Column) -> Column:
-    """APE of the blend with |actual| + 1 below; a missing last model renormalises the others."""
-    full = reduce(add, [p * x for p, x in zip(preds, w)])
-    rest = reduce(add, w[:-1])
-    partial = reduce(add, [p * F.try_divide(x, rest) for p, x in zip(preds[:-1], w[:-1])])
-    blend = F.when(preds[-1].isNotNull(), full).otherwise(partial)
-    return F.abs(blend - actual) / (F.abs(actual) + 1.0) * 100
-
-
 def weight_search(
     history: DataFrame, preds: Sequence[str], min_rows: int = MIN_ROWS_WEIGHTS, refine: bool = True,
     dedup: str | None = None,
 ) -> DataFrame:
     """The three weights (at least 0, sum 1) with the least mean error over all scored rows.
 
-    A grid of 231 points in steps of 0.05, then steps of 0.01 around the best one. Each row meets
-    the grid inside its task and only one sum per point leaves it. No row comes back below
-    ``min_rows`` scored rows; a point for which some row has no blend is left out.
+    A grid of 231 points in steps of 0.05, then steps of 0.01 around the best one. The error is APE
+    with |actual| + 1 below; a missing last model renormalises the others. A task evaluates all
+    points for many rows at once and leaves one sum per point. No row comes back below ``min_rows``
+    scored rows; a point for which some row has no blend is left out.
     """
     a, b, c = preds
-    n = int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # each row is worth hundreds of evaluations, so spread the rows evenly first
-    rows = scored_history(history, dedup).select("zone", "for_date", "actual", *preds).repartition(
-        n, "zone", "for_date").select("actual", *preds)
-    best = _best(rows, F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")), preds, range(0, 101, 5))
+    rows = scored_history(history, dedup).select(*[F.col(x).cast("double") for x in ("actual", *preds)])
+    best = _best(rows, preds, [(i, j) for i in range(0, 101, 5) for j in range(0, 101 - i, 5)])
     if refine:
-        best = _best(rows, best.select(F.struct(F.col("_i").alias("i"), F.col("_j").alias("j"))).scalar(),
-                     preds, range(-5, 6))
+        found = best.first()
+        if found:
+            near = [(found._i + x, found._j + y) for x in range(-5, 6) for y in range(-5, 6)]
+            best = _best(rows, preds, [(i, j) for i, j in near if i >= 0 and j >= 0 and i + j <= 100])
     return best.where(F.col("n_rows_used") >= min_rows).select(
         (F.col("_i") / 100.0).alias(a), (F.col("_j") / 100.0).alias(b),
         ((100 - F.col("_i") - F.col("_j")) / 100.0).alias(c),
         F.round("_mape", 4).alias("mape_at_optimum"), "n_rows_used")
 
 
-def _best(rows: DataFrame, origin: Column, preds: Sequence[str], steps: range) -> DataFrame:
-    """The best point (in hundredths) among ``origin`` plus each pair of steps, inside the simplex."""
-    i, j = F.col("_i"), F.col("_j")
-    n = len(steps)
-    pair = F.explode(F.sequence(F.lit(0), F.lit(n * n - 1)))
-    moved = rows.withColumn("_o", origin).select("*", pair.alias("_k")).select(
-        "actual", *preds,
-        (F.col("_o.i") + steps.start + steps.step * F.floor(F.col("_k") / n)).cast("int").alias("_i"),
-        (F.col("_o.j") + steps.start + steps.step * (F.col("_k") % n)).cast("int").alias("_j"))
-    w = [i / 100.0, j / 100.0, (100 - i - j) / 100.0]
-    error = _objective(w, [F.col(p) for p in preds], F.col("actual"))
-    per_point = (
-        moved.where((i >= 0) & (j >= 0) & (i + j <= 100))
-        .groupBy("_i", "_j").agg(F.avg(error).alias("_mape"), F.count(error).alias("_valid"),
-                                 F.count("*").alias("n_rows_used"))
-        .where(F.col("_valid") == F.col("n_rows_used"))
-    )
+def _best(rows: DataFrame, preds: Sequence[str], points: Sequence[tuple[int, int]]) -> DataFrame:
+    """The best of some points (first two weights in hundredths)."""
+    w = np.array([(i / 100.0, j / 100.0, (100 - i - j) / 100.0) for i, j in points]).T
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, valid, n = np.zeros(w.shape[1]), np.zeros(w.shape[1], np.int64), 0
+        for pdf in batches:
+            actual, p = pdf["actual"].to_numpy(float)[:, None], pdf[list(preds)].to_numpy(float)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                two = (p[:, :2] @ w[:2]) / (w[0] + w[1])
+                three = p[:, :2] @ w[:2] + np.nan_to_num(p[:, 2:]) * w[2]
+                error = np.abs(np.where(np.isnan(p[:, 2:]), two, three) - actual) / (np.abs(actual) + 1.0) * 100
+            known = np.isfinite(error)
+            total += np.where(known, error, 0.0).sum(axis=0)
+            valid += known.sum(axis=0)
+            n += len(pdf)
+        if n:
+            yield pd.DataFrame({"_i": [i for i, _ in points], "_j": [j for _, j in points], "s": total, "v": valid, "n": n})
+
+    per_point = rows.mapInPandas(sums, "_i int, _j int, s double, v long, n long").groupBy("_i", "_j").agg(
+        F.sum("s").alias("s"), F.sum("v").alias("v"), F.sum("n").alias("n_rows_used")).where("v = n_rows_used").withColumn(
+        "_mape", F.col("s") / F.col("v"))
     return per_point.agg(F.min_by(
         F.struct("_i", "_j", "_mape", "n_rows_used"),
         F.struct(F.round("_mape", 6), "_i", "_j")).alias("_b")).where(F.col("_b").isNotNull()).select("_b.*")

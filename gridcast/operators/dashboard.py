@@ -22,7 +22,7 @@ def peak_topk(df: DataFrame, value: str, key: str = "zone") -> DataFrame:
     v = F.col(value)
     return df.where(v.isNotNull()).groupBy(key).agg(
         F.max(v).alias("peak"),
-        F.max_by("for_date", F.struct(v, -epoch_seconds(F.col("for_date")))).alias("peak_time"))
+        F.max_by("for_date", F.struct(v, -F.unix_micros(F.col("for_date").cast("timestamp")))).alias("peak_time"))
 
 
 def plan_asof(
@@ -33,16 +33,15 @@ def plan_asof(
     If a date saw several runs the newest counts; ``whole_run_date`` adds all of them up.
     """
     run = ["run_date"] if whole_run_date else ["run_date", "run_timestamp"]
-    p = F.when(on_day(F.col("for_date"), run_date), F.col(pred))
-    hit = on_day(F.col("for_date"), run_date)
-    per_run = history.where(F.col("run_date") < F.lit(run_date).cast("date")).groupBy("zone", *run).agg(
-        F.sum(p).alias("s"), F.max(p).alias("m"), F.count_if(hit).alias("n"))
-    last = F.max_by(F.struct("run_date", "s", "m", "n"), F.struct(*run))
-    return per_run.groupBy("zone").agg(last.alias("r")).select(
-        "zone",
-        F.when(F.col("r.n") > 0, F.round(F.coalesce(F.col("r.s"), F.lit(0.0)), 2)).alias("plan_total_mw"),
-        F.round(F.col("r.m"), 2).alias("plan_peak_mw"),
-        F.date_format("r.run_date", "yyyy-MM-dd").alias("plan_made_on"))
+    earlier = history.where(F.col("run_date") < F.lit(run_date).cast("date"))
+    # the newest run comes from the run columns alone; then only that run's rows of the date are read
+    newest = earlier.groupBy("zone").agg(F.max(F.struct(*run)).alias("r")).select("zone", "r.*")
+    p = F.col(pred)
+    plans = earlier.where(on_day(F.col("for_date"), run_date)).groupBy("zone", *run).agg(
+        F.coalesce(F.sum(p), F.lit(0.0)).alias("s"), F.max(p).alias("m"))
+    return newest.join(plans, ["zone", *run], "left").select(
+        "zone", F.round("s", 2).alias("plan_total_mw"), F.round("m", 2).alias("plan_peak_mw"),
+        F.date_format("run_date", "yyyy-MM-dd").alias("plan_made_on"))
 
 
 def decision_dashboard(
@@ -51,7 +50,9 @@ def decision_dashboard(
     p, a = F.col(pred), F.col("actual")
     is_today = on_day(F.col("for_date"), run_date)
     scored = on_day(F.col("for_date"), run_date, -1) & is_realized(a)
-    per_zone = predictions.groupBy("zone").agg(
+    both = predictions.where(on_day(F.col("for_date"), run_date) | on_day(F.col("for_date"), run_date, -1))
+    zones = predictions.select("zone").distinct()
+    per_zone = both.groupBy("zone").agg(
         F.round(F.avg(F.when(scored, a)), 2).alias("actual_yesterday_avg_mw"),
         F.round(F.max(F.when(scored, a)), 2).alias("peak_yesterday_mw"),
         _peak_time(a, scored).alias("peak_yesterday_time"),
@@ -60,7 +61,7 @@ def decision_dashboard(
         F.round(F.max(F.when(is_today, p)), 2).alias("today_forecast_peak_mw"),
         _peak_time(p, is_today).alias("today_forecast_peak_time"),
     )
-    return per_zone.join(plan_asof(history, run_date, pred), "zone", "left").select(
+    return zones.join(per_zone, "zone", "left").join(plan_asof(history, run_date, pred), "zone", "left").select(
         "zone", F.lit(run_date).alias("date"), "plan_total_mw", "plan_peak_mw", "plan_made_on",
         "actual_yesterday_avg_mw", "peak_yesterday_mw", "peak_yesterday_time",
         "today_forecast_total_mw", "today_forecast_peak_mw", "today_forecast_peak_time")

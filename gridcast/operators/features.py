@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcast.config import STEP_MINUTES, WEEK_LAG
@@ -145,10 +145,17 @@ def sequences_predict(df: DataFrame, features: Sequence[str], length: int, **kw)
 def sequences_carry(
     df: DataFrame, features: Sequence[str], length: int, key: str = "zone", **kw,
 ) -> DataFrame:
-    """Test sequences that begin in the train rows, so the test split has no warm-up gap."""
+    """Test sequences that begin in the train rows, so the test split has no warm-up gap.
+
+    The train split ends before the test split begins, so only its last ``length`` rows per key are
+    needed; they are picked before any sequence is built.
+    """
     order = kw.pop("order", ("for_date",))
-    return add_sequences(df, features, length, False, keys=(key,), order=order, **kw).where(
-        F.col("split") == "test")
+    latest = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_first() for c in order])
+    tail = df.where(F.col("split") == "train").withColumn("_back", F.row_number().over(latest)).where(
+        F.col("_back") <= length).drop("_back")
+    return add_sequences(df.where(F.col("split") == "test").unionByName(tail), features, length, False, keys=(key,),
+                         order=order, **kw).where(F.col("split") == "test")
 
 
 def build_features(

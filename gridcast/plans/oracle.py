@@ -439,7 +439,7 @@ _SQL: dict[str, str | tuple[str, str]] = {
         UNION ALL SELECT reg, for_date, NULL, NULL, pred_m2 FROM f5s""",
     "zones_failed": "SELECT zone FROM reg EXCEPT SELECT zone FROM f5",
     "peak_topk": """SELECT zone, max(requirement) AS peak,
-        arg_max(for_date, {'v': requirement, 't': -epoch(date_trunc('second', for_date))}) AS peak_time FROM rd GROUP BY zone""",
+        arg_max(for_date, {'v': requirement, 't': -epoch_us(for_date)}) AS peak_time FROM rd GROUP BY zone""",
     "sort_importance": "SELECT zone, model, feature, round(importance, 6) AS importance FROM imp",
     "shift_zscore": (_shift("od"), "SELECT * FROM shift"),
     "drift_flags": (FLAGS, "SELECT * FROM flags"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,19 +23,26 @@ def get_spark(master: str | None = None, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_FOLDERS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh sub-folder of ``spark.checkpoint.dir``, which every executor can reach.
+    """A path for one new table in the shared folder, which every executor can reach.
 
-    Only a local session without that setting gets a temporary folder; on a cluster the setting
-    is required, since executors do not share the driver's disk.
+    The folder is ``spark.checkpoint.dir``; where that is unset, the session's warehouse, which is
+    shared as well. Everything written there goes when the session's JVM ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="gridcast-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/gridcast-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+        folder = f"{root.rstrip('/')}/gridcast-{uuid.uuid4().hex}"
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+        _FOLDERS[app] = folder
+    return f"{_FOLDERS[app]}/{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -10,8 +10,9 @@ from gridcast.session import get_spark  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_spark("local[8]", **{
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
