@@ -104,7 +104,7 @@ def _band_keys(rows: DataFrame, hashes: int) -> DataFrame:
                         where.append(chunk.first + i)
                         kind.append(PASSAGE)
                         start.append(at)
-                        keys.append([h - (1 << 64) if h >> 63 else h])
+                        keys.append([h - (1 << 64) if h >> 63 else h])  # hashes of unlike kinds do not meet
                     for at, _, shingles in units.paragraphs(i):
                         s = signature(shingles, hashes).astype(U64).reshape(-1, ROWS)
                         bands = mix((s[:, 0] << U64(32) | s[:, 1]) + np.arange(1, len(s) + 1, dtype=U64))
@@ -120,7 +120,7 @@ def _band_keys(rows: DataFrame, hashes: int) -> DataFrame:
 
 
 def _described(rows: DataFrame) -> DataFrame:
-    """(doc, kind, start, words, digest, n, sig, set) of the units listed in ``rows(doc, text, units)``."""
+    """(doc, kind, start, words, digest, n, set) of the units listed in ``rows(doc, text, units)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,24 +129,34 @@ def _described(rows: DataFrame) -> DataFrame:
             for chunk in chunks(as_bytes(batch.column(1)), SPACED):
                 units = Units(chunk)
                 for i in range(chunk.count):
-                    wanted = {(u["kind"], u["start"]) for u in listed[chunk.first + i]}
-                    for kind, at in sorted(wanted):
-                        if kind == PASSAGE:
-                            rest.append((PASSAGE, at, RUN, units.passage_name(i, at), 0, None, None))
+                    wanted = set(listed[chunk.first + i])
+                    for unit in sorted(wanted):
+                        if unit % 2 == PASSAGE:
+                            rest.append((PASSAGE, unit // 2, RUN, units.passage_name(i, unit // 2), 0, None))
                             where.append(chunk.first + i)
                     for at, n, shingles in units.paragraphs(i):
-                        if (PARAGRAPH, at) in wanted:
-                            rest.append((PARAGRAPH, at, n, digest(shingles), len(shingles),
-                                         signature(shingles, HASHES).tobytes(), shingles.tobytes()))
+                        if at * 2 + PARAGRAPH in wanted:
+                            rest.append((PARAGRAPH, at, n, digest(shingles), len(shingles), shingles.tobytes()))
                             where.append(chunk.first + i)
-            columns = list(zip(*rest)) if rest else [()] * 7
-            kinds = [pa.int8(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
+            columns = list(zip(*rest)) if rest else [()] * 6
+            kinds = [pa.int8(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(where, pa.int64())), *[pa.array(c, k) for c, k in zip(columns, kinds)]],
-                ["doc", "kind", "start", "words", "digest", "n", "sig", "set"])
+                ["doc", "kind", "start", "words", "digest", "n", "set"])
 
     doc = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc {doc}, kind byte, start int, words int, digest binary, n long, sig binary, set binary")
+    return rows.mapInArrow(run, f"doc {doc}, kind byte, start int, words int, digest binary, n long, set binary")
+
+
+def _signed(sets: DataFrame) -> DataFrame:
+    """(node, n, sig) of (node, n, set)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            sig = [signature(np.frombuffer(s.as_buffer(), U64), HASHES).tobytes() for s in x.column(2)]
+            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), pa.array(sig, pa.binary())], ["node", "n", "sig"])
+
+    return sets.mapInArrow(run, "node long, n long, sig binary")
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, miss: float = 1e-4) -> DataFrame:
@@ -157,17 +167,18 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     while (1 - (percent / 100) ** ROWS) ** bands > RECALL_MISS:
         bands += 1
     keyed = materialize(_band_keys(rows, bands * ROWS))
-    one = keyed.select("doc", "kind", "start", F.explode("keys").alias("key"))
-    live = one.groupBy("kind", "key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi")
-    found = one.join(live.select("kind", "key"), ["kind", "key"], "left_semi").select("doc", "kind", "start").distinct()
-    wanted = materialize(found.groupBy("doc").agg(F.collect_list(F.struct("kind", "start")).alias("units")))
+    # kind and place in one number: these rows are shuffled twice, and there are several per unit
+    one = keyed.select("doc", (F.col("start") * 2 + F.col("kind")).alias("unit"), F.explode("keys").alias("key"))
+    live = one.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi")
+    found = one.join(live.select("key"), "key", "left_semi")
+    wanted = materialize(found.groupBy("doc").agg(F.collect_set("unit").alias("units")))
     units = materialize(_described(rows.join(wanted, "doc").select("doc", "text", "units")))
     place = F.struct("doc", "start")
     classes = materialize(units.groupBy("kind", "digest").agg(
-        F.min(place).alias("least"), F.max("doc").alias("most"), F.first("n").alias("n"), F.first("sig").alias("sig"),
-        F.first("set").alias("set")).withColumn("node", F.monotonically_increasing_id()))
-    lines = classes.where(F.col("kind") == PARAGRAPH)
-    roots = linked(lines.select("node", "n", "sig"), lambda nodes: lines.select("node", "set").join(nodes, "node"), percent, miss, HASHES)
+        F.min(place).alias("least"), F.max("doc").alias("most"), F.first("n").alias("n"), F.first("set").alias("set")).withColumn(
+        "node", F.monotonically_increasing_id()))
+    lines = classes.where(F.col("kind") == PARAGRAPH).select("node", "n", "set")
+    roots = linked(materialize(_signed(lines)), lambda nodes: lines.select("node", "set").join(nodes, "node"), percent, miss, HASHES)
     placed = classes.select("kind", "digest", "node", "least", "most").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = placed.groupBy("root").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least.doc <> most")
     named = materialize(placed.select("kind", "digest", "root").join(groups, "root").select("kind", "digest", F.col("least").alias("lead")))
