@@ -58,7 +58,6 @@ STANDALONE_MODELS = {
 }
 ALERT_TOKEN = "Ensemble_XGB_LGBM"
 RUN_STAMP = "yyyyMMdd_HHmmss"
-ALERT_TEXT = "MAPE ALERT | %s | Ensemble MAPE=%.2f%% > {limit}%% | BIAS=%.1f MW"
 ALERT_DETAIL = "MAPE=%.2f%% BIAS=%.1f"
 DRIFT_DETAIL = "z=%.3f"
 BIAS_DETAIL = "bias=%.2f corr=%.2f n=%d"
@@ -72,3 +71,6 @@ REASON_DRIFT = "MAPE %.2f%% > threshold {threshold}%% over last {days} days"
 TREES_MODULAR = {"maxIter": 300, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.9}
 TREES_ORG = {"maxIter": 1400, "maxDepth": 8, "stepSize": 0.04, "subsamplingRate": 1.0}
 SEED = 42
+
+# Wording of our own, not a stored value.
+ALERT_TEXT = "%s: the ensemble is off by %.2f%% on average, above the limit of {limit}%% (bias %.1f MW)"

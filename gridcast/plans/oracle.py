@@ -271,12 +271,14 @@ _SQL: dict[str, str | tuple[str, str]] = {
     "weights_load": f"""SELECT round({INVERSE['pred_m1']} / ({INVERSE['pred_m1']} + {INVERSE['pred_m2']}), 6) AS pred_m1,
         round({INVERSE['pred_m2']} / ({INVERSE['pred_m1']} + {INVERSE['pred_m2']}), 6) AS pred_m2
         FROM f6 WHERE abs(actual) >= 1 AND run_timestamp = (SELECT max(run_timestamp) FROM f6 WHERE abs(actual) >= 1)""",
-    "adapt_log": (FLAGS, f"""SELECT {NOW} AS timestamp, 'BIAS_CORRECTION_COMPUTED' AS event_type, zone,
+    "adapt_log": (FLAGS + ",\n" + SEARCH, f"""SELECT {NOW} AS timestamp, 'BIAS_CORRECTION_COMPUTED' AS event_type, zone,
         printf('bias=%.2f corr=%.2f n=%d', -correction, correction, n) AS detail, round(correction, 6) AS value FROM corr
         UNION ALL SELECT {NOW}, 'MAPE_ALERT', zone, printf('MAPE=%.2f%% BIAS=%.1f', MAPE, BIAS), round(MAPE, 6)
             FROM met WHERE model LIKE '%Ensemble_M1_M2%' AND MAPE > 3
         UNION ALL SELECT {NOW}, CASE WHEN severity = 'critical' THEN 'DRIFT_CRITICAL' ELSE 'DRIFT_WARNING' END, zone,
-            printf('z=%.3f', z_score), z_score FROM flags"""),
+            printf('z=%.3f', z_score), z_score FROM flags
+        UNION ALL SELECT {NOW}, 'WEIGHT_OPT_UPDATED', 'ALL', printf('m1=%.3f m2=%.3f m3=%.3f mape=%.3f n=%d', i / 100.0::DOUBLE,
+            j / 100.0::DOUBLE, (100 - i - j) / 100.0::DOUBLE, round(m, 4), n), round(m, 4) FROM fine WHERE n >= 48"""),
     "run_manifest": (DRIFT, """SELECT '20240127_180000' AS run_timestamp, 'zones_ok' AS item, zone, count(*) AS value
             FROM f5 GROUP BY zone
         UNION ALL SELECT '20240127_180000', 'zones_failed', zone, 0 FROM reg WHERE zone NOT IN (SELECT zone FROM f5)
@@ -445,12 +447,12 @@ _SQL: dict[str, str | tuple[str, str]] = {
     "drift_flags": (FLAGS, "SELECT * FROM flags"),
     "drift_recent_mape": (DRIFT, "SELECT * FROM drift"),
     "mape_alerts": """SELECT zone, model, round(MAPE, 6) AS MAPE, round(BIAS, 6) AS BIAS,
-        printf('MAPE ALERT | %s | Ensemble MAPE=%.2f%% > 3.0%% | BIAS=%.1f MW', zone, m, b) AS message
+        printf('%s: the ensemble is off by %.2f%% on average, above the limit of 3.0%% (bias %.1f MW)', zone, m, b) AS message
         FROM (SELECT *, MAPE AS m, BIAS AS b FROM met) WHERE model LIKE '%Ensemble_M1_M2%' AND m > 3""",
     "bias_compute": "SELECT zone, round(correction, 6) AS correction, n FROM corr",
     "bias_apply": "SELECT f.zone, for_date, actual, " + ", ".join(
         f"""round(CASE WHEN abs(actual) < 1 AND correction IS NOT NULL AND {p} IS NOT NULL
-            THEN greatest({p} + correction, 0) ELSE {p} END, 6) AS {p}""" for p in P5)
+            THEN greatest({p} + correction, 0) ELSE {p} END, 9) AS {p}""" for p in P5)
         + " FROM f5e f LEFT JOIN corr ON corr.zone = f.zone",
     "decision_dashboard": (PLAN, f"""SELECT f.zone, '2024-01-28' AS date, max(plan_total_mw) AS plan_total_mw,
         max(plan_peak_mw) AS plan_peak_mw, max(plan_made_on) AS plan_made_on,

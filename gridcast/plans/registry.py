@@ -131,7 +131,8 @@ def adapt_log(spark, sf):
     log = hist.adapt_log(
         monitor.bias_events(monitor.bias_compute(history), now()),
         monitor.alert_events(monitor.mape_alerts(scored, token=TOKEN), now()),
-        monitor.drift_events(_flags(spark, sf), now()))
+        monitor.drift_events(_flags(spark, sf), now()),
+        monitor.weight_events(weight_search(spark, sf), {"pred_m1": "m1", "pred_m2": "m2", "pred_m3": "m3"}, now()))
     return r6(log, "value")
 
 
@@ -578,7 +579,8 @@ def bias_compute(spark, sf):
 @query
 def bias_apply(spark, sf):
     fixed = monitor.bias_apply(I.blended(spark, sf), monitor.bias_compute(I.history(spark, sf)))
-    return r6(fixed.drop("is_peak"), *I.MODELS.values())
+    # shares of 1/64 end in a 5 at the seventh place: nine places leave no value half-way
+    return fixed.drop("is_peak").withColumns({c: F.round(c, 9) for c in I.MODELS.values()})
 
 
 @query

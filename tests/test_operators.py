@@ -180,8 +180,8 @@ def test_drift_flags_and_alerts(spark):
                                  ("B", "Ensemble_XGB_LGBM", 3.0, 1.0), ("C", "Ensemble_XGB_LGBM", None, 1.0)],
                                 "zone string, model string, MAPE double, BIAS double")
     got = sorted(r.message for r in monitor.mape_alerts(met).collect())
-    assert got == ["MAPE ALERT | A | Ensemble MAPE=3.10% > 3.0% | BIAS=1.0 MW",
-                   "MAPE ALERT | A | Ensemble MAPE=9.00% > 3.0% | BIAS=-2.0 MW"]
+    assert got == ["A: the ensemble is off by 3.10% on average, above the limit of 3.0% (bias 1.0 MW)",
+                   "A: the ensemble is off by 9.00% on average, above the limit of 3.0% (bias -2.0 MW)"]
 
 
 def test_shift_in_prior_years_only(spark):
