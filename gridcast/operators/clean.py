@@ -12,6 +12,7 @@ from gridcast.config import EXCLUDED_FEATURES, LAG_3D, WEEK_LAG
 from gridcast.functions.scores import finite_or_null
 from gridcast.operators.exact import exact_median
 from gridcast.operators.ordered import WEEK, fill_both_ways, number_rows
+from gridcast.session import materialize
 
 NOT_FEATURES = ("for_date", "requirement", "zone")
 
@@ -103,14 +104,16 @@ def encode_category(
 ) -> DataFrame:
     """Strings to codes in sorted order, learnt on the ``fit`` rows; null and unseen give -1.
 
-    Values are ranked inside a two-letter prefix and shifted by the counts of earlier prefixes, so
-    a wide vocabulary is not sorted in one task.
+    The vocabulary is dealt into ranges of its own values; values are ranked inside a range and
+    shifted by the counts of earlier ranges, so a wide vocabulary is not sorted in one task, however
+    its values begin.
     """
     out = df
     for c in columns:
         vocab = (df if fit is None else df.where(fit)).where(F.col(c).isNotNull()).select(*keys, c).distinct()
-        # the vocabulary has no date, so the prefix itself is the bucket
-        codes = number_rows(vocab, keys, [c], F.substring(F.col(c), 1, 2), out="_code")
+        # written, since ranges come from a sample and must not change between uses
+        dealt = materialize(vocab.repartitionByRange(*keys, c).withColumn("_range", F.spark_partition_id()))
+        codes = number_rows(dealt, keys, [c], F.col("_range"), out="_code").drop("_range")
         out = (
             out.join(codes, [*keys, c], "left")
             .withColumn(c, F.coalesce(F.col("_code") - 1, F.lit(-1)).cast("int"))
