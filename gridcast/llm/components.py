@@ -22,18 +22,18 @@ def components(links: DataFrame) -> DataFrame:
     taken before the shuffle, and every round's table is written to the shared folder, so losing an
     executor costs one round.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
-    alone = links.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("root"))
-    edges = materialize(edges.distinct())
+    edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"))
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = _with_least(large)
         edges = materialize(small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(
             F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct())
-        tails = edges.groupBy("u").agg(F.count("*").alias("n"))
-        if tails.where("n > 1").isEmpty() and edges.join(tails.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
+        # done when every node either hangs on one other or is hung on
+        ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(
+            F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("e")).select("e.*")
+        degree = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if degree.where("up > 1 or (up = 1 and down = 1)").isEmpty():
             break
-    stars = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    centres = edges.select(F.col("v").alias("node"), F.col("v").alias("root"))
-    return stars.unionByName(centres.unionByName(alone).distinct().join(stars.select("node"), "node", "left_anti"))
+    centres = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return materialize(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(centres))

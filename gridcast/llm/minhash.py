@@ -3,8 +3,8 @@
 Works on classes: rows with the same set are one class, told apart by a 128-bit digest of the set and
 numbered, so exact copies never meet each other. Candidate pairs come in rounds, none of which lists the pairs
 of a bucket: every member against the bucket's smallest and largest class, then against the one with
-the most links so far. A bucket whose members are all in one component is done. At last, in the
-buckets that are left, all members outside the largest component are compared with all others, block
+the most links so far. A bucket whose members are now all in one component is done. In the buckets
+that are left, all members outside the largest component are compared with all others, block
 by block inside tasks, which is what makes the result complete. Every link is confirmed on full sets.
 """
 
@@ -198,40 +198,30 @@ def linked(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percen
     hubs = bands.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
     live = materialize(bands.join(hubs, "key"))
     sets = materialize(sets_of(live.select("node").distinct()))
-    links = roots = None
-    for step in ("ends", "central", "rest"):
-        placed = live.withColumn("root", F.col("node"))
-        if roots is not None:  # only buckets in which components still meet
-            placed = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-            placed = materialize(placed.join(several.select("key"), "key", "left_semi"))
-            live = placed.drop("root")
-        if placed.isEmpty():
-            break
-        if step == "rest":
-            new = _rest(placed.select("key", "node", "root"), classes, sets, percent, miss, hashes)
-        else:
-            pairs = _star(placed, step, links)
-            new = _confirm(_prune(pairs, classes, threshold, miss, hashes), sets, percent)
-        new = materialize(new)
-        if not new.isEmpty():
-            links = new if links is None else links.unionByName(new)
-            roots = components(new if roots is None else new.unionByName(roots.where("node <> root").toDF("a", "b")))
-    if roots is None:
-        return classes.select("node", F.col("node").alias("root")).limit(0)
-    return roots
-
-
-def _star(placed: DataFrame, step: str, links: DataFrame | None) -> DataFrame:
-    """Every member of a bucket with the bucket's hubs, where their components differ: the smallest
-    and the largest class, or the one with the most links so far."""
+    links = None
+    for step in ("ends", "central"):
+        maybe = _prune(_star(live, step, links), classes, threshold, miss, hashes)
+        new = materialize(_confirm(maybe, sets, percent))
+        links = new if links is None else links.unionByName(new)
+    roots = components(links)
+    placed = live.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    apart = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    placed = materialize(placed.join(apart.select("key"), "key", "left_semi"))
+    if placed.isEmpty():
+        return roots
+    new = materialize(_rest(placed, classes, sets, percent, miss, hashes))
+    if new.isEmpty():
+        return roots
+    return components(new.unionByName(roots.where("node <> root").toDF("a", "b")))
+
+
+def _star(live: DataFrame, step: str, links: DataFrame | None) -> DataFrame:
+    """Every member of a bucket with the bucket's hubs: the smallest and the largest class, or the
+    one with the most links so far, where there is one."""
     if step == "ends":
-        pairs = placed.select("node", F.explode(F.array("first", "last")).alias("hub")).where("node <> hub")
+        pairs = live.select("node", F.explode(F.array("first", "last")).alias("hub"))
     else:
-        if links is None:
-            return placed.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
         degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
-        hubs = placed.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node", "root")).alias("hub"))
-        hubs = hubs.select("key", F.col("hub.node").alias("hub"), F.col("hub.root").alias("there"))
-        pairs = placed.join(hubs, "key").where("root <> there")
-    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        hubs = live.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node")).alias("hub"))
+        pairs = live.join(hubs.select("key", F.col("hub.node").alias("hub")), "key").where("hub <> first and hub <> last")
+    return pairs.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
