@@ -4,9 +4,10 @@ Two documents are linked when the Jaccard similarity of their sets of five-word
 more. Sets are compared by 64-bit shingle hashes.
 
 Defined cases: a null or empty text, or one without words, has an empty set and no links; a text of
-fewer than five words is one shingle; equal sets form one class; rows that repeat a ``doc_id`` and
-text stand or fall together; rows without ``doc_id`` take part, and in a component that has no id at
-all they are kept. Extra columns are carried along untouched by :func:`keep_one`.
+fewer than five words is one shingle; equal sets form one class; every row is judged by itself, also
+where ids repeat or are missing: of a component the row with the smallest ``doc_id`` stays (rows
+without one come last), of several such rows the first. Extra columns are carried along untouched by
+:func:`keep_one`; of rows equal in id and text any one stays.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm.common import fresh, materialize
@@ -38,8 +39,9 @@ def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> Iterator[np.ndarray]:
                 yield distinct(hashes[cut[i]:cut[i + 1]])
 
 
-def _describe(docs: DataFrame, key: str, text: str, what: str, hashes: int = 0) -> DataFrame:
-    """(key, digest, n) and, by ``what``, the signature ("sig") or the set ("set"), per row."""
+def _describe(docs: DataFrame, key: str, text: str, what: str, hashes: int = 0, also: dict[str, Column] | None = None) -> DataFrame:
+    """(key, digest, n), by ``what`` the signature ("sig") or the set ("set"), and the columns of
+    ``also``, per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -49,25 +51,34 @@ def _describe(docs: DataFrame, key: str, text: str, what: str, hashes: int = 0)
                 node.append(digest(s) if len(s) else None)
                 extra.append(None if not len(s) else s.tobytes() if what == "set" else signature(s, hashes).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(node, pa.binary()), pa.array(n, pa.int64()), pa.array(extra, pa.binary())],
-                ["key", "digest", "n", what])
+                [batch.column(0), pa.array(node, pa.binary()), pa.array(n, pa.int64()), pa.array(extra, pa.binary()), *batch.columns[2:]],
+                ["key", "digest", "n", what, *batch.schema.names[2:]])
 
-    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"),
+                       *[c.alias(name) for name, c in (also or {}).items()])
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, digest binary, n long, {what} binary")
+    rest = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    return rows.mapInArrow(run, f"key {kind}, digest binary, n long, {what} binary{rest}")
 
 
-def classify(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, miss: float = 1e-6) -> DataFrame:
-    """(key, n, component): for every row its set's size and the smallest key of its component."""
+def _name(text: str) -> Column:
+    """A 128-bit name of a text."""
+    return F.unhex(F.md5(F.col(f"`{text}`").cast("string").cast("binary")))
+
+
+def _judged(docs: DataFrame, key: str, text: str, percent: int, miss: float, also: dict[str, Column] | None = None) -> DataFrame:
+    """(key, row, n, component, stays) and the columns of ``also``, for every row; ``row`` is a number
+    written with the signatures, and in every component exactly one row stays."""
     hashes = tune_bands(percent / 100, miss) * ROWS
-    rows = materialize(_describe(docs, key, text, "sig", hashes))
+    rows = materialize(_describe(docs, key, text, "sig", hashes, {"row": F.monotonically_increasing_id(), **(also or {})}))
+    place = F.struct(F.col("key").isNull().alias("no_key"), "key", "row")  # null keys last
     classes = materialize(rows.where("digest is not null").groupBy("digest").agg(
-        F.min("key").alias("least"), F.first("n").alias("n"), F.first("sig").alias("sig")).withColumn(
+        F.min(place).alias("least"), F.first("n").alias("n"), F.first("sig").alias("sig")).withColumn(
         "node", F.monotonically_increasing_id()))
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        """Recomputed from the texts of one row per wanted class."""
-        keys = classes.join(wanted, "node").select("node", "digest", "least")
+        """Recomputed from the texts of one key per wanted class."""
+        keys = classes.join(wanted, "node").select("node", "digest", F.col("least.key").alias("least"))
         texts = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
         some = texts.join(keys.select("least").distinct(), F.col("key").eqNullSafe(F.col("least")), "left_semi")
         found = _describe(some, "key", "text", "set").select("digest", "set").join(keys.select("digest", "node"), "digest")
@@ -75,26 +86,47 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text", percent:
 
     roots = linked(classes.select("node", "n", "sig"), sets_of, percent, miss, hashes)
     placed = roots.join(classes.select("node", "least"), "node")
-    first = placed.groupBy("root").agg(F.min("least").alias("component"))
-    named = classes.select("node", "digest", "least").join(placed.join(first, "root").select("node", "component"), "node", "left").select(
-        "digest", F.coalesce("component", "least").alias("component"))
-    return rows.select("key", "digest", "n").join(named, "digest", "left").select(
-        "key", "n", F.when(F.col("digest").isNull(), F.col("key")).otherwise(F.col("component")).alias("component"))
+    first = placed.groupBy("root").agg(F.min("least").alias("first"))
+    named = classes.select("node", "digest", "least").join(placed.join(first, "root").select("node", "first"), "node", "left").select(
+        "digest", F.coalesce("first", "least").alias("first"))
+    alone = F.col("digest").isNull()
+    return rows.drop("sig").join(named, "digest", "left").select(
+        "key", "row", "n", F.when(alone, F.col("key")).otherwise(F.col("first.key")).alias("component"),
+        (alone | (F.col("row") == F.col("first.row"))).alias("stays"), *(also or ()))
+
+
+def classify(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, miss: float = 1e-6) -> DataFrame:
+    """(key, n, component, stays): for every row its set's size, the smallest key of its component, and
+    whether it is the row of its component that stays."""
+    return _judged(docs, key, text, percent, miss).drop("row")
 
 
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: set size, component (its smallest ``doc_id``) and whether it is kept."""
     return classify(docs).select(
         F.col("key").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
-        F.col("key").eqNullSafe(F.col("component")).alias("kept"))
+        F.col("stays").alias("kept"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs``, same columns, without the rows whose component has a smaller key."""
+    """``docs``, same columns, with one row of each component.
+
+    Rows are told apart by key and text, so ``docs`` need not be written with row numbers: a pair of
+    these stays or goes as a whole, but for the pair that stays and has several rows, which leaves one.
+    """
     name = fresh(docs, "__gone")
-    gone = classify(docs, key, text).where(~F.col("key").eqNullSafe(F.col("component"))).select(
-        F.col("key").alias(name)).distinct()
-    return docs.join(gone, F.col(f"`{key}`").eqNullSafe(F.col(name)), "left_anti")
+    judged = _judged(docs, key, text, 75, 1e-6, {"name": _name(text)})
+    pairs = materialize(judged.where("n > 0").groupBy("key", "name").agg(
+        F.max("stays").alias("stays"), F.count("*").alias("m")).where("not stays or m > 1").select(
+        F.col("key").alias(f"{name}k"), F.col("name").alias(f"{name}t"), F.col("stays").alias(f"{name}s")))
+    same = F.col(f"`{key}`").eqNullSafe(F.col(f"{name}k")) & (_name(text) == F.col(f"{name}t"))
+    left = docs.join(pairs, same, "left_anti")
+    several = pairs.where(f"{name}s")
+    if several.isEmpty():
+        return left
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    one = docs.join(several, same).groupBy(f"{name}k", f"{name}t").agg(F.first(F.struct(*columns)).alias(f"{name}r"))
+    return left.union(one.select(*[F.col(f"{name}r.`{c}`") for c in docs.columns]))
 
 
 REPORT_SQL = r"""

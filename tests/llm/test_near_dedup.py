@@ -71,6 +71,18 @@ def test_one_of_each_group_stays(case):
     assert sorted(str(r.doc_id) for r in kept.select("doc_id").collect()) == sorted(map(str, want))
 
 
+def test_rows_without_or_with_a_repeated_id_are_judged_one_by_one(make):
+    a, b, c, d, e = (" ".join(words(80 + i, 90)) for i in range(5))
+    rows = [(1, a), (None, a + " end"), (None, b), (None, c), (None, c), (5, a), (5, d), (6, e), (6, e), (6, e + " end"), (None, ""), (None, "")]
+    docs = make([t for _, t in rows], [i for i, _ in rows])
+    kept = near_dedup.keep_one(docs)
+    assert kept.columns == docs.columns
+    left = sorted((str(r.doc_id), r.text) for r in kept.collect())
+    assert [x for x in left if x[0] != "6"] == sorted([("1", a), ("None", b), ("None", c), ("5", d), ("None", ""), ("None", "")])
+    assert [x for x in left if x[0] == "6"] in ([("6", e)], [("6", e + " end")])
+    assert sorted(r.kept for r in near_dedup.report(docs).collect()) == [False] * 5 + [True] * 7
+
+
 def test_nothing_linked_and_empty(make):
     assert [r.kept for r in near_dedup.report(make(["a b c", "d e f"])).collect()] == [True, True]
     assert near_dedup.report(make([])).collect() == []
