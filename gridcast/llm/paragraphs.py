@@ -3,7 +3,9 @@
 Two kinds of units. A *paragraph* is a line of at least ``MIN_WORDS`` words; its set are its 5-word
 shingles. A *passage* is a run of ``RUN`` words anywhere in a text, picked where its hash is the
 smallest among ``WINDOW`` consecutive runs, so any stretch of ``RUN + WINDOW - 1`` words that two
-documents share word for word leaves the same pick in both, wherever it stands.
+documents share word for word leaves the same pick in both, wherever it stands. Picks are candidates
+only: each is laid beside its hash's first occurrence and grown word by word to the whole stretch
+that the two texts share, and that stretch is the passage.
 
 A first scan leaves a few band keys per unit: for paragraphs bands of MinHash values, tuned to a
 recall, for passages the run's hash. Units whose keys are met in no other document are done. Only
@@ -33,6 +35,7 @@ SHINGLE, MIN_WORDS = 5, 20
 RUN, WINDOW = 18, 32  # a shared stretch of 49 words is always found
 ROWS, RECALL_MISS, HASHES = 2, 1e-2, 128
 PASSAGE, PARAGRAPH = 0, 1
+DEALT = 64
 
 
 def _sliding(a: np.ndarray, least: bool) -> np.ndarray:
@@ -45,15 +48,14 @@ def _sliding(a: np.ndarray, least: bool) -> np.ndarray:
 
 
 def picked(runs: np.ndarray) -> np.ndarray:
-    """Places of the runs that are the smallest of some window; one place per hash."""
+    """Places of the runs that are the smallest of some window, ties and repeats included."""
     if not len(runs):
         return np.empty(0, np.int64)
     if len(runs) <= WINDOW:
-        return np.array([int(runs.argmin())])
+        return np.flatnonzero(runs == runs.min())
     low = _sliding(runs, True)
     edge = np.zeros(WINDOW - 1, U64)
-    at = np.flatnonzero(runs == _sliding(np.concatenate((edge, low, edge)), False))
-    return np.sort(at[np.unique(runs[at], return_index=True)[1]])
+    return np.flatnonzero(runs == _sliding(np.concatenate((edge, low, edge)), False))
 
 
 class Units:
@@ -182,9 +184,105 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     placed = classes.select("kind", "digest", "node", "least", "most").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = placed.groupBy("root").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least.doc <> most")
     named = materialize(placed.select("kind", "digest", "root").join(groups, "root").select("kind", "digest", F.col("least").alias("lead")))
-    return units.select("doc", "kind", "start", "words", "digest").distinct().join(named, ["kind", "digest"]).select(
+    found = materialize(units.select("doc", "kind", "start", "words", "digest").distinct().join(named, ["kind", "digest"]).select(
         "doc", "kind", "start", "words", F.col("lead.doc").alias("first_doc"), F.col("lead.start").alias("first_start"),
-        (place == F.col("lead")).alias("kept"))
+        (place == F.col("lead")).alias("kept")))
+    picks = found.where(F.col("kind") == PASSAGE).where("not kept").select("doc", "start", "first_doc", "first_start")
+    grown = materialize(_grown(picks, rows))
+    copies = grown.select("doc", F.lit(PASSAGE).cast("byte").alias("kind"), "start", "words", "first_doc", "first_start", F.lit(False).alias("kept"))
+    # one kept stretch per place of the first text, however many copies of unlike length it has
+    firsts = grown.groupBy("first_doc", "pick").agg(F.min("first_start").alias("start"), F.max(F.col("first_start") + F.col("words")).alias("end"))
+    firsts = firsts.select(F.col("first_doc").alias("doc"), F.lit(PASSAGE).cast("byte").alias("kind"), "start", (F.col("end") - F.col("start")).alias("words"),
+                           "first_doc", F.col("start").alias("first_start"), F.lit(True).alias("kept"))
+    return found.where(F.col("kind") != PASSAGE).unionByName(copies.distinct()).unionByName(firsts.distinct())
+
+
+def _grown(picks: DataFrame, rows: DataFrame) -> DataFrame:
+    """(doc, start, words, first_doc, first_start, pick): the whole stretches around
+    ``picks(doc, start, first_doc, first_start)`` that both texts share.
+
+    The first text's words travel to the copy, no more of them than the copy's length allows. Requests
+    to one first text are dealt into ``DEALT`` rows, so it is copied a bounded number of times.
+    """
+    kind = rows.schema["doc"].dataType.simpleString()
+    texts = rows.join(picks.select("doc").distinct(), "doc", "left_semi")
+    pairs = picks.groupBy("doc", "first_doc").agg(F.collect_list(F.struct("start", "first_start")).alias("at"))
+    sized = texts.mapInArrow(_sizes, f"doc {kind}, size int").groupBy("doc").agg(F.max("size").alias("size"))
+    asks = pairs.join(sized, "doc").groupBy("first_doc", F.pmod(F.xxhash64("doc"), F.lit(DEALT)).alias("dealt")).agg(
+        F.collect_list(F.struct("doc", "size", "at")).alias("asks"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, t in enumerate(as_bytes(batch.column(1))):
+                (chunk,) = chunks([t], SPACED)
+                asks = batch.column(2)[k].values
+                out: list[list] = [[], [], []]
+                for i, ask in enumerate(asks.to_pylist()):
+                    at, first = (np.array([x[c] for x in ask["at"]]) for c in ("start", "first_start"))
+                    lo, hi = max(0, int((first - at).min())), min(len(chunk.words), int((first - at).max()) + ask["size"])
+                    for col, x in zip(out, (i, lo, chunk.words[lo:hi].tobytes())):
+                        col.append(x)
+                take = pa.array(out[0], pa.int64())
+                doc, _, places = asks.flatten()
+                yield pa.RecordBatch.from_arrays(
+                    [doc.take(take), batch.column(0).take(pa.array([k] * len(take))), places.take(take),
+                     pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary())], ["doc", "first_doc", "at", "lo", "cut"])
+
+    cuts = asks.join(rows.select(F.col("doc").alias("first_doc"), "text"), "first_doc").select("first_doc", "text", "asks").mapInArrow(
+        cut, f"doc {kind}, first_doc {kind}, at array<struct<start:int,first_start:int>>, lo int, cut binary")
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            where, out, last, words = [], [], None, None
+            for k, t in enumerate(batch.column(2).to_pylist()):
+                if t != last:
+                    (chunk,) = chunks(as_bytes(pa.array([t])), SPACED)
+                    last, words = t, chunk.words
+                lo, other = batch.column(4)[k].as_py(), np.frombuffer(batch.column(5)[k].as_buffer(), U64)
+                same = batch.column(0)[k] == batch.column(1)[k]
+                for x in stretches(words, other, lo, batch.column(3)[k].as_py(), same):
+                    where.append(k)
+                    out.append(x)
+            take = pa.array(where, pa.int64())
+            columns = list(zip(*out)) if out else [()] * 4
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *[pa.array(c, pa.int32()) for c in columns]],
+                                             ["doc", "first_doc", "start", "words", "first_start", "pick"])
+
+    return cuts.join(texts, "doc").select("doc", "first_doc", "text", "at", "lo", "cut").mapInArrow(
+        grow, f"doc {kind}, first_doc {kind}, start int, words int, first_start int, pick int")
+
+
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = [int(b) for chunk in chunks(as_bytes(batch.column(1)), SPACED) for b in np.diff(chunk.bounds)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32())], ["doc", "size"])
+
+
+def stretches(words: np.ndarray, other: np.ndarray, lo: int, at: list[dict], same: bool) -> Iterator[tuple[int, int, int, int]]:
+    """(start, words, first_start, pick) of the maximal common stretches through the places ``at``;
+    ``other`` are the first text's words from number ``lo`` on. In one and the same text the first
+    occurrence itself is left whole."""
+    lines: dict[int, list[int]] = {}
+    for x in at:
+        lines.setdefault(x["start"] - x["first_start"], []).append(x["start"])
+    for shift, starts in lines.items():
+        begin = max(0, lo + shift)
+        end = min(len(words), lo + shift + len(other))
+        if end <= begin:
+            continue
+        apart = np.flatnonzero(words[begin:end] != other[begin - shift - lo:end - shift - lo]) + begin
+        done = -1
+        for start in sorted(starts):
+            if start < max(done, begin) or same and shift < RUN:
+                continue
+            k = int(np.searchsorted(apart, start))
+            s, e = int(apart[k - 1]) + 1 if k else begin, int(apart[k]) if k < len(apart) else end
+            if e - start < RUN:  # rows that repeat a key hold unlike texts
+                continue
+            done = e
+            if same:
+                s = max(s, start - shift + RUN)
+            yield s, e - s, s - shift, start - shift
 
 
 def _merged(spans: str) -> str:

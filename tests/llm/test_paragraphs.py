@@ -42,6 +42,18 @@ def test_removal_cuts_only_later_occurrences(case):
     assert len(kept[11].split()) <= 95 - pg.RUN
 
 
+def test_whole_passages_go_at_every_place(make):
+    passage, shared = words(31, 60), words(32, 300)
+    texts = {1: words(33, 90) + passage + words(34, 70), 2: passage + words(35, 80) + passage + words(36, 40) + passage,
+             3: words(37, 20) + passage[:55] + words(38, 30), 4: words(39, 500) + shared, 5: shared + words(40, 400)}
+    docs = make([" ".join(t) for t in texts.values()], list(texts))
+    got = {r.doc_id: ([tuple(x) for x in r.repeated], [tuple(x) for x in r.removed]) for r in pg.report(docs).collect()}
+    places = [(0, 60), (140, 200), (240, 300)]
+    assert got == {1: ([(90, 150)], []), 2: (places, places), 3: ([(20, 75)], [(20, 75)]), 4: ([(500, 800)], []), 5: ([(0, 300)], [(0, 300)])}
+    left = {r.doc_id: r.text.split() for r in pg.remove_repeats(docs).collect()}
+    assert left[2] == texts[2][60:140] + texts[2][200:240] and left[1] == texts[1]
+
+
 def test_any_shared_stretch_leaves_a_common_pick():
     r = np.random.default_rng(4)
     for _ in range(200):
