@@ -295,15 +295,18 @@ def _merged(spans: str) -> str:
 
 def spans(found: DataFrame) -> DataFrame:
     """One row per document with repeated units: the word ranges of these and of the removals among
-    them, their sizes, and the smallest document they lead to."""
+    them, their sizes, the smallest document they lead to, the number of other documents they lead
+    to, and every unit with its group's first occurrence."""
     span = F.struct("start", (F.col("start") + F.col("words")).alias("end"))
     per_doc = found.groupBy("doc").agg(
         F.min("first_doc").alias("first_doc"), F.sort_array(F.collect_set(span)).alias("a"),
-        F.sort_array(F.collect_set(F.when(~F.col("kept"), span))).alias("b"))
+        F.sort_array(F.collect_set(F.when(~F.col("kept"), span))).alias("b"),
+        F.count_distinct(F.when(F.col("first_doc") != F.col("doc"), F.col("first_doc"))).alias("n_links"),
+        F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("words")).alias("end"), "first_doc", "first_start", "kept"))).alias("units"))
     size = "aggregate({}, 0L, (n, x) -> n + x.end - x.start)"
-    return per_doc.select("doc", "first_doc", F.expr(_merged("a")).alias("repeated"), F.expr(_merged("b")).alias("removed")).select(
+    return per_doc.select("doc", "first_doc", "n_links", "units", F.expr(_merged("a")).alias("repeated"), F.expr(_merged("b")).alias("removed")).select(
         "doc", "first_doc", F.expr(size.format("repeated")).alias("n_repeated"),
-        F.expr(size.format("removed")).alias("n_removed"), "repeated", "removed")
+        F.expr(size.format("removed")).alias("n_removed"), "repeated", "removed", "n_links", "units")
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

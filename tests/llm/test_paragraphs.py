@@ -54,6 +54,15 @@ def test_whole_passages_go_at_every_place(make):
     assert left[2] == texts[2][60:140] + texts[2][200:240] and left[1] == texts[1]
 
 
+def test_every_link_of_a_document_is_listed(make):
+    a, b = words(41, 30), words(42, 40)
+    lines = {10: [a, words(43, 25)], 40: [words(44, 25), b], 50: [b, words(45, 25), a]}
+    docs = make(["\n".join(" ".join(x) for x in t) for t in lines.values()], list(lines))
+    got = {r.doc_id: (r.n_links, {tuple(u) for u in r.units}) for r in pg.report(docs).collect()}
+    assert got == {10: (0, {(0, 30, 10, 0, True)}), 40: (0, {(25, 65, 40, 25, True)}),
+                   50: (2, {(0, 40, 40, 25, False), (65, 95, 10, 0, False)})}
+
+
 def test_any_shared_stretch_leaves_a_common_pick():
     r = np.random.default_rng(4)
     for _ in range(200):
