@@ -1,15 +1,15 @@
 """Repeated paragraphs and passages across documents.
 
-Two kinds of units. A *paragraph* is a line of at least ``MIN_WORDS`` words; its set are its 5-word
-shingles. A *passage* is a run of ``RUN`` words anywhere in a text, picked where its hash is the
+Three kinds of units. A *paragraph* is a line of at least ``MIN_WORDS`` words; its set are its 5-word
+shingles. A *short line* has fewer words but at least one shingle, and repeats word for word. A *passage* is a run of ``RUN`` words anywhere in a text, picked where its hash is the
 smallest among ``WINDOW`` consecutive runs, so any stretch of ``RUN + WINDOW - 1`` words that two
 documents share word for word leaves the same pick in both, wherever it stands. Picks are candidates
 only: each is laid beside its hash's first occurrence and grown word by word to the whole stretch
 that the two texts share, and that stretch is the passage.
 
 A first scan leaves a few band keys per unit: for paragraphs bands of MinHash values, tuned to a
-recall, for passages the run's hash. Units whose keys are met in no other document are done. Only
-the documents of the others are scanned again: passages are grouped by a 128-bit digest, paragraphs
+recall, for passages and short lines a hash of their words. Units whose keys are met in no other document are done. Only
+the documents of the others are scanned again: passages and short lines are grouped by a 128-bit digest, paragraphs
 go through signatures, pruning, exact Jaccard on full shingle sets, and connected components. In
 every group the first occurrence (smallest key, then place) is kept and the others are removals.
 
@@ -33,8 +33,8 @@ from gridcast.llm.textscan import SPACED, U64, Chunk, as_bytes, chunks, distinct
 
 SHINGLE, MIN_WORDS = 5, 20
 RUN, WINDOW = 18, 32  # a shared stretch of 49 words is always found
-ROWS, RECALL_MISS, HASHES = 2, 1e-2, 128
-PASSAGE, PARAGRAPH = 0, 1
+ROWS, RECALL_MISS, HASHES = 2, 1e-6, 160
+PASSAGE, PARAGRAPH, LINE, KINDS = 0, 1, 2, 4
 DEALT = 64
 
 
@@ -71,6 +71,9 @@ class Units:
         long = size >= MIN_WORDS
         self.lines, self.sizes = first[long], size[long]
         self.of_text = np.searchsorted(chunk.text_of[self.lines], np.arange(chunk.count + 1))
+        short = (size >= SHINGLE) & ~long
+        self.short, self.short_sizes = first[short], size[short]
+        self.short_of_text = np.searchsorted(chunk.text_of[self.short], np.arange(chunk.count + 1))
 
     def passages(self, i: int) -> Iterator[tuple[int, int]]:
         """(first word within the text, hash) of the picked runs of text ``i``."""
@@ -84,6 +87,12 @@ class Units:
             at, n = self.lines[k], self.sizes[k]
             yield int(at - self.chunk.bounds[i]), int(n), distinct(grams(self.chunk.words[at:at + n], SHINGLE))
 
+    def short_lines(self, i: int) -> Iterator[tuple[int, int, bytes]]:
+        """(first word within the text, words, name) of the short lines of text ``i``."""
+        for k in range(self.short_of_text[i], self.short_of_text[i + 1]):
+            at, n = self.short[k], self.short_sizes[k]
+            yield int(at - self.chunk.bounds[i]), int(n), digest(mix(self.chunk.words[at:at + n]))
+
     def passage_name(self, i: int, at: int) -> bytes:
         lo = self.chunk.bounds[i] + at
         return digest(mix(self.chunk.words[lo:lo + RUN]))
@@ -114,6 +123,11 @@ def _band_keys(rows: DataFrame, hashes: int) -> DataFrame:
                         kind.append(PARAGRAPH)
                         start.append(at)
                         keys.append(bands.view(np.int64).tolist())
+                    for at, _, name in units.short_lines(i):
+                        where.append(chunk.first + i)
+                        kind.append(LINE)
+                        start.append(at)
+                        keys.append([int.from_bytes(name[:8], "big", signed=True)])
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).take(pa.array(where, pa.int64())), pa.array(kind, pa.int8()), pa.array(start, pa.int32()),
                 pa.array(keys, pa.list_(pa.int64()))], ["doc", "kind", "start", "keys"])
@@ -133,13 +147,17 @@ def _described(rows: DataFrame) -> DataFrame:
                 for i in range(chunk.count):
                     wanted = set(listed[chunk.first + i])
                     for unit in sorted(wanted):
-                        if unit % 2 == PASSAGE:
-                            rest.append((PASSAGE, unit // 2, RUN, units.passage_name(i, unit // 2), 0, None))
+                        if unit % KINDS == PASSAGE:
+                            rest.append((PASSAGE, unit // KINDS, RUN, units.passage_name(i, unit // KINDS), 0, None))
                             where.append(chunk.first + i)
                     for at, n, shingles in units.paragraphs(i):
-                        if at * 2 + PARAGRAPH in wanted:
+                        if at * KINDS + PARAGRAPH in wanted:
                             rest.append((PARAGRAPH, at, n, digest(shingles), len(shingles), shingles.tobytes()))
                             where.append(chunk.first + i)
+                    for at, n, name in units.short_lines(i):
+                        if at * KINDS + LINE in wanted:
+                            rest.append((LINE, at, n, name, 0, None))
+                            where.append(chunk.first + i)
             columns = list(zip(*rest)) if rest else [()] * 6
             kinds = [pa.int8(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
@@ -161,7 +179,7 @@ def _signed(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(run, "node long, n long, sig binary")
 
 
-def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, miss: float = 1e-4) -> DataFrame:
+def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, miss: float = 1e-6) -> DataFrame:
     """(doc, kind, start, words, first_doc, first_start, kept) for every unit repeated in another
     document: where it stands, in words from the text's begin, and its group's first occurrence."""
     rows = _keyed(docs, key, text)
@@ -170,7 +188,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
         bands += 1
     keyed = materialize(_band_keys(rows, bands * ROWS))
     # kind and place in one number: these rows are shuffled twice, and there are several per unit
-    one = keyed.select("doc", (F.col("start") * 2 + F.col("kind")).alias("unit"), F.explode("keys").alias("key"))
+    one = keyed.select("doc", (F.col("start") * KINDS + F.col("kind")).alias("unit"), F.explode("keys").alias("key"))
     live = one.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi")
     found = one.join(live.select("key"), "key", "left_semi")
     wanted = materialize(found.groupBy("doc").agg(F.collect_set("unit").alias("units")))

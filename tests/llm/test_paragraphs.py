@@ -63,6 +63,16 @@ def test_every_link_of_a_document_is_listed(make):
                    50: (2, {(0, 40, 40, 25, False), (65, 95, 10, 0, False)})}
 
 
+def test_short_lines_repeat_word_for_word(make):
+    line, other = words(51, 9), words(52, 5)
+    lines = {1: [words(53, 8), line, words(54, 50)], 2: [line, words(55, 60)], 3: [words(56, 4), other, line[:8]],
+             4: [words(57, 40), other, words(56, 4)]}
+    docs = make(["\n".join(" ".join(x) for x in t) for t in lines.values()], list(lines))
+    got = {r.doc_id: [tuple(u) for u in r.units] for r in pg.report(docs).collect()}
+    assert got == {1: [(8, 17, 1, 8, True)], 2: [(0, 9, 1, 8, False)], 3: [(4, 9, 3, 4, True)], 4: [(40, 45, 3, 4, False)]}
+    assert (1 - .75 ** pg.ROWS) ** 17 <= pg.RECALL_MISS == 1e-6
+
+
 def test_any_shared_stretch_leaves_a_common_pick():
     r = np.random.default_rng(4)
     for _ in range(200):
