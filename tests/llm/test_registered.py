@@ -20,7 +20,7 @@ def test_matches_sql(spark, name):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in cp.STAGES] == ["quality", "near_dedup", "decontaminate", "mix", "pack"]
 
 
