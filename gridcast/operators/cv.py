@@ -9,13 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcast.config import CV_FOLDS
 from gridcast.functions.scores import ape, is_realized
-from gridcast.operators.forecast import Moments, _line_sums, _lines, linear_score, moments, ridge_solve
-from gridcast.operators.ordered import WEEK, number_rows, time_bucket
+from gridcast.operators.forecast import Moments, linear_score, moments, ridge_solve
+from gridcast.operators.ordered import BUCKET, WEEK, number_rows, with_bucket
 
 
 def add_block(
@@ -23,7 +23,8 @@ def add_block(
     folds: int = CV_FOLDS, seconds: int = WEEK,
 ) -> DataFrame:
     """``block`` 0 is train only; block k is validated by fold k and trained on by later folds."""
-    numbered = number_rows(df, keys, order, time_bucket(order[0], seconds), "_no", "_total")
+    rows = with_bucket(df, keys, order, seconds)
+    numbered = number_rows(rows, keys, order, F.col(BUCKET), "_no", "_total")
     size = F.floor(F.col("_total") / (folds + 1))
     at = F.col("_no") - 1 - (F.col("_total") - size * folds)
     block = F.when((at < 0) | (size == 0), 0).otherwise(F.floor(F.try_divide(at, size)) + 1)
@@ -38,12 +39,25 @@ def cv_folds(df: DataFrame, keys: Sequence[str] = ("zone",), folds: int = CV_FOL
         "role", F.when(F.col("fold") == F.col("block"), "validation").otherwise("train")).drop("block")
 
 
-def _fold_sums(blocks: DataFrame, aggs: Sequence[Column]) -> DataFrame:
-    """Train sums of fold k: the running total of blocks 0..k-1 (a handful of rows per zone)."""
-    per_block = blocks.groupBy("zone", "block").agg(*aggs)
-    upto = Window.partitionBy("zone").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
-    names = [c for c in per_block.columns if c not in ("zone", "block")]
-    return per_block.select("zone", (F.col("block") + 1).alias("fold"), *[F.sum(c).over(upto).alias(c) for c in names])
+def _fold_lines(blocks: DataFrame, x: str, y: str, folds: int) -> DataFrame:
+    """(zone, fold, slope and centre of the line) learnt on blocks 0..fold-1.
+
+    Blocks leave counts, means and centred products, which are merged around the mean of the fold's
+    blocks, so an offset in either column costs no digits.
+    """
+    per_block = blocks.groupBy("zone", "block").agg(
+        F.regr_count(y, x).alias("n"), F.regr_avgx(y, x).alias("mx"), F.regr_avgy(y, x).alias("my"),
+        F.regr_sxx(y, x).alias("sxx"), F.regr_sxy(y, x).alias("sxy")).where("n > 0")
+    spread = per_block.withColumn("fold", F.explode(F.sequence(F.col("block") + 1, F.lit(folds + 1)))).where(F.col("fold") <= folds)
+    fold = Window.partitionBy("zone", "fold")
+    n = F.sum("n").over(fold)
+    # means as steps from the first block's, which are small however large the means are
+    near = spread.withColumns({c: F.col(m) - F.min_by(m, "block").over(fold) for c, m in {"dx": "mx", "dy": "my"}.items()})
+    near = near.withColumns({c: F.sum(F.col("n") * F.col(d)).over(fold) / n for c, d in {"ex": "dx", "ey": "dy"}.items()})
+    gx, gy = F.col("dx") - F.col("ex"), F.col("dy") - F.col("ey")
+    return near.groupBy("zone", "fold").agg(
+        F.try_divide(F.sum(F.col("sxy") + F.col("n") * gx * gy), F.sum(F.col("sxx") + F.col("n") * gx * gx)).alias("_slope"),
+        (F.min_by("mx", "block") + F.first("ex")).alias("_mx"), (F.min_by("my", "block") + F.first("ey")).alias("_my"))
 
 
 def _fold_moments(blocks: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -66,11 +80,11 @@ def cv_mape(df: DataFrame, x: str, target: str = "requirement", folds: int = CV_
     """Mean validation MAPE per zone of a straight line on ``x``; infinity when no fold scores."""
     blocks = add_block(df, folds=folds, **kw)
     v, y = F.col(x), F.col(target)
-    lines = _lines(_fold_sums(blocks, _line_sums(v, y)), ["zone", "fold"])
+    lines = _fold_lines(blocks, x, target, folds)
     scored = (
         blocks.where((F.col("block") > 0) & is_realized(y)).withColumnRenamed("block", "fold")
         .join(lines, ["zone", "fold"])
-        .groupBy("zone", "fold").agg(F.avg(ape(y, F.col("_slope") * v + F.col("_intercept"))).alias("m"))
+        .groupBy("zone", "fold").agg(F.avg(ape(y, F.col("_my") + F.col("_slope") * (v - F.col("_mx")))).alias("m"))
     )
     return df.select("zone").distinct().join(
         scored.groupBy("zone").agg(F.avg("m").alias("cv_mape"), F.count("m").alias("n_folds")), "zone", "left",

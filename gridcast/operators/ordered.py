@@ -3,6 +3,10 @@
 A window partitioned by the key alone puts a whole key into one task. Here a key is cut into time
 buckets. Bounded frames borrow the few rows they need from the neighbouring buckets; unbounded
 ones (fills, row numbers) carry one small row per bucket. Results equal the plain window's.
+
+Buckets are weeks (or ``seconds``) by default, which suits series with a steady step. ``EQUAL`` in place
+of a width cuts every key into ranges of about equally many rows, however dense some days are and
+however many rows lack a date; that costs one more write.
 """
 
 from __future__ import annotations
@@ -13,10 +17,12 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from gridcast.functions.dates import epoch_seconds
+from gridcast.session import materialize
 
 BUCKET = "_bucket"
 HALO = "_halo"
 WEEK = 7 * 86400
+EQUAL = 0
 _LAST_BUCKET = 2**40
 
 
@@ -33,6 +39,25 @@ def time_bucket(date: str, seconds: int = WEEK) -> Column:
     return F.coalesce(F.floor(epoch_seconds(F.col(date)) / seconds), F.lit(_LAST_BUCKET))
 
 
+def with_bucket(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], seconds: int = WEEK, ties: Sequence[Column] = (),
+) -> DataFrame:
+    """``df`` with its bucket, which never decreases along ``order``, then ``ties``, within a key.
+
+    With ``EQUAL`` the rows of all keys are dealt into ranges whose limits Spark takes from a sample of
+    them. Rows that are alike in all of these columns may lie in several buckets, so null dates or a
+    stamp that repeats without end spread as well; where their order matters, ``ties`` must tell them apart.
+    """
+    if seconds != EQUAL:
+        return df.withColumn(BUCKET, time_bucket(order[0], seconds))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = [*[F.col(k) for k in keys], *_asc(order), *[t.asc_nulls_last() for t in ties]]
+    if ties:
+        ranges.append(F.xxhash64(F.monotonically_increasing_id()).asc())
+    # written, since the limits come from a sample and must not change between uses
+    return materialize(df.repartitionByRange(n, *ranges).withColumn(BUCKET, F.spark_partition_id().cast("long")))
+
+
 def local_window(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*keys, BUCKET).orderBy(*_asc(order))
 
@@ -70,14 +95,15 @@ def row_halo(
     df: DataFrame, keys: Sequence[str], order: Sequence[str],
     before: int = 0, after: int = 0, seconds: int = WEEK,
 ) -> DataFrame:
-    """Halo counted in rows, exact for any series: gaps, repeats and null dates included.
+    """Halo counted in rows, exact for any series: gaps, repeats and null dates included (with ``EQUAL``,
+    rows alike in ``order`` stay in one bucket).
 
     Only the last ``before`` (first ``after``) rows of a bucket can be needed elsewhere. Those are
     found with a limited row number, which Spark also applies before the shuffle, and sent to each
     bucket they reach by comparing running row counts.
     """
     keys = list(keys)
-    tagged = df.withColumn(BUCKET, time_bucket(order[0], seconds))
+    tagged = with_bucket(df, keys, order, seconds)
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # one exchange serves the search for edge rows and the caller's window
     rows = tagged.repartition(n_parts, *keys, BUCKET)
@@ -131,12 +157,16 @@ def fill_both_ways(
     df: DataFrame, column: str, value: Column, keys: Sequence[str], order: Sequence[str],
     seconds: int = WEEK,
 ) -> DataFrame:
-    """Replace ``column`` by ``value`` filled forward, then backward, along ``order`` per key."""
+    """Replace ``column`` by ``value`` filled forward, then backward, along ``order`` per key.
+
+    Rows alike in ``order`` go by value, those without one last. So the result does not depend on how
+    rows arrive: a row without a value takes the largest one of its own stamp, else the last before.
+    """
     keys = list(keys)
-    rows = df.withColumn(BUCKET, time_bucket(order[0], seconds)).withColumn("_v", value)
+    valued = df.withColumn("_v", value)
+    rows = with_bucket(valued, keys, order, seconds, [F.col("_v")])
     dated = F.coalesce(F.col(order[0]), F.lit("9999-12-31").cast("timestamp_ntz"))
-    position = F.struct(dated, *order[1:]) if len(order) > 1 else dated
-    known = F.when(F.col("_v").isNotNull(), position)
+    known = F.when(F.col("_v").isNotNull(), F.struct(dated, *order[1:], "_v"))
     edges = rows.groupBy(*keys, BUCKET).agg(
         F.max_by("_v", known).alias("_last"), F.min_by("_v", known).alias("_first"))
     earlier = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -149,7 +179,7 @@ def fill_both_ways(
     # a row with nothing before it in its bucket lies before the bucket's first known value, so
     # looking ahead needs no second window
     local = F.last("_v", ignorenulls=True).over(
-        local_window(keys, order).rowsBetween(Window.unboundedPreceding, 0))
+        local_window(keys, [*order, "_v"]).rowsBetween(Window.unboundedPreceding, 0))
     return (
         rows.join(carry, [*keys, BUCKET], "left")
         .withColumn(column, F.coalesce(local, F.col("_carry"), F.col("_first"), F.col("_ahead")))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gridcast.operators import clean, cv, features, forecast, quality
+from gridcast.operators import clean, cv, features, forecast, ordered, quality
 from gridcast.operators.exact import exact_median
 from gridcast.operators.ordered import drop_halo, local_window, number_rows, time_bucket, with_halo
 
@@ -189,3 +189,28 @@ def test_ridge_recovers_a_plane_and_survives_constant_features(spark):
                         "c": 1.0, "requirement": 5 + 2 * a - 3 * b})
     out = forecast.zone_ridge(spark.createDataFrame(pdf), ["a", "b", "c"], penalty=0.0).toPandas()
     np.testing.assert_allclose(out.pred, out.requirement, atol=1e-5)
+
+
+@pytest.mark.parametrize("seconds", [86400, ordered.EQUAL])
+def test_fill_does_not_depend_on_how_rows_arrive(spark, seconds):
+    """Repeated stamps and many null dates: known values of a stamp fill its placeholders."""
+    rows = [("A", "train", dt.datetime(2024, 1, 1 + i % 3) if i % 5 else None, float(i % 4 * 5)) for i in range(60)]
+    rows += [("B", "train", dt.datetime(2024, 1, 1), v) for v in (0.0, 9.0, 5.0)] + [("C", "train", None, 0.0), ("C", "train", dt.datetime(2024, 1, 2), 4.0)]
+    found = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "zone string, split string, for_date timestamp_ntz, requirement double").repartition(seed + 2)
+        out = clean.fill_zero_target(df, seconds=seconds).collect()
+        found.add(tuple(sorted((r.zone, str(r.for_date), r.requirement) for r in out)))
+    assert len(found) == 1
+    got = found.pop()
+    assert [r[2] for r in got if r[0] == "B"] == [5.0, 9.0, 9.0] and [r[2] for r in got if r[0] == "C"] == [4.0, 4.0]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equal_buckets_change_no_window(spark, seed):
+    df = spark.createDataFrame(series(seed), SCHEMA).repartition(7)
+    for a, b in [(features.add_rolling(df, "x", ["zone"], ORDER, seconds=s) for s in (86400, ordered.EQUAL)),
+                 (cv.cv_folds(df, ["zone"], order=ORDER, seconds=s) for s in (86400, ordered.EQUAL))]:
+        key = lambda r: tuple(str(round(v, 9)) if isinstance(v, float) else str(v) for v in r)
+        assert sorted(map(key, a.collect())) == sorted(map(key, b.select(a.columns).collect()))
