@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.functions.dates import epoch_seconds, on_day
+from gridcast.functions.dates import on_day
 from gridcast.functions.scores import is_realized
 
 _TIME = "yyyy-MM-dd HH:mm:ss"
@@ -13,7 +13,7 @@ _TIME = "yyyy-MM-dd HH:mm:ss"
 
 def _peak_time(value: Column, when: Column) -> Column:
     """Stamp of the largest value, the earliest one on ties, as text."""
-    order = F.when(when & value.isNotNull(), F.struct(value, -epoch_seconds(F.col("for_date"))))
+    order = F.when(when & value.isNotNull(), F.struct(value, -F.unix_micros(F.col("for_date").cast("timestamp"))))
     return F.date_format(F.max_by("for_date", order), _TIME)
 
 
@@ -50,9 +50,8 @@ def decision_dashboard(
     p, a = F.col(pred), F.col("actual")
     is_today = on_day(F.col("for_date"), run_date)
     scored = on_day(F.col("for_date"), run_date, -1) & is_realized(a)
-    both = predictions.where(on_day(F.col("for_date"), run_date) | on_day(F.col("for_date"), run_date, -1))
-    zones = predictions.select("zone").distinct()
-    per_zone = both.groupBy("zone").agg(
+    # zones and both days come from one pass, as zones without rows on these days are listed too
+    per_zone = predictions.groupBy("zone").agg(
         F.round(F.avg(F.when(scored, a)), 2).alias("actual_yesterday_avg_mw"),
         F.round(F.max(F.when(scored, a)), 2).alias("peak_yesterday_mw"),
         _peak_time(a, scored).alias("peak_yesterday_time"),
@@ -61,7 +60,7 @@ def decision_dashboard(
         F.round(F.max(F.when(is_today, p)), 2).alias("today_forecast_peak_mw"),
         _peak_time(p, is_today).alias("today_forecast_peak_time"),
     )
-    return zones.join(per_zone, "zone", "left").join(plan_asof(history, run_date, pred), "zone", "left").select(
+    return per_zone.join(plan_asof(history, run_date, pred), "zone", "left").select(
         "zone", F.lit(run_date).alias("date"), "plan_total_mw", "plan_peak_mw", "plan_made_on",
         "actual_yesterday_avg_mw", "peak_yesterday_mw", "peak_yesterday_time",
         "today_forecast_total_mw", "today_forecast_peak_mw", "today_forecast_peak_time")

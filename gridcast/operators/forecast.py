@@ -32,25 +32,6 @@ def zone_ols(
         out, F.col("_slope") * F.col(x) + F.col("_intercept")).select(*df.columns, out)
 
 
-def _line_sums(x: Column, y: Column) -> list[Column]:
-    """Moments of (x, y) over complete pairs; they add up, so blocks of rows can be merged."""
-    both = x.isNotNull() & y.isNotNull()
-    return [
-        F.count_if(both).alias("_n"),
-        *[F.sum(F.when(both, v)).alias(n) for n, v in
-          {"_sx": x, "_sy": y, "_sxy": x * y, "_sxx": x * x}.items()],
-    ]
-
-
-def _lines(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
-    n = F.col("_n")
-    slope = F.try_divide(n * F.col("_sxy") - F.col("_sx") * F.col("_sy"),
-                         n * F.col("_sxx") - F.col("_sx") * F.col("_sx"))
-    return sums.select(*keys, "_n", "_sx", "_sy", slope.alias("_slope")).select(
-        *keys, "_slope",
-        F.try_divide(F.col("_sy") - F.col("_slope") * F.col("_sx"), F.col("_n")).alias("_intercept"))
-
-
 class Moments:
     """Row count, means and centred products of some columns; two of them can be merged."""
 
@@ -114,13 +95,20 @@ def moments(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataF
         if held:
             yield table(held)
 
+    return merged_moments(chosen.mapInPandas(blocks, schema), keys, size)
+
+
+def merged_moments(parts: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
+    """(keys, moments) with the blocks of each key merged."""
+    keys = list(keys)
+
     def merged(pdf: pd.DataFrame) -> pd.DataFrame:
         total = Moments.read(pdf["moments"].iloc[0], size)
         for data in pdf["moments"].iloc[1:]:
             total = total.merge(Moments.read(data, size))
         return pdf[keys].iloc[:1].assign(moments=[total.write()])
 
-    return chosen.mapInPandas(blocks, schema).groupBy(*keys).applyInPandas(merged, schema)
+    return parts.groupBy(*keys).applyInPandas(merged, parts.schema)
 
 
 def ridge_solve(sums: DataFrame, keys: Sequence[str], k: int, penalties: Sequence[float]) -> DataFrame:
@@ -155,6 +143,19 @@ def ridge_solve(sums: DataFrame, keys: Sequence[str], k: int, penalties: Sequenc
     return sums.select(*keys, "moments").mapInPandas(solve, f"{key_types}, penalty double, coef array<double>")
 
 
+def deviations(sums: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    """(keys, scale): the standard deviations of the features, from moments of [features, target]."""
+    keys = list(keys)
+    key_types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sums.schema if f.name in keys)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [Moments.read(m, k + 1) for m in pdf["moments"]]
+            yield pdf[keys].assign(scale=[np.sqrt(np.diag(m.products)[:k] / max(m.n, 1.0)) for m in found])
+
+    return sums.select(*keys, "moments").mapInPandas(read, f"{key_types}, scale array<double>")
+
+
 def linear_score(coef: Column, features: Sequence[str]) -> Column:
     total = coef[0]
     for i, f in enumerate(features):

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml import Estimator
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,12 +17,15 @@ from gridcast.functions.scores import add_ape
 from gridcast.operators import (
     blends, clean, dashboard, features, forecast, importance, metrics, monitor, quality, slices,
 )
+from gridcast.operators.models import ForecastModel
 from gridcast.session import materialize
 from gridcast.sources import history as hist
-from gridcast.sources import tables
+from gridcast.sources import tables, zones
 
-Forecaster = Callable[[DataFrame, Sequence[str]], DataFrame]
-"""(rows of both splits, feature names) -> the test rows (_row, pred); ``_row`` numbers the given rows."""
+Forecaster = Callable[[DataFrame, Sequence[str]], DataFrame] | Estimator
+"""(rows of both splits, feature names) -> the test rows (_row, pred), where ``_row`` numbers the given
+rows; or an estimator of :mod:`gridcast.operators.models`, which is fitted to these rows and features
+(a sequence forecaster that has features of its own keeps them)."""
 
 ROW = "_row"
 
@@ -98,7 +102,37 @@ def attach(df: DataFrame, forecasters: Mapping[str, Forecaster], names: Sequence
     """Test rows with one column per forecaster, matched by row number: as many rows as there were."""
     out = df.where(F.col("split") == "test").select(ROW, "zone", "for_date", "actual")
     for column, f in forecasters.items():
-        out = out.join(f(df, names).withColumnRenamed("pred", column), ROW, "left")
+        if isinstance(f, Estimator):
+            pred = fitted(f, df, names).transform(df).where(F.col("split") == "test").select(ROW, F.col("pred").alias(column))
+        else:
+            pred = f(df, names).withColumnRenamed("pred", column)
+        out = out.join(pred, ROW, "left")
+    return out
+
+
+def fitted(estimator: Estimator, df: DataFrame, names: Sequence[str]) -> ForecastModel:
+    """The estimator's model for the given rows, with the prediction in ``pred``."""
+    own = estimator.copy()
+    own._set(features=own.get("features") or list(names), out="pred")
+    return own.fit(df)
+
+
+def series_from_files(
+    spark: SparkSession, registry: DataFrame, text: Sequence[str] = (), missing: str = "error", root: str | None = None,
+) -> DataFrame:
+    """The series of the registered zone files: read by name, dates parsed, every column but ``text``
+    coerced to numbers, rows without date or load dropped. What the runs start from."""
+    rows = zones.parse_dates(zones.scan_zone_csv(spark, registry, missing, root))
+    kept = {"zone", "split", "for_date", *text}
+    return clean.clean_rows(rows, [c for c in rows.columns if c not in kept])
+
+
+def model_importance(models: Mapping[str, ForecastModel]) -> DataFrame:
+    """(zone, model, feature, importance) of fitted models."""
+    parts = [m.featureImportances().select("zone", F.lit(name).alias("model"), "feature", "importance") for name, m in models.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 

@@ -127,11 +127,12 @@ def by_config(spark: SparkSession, sf: str) -> DataFrame:
     return standalone(spark, sf).select("reg", "for_date", "actual", "is_peak", F.inline(configs))
 
 
-def history(spark: SparkSession, sf: str) -> DataFrame:
-    """Three runs over the test slots; a run sees no actual at or after its own time."""
+def history(spark: SparkSession, sf: str, given: DataFrame | None = None) -> DataFrame:
+    """Three runs over the test slots; a run sees no actual at or after its own time. ``given`` are the
+    predictions, where they are at hand."""
     runs = F.array(*[F.struct(F.lit(r).alias("run_timestamp"), timestamp(t).alias("_at"), F.lit(f).alias("_f"))
                      for r, t, f in RUNS])
-    rows = predictions(spark, sf).select("*", F.inline(runs))
+    rows = (predictions(spark, sf) if given is None else given).select("*", F.inline(runs))
     factored = rows.withColumns({p: F.col(p) * F.col("_f") for p in PREDS}).withColumn(
         "actual", F.when(F.col("for_date") >= F.col("_at"), 0.0).otherwise(F.col("actual")))
     return with_ensembles(tag_run(factored.drop("_at", "_f"), F.col("run_timestamp"))).drop("is_peak")

@@ -521,6 +521,15 @@ _SQL: dict[str, str | tuple[str, str]] = {
         count(p) FILTER (abs(a) >= 1) AS n_scored, round(min(p) FILTER (abs(a) < 1), 6) AS future_min,
         round(avg(p) FILTER (abs(a) < 1), 6) AS future_mean, round(max(p) FILTER (abs(a) < 1), 6) AS future_max
         FROM pr GROUP BY zone, arm"""),
+    "fill_readings": ("""fv AS (SELECT *, CASE WHEN event_id % 3 <> 0 THEN nullif(requirement, 0) END AS v FROM rd)""",
+        """SELECT zone, for_date, event_id, coalesce(
+            last_value(v IGNORE NULLS) OVER (PARTITION BY zone ORDER BY for_date, v NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+            first_value(v IGNORE NULLS) OVER (PARTITION BY zone ORDER BY for_date, v NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+            AS requirement FROM fv"""),
+    "asof_readings": ("""ra AS (SELECT zone, for_date, max_by(requirement, event_id) AS requirement FROM rd GROUP BY 1, 2),
+        la AS (SELECT zone, event_id, for_date - INTERVAL 1 HOUR AS at FROM rd)""",
+        """SELECT la.zone, la.event_id, ra.for_date AS for_date_found, ra.requirement
+        FROM la ASOF LEFT JOIN ra ON la.zone = ra.zone AND la.at >= ra.for_date"""),
     "stream_ingest": """SELECT zone, for_date, CASE WHEN isfinite(x) THEN x END AS requirement FROM f3n
         WHERE for_date IS NOT NULL""",
     "stream_daily_mape": f"""SELECT CAST(for_date AS DATE) AS date, zone, round(avg({_ape('actual', 'pred_m2')}), 6) AS daily_mape,

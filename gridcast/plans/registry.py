@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from gridcast.functions import blend, dates, scores
 from gridcast.operators import (
-    blends, clean, compare, cv, dashboard, features, forecast, importance, metrics, monitor, quality, slices,
+    asof, blends, clean, compare, cv, dashboard, features, forecast, halving, importance, metrics, models, monitor, ordered, quality,
+    sequence, slices,
 )
 from gridcast.plans import inputs as I
 from gridcast.session import materialize, shared_dir
@@ -219,6 +220,13 @@ def fill_zero_target(spark, sf):
     return clean.fill_zero_target(I.masked(spark, sf))
 
 
+@query
+def fill_readings(spark, sf):
+    """Single events in buckets of equal size; every third one is a placeholder, and stamps may repeat."""
+    r = I.readings(spark, sf).withColumn("requirement", F.when(F.col("event_id") % 3 == 0, 0.0).otherwise(F.col("requirement")))
+    return clean.fill_zero_target(r, ["zone"], seconds=ordered.EQUAL)
+
+
 @query
 def fill_zero_lag(spark, sf):
     f = I.features(spark, sf, "REQUIREMENT_LAG_3D", "REQ_LAST168H")
@@ -518,6 +526,14 @@ def plan_asof(spark, sf):
     return dashboard.plan_asof(I.history(spark, sf), I.RUN_DATE)
 
 
+@query
+def asof_readings(spark, sf):
+    """Each event with the last one of its zone that is at least an hour older."""
+    r = I.readings(spark, sf)
+    left = r.select("zone", "event_id", (F.col("for_date") - F.expr("INTERVAL 1 HOUR")).alias("at"))
+    return asof.as_of_join(left, r, ["zone"], "at", "for_date", ["requirement"], ties=["event_id"], seconds=HALF_HOUR).drop("at")
+
+
 @query
 def union_zones(spark, sf):
     p, s = I.predictions(spark, sf), I.standalone(spark, sf)
@@ -585,7 +601,8 @@ def bias_apply(spark, sf):
 
 @query
 def decision_dashboard(spark, sf):
-    return dashboard.decision_dashboard(I.blended(spark, sf), I.history(spark, sf), I.RUN_DATE)
+    p = materialize(I.predictions(spark, sf))  # both inputs are made from it
+    return dashboard.decision_dashboard(I.with_ensembles(p), I.history(spark, sf, p), I.RUN_DATE)
 
 
 @query
@@ -641,6 +658,14 @@ def fc_sequence(spark, sf):
     return r6(out.where(F.col("split") == "test").select(*KEY, "pred"), "pred")
 
 
+@query
+def fc_sequence_all(spark, sf):
+    """Six steps of all features."""
+    f = dates.add_basic_time_features(I.features(spark, sf, *LAGS))
+    out = sequence.sequence_ridge(materialize(f), ["requirement", *LAGS, "hour_auto", "dayofweek_auto"], grid=True)
+    return out.where(F.col("split") == "test").select(*KEY, "requirement", "pred")
+
+
 @query
 def cv_folds(spark, sf):
     return cv.cv_folds(_complete_train(spark, sf).select(*KEY))
@@ -663,6 +688,15 @@ def param_search(spark, sf):
     return r6(cv.param_search(train, PAIR, PENALTIES), "best_cv_mape")
 
 
+@query
+def param_search_trees(spark, sf):
+    """Tree settings per zone by successive halving over the time folds."""
+    train = materialize(dates.add_basic_time_features(_complete_train(spark, sf)))
+    trials = [{"depth": d, "step": s} for d in (2, 4) for s in (0.1, 0.4)]
+    best, _ = halving.halving_search(train, models.TreeForecaster(trees=3), [*PAIR, "hour_auto", "dayofweek_auto"], trials, folds=3)
+    return best
+
+
 @query
 def ablation_ab(spark, sf):
     f = clean.fill_zero_lag(I.features(spark, sf, "REQUIREMENT_LAG_3D", "REQ_LAST168H"))

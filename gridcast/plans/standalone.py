@@ -12,6 +12,7 @@ from gridcast import config as C
 from gridcast.functions.blend import strict_average
 from gridcast.functions.scores import add_row_errors
 from gridcast.operators import blends, clean, compare, dashboard, importance, metrics, monitor, quality, slices
+from gridcast.operators.models import SequenceForecaster, tree_forecaster
 from gridcast.plans.daily import ROW, Forecaster, attach, numbered
 from gridcast.session import materialize
 from gridcast.sources import history as hist
@@ -22,6 +23,15 @@ TAGS = {"xgb": "pred_xgb", "lgbm": "pred_lgbm", "lstm": "pred_lstm", "ensemble":
         "ensemble_w": "pred_ensemble_w"}
 
 
+def full_configs() -> dict[str, dict[str, Forecaster]]:
+    """The two configurations at their full settings."""
+    return {
+        "org": {"pred_xgb": tree_forecaster(C.TREES_ORG), "pred_lgbm": tree_forecaster(C.TREES_ORG, seed=C.SEED + 1),
+                "pred_lstm": SequenceForecaster(length=C.SEQUENCE_LENGTH_STANDALONE)},
+        "tuned": {"pred_xgb": tree_forecaster(C.TREES_MODULAR), "pred_lgbm": tree_forecaster(C.TREES_MODULAR, seed=C.SEED + 1),
+                  "pred_lstm": SequenceForecaster(length=C.SEQUENCE_LENGTH)}}
+
+
 @dataclass
 class StandaloneRun:
     predictions: DataFrame
@@ -45,7 +55,8 @@ def run_standalone(
     run_ts: str, run_date: str, now: Column, history: DataFrame | None = None,
     feature_names: Sequence[str] = C.SERIES_FEATURES, lags: Sequence[str] = tuple(C.LAG_COLUMNS)[:4],
 ) -> StandaloneRun:
-    """``configs``: name -> forecasters of the three model columns; all zones run in one plan."""
+    """``configs``: name -> forecasters of the three model columns (:func:`full_configs`, for one); all zones
+    run in one plan."""
     present = {c.lower() for c in series.columns}
     names = [f for f in feature_names if f.lower() in present]
     checked = quality.validate_split(series, [*names, C.TARGET], [c for c in lags if c.lower() in present])

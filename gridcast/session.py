@@ -50,4 +50,22 @@ def materialize(df: DataFrame) -> DataFrame:
     several times. Losing an executor then costs a re-read, not the whole lineage."""
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _WRITTEN[id(out)] = (out, path)
+    return out
+
+
+_WRITTEN: dict[int, tuple[DataFrame, str]] = {}
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`materialize` before the session ends.
+
+    Only for tables whose readers have all been written themselves: what is computed from a released
+    table cannot be computed again.
+    """
+    for table in tables:
+        _, path = _WRITTEN.pop(id(table), (None, None))
+        if path:
+            folder = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
