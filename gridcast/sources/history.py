@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +26,35 @@ def history_append(df: DataFrame, path: str, run_ts: str | Column) -> None:
     tag_run(df, run_ts).write.mode("append").partitionBy("run_date").parquet(path)
 
 
+def open_history(
+    spark: SparkSession, name: str, path: str, schema: str, by: Sequence[str] = ("zone", "for_date"), buckets: int = 64,
+) -> DataFrame:
+    """The history at ``path`` as a table ``name`` of the catalog, made if it is not there: a folder per run
+    date, and inside it files by the hash of ``by``, so that aggregates over these columns need no exchange.
+
+    ``by=("zone",)`` spares bias and weights theirs as well, but puts all rows of a zone into one task;
+    the default spreads a zone, and a sum per zone then exchanges its partial sums only.
+    ``schema`` names the columns besides ``run_timestamp`` and ``run_date``.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+    columns = ", ".join(f"`{c}`" for c in by)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({schema}, run_timestamp string, run_date date) USING parquet "
+        f"PARTITIONED BY (run_date) CLUSTERED BY ({columns}) SORTED BY ({columns}) INTO {int(buckets)} BUCKETS LOCATION '{path}'")
+    spark.sql(f"MSCK REPAIR TABLE {name}")  # run dates that other sessions have written
+    return spark.table(name)
+
+
+def history_insert(df: DataFrame, name: str, run_ts: str | Column) -> None:
+    """Add a run to a table of :func:`open_history`, in the table's own files."""
+    spark = df.sparkSession
+    detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
+    by = [c.strip(" `[]") for c in detail["Bucket Columns"].split(",")]
+    tag_run(df, run_ts).select(spark.table(name).columns).write.mode("append").partitionBy("run_date").bucketBy(
+        int(detail["Num Buckets"]), *by).sortBy(*by).option("path", detail["Location"]).saveAsTable(name)
+
+
 def history_latest(history: DataFrame, keys: tuple[str, ...] = ("for_date", "zone")) -> DataFrame:
     """The newest run's row per key; of several in one run, the largest. ``max_by`` combines before
     the shuffle; no sort is needed."""
