@@ -40,12 +40,14 @@ from gridcast.llm.tokens import read_vocabulary
 VOCABULARY_A = "/opt/tokenizers/byte_bpe_50k.json"
 VOCABULARY_B = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"  # how B writes a blank
+SIGN = BLANK.encode()
 
 CUT = re.compile(rb"(?<=[^ ]) (?=[!-~])")
 WHOLE = re.compile(rb"(?!)")
 KEPT_UNITS = 200_000      # cut-outs a worker remembers
-LONGEST_KEPT = 512        # bytes of the longest cut-out it remembers
-GROUP = 8 << 20           # bytes of text whose cut-outs are encoded together
+LONGEST_KEPT = 256        # bytes of the longest cut-out it remembers
+AT_ONCE = 4096            # cut-outs encoded by one call
+GROUP = 2 << 20           # bytes of text whose cut-outs are looked up together
 BUFFER = 1 << 22          # ids summed up at once when pairs are counted
 
 
@@ -86,6 +88,9 @@ class Vocabularies:
             if x and (x not in ids_b or self.b.is_byte(ids_b[x])):  # a piece comes before a fallback byte
                 ids_b[x] = i
         self.same = np.array([ids_b.get(x, -1) if x else -1 for x in self.bytes_a], np.int64)
+        widest = len(str(max(self.n_a, self.n_b)))
+        written = np.array([b"%d" % i for i in range(max(self.n_a, self.n_b))], f"S{widest}")
+        self.digits, self.n_digits = written.view(np.uint8).reshape(-1, widest), np.char.str_len(written)
         self.dtype = np.dtype("<u4" if self.n_a * self.n_b < 1 << 32 else "<u8")
 
     def is_same(self, codes: np.ndarray) -> np.ndarray:
@@ -108,37 +113,59 @@ class Aligner:
         self.first = np.empty(0, np.int64)
 
     def learn(self, parts: list[bytes]) -> None:
-        """Encode and align cut-outs that are not known yet."""
-        texts = [p.decode("utf-8", "replace") for p in parts]
-        ids_a = [e.ids for e in self.v.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-        ids_b = self.v.b.encode(texts, num_threads=1)
-        bytes_a, bytes_b = self.v.bytes_a, self.v.bytes_b
-        good = [b"".join([bytes_a[i] for i in x]) == b" " + p and b"".join([bytes_b[i] for i in y]) == b" " + p
-                for p, x, y in zip(parts, ids_a, ids_b)]
-        n_a = np.array([len(x) if g else 0 for x, g in zip(ids_a, good)], np.int64)
-        n_b = np.array([len(x) if g else 0 for x, g in zip(ids_b, good)], np.int64)
-        a = np.fromiter((i for x, g in zip(ids_a, good) if g for i in x), np.int64, int(n_a.sum()))
-        b = np.fromiter((i for x, g in zip(ids_b, good) if g for i in x), np.int64, int(n_b.sum()))
-        ends_a, ends_b = np.cumsum(self.v.sizes_a[a]), np.cumsum(self.v.sizes_b[b])
+        """Encode and align cut-outs that are not known yet. Those that begin and end like words are
+        encoded side by side by one call; the others, and all of a call that gives other bytes, alone."""
+        plain = [p for p in parts if p and 32 < p[0] < 127 and p[-1] != 32 and SIGN not in p]
+        many = set(plain)
+        for at in range(0, len(plain), AT_ONCE):
+            some = plain[at:at + AT_ONCE]
+            if not self._learn(some):
+                many.difference_update(some)
+        for p in parts:
+            if p not in many and not self._learn([p]):
+                self._add([p], np.array([[-1, 0, 0, 0]]), np.zeros(1, np.int64), np.empty(0, self.v.dtype), [b""])
+
+    def _learn(self, parts: list[bytes]) -> bool:
+        """Whether the tokens of both encoders have the bytes of the given cut-outs."""
+        whole, v = b" " + b" ".join(parts), self.v
+        text = whole.decode("utf-8", "replace")
+        a = np.array(v.a.encode(text, add_special_tokens=False).ids, np.int64)
+        b = np.array(v.b.encode(text[1:]), np.int64)
+        if b"".join([v.bytes_a[i] for i in a.tolist()]) != whole or b"".join([v.bytes_b[i] for i in b.tolist()]) != whole:
+            return False
+        ends_a, ends_b = np.cumsum(v.sizes_a[a]), np.cumsum(v.sizes_b[b])
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
         group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
-        low = np.searchsorted(ends_b, ends_a - self.v.sizes_a[a], side="right")   # first token of B that overlaps
-        high = np.searchsorted(ends_b - self.v.sizes_b[b], ends_a, side="left")   # behind the last one
+        low = np.searchsorted(ends_b, ends_a - v.sizes_a[a], side="right")   # first token of B that overlaps
+        high = np.searchsorted(ends_b - v.sizes_b[b], ends_a, side="left")   # behind the last one
         links = high - low
-        codes = np.repeat(a, links) * self.v.n_b + b[np.repeat(low - (np.cumsum(links) - links), links) + np.arange(int(links.sum()))]
-        at_a, at_b = np.concatenate(([0], np.cumsum(n_a))), np.concatenate(([0], np.cumsum(n_b)))
-        link_at = np.concatenate(([0], np.cumsum(links)))
-        n_links = link_at[at_a[1:]] - link_at[at_a[:-1]]
-        names_a, names_b = [b",".join(x) for x in _split(a, group_a, len(common))], [b",".join(x) for x in _split(b, group_b, len(common))]
-        pairs = [x + b"|" + y for x, y in zip(names_a, names_b)]
-        group_at = np.concatenate((group_a, [len(common)]))[at_a]
-        n_groups = np.diff(group_at)
-        for p in parts:
-            self.number[p] = len(self.number)
-        self.groups += [b";".join(pairs[s:e]) for s, e in zip(group_at[:-1].tolist(), group_at[1:].tolist())]
-        self.first = np.concatenate((self.first, len(self.codes) + link_at[at_a[:-1]]))
-        self.codes = np.concatenate((self.codes, codes.astype(self.v.dtype)))
-        self.figures = np.concatenate((self.figures, np.column_stack((np.where(good, n_a, -1), n_b, n_groups, n_links))))
+        codes = np.repeat(a, links) * v.n_b + b[np.repeat(low - (np.cumsum(links) - links), links) + np.arange(int(links.sum()))]
+        # how many tokens, groups and links lie up to each cut-out's end
+        to_a, to_b, to_group = (np.searchsorted(x, ends, side="right") for x in (ends_a, ends_b, common))
+        to_link = np.concatenate(([0], np.cumsum(links)))[to_a]
+        figures = np.column_stack([np.diff(x, prepend=0) for x in (to_a, to_b, to_group, to_link)])
+        # ids in the order they are written, each with the sign behind it
+        last_a, last_b = np.append(group_a[1:] != group_a[:-1], True), np.append(group_b[1:] != group_b[:-1], True)
+        order = np.argsort(np.concatenate((group_a * 2, group_b * 2 + 1)), kind="stable")
+        ids = np.concatenate((a, b))[order]
+        signs = np.concatenate((np.where(last_a, ord("|"), ord(",")), np.where(last_b, ord(";"), ord(","))))[order]
+        digits, size = v.digits[ids], v.n_digits[ids]
+        rows = np.concatenate((digits, signs.astype(np.uint8)[:, None]), axis=1)
+        keep = np.arange(rows.shape[1]) < size[:, None]
+        keep[:, -1] = True
+        written = rows[keep].tobytes()
+        stops = np.concatenate(([0], np.cumsum(size + 1)[to_a + to_b - 1])).tolist()
+        self._add(parts, figures, to_link - figures[:, 3], codes.astype(v.dtype), [written[s:e - 1] for s, e in zip(stops, stops[1:])])
+        return True
+
+    def _add(self, parts: list[bytes], figures: np.ndarray, first: np.ndarray, codes: np.ndarray, groups: list[bytes]) -> None:
+        n, size = len(self.groups), len(self.codes)
+        self.number.update(zip(parts, range(n, n + len(parts))))
+        self.groups += groups
+        self.first = np.concatenate((self.first, size + first))
+        self.codes = np.concatenate((self.codes, codes))
+        self.figures = np.concatenate((self.figures, figures))
 
     def align(self, texts: list[bytes]) -> Iterator[tuple[list[int], bytes, np.ndarray, np.ndarray]]:
         """Per text: the four figures, the groups as written, the distinct pairs and their numbers of links."""
@@ -149,11 +176,20 @@ class Aligner:
                 size += len(texts[stop])
                 stop += 1
             parts = [self.v.cut.split(t) if t else [] for t in texts[at:stop]]
-            self.learn(list(dict.fromkeys(p for x in parts for p in x if p not in self.number)))
+            new = list(dict.fromkeys(p for x in parts for p in x if p not in self.number))
+            long = [p for p in new if len(p) > LONGEST_KEPT]
+            self.learn([p for p in new if len(p) <= LONGEST_KEPT])
+            kept, n_codes = len(self.groups), len(self.codes)
+            self.learn(long)
             for x in parts:
                 yield self._text([self.number[p] for p in x])
-            if len(self.number) > KEPT_UNITS or any(len(p) > LONGEST_KEPT for x in parts for p in x):
+            if kept > KEPT_UNITS:
                 self._clear()
+            else:  # long ones are forgotten
+                for p in long:
+                    del self.number[p]
+                del self.groups[kept:]
+                self.figures, self.codes, self.first = self.figures[:kept], self.codes[:n_codes], self.first[:kept]
             at = stop
 
     def _text(self, units: list[int]) -> tuple[list[int], bytes, np.ndarray, np.ndarray]:
@@ -168,13 +204,6 @@ class Aligner:
         return figures.sum(axis=0).tolist(), b";".join([self.groups[i] for i in units]), codes, times.astype("<u4")
 
 
-def _split(ids: np.ndarray, group: np.ndarray, n: int) -> list[list[bytes]]:
-    """The ids, written out, group by group."""
-    written = [b"%d" % i for i in ids.tolist()]
-    at = np.searchsorted(group, np.arange(n + 1)).tolist()
-    return [written[s:e] for s, e in zip(at, at[1:])]
-
-
 @lru_cache(maxsize=2)
 def _vocabularies(a: bytes, b: bytes) -> Vocabularies:
     return Vocabularies(a, b)
@@ -208,7 +237,7 @@ def align(docs: DataFrame, text: str = "text", vocabulary_a: str = VOCABULARY_A,
                 column.append(value)
         return out
 
-    return add_columns(docs, text, FIELDS, rows, only=only)
+    return add_columns(docs, text, FIELDS, rows, only=only, at_once=GROUP)
 
 
 def count_pairs(aligned: DataFrame, vocabulary_a: str = VOCABULARY_A, vocabulary_b: str = VOCABULARY_B) -> DataFrame:

@@ -11,12 +11,15 @@ on the original vectors.
 The index is fitted on at most about ``sample_rows`` vectors drawn by a hash of their id (a
 documented bound): the rotation, the centres, and how many lists to probe so that the sample's own
 nearest neighbours are found with ``recall``. Every vector is indexed. Lists are cut into blocks of
-about ``BLOCK`` vectors by a hash of the id, so a list of many equal vectors is many tasks' work.
+about ``BLOCK`` vectors by a hash of the row, so a list of many equal vectors, or an id that repeats
+without end, is many tasks' work.
 
 Defined cases: a vector that is null, empty, all zero, or holds a null or non-finite component takes
 no part, nor does one whose length is not the most frequent one (the longer, on a tie), nor a row
-without id; rows that repeat an id are candidates each, but never of a query of that id; ties go to
-the smaller id; an empty table gives no rows; extra columns are not read.
+without id; rows that repeat an id are candidates each; a query is a distinct pair of id and vector,
+which has all rows but one of its own as candidates, and ``query_hash``, a hash of the vector, tells
+queries of one id apart;
+ties go to the smaller id, then the earlier row; an empty table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ from gridcast.llm.common import materialize
 BLOCK, QUERY_BLOCK, COLUMNS = 4096, 512, 8
 HELD = 400_000  # finds a task gathers before it cuts them down to the best of each query
 EPSILON = 2.1  # standard deviations of the test: an abandoned candidate is wrong about once in fifty
-RESULT = "query_id long, rank int, vec_id long, score double"
+RESULT = "query_id long, rank int, vec_id long, score double, query_hash long"
 
 
 def valid(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -147,32 +150,33 @@ def scan(block: np.ndarray, query: np.ndarray, k: int, skip: np.ndarray, slack:
 
 
 def _best(parts: list[tuple], k: int) -> tuple:
-    """The ``k`` best of each query among some finds."""
-    query, vector, score = (np.concatenate(c) for c in zip(*parts))
-    order = np.lexsort((vector, -score, query))
+    """The ``k`` best (query row, id, row, score) of each query among some finds."""
+    query, vector, row, score = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((row, vector, -score, query))
     query = query[order]
     first = np.flatnonzero(np.concatenate(([True], query[1:] != query[:-1]))) if len(query) else np.empty(0, np.int64)
     rank = np.arange(len(query)) - np.repeat(first, np.diff(np.append(first, len(query))))
     order = order[rank < k]
-    return query[rank < k], vector[order], score[order]
+    return query[rank < k], vector[order], row[order], score[order]
 
 
 def search(rows: DataFrame, is_query: Column, k: int = 20, index: Index | None = None, **options) -> DataFrame:
-    """(query_id, rank, vec_id, score) for the rows of ``rows(id, x)`` that ``is_query`` marks."""
+    """(query_id, rank, vec_id, score, query_hash) for the rows of ``rows(id, x)`` that ``is_query`` marks."""
     spark = rows.sparkSession
-    rows = materialize(rows)
+    rows = materialize(rows.select("id", "x", F.monotonically_increasing_id().alias("row")))
     index = index or fit(rows, k, **options)
     if index is None:
         return spark.createDataFrame([], RESULT)
     shared = spark.sparkContext.broadcast(index)
+    listed_as = "id long, row long, x array<double>, list int"
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                cell = shared.value.distances(shared.value.place(_matrix(batch.column(1)))).argmin(axis=1)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cell, pa.int32())], ["id", "x", "list"])
+                cell = shared.value.distances(shared.value.place(_matrix(batch.column(2)))).argmin(axis=1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32())], ["id", "row", "x", "list"])
 
-    listed = materialize(rows.mapInArrow(assign, "id long, x array<double>, list int"))
+    listed = materialize(rows.select("id", "row", "x").mapInArrow(assign, listed_as))
     sizes = np.zeros(len(index.centres), np.int64)
     for r in listed.groupBy("list").count().collect():  # one row per list: bounded by the index
         sizes[r["list"]] = r["count"]
@@ -182,57 +186,62 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, index: Index | None =
         for batch in batches:
             if not batch.num_rows:
                 continue
-            order = np.argsort(shared.value.distances(shared.value.place(_matrix(batch.column(1)), query=True)), axis=1)
+            order = np.argsort(shared.value.distances(shared.value.place(_matrix(batch.column(2)), query=True)), axis=1)
             enough = (np.cumsum(held.value[order], axis=1) > 4 * k).argmax(axis=1) + 1
             short = held.value.sum() <= 4 * k
             n = np.full(len(order), order.shape[1]) if short else np.maximum(shared.value.probes, enough)
             row = np.repeat(np.arange(len(order)), n)
             at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             cell, take = order[row, at], pa.array(row)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(cell, pa.int32())],
-                                             ["id", "x", "list"])
+            yield pa.RecordBatch.from_arrays([*[c.take(take) for c in batch.columns], pa.array(cell, pa.int32())], ["id", "row", "x", "list"])
 
-    asked = rows.where(is_query).mapInArrow(probe, "id long, x array<double>, list int")
+    # rows alike in id and vector ask once, for the first of them
+    queries = materialize(rows.where(is_query).groupBy("id", "x").agg(F.min("row").alias("row")).select("id", "row", "x"))
+    asked = queries.mapInArrow(probe, listed_as)
     blocks = _blocks(listed, BLOCK, "v").join(_blocks(asked, QUERY_BLOCK, "q"), "list").drop("list")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        names = ["row", "vec_id", "found", "score"]
         for batch in batches:
             for r in batch.to_pylist():
-                ids, vectors = np.frombuffer(r["v_ids"], np.int64), np.frombuffer(r["v_x"]).reshape(r["v_n"], -1)
-                q_ids, queries = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["q_x"]).reshape(r["q_n"], -1)
+                ids, lines, vectors = np.frombuffer(r["v_ids"], np.int64), np.frombuffer(r["v_rows"], np.int64), np.frombuffer(r["v_x"]).reshape(r["v_n"], -1)
+                own, queries = np.frombuffer(r["q_rows"], np.int64), np.frombuffer(r["q_x"]).reshape(r["q_n"], -1)
                 columns = np.ascontiguousarray(shared.value.place(vectors).T)
                 asks = shared.value.place(queries, query=True)
                 slack = 1e-9 * shared.value.largest ** 2
-                for q, x, ask in zip(q_ids, queries, asks):
-                    near = scan(columns, ask, k, ids == q, slack)
+                for q, x, ask in zip(own, queries, asks):
+                    near = scan(columns, ask, k, lines == q, slack)
                     score = (vectors[near] * x).sum(axis=1)
-                    top = np.lexsort((ids[near], -score))[:k]
-                    held.append((np.full(len(top), q), ids[near][top], score[top]))
+                    top = np.lexsort((lines[near], ids[near], -score))[:k]
+                    held.append((np.full(len(top), q), ids[near][top], lines[near][top], score[top]))
                 if sum(len(x[0]) for x in held) > HELD:
                     held = [_best(held, k)]
                     if len(held[0][0]) > HELD // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held.pop()], ["query_id", "vec_id", "score"])
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held.pop()], names)
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _best(held, k)], ["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _best(held, k)], names)
 
-    found = blocks.mapInArrow(compare, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = blocks.mapInArrow(compare, "row long, vec_id long, found long, score double")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id", "found")
+    asked_by = queries.select("row", F.col("id").alias("query_id"), F.xxhash64("x").alias("query_hash"))
+    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best.join(asked_by, "row").select("query_id", "rank", "vec_id", "score", "query_hash")
 
 
 def _blocks(rows: DataFrame, size: int, side: str) -> DataFrame:
-    """(list, <side>_n, <side>_ids, <side>_x): the rows of each list in blocks of about ``size``."""
+    """(list, <side>_n, <side>_ids, <side>_rows, <side>_x): the rows of each list in blocks of about ``size``."""
     parts = rows.groupBy("list").agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
-    dealt = rows.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("id", "list"), F.col("parts")))
+    dealt = rows.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("row", "list"), F.col("parts")))
 
     def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by("id")
-        ids, x = group.column("id").to_numpy(), _matrix(group.column("x"))
+        group = group.sort_by("row")
+        ids, lines, x = group.column("id").to_numpy(), group.column("row").to_numpy(), _matrix(group.column("x"))
         return pa.table({"list": pa.array([group.column("list")[0].as_py()], pa.int32()), f"{side}_n": pa.array([len(ids)], pa.int32()),
-                         f"{side}_ids": pa.array([ids.tobytes()], pa.binary()), f"{side}_x": pa.array([x.tobytes()], pa.binary())})
+                         f"{side}_ids": pa.array([ids.tobytes()], pa.binary()), f"{side}_rows": pa.array([lines.tobytes()], pa.binary()),
+                         f"{side}_x": pa.array([x.tobytes()], pa.binary())})
 
-    return dealt.groupBy("list", "part").applyInArrow(run, f"list int, {side}_n int, {side}_ids binary, {side}_x binary")
+    return dealt.groupBy("list", "part").applyInArrow(run, f"list int, {side}_n int, {side}_ids binary, {side}_rows binary, {side}_x binary")
 
 
 def report(embeddings: DataFrame, k: int = 20) -> DataFrame:

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridcast.llm.bitmaps import Bitmap, bitmap
 from gridcast.llm.common import materialize
 from gridcast.llm.textscan import as_bytes, lower_ascii, mix, word_table, words_of
 
@@ -42,8 +43,8 @@ _IS_END = np.zeros(256, bool)
 _IS_END[np.frombuffer(ENDS.encode(), np.uint8)] = True
 
 GROUP = 8 << 20                       # bytes of text summed up at once
-LAYERS = (1 / 8, 1 / 2)               # shares of a language's frequent occurrences at which layers end
-MOST_BITS = 28                        # of a bitmap: 32 MB
+LAYERS = (1 / 4,)                     # shares of a language's frequent occurrences at which layers end
+SENT = 1 << 20                        # words a task remembers having spelt
 SEP = b"\n"
 
 
@@ -100,34 +101,8 @@ def _phrase_hash(words: list[np.ndarray]) -> np.ndarray:
     return mix(out + U64(len(words)))
 
 
-def _bits(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    bit = hashes >> U64(64 - bits)
-    return (bit >> U64(3)).astype(np.int64), (bit & U64(7)).astype(np.uint8)
-
-
-class Bitmap:
-    """A set of phrases by their hashes' first bits."""
-
-    def __init__(self, bits: int, parts: dict[int, bytes]):
-        self.bits, self.bytes = bits, np.zeros(1 << (bits - 3), np.uint8)
-        size = len(self.bytes) // SLICES
-        for k, x in parts.items():
-            self.bytes[k * size:(k + 1) * size] = np.frombuffer(x, np.uint8)
-
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        byte, bit = _bits(hashes, self.bits)
-        return (self.bytes[byte] >> bit) & 1 > 0
-
-
-SLICES = 256
-
-
-def bitmap(phrases: DataFrame) -> Bitmap:
-    """The bitmap of ``phrases(p)``, arrays of names: made in slices by tasks that stream over their
-    rows; at most ``2**MOST_BITS`` bits reach the driver."""
-    n = phrases.count()
-    bits = min(MOST_BITS, max(16, n.bit_length() + 4))
-    low = 1 << (bits - 3 - 8)  # bytes of a slice
+def phrases_bitmap(phrases: DataFrame) -> Bitmap:
+    """The bitmap of ``phrases(p)``, arrays of names."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,25 +112,15 @@ def bitmap(phrases: DataFrame) -> Bitmap:
             for k in np.unique(size).tolist():
                 mine = np.flatnonzero(size == k)
                 out[mine] = _phrase_hash([flat[at[mine] + j] for j in range(k)])
-            byte, bit = _bits(out, bits)
-            yield pa.RecordBatch.from_arrays([pa.array(byte // low), pa.array(byte % low * 8 + bit)], names=["slice", "bit"])
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[int, np.ndarray] = {}
-        for batch in batches:
-            which, bit = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for k in np.unique(which).tolist():
-                part = parts.setdefault(k, np.zeros(low, np.uint8))
-                b = bit[which == k]
-                np.bitwise_or.at(part, b >> 3, np.left_shift(1, b & 7).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array([x.tobytes() for x in parts.values()], pa.binary())],
-                                         names=["slice", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64))], names=["h"])
 
-    rows = phrases.select("p").mapInArrow(hashed, "slice bigint, bit bigint").repartition("slice").mapInArrow(made, "slice bigint, bits binary")
-    return Bitmap(bits, {r.slice: r.bits for r in rows.collect()})
+    return bitmap(phrases.select("p").mapInArrow(hashed, "h bigint"), phrases.count())
 
 
-def _groups(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[str]]]:
+def _groups(batch: pa.RecordBatch, open_: Bitmap | None = None) -> Iterator[tuple[list[bytes], list[str]]]:
+    """Texts and languages, some MB at a time; with ``open_`` those of its languages only."""
+    if open_ is not None:
+        batch = batch.filter(pa.array(open_.has(batch.column(2).to_numpy(zero_copy_only=False).view(U64))))
     texts, langs = as_bytes(batch.column(0)), batch.column(1).to_pylist()
     at = 0
     while at < len(texts):
@@ -169,26 +134,45 @@ def _groups(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[str]]]:
 
 
 def _word_counts(docs: DataFrame, shared: list[int]) -> DataFrame:
-    """(name, check, lang, word, f) of all words of ``docs(text, lang)``."""
+    """(name, check, lang, f) of all words of ``docs(text, lang)``."""
     held = np.array(shared, U64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts, langs in _groups(batch):
                 t = Texts(texts, langs, held)
-                checks, order = t.checks(), np.argsort(t.names, kind="stable")
+                checks, order = t.checks(), np.argsort(t.names)
+                names, checks = t.names[order], checks[order]
                 new = np.ones(len(order), bool)
-                new[1:] = (t.names[order[1:]] != t.names[order[:-1]]) | (checks[order[1:]] != checks[order[:-1]])
+                new[1:] = (names[1:] != names[:-1]) | (checks[1:] != checks[:-1])
                 at = np.flatnonzero(new)
-                first = order[at]
+                lang = pa.array(langs, pa.string()).take(pa.array(t.text[order[at]]))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(t.names[first].view(np.int64)), pa.array(checks[first].view(np.int64)),
-                    pa.array([langs[i] for i in t.text[first].tolist()], pa.string()),
-                    pa.array([t.word(i).decode("utf-8", "replace") for i in first.tolist()], pa.string()),
-                    pa.array(np.diff(np.append(at, len(order))))], names=["name", "check", "lang", "word", "f"])
+                    pa.array(names[at].view(np.int64)), pa.array(checks[at].view(np.int64)), lang,
+                    pa.array(np.diff(np.append(at, len(order))))], names=["name", "check", "lang", "f"])
 
-    counted = docs.mapInArrow(run, "name bigint, check bigint, lang string, word string, f bigint")
-    return counted.groupBy("name", "check", "lang", "word").agg(F.sum("f").alias("f"))
+    counted = docs.select("text", "lang").mapInArrow(run, "name bigint, check bigint, lang string, f bigint")
+    return counted.groupBy("name", "check", "lang").agg(F.sum("f").alias("f"))
+
+
+def _spelt(docs: DataFrame, shared: list[int], names: DataFrame) -> DataFrame:
+    """(name, word) of ``names(p)``, each sent once by a task."""
+    held = np.array(shared, U64)
+    wanted = docs.sparkSession.sparkContext.broadcast(phrases_bitmap(names))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = np.empty(0, U64)
+        for batch in batches:
+            for texts, langs in _groups(batch):
+                t = Texts(texts, langs, held)
+                hit = np.flatnonzero(wanted.value.has(t.hashes(np.arange(len(t.names)), 1)))
+                found, first = np.unique(t.names[hit], return_index=True)
+                new = ~np.isin(found, sent)
+                sent = np.concatenate((sent, found[new]))[-SENT:]
+                yield pa.RecordBatch.from_arrays([pa.array(found[new].view(np.int64)), pa.array(
+                    [t.word(i).decode("utf-8", "replace") for i in hit[first[new]].tolist()], pa.string())], names=["name", "word"])
+
+    return docs.select("text", "lang").mapInArrow(run, "name bigint, word string").groupBy("name").agg(F.min("word").alias("word"))
 
 
 def _vocabulary(docs: DataFrame, least: int, shared: list[int]) -> tuple[DataFrame, list[int]]:
@@ -202,17 +186,17 @@ def _vocabulary(docs: DataFrame, least: int, shared: list[int]) -> tuple[DataFra
         shared = shared + found
 
 
-def _count(docs: DataFrame, shared: list[int], frequent: Bitmap, starts: Bitmap, asked: list[tuple[int, int]], least: int) -> DataFrame:
+def _count(docs: DataFrame, shared: list[int], open_: Bitmap, frequent: Bitmap, starts: Bitmap, asked: list[tuple[int, int]], least: int) -> DataFrame:
     """(p, a, inside) of phrases that occur ``least`` times or more. ``asked`` lists (k, m): phrases of k
     frequent words whose first m words are in ``starts``. ``inside`` tells whether all occurrences have
     the same word before them, or all the same word behind."""
     held = np.array(shared, U64)
-    both = docs.sparkSession.sparkContext.broadcast((frequent, starts))
+    all_three = docs.sparkSession.sparkContext.broadcast((open_, frequent, starts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, wanted = both.value
+        languages, known, wanted = all_three.value
         for batch in batches:
-            for texts, langs in _groups(batch):
+            for texts, langs in _groups(batch, languages):
                 t = Texts(texts, langs, held)
                 good = known.has(t.hashes(np.arange(len(t.names)), 1))
                 for k, m in asked:
@@ -223,7 +207,7 @@ def _count(docs: DataFrame, shared: list[int], frequent: Bitmap, starts: Bitmap,
                     if len(at):
                         yield _summed(t, at, k)
 
-    counted = docs.mapInArrow(run, "p array<bigint>, n bigint, before bigint, behind bigint")
+    counted = docs.select("text", "lang", F.xxhash64("lang")).mapInArrow(run, "p array<bigint>, n bigint, before bigint, behind bigint")
     return counted.groupBy("p").agg(
         F.sum("n").alias("a"), *[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("before", "behind")]).where(F.col("a") >= least).select(
         "p", "a", F.expr("(min_before = max_before and min_before <> 0) or (min_behind = max_behind and min_behind <> 0)").alias("inside"))
@@ -273,13 +257,14 @@ class Search:
         totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
         frequent = words.where(F.col("f") >= least)
         self.words = materialize(_layers(frequent).join(totals, "lang").select(
-            F.array("name").alias("p"), "name", "lang", "word", "f", "n", "layer"))
+            F.array("name").alias("p"), "name", "lang", "f", "n", "layer"))
         self.bounds = materialize(self.words.groupBy("lang", "layer").agg(F.min("f").alias("f"), F.max("n").alias("n")))
-        self.frequent = bitmap(self.words)
+        self.frequent = phrases_bitmap(self.words)
+        self.open: Bitmap | None = None
         self.scored: DataFrame | None = None
 
     def count(self, starts: DataFrame, asked: list[tuple[int, int]]) -> DataFrame:
-        return _count(self.docs, self.shared, self.frequent, bitmap(starts), asked, self.least)
+        return _count(self.docs, self.shared, self.open, self.frequent, phrases_bitmap(starts), asked, self.least)
 
     def worst(self) -> DataFrame:
         """(lang, worst): the score at place ``limit``, for languages that have so many."""
@@ -337,6 +322,7 @@ class Search:
             active = materialize(self.words.where(F.col("layer") == layer).join(open_, "lang"))
             if active.isEmpty():
                 continue
+            self.open = bitmap(active.select(F.xxhash64("lang")).distinct())
             found = self.scored.unionByName(self.score(self.grow(active)))
             self.scored = materialize(found)
             worst = materialize(self.worst())
@@ -352,7 +338,8 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     by = [F.desc("score"), F.desc("a")]
     place = F.rank().over(Window.partitionBy("lang").orderBy(*by))
     top = search.run().withColumn("place", place).where(F.col("place") <= limit)
-    spelt = top.select("*", F.posexplode("p").alias("i", "name")).join(search.words.select("name", "word"), "name")
+    words = materialize(top.select("*", F.posexplode("p").alias("i", "name")))
+    spelt = words.join(_spelt(search.docs, search.shared, words.select(F.array("name").alias("p")).distinct()), "name")
     spelt = spelt.groupBy("p", "lang", "a", "l", "r", "n", "score").agg(F.array_sort(F.collect_list(F.struct("i", "word"))).alias("w"))
     spelt = spelt.withColumn("phrase", F.array_join(F.col("w.word"), " "))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*by, "phrase"))

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcast.session import materialize, shared_dir
+from gridcast.session import materialize, release, shared_dir
 
-__all__ = ["ascii_lower", "add_columns", "fresh", "materialize", "remainder", "shared_dir", "table"]
+__all__ = ["ascii_lower", "add_columns", "fresh", "materialize", "release", "remainder", "shared_dir", "table"]
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -39,12 +40,13 @@ def remainder(key: str, of: int = 5) -> Column:
 
 def add_columns(df: DataFrame, text: str, fields: list[tuple[str, str]],
                 rows: Callable[[list[bytes], list[list] | None], list], only: list[str] | None = None,
-                before: list[str] | None = None) -> DataFrame:
+                before: list[str] | None = None, at_once: int | None = None) -> DataFrame:
     """``df`` with new columns computed batch by batch from the bytes of ``text``.
 
     ``rows`` gets the texts of one Arrow batch (null as empty) and returns one list per new column.
     Input columns whose name is also a new column are replaced. ``only`` limits what is carried over.
-    With ``before``, ``rows`` gets the values of these input columns as a second argument.
+    With ``before``, ``rows`` gets the values of these input columns as a second argument. With
+    ``at_once``, a batch is handled in parts of about so many bytes of text.
     """
     from gridcast.llm.textscan import as_bytes
 
@@ -60,7 +62,7 @@ def add_columns(df: DataFrame, text: str, fields: list[tuple[str, str]],
     kinds = [f.type for f in to_arrow_schema(added)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole, n, at_once)):
             texts = as_bytes(batch.column(n))
             new = rows(texts, [batch.column(i).to_pylist() for i in range(n + 1, batch.num_columns)] if before else None)
             columns = [batch.column(i) for i in range(n)] + [pa.array(v, k) for v, k in zip(new, kinds)]
@@ -68,3 +70,19 @@ def add_columns(df: DataFrame, text: str, fields: list[tuple[str, str]],
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return given.mapInArrow(run, schema)
+
+
+def _parts(batch: pa.RecordBatch, column: int, size: int | None) -> Iterator[pa.RecordBatch]:
+    """The batch, or slices of it with at least one row and no more than ``size`` bytes of text beyond that."""
+    if size is None or not batch.num_rows:
+        yield batch
+        return
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    at = 0
+    while at < len(lengths):
+        stop, total = at, 0
+        while stop < len(lengths) and (stop == at or total + lengths[stop] <= size):
+            total += lengths[stop]
+            stop += 1
+        yield batch.slice(at, stop - at)
+        at = stop

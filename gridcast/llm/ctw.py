@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import materialize, remainder
+from gridcast.llm.common import materialize, release, remainder
 from gridcast.llm.textscan import CHUNK, SPACED, as_bytes, chunks, distinct
 
 DEPTH = 5
@@ -144,8 +144,9 @@ _DECISIONS = """transform(sequence(0, 7), k -> named_struct(
 
 
 def trees(counted: DataFrame, depth: int) -> list[DataFrame]:
-    """For each depth, (node, zero, one): the probability of either decision where this depth is the
-    deepest known one. A node's number is its context above eight bits for the decision place."""
+    """For each depth, a written table of (node, zero, one, ...): the probability of either decision where
+    this depth is the deepest known one. A node's number is its context above eight bits for the decision
+    place. The tables of the way up are deleted as the way down has taken them in."""
     rows = counted.where("n > 0").select("n", F.explode(F.expr(_DECISIONS)).alias("d")).select(
         F.col("d.node").alias("node"), F.when(F.col("d.bit") == 0, F.col("n")).otherwise(0).alias("a"),
         F.when(F.col("d.bit") == 1, F.col("n")).otherwise(0).alias("b"))
@@ -172,26 +173,33 @@ def trees(counted: DataFrame, depth: int) -> list[DataFrame]:
             "node", (F.col("zero0") + F.col("left") * p0).alias("zero"), (F.col("one0") + F.col("left") * p1).alias("one"),
             (F.col("zero0") + F.col("left") * share * p0).alias("zero0"), (F.col("one0") + F.col("left") * share * p1).alias("one0"),
             (F.col("left") * (1 - share)).alias("left")))
-        out.append(placed.select("node", "zero", "one"))
+        release(level)
+        out.append(placed)
         above = placed.select(F.col("node").alias("up"), "zero0", "one0", "left")
     return out
 
 
 def code_lengths(counted: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """(key, value): log10 of the probability of a string's last byte behind the others."""
-    depth = len(levels) - 1
+    """(key, value), written: log10 of the probability of a string's last byte behind the others. The
+    tables of ``levels`` are deleted."""
+    depth, met_before = len(levels) - 1, []
     open_ = counted.select("key", F.explode(F.expr(_DECISIONS)).alias("d")).select("key", F.col("d.node").alias("node"), F.col("d.bit").alias("bit"))
     done = None
+    p = F.when(F.col("bit") == 0, F.col("zero")).otherwise(F.col("one"))
     for d in range(depth, -1, -1):
-        level = levels[d].withColumnRenamed("node", "at")
-        met = materialize(open_.withColumn("at", F.col("node").bitwiseAND(F.lit(_mask(d)))).join(level, "at", "left")) \
-            if d < depth else open_.withColumn("at", F.col("node")).join(level, "at", "left")
-        p = F.when(F.col("bit") == 0, F.col("zero")).otherwise(F.col("one"))
-        known = met.where("zero is not null").select("key", F.log10(p).alias("value"))
-        done = known if done is None else done.unionByName(known)
-        open_ = met.where("zero is null").select("key", "node", "bit")
-    done = done.unionByName(open_.select("key", F.lit(math.log10(0.5)).alias("value")))
-    return done.groupBy("key").agg(F.sum("value").alias("value"))
+        level = levels[d].select(F.col("node").alias("at"), "zero", "one")
+        at = F.col("node") if d == depth else F.col("node").bitwiseAND(F.lit(_mask(d)))
+        met = materialize(open_.withColumn("at", at).join(level, "at", "left").select("key", "node", "bit", F.log10(p).alias("value")))
+        release(levels[d], *met_before)
+        known = materialize(met.where("value is not null").groupBy("key").agg(F.sum("value").alias("value")))
+        done = [known] if done is None else [*done, known]
+        open_, met_before = met.where("value is null").select("key", "node", "bit"), [met]
+    parts = open_.select("key", F.lit(math.log10(0.5)).alias("value"))
+    for known in done:
+        parts = parts.unionByName(known)
+    out = materialize(parts.groupBy("key").agg(F.sum("value").alias("value")))
+    release(*done, *met_before)
+    return out
 
 
 def _frequent(rows: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -223,10 +231,12 @@ def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text
                        F.col(f"`{text}`").cast("string").alias("text"))
     counted = materialize(count(rows, depth))
     grams, words = counted.where(F.col("kind") == STRING).drop("kind"), counted.where(F.col("kind") == TOKEN).drop("kind")
-    lengths = code_lengths(grams, trees(grams, depth)).join(grams, "key")
+    lengths_ = code_lengths(grams, trees(grams, depth))
+    lengths = lengths_.join(grams, "key")
     values = materialize(lengths.select(F.lit(STRING).alias("kind"), "key", "n", "value").unionByName(
         words.select(F.lit(TOKEN).alias("kind"), "key", "n", F.log10(F.col("n") + 0.5).alias("value"))))
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    release(counted, lengths_)
     known = spark.sparkContext.broadcast([
         _frequent(values.where(F.col("kind") == kind).drop("kind"), limit)
         for kind, limit in ((STRING, known_strings), (TOKEN, known_words))])

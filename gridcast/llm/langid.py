@@ -9,7 +9,8 @@ out of its host's counts.
 
 What tasks hold grows with the number of languages only, which is checked against ``most_languages``.
 
-Defined cases: null or empty markup has no text evidence; a page without declared language or without
+Defined cases: a page without any trigram (null or empty markup, say) has no text evidence, a null text
+language, and no vote in any count; a page without declared language or without
 host gets no evidence from these; documents without language or text are not learnt from; without any
 language the result is null; repeated pages vote each; extra columns are not read.
 """
@@ -94,12 +95,13 @@ class TextModel:
         total = n.sum(axis=1, keepdims=True)
         return cls(languages, np.log((n + SMOOTH) / (total + SMOOTH * CELLS)).astype(np.float32))
 
-    def evidence(self, text: bytes) -> np.ndarray:
-        """Log likelihood of a text per language, up to a constant, its weight bounded by ``STRENGTH``."""
+    def evidence(self, text: bytes) -> np.ndarray | None:
+        """Log likelihood of a text per language, up to a constant, its weight bounded by ``STRENGTH``;
+        None where there is no trigram."""
         at, total = cells(text), np.zeros(len(self.languages))
         for lo in range(0, len(at), CHUNK):
             total += self.table[:, at[lo:lo + CHUNK]].sum(axis=1, dtype=float)
-        return total * (STRENGTH / (len(at) + STRENGTH)) if len(at) else total
+        return total * (STRENGTH / (len(at) + STRENGTH)) if len(at) else None
 
 
 def _per_language(n: int, one) -> Column:
@@ -130,12 +132,12 @@ def identify(pages: DataFrame, docs: DataFrame, key: str = "page_id", url: str =
     kind = rows.schema["key"].dataType.simpleString()
     seen = rows.mapInArrow(run, f"key {kind}, host string, declared string, text array<double>")
     seen = materialize(seen.select(
-        "*", (F.array_position("text", F.array_max("text")) - 1).cast("int").alias("vote"),
+        "*", F.when(F.size(F.coalesce("text", F.array())) > 0, F.array_position("text", F.array_max("text")) - 1).cast("int").alias("vote"),
         F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1).alias("domain"), F.regexp_extract("host", r"([^.]+)$", 1).alias("suffix")))
 
     def votes(by: str) -> DataFrame:
         """(by, votes per language), null keys left out."""
-        return seen.where(F.col(by).isNotNull()).groupBy(by).agg(
+        return seen.where(F.col(by).isNotNull() & F.col("vote").isNotNull()).groupBy(by).agg(
             *[F.sum((F.col("vote") == i).cast("double")).alias(f"v{i}") for i in range(k)]).select(
             by, _per_language(k, lambda i: F.col(f"v{i}")).alias(f"{by}_votes"))
 
@@ -155,7 +157,7 @@ def identify(pages: DataFrame, docs: DataFrame, key: str = "page_id", url: str =
     own = lambda i: F.when(F.col("vote") == i, 1.0).otherwise(0.0)
     zeros = F.array(*[F.lit(0.0)] * k)
     joined = joined.withColumns({
-        "domain_votes": F.coalesce("domain_votes", zeros),
+        "text": F.coalesce("text", zeros), "domain_votes": F.coalesce("domain_votes", zeros),
         "host_votes": F.when(F.col("host_votes").isNull(), zeros).otherwise(_per_language(k, lambda i: F.col("host_votes")[i] - own(i))),
         "declared_log": F.coalesce("declared_log", zeros), "suffix_log": F.coalesce("suffix_log", zeros)})
     joined = joined.withColumns({"domain_size": size("domain_votes"), "host_size": size("host_votes")})
@@ -165,7 +167,7 @@ def identify(pages: DataFrame, docs: DataFrame, key: str = "page_id", url: str =
     fused = fused.withColumn("top", F.array_max("z"))
     names = F.array(*[F.lit(x) for x in model.languages])
     return fused.select(
-        "key", "host", "declared", names[F.col("vote")].alias("text_language"),
+        "key", "host", "declared", F.get(names, F.col("vote")).alias("text_language"),
         names[(F.array_position("z", F.col("top")) - 1).cast("int")].alias("language"),
         (1 / F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))).alias("probability"))
 

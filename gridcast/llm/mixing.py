@@ -12,7 +12,8 @@ Running totals are taken over hash ranges first and inside a range next, so no t
 256th of a source's blocks or one block's documents.
 
 Defined cases: the tokens of a text are its white-space separated words; a null source is a source;
-a text without tokens costs nothing and is kept once; rows that repeat a key share its fate; an empty
+a text without tokens costs nothing and is kept once; a source whose share is less than a token has
+one token, and so at least a document; rows that repeat a key share its fate; an empty
 table stays empty; a target out of reach gives the nearest end of the range.
 """
 
@@ -94,12 +95,12 @@ def plan(tokens: DataFrame, entropy: float | None = None, max_repeats: float | N
         limit = _largest(rows, _repeats_within(max_repeats, budget, total, least, most), flip=True)
         exponent = limit if entropy is None else max(exponent, limit)
     scale = rows.agg(F.sum(F.exp(exponent * F.col("lp")))).first()[0]
-    rows = rows.withColumn("weight", F.round(F.exp(exponent * F.col("lp")) / scale, 9))
+    rows = rows.withColumn("w", F.exp(exponent * F.col("lp")) / scale)  # unrounded: a source may be very small
     if budget is None:
-        budget = rows.agg(F.max(F.col("n") / F.col("weight"))).first()[0]
-    quota = F.floor(F.col("weight") * float(budget) + 0.5)
+        budget = rows.agg(F.max(F.col("n") / F.col("w"))).first()[0]
+    quota = F.greatest(F.floor(F.col("w") * float(budget) + 0.5), F.lit(1).cast("long"))  # every source has a share
     return rows.select(
-        "src", "n", "weight", F.round(F.lit(exponent), 9).alias("exponent"),
+        "src", "n", F.round("w", 9).alias("weight"), F.round(F.lit(exponent), 9).alias("exponent"),
         F.floor(quota / F.col("n")).alias("passes"), F.pmod(quota, F.col("n")).alias("rest"),
         F.ceil(F.col("n") / block_tokens).alias("blocks"))
 
@@ -179,10 +180,10 @@ rep(step, lo, hi) AS (
         FROM (SELECT step, lo, hi, (lo + hi) / 2 AS mid FROM rep WHERE step < 52), lps)),
 expo AS (SELECT greatest((SELECT max(lo) FROM ent WHERE step = 52), (SELECT min(hi) FROM rep WHERE step = 52)) AS t),
 weighted AS (
-  SELECT source, n, total, t, round(exp(t * ln(n / total)) / list_sum(list_transform(lp, lambda x: exp(t * x))), 9) AS weight
+  SELECT source, n, total, t, exp(t * ln(n / total)) / list_sum(list_transform(lp, lambda x: exp(t * x))) AS weight
   FROM src, lps, expo),
-quotas AS (SELECT *, CAST(floor(weight * total + 0.5) AS BIGINT) AS quota FROM weighted),
-plan AS (SELECT source, weight, round(t, 9) AS exponent, quota // n AS passes, quota % n AS rest,
+quotas AS (SELECT *, greatest(CAST(floor(weight * total + 0.5) AS BIGINT), 1) AS quota FROM weighted),
+plan AS (SELECT source, round(weight, 9) AS weight, round(t, 9) AS exponent, quota // n AS passes, quota % n AS rest,
                 CAST(ceil(n / 100000) AS BIGINT) AS blocks FROM quotas),
 rows AS (
   SELECT doc_id, tok.source, n, weight, exponent, passes, rest,

@@ -19,11 +19,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridcast.llm.bitmaps import bitmap, where
 from gridcast.llm.common import fresh, materialize
 from gridcast.llm.minhash import digest, linked, signature, tune_bands, ROWS
-from gridcast.llm.textscan import SPACED, U64, Chunk, as_bytes, chunks, distinct, grams
+from gridcast.llm.textscan import CHUNK, SPACED, U64, Chunk, as_bytes, chunks, distinct, grams
 
 SHINGLE = 5
+SENT = 1 << 20  # digests a task remembers
 
 
 def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -61,6 +63,40 @@ def _describe(docs: DataFrame, key: str, text: str, what: str, hashes: int = 0,
     return rows.mapInArrow(run, f"key {kind}, digest binary, n long, {what} binary{rest}")
 
 
+def _first_bits(digests: Column) -> Column:
+    """The first 64 bits of binary names as a number."""
+    return F.conv(F.hex(F.substring(digests, 1, 8)), 16, -10).cast("long")
+
+
+def _sets(docs: DataFrame, text: str, named: DataFrame) -> DataFrame:
+    """(node, set) of the classes ``named(node, digest)``, each sent once by a task."""
+    held = docs.sparkSession.sparkContext.broadcast(bitmap(named.select(_first_bits(F.col("digest")))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[bytes] = set()
+        for batch in batches:
+            names, sets, size = [], [], 0
+            for s in shingle_sets(as_bytes(batch.column(0))):
+                if not len(s):
+                    continue
+                name = digest(s)
+                if name in sent or not held.value.has(np.frombuffer(name[:8], ">u8").astype(U64))[0]:
+                    continue
+                if len(sent) >= SENT:
+                    sent.clear()
+                sent.add(name)
+                names.append(name)
+                sets.append(s.tobytes())
+                size += len(sets[-1])
+                if size > CHUNK:
+                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(sets, pa.binary())], ["digest", "set"])
+                    names, sets, size = [], [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(sets, pa.binary())], ["digest", "set"])
+
+    found = docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, "digest binary, set binary")
+    return found.join(named, "digest").groupBy("node").agg(F.first("set").alias("set"))
+
+
 def _name(text: str) -> Column:
     """A 128-bit name of a text."""
     return F.unhex(F.md5(F.col(f"`{text}`").cast("string").cast("binary")))
@@ -77,12 +113,9 @@ def _judged(docs: DataFrame, key: str, text: str, percent: int, miss: float, als
         "node", F.monotonically_increasing_id()))
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        """Recomputed from the texts of one key per wanted class."""
-        keys = classes.join(wanted, "node").select("node", "digest", F.col("least.key").alias("least"))
-        texts = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-        some = texts.join(keys.select("least").distinct(), F.col("key").eqNullSafe(F.col("least")), "left_semi")
-        found = _describe(some, "key", "text", "set").select("digest", "set").join(keys.select("digest", "node"), "digest")
-        return found.groupBy("node").agg(F.first("set").alias("set"))
+        """Recomputed from the texts; the digests wanted are known to the scan, so no text is shuffled."""
+        named = classes.join(wanted, "node").select("node", "digest")
+        return _sets(docs, text, materialize(named))
 
     roots = linked(classes.select("node", "n", "sig"), sets_of, percent, miss, hashes)
     placed = roots.join(classes.select("node", "least"), "node")
@@ -119,13 +152,17 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     pairs = materialize(judged.where("n > 0").groupBy("key", "name").agg(
         F.max("stays").alias("stays"), F.count("*").alias("m")).where("not stays or m > 1").select(
         F.col("key").alias(f"{name}k"), F.col("name").alias(f"{name}t"), F.col("stays").alias(f"{name}s")))
+    # rows whose pair is not among these for certain stay without any exchange of texts
+    mark = F.xxhash64(F.col(f"`{key}`"), _name(text))
+    held = bitmap(pairs.select(F.xxhash64(F.col(f"{name}k"), F.col(f"{name}t"))))
+    plain, maybe = where(docs, mark, held, hit=False), where(docs, mark, held)
     same = F.col(f"`{key}`").eqNullSafe(F.col(f"{name}k")) & (_name(text) == F.col(f"{name}t"))
-    left = docs.join(pairs, same, "left_anti")
+    left = plain.union(maybe.join(pairs, same, "left_anti"))
     several = pairs.where(f"{name}s")
     if several.isEmpty():
         return left
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    one = docs.join(several, same).groupBy(f"{name}k", f"{name}t").agg(F.first(F.struct(*columns)).alias(f"{name}r"))
+    one = maybe.join(several, same).groupBy(f"{name}k", f"{name}t").agg(F.first(F.struct(*columns)).alias(f"{name}r"))
     return left.union(one.select(*[F.col(f"{name}r.`{c}`") for c in docs.columns]))
 
 

@@ -7,10 +7,13 @@ documents share word for word leaves the same pick in both, wherever it stands.
 only: each is laid beside its hash's first occurrence and grown word by word to the whole stretch
 that the two texts share, and that stretch is the passage.
 
-A first scan leaves a few band keys per unit: for paragraphs bands of MinHash values, tuned to a
-recall, for passages and short lines a hash of their words. Units whose keys are met in no other document are done. Only
-the documents of the others are scanned again: passages and short lines are grouped by a 128-bit digest, paragraphs
-go through signatures, pruning, exact Jaccard on full shingle sets, and connected components. In
+A first scan leaves a few keys per unit: for paragraphs their ``LEAST`` smallest shingle hashes (of the
+first so many hashes of two paragraphs' union, each is in both with a chance as large as their similarity,
+so a pair at the threshold has no key in common with a chance of (1 - threshold)^LEAST), for passages and
+short lines a hash of their words. Only the keys are shuffled, and counted. Those met in several rows go
+to a second scan as a bitmap of bounded size, and units without such a key are done; false hits cost time
+only. Of the others, passages and short lines are grouped by a 128-bit digest, paragraphs go through
+signatures, bands, pruning, exact Jaccard on full shingle sets, and connected components. In
 every group the first occurrence (smallest key, then place) is kept and the others are removals.
 
 Defined cases: a text that is null, empty or shorter than a unit has none; rows without key take no
@@ -27,15 +30,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridcast.llm.bitmaps import Bitmap, bitmap, where
 from gridcast.llm.common import add_columns, fresh, materialize
 from gridcast.llm.minhash import digest, linked, signature
 from gridcast.llm.textscan import SPACED, U64, Chunk, as_bytes, chunks, distinct, grams, mix
 
 SHINGLE, MIN_WORDS = 5, 20
 RUN, WINDOW = 18, 32  # a shared stretch of 49 words is always found
-ROWS, RECALL_MISS, HASHES = 2, 1e-6, 160
-PASSAGE, PARAGRAPH, LINE, KINDS = 0, 1, 2, 4
-DEALT = 64
+RECALL_MISS, HASHES = 1e-6, 160
+LEAST = 10  # 0.25 ** 10 is less than RECALL_MISS
+PASSAGE, PARAGRAPH, LINE = 0, 1, 2
+ASKS = 256  # requests to a first text in one row
 
 
 def _sliding(a: np.ndarray, least: bool) -> np.ndarray:
@@ -97,72 +102,85 @@ class Units:
         lo = self.chunk.bounds[i] + at
         return digest(mix(self.chunk.words[lo:lo + RUN]))
 
+    def keys(self, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(kind, text, first word within the chunk, key) of the units' keys, units of a kind in order."""
+        words, text_of = self.chunk.words, self.chunk.text_of
+        picks = [self.cut[i] + picked(self.runs[self.cut[i]:self.cut[i + 1]]) for i in range(self.chunk.count)]
+        picks = np.concatenate(picks) if picks else np.empty(0, np.int64)
+        at, key, kind = [self.run_at[picks]], [self.runs[picks]], [np.full(len(picks), PASSAGE)]
+        # the smallest distinct shingle hashes of every long line
+        n = np.maximum(self.sizes - SHINGLE + 1, 0)
+        place = np.repeat(self.lines - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        line, h = np.repeat(np.arange(len(n)), n), mix(grams(words, SHINGLE)[place] + U64(PARAGRAPH)) if len(place) else np.empty(0, U64)
+        order = np.lexsort((h, line))
+        line, h = line[order], h[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
+        line, h = line[new], h[new]
+        rank = np.arange(len(line)) - np.searchsorted(line, line)
+        line, h = line[rank < least], h[rank < least]
+        at.append(self.lines[line])
+        key.append(h)
+        kind.append(np.full(len(h), PARAGRAPH))
+        for size in np.unique(self.short_sizes).tolist():
+            lo = self.short[self.short_sizes == size]
+            total = np.full(len(lo), size, U64)
+            for j in range(size):
+                total = total * U64(0xD6E8FEB86659FD93) + words[lo + j]
+            at.append(lo)
+            key.append(mix(total + U64(LINE)))
+            kind.append(np.full(len(lo), LINE))
+        at = np.concatenate(at)
+        return np.concatenate(kind), text_of[at] if len(at) else at, at, np.concatenate(key)
+
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").cast("string").alias("text")).where("doc is not null")
 
 
-def _band_keys(rows: DataFrame, hashes: int) -> DataFrame:
-    """(doc, kind, start, keys) of every unit."""
+def _key_counts(rows: DataFrame, least: int) -> DataFrame:
+    """(key, n): how many rows hold a unit with that key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            where, kind, start, keys = [], [], [], []
-            for chunk in chunks(as_bytes(batch.column(1)), SPACED):
-                units = Units(chunk)
-                for i in range(chunk.count):
-                    for at, h in units.passages(i):
-                        where.append(chunk.first + i)
-                        kind.append(PASSAGE)
-                        start.append(at)
-                        keys.append([h - (1 << 64) if h >> 63 else h])  # hashes of unlike kinds do not meet
-                    for at, _, shingles in units.paragraphs(i):
-                        s = signature(shingles, hashes).astype(U64).reshape(-1, ROWS)
-                        bands = mix((s[:, 0] << U64(32) | s[:, 1]) + np.arange(1, len(s) + 1, dtype=U64))
-                        where.append(chunk.first + i)
-                        kind.append(PARAGRAPH)
-                        start.append(at)
-                        keys.append(bands.view(np.int64).tolist())
-                    for at, _, name in units.short_lines(i):
-                        where.append(chunk.first + i)
-                        kind.append(LINE)
-                        start.append(at)
-                        keys.append([int.from_bytes(name[:8], "big", signed=True)])
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(pa.array(where, pa.int64())), pa.array(kind, pa.int8()), pa.array(start, pa.int32()),
-                pa.array(keys, pa.list_(pa.int64()))], ["doc", "kind", "start", "keys"])
-
-    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, kind byte, start int, keys array<long>")
-
-
-def _described(rows: DataFrame) -> DataFrame:
-    """(doc, kind, start, words, digest, n, set) of the units listed in ``rows(doc, text, units)``."""
+            for chunk in chunks(as_bytes(batch.column(0)), SPACED):
+                _, text, _, key = Units(chunk).keys(least)
+                order = np.lexsort((text, key))
+                text, key = text[order], key[order]
+                new = np.ones(len(key), bool)
+                new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
+                key, n = np.unique(key[new], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
+
+    return rows.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def _described(rows: DataFrame, live: Bitmap, least: int) -> DataFrame:
+    """(doc, kind, start, words, digest, n, set) of the units with a live key."""
+    shared = rows.sparkSession.sparkContext.broadcast(live)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            where, rest = [], []
-            listed = batch.column(2).to_pylist()
             for chunk in chunks(as_bytes(batch.column(1)), SPACED):
-                units = Units(chunk)
-                for i in range(chunk.count):
-                    wanted = set(listed[chunk.first + i])
-                    for unit in sorted(wanted):
-                        if unit % KINDS == PASSAGE:
-                            rest.append((PASSAGE, unit // KINDS, RUN, units.passage_name(i, unit // KINDS), 0, None))
-                            where.append(chunk.first + i)
-                    for at, n, shingles in units.paragraphs(i):
-                        if at * KINDS + PARAGRAPH in wanted:
-                            rest.append((PARAGRAPH, at, n, digest(shingles), len(shingles), shingles.tobytes()))
-                            where.append(chunk.first + i)
-                    for at, n, name in units.short_lines(i):
-                        if at * KINDS + LINE in wanted:
-                            rest.append((LINE, at, n, name, 0, None))
-                            where.append(chunk.first + i)
-            columns = list(zip(*rest)) if rest else [()] * 6
-            kinds = [pa.int8(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(where, pa.int64())), *[pa.array(c, k) for c, k in zip(columns, kinds)]],
-                ["doc", "kind", "start", "words", "digest", "n", "set"])
+                units, where, rest = Units(chunk), [], []
+                kind, text, at, key = units.keys(least)
+                hit = shared.value.has(key)
+                sizes = dict(zip(units.short.tolist(), units.short_sizes.tolist())) | dict(zip(units.lines.tolist(), units.sizes.tolist()))
+                for k, i, lo in sorted(set(zip(kind[hit].tolist(), text[hit].tolist(), at[hit].tolist()))):
+                    start = lo - int(chunk.bounds[i])
+                    where.append(chunk.first + i)
+                    if k == PASSAGE:
+                        rest.append((k, start, RUN, units.passage_name(i, start), 0, None))
+                    elif k == LINE:
+                        rest.append((k, start, sizes[lo], digest(mix(chunk.words[lo:lo + sizes[lo]])), 0, None))
+                    else:
+                        shingles = distinct(grams(chunk.words[lo:lo + sizes[lo]], SHINGLE))
+                        rest.append((k, start, sizes[lo], digest(shingles), len(shingles), shingles.tobytes()))
+                columns = list(zip(*rest)) if rest else [()] * 6
+                kinds = [pa.int8(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(where, pa.int64())), *[pa.array(c, t) for c, t in zip(columns, kinds)]],
+                    ["doc", "kind", "start", "words", "digest", "n", "set"])
 
     doc = rows.schema["doc"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc {doc}, kind byte, start int, words int, digest binary, n long, set binary")
@@ -183,16 +201,11 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     """(doc, kind, start, words, first_doc, first_start, kept) for every unit repeated in another
     document: where it stands, in words from the text's begin, and its group's first occurrence."""
     rows = _keyed(docs, key, text)
-    bands = 1
-    while (1 - (percent / 100) ** ROWS) ** bands > RECALL_MISS:
-        bands += 1
-    keyed = materialize(_band_keys(rows, bands * ROWS))
-    # kind and place in one number: these rows are shuffled twice, and there are several per unit
-    one = keyed.select("doc", (F.col("start") * KINDS + F.col("kind")).alias("unit"), F.explode("keys").alias("key"))
-    live = one.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi")
-    found = one.join(live.select("key"), "key", "left_semi")
-    wanted = materialize(found.groupBy("doc").agg(F.collect_set("unit").alias("units")))
-    units = materialize(_described(rows.join(wanted, "doc").select("doc", "text", "units")))
+    least = LEAST
+    while (1 - percent / 100) ** least > RECALL_MISS:
+        least += 1
+    live = materialize(_key_counts(rows, least).where("n > 1").select("key"))
+    units = materialize(_described(rows, bitmap(live), least))
     place = F.struct("doc", "start")
     classes = materialize(units.groupBy("kind", "digest").agg(
         F.min(place).alias("least"), F.max("doc").alias("most"), F.first("n").alias("n"), F.first("set").alias("set")).withColumn(
@@ -220,13 +233,16 @@ def _grown(picks: DataFrame, rows: DataFrame) -> DataFrame:
     ``picks(doc, start, first_doc, first_start)`` that both texts share.
 
     The first text's words travel to the copy, no more of them than the copy's length allows. Requests
-    to one first text are dealt into ``DEALT`` rows, so it is copied a bounded number of times.
+    to one first text are dealt into rows of about ``ASKS``, each with a copy of that text, however many
+    there are. Texts that neither ask nor are asked stay where they are.
     """
     kind = rows.schema["doc"].dataType.simpleString()
-    texts = rows.join(picks.select("doc").distinct(), "doc", "left_semi")
+    picks = materialize(picks)
+    texts = _only(rows, picks.select("doc").distinct())
     pairs = picks.groupBy("doc", "first_doc").agg(F.collect_list(F.struct("start", "first_start")).alias("at"))
     sized = texts.mapInArrow(_sizes, f"doc {kind}, size int").groupBy("doc").agg(F.max("size").alias("size"))
-    asks = pairs.join(sized, "doc").groupBy("first_doc", F.pmod(F.xxhash64("doc"), F.lit(DEALT)).alias("dealt")).agg(
+    asked = pairs.groupBy("first_doc").agg(F.ceil(F.count("*") / ASKS).alias("rows"))
+    asks = pairs.join(sized, "doc").join(asked, "first_doc").groupBy("first_doc", F.pmod(F.xxhash64("doc"), F.col("rows")).alias("dealt")).agg(
         F.collect_list(F.struct("doc", "size", "at")).alias("asks"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +262,8 @@ def _grown(picks: DataFrame, rows: DataFrame) -> DataFrame:
                     [doc.take(take), batch.column(0).take(pa.array([k] * len(take))), places.take(take),
                      pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary())], ["doc", "first_doc", "at", "lo", "cut"])
 
-    cuts = asks.join(rows.select(F.col("doc").alias("first_doc"), "text"), "first_doc").select("first_doc", "text", "asks").mapInArrow(
+    leads = _only(rows, picks.select("first_doc").distinct().toDF("doc"))
+    cuts = asks.join(leads.select(F.col("doc").alias("first_doc"), "text"), "first_doc").select("first_doc", "text", "asks").mapInArrow(
         cut, f"doc {kind}, first_doc {kind}, at array<struct<start:int,first_start:int>>, lo int, cut binary")
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,6 +287,12 @@ def _grown(picks: DataFrame, rows: DataFrame) -> DataFrame:
         grow, f"doc {kind}, first_doc {kind}, start int, words int, first_start int, pick int")
 
 
+def _only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of the wanted documents. Most others are passed over in the scan, before any exchange."""
+    wanted = materialize(wanted)
+    return where(rows, F.xxhash64("doc"), bitmap(wanted.select(F.xxhash64("doc")))).join(wanted, "doc", "left_semi")
+
+
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = [int(b) for chunk in chunks(as_bytes(batch.column(1)), SPACED) for b in np.diff(chunk.bounds)]

@@ -13,7 +13,8 @@ def brute(rows, queries, k):
     out = {}
     for q, v in queries:
         s = (x * np.array(v, float)).sum(axis=1)
-        order = [i for i in np.lexsort((ids, -s)) if ids[i] != q][:k]
+        own = min(i for i in range(len(rows)) if rows[i][0] == q and rows[i][1] == v)
+        order = [i for i in np.lexsort((ids, -s)) if i != own][:k]
         out[q] = [(int(ids[i]), float(s[i])) for i in order]
     return out
 
@@ -76,3 +77,23 @@ def test_scan_never_loses_the_best_when_it_looks_at_all_dimensions():
         near = ann.scan(block, q, 5, np.zeros(700, bool), 1e-9)
         d = ((block - q[:, None]) ** 2).sum(axis=0)
         assert set(np.argsort(d)[:5]) <= set(near)
+
+
+def test_repeated_ids_give_distinct_rows(spark):
+    """An id on rows with equal vectors asks once, on unlike ones once each; its other rows are candidates,
+    and an id that a third of the rows have does not change that."""
+    r = np.random.default_rng(8)
+    rows = [(i, r.standard_normal(6).tolist()) for i in range(1, 200)]
+    rows += [(20, rows[19][1])] * 2 + [(40, r.standard_normal(6).tolist())] + [(60, rows[3][1])] * 80
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = ann.report(df).collect()
+    by = {}
+    for x in got:
+        by.setdefault((x.query_id, x.query_hash), []).append((x.rank, x.vec_id, x.score))
+    assert sorted(k[0] for k in by if k[0] in (20, 40, 60)) == [20, 40, 40, 60, 60]
+    (twenty,) = (k for k in by if k[0] == 20)
+    assert all([y[0] for y in sorted(v)] == list(range(1, 21)) for v in by.values())
+    assert sum(v == 20 for _, v, _ in by[twenty]) == 2          # the two other rows of its id, each once
+    assert len({v for _, v, _ in by[twenty]}) == 19
+    asked = [v for k, v in by.items() if k[0] == 60]      # the eighty equal rows of id 60 asked once
+    assert len(asked) == 2 and all(len(v) == 20 for v in asked)

@@ -37,27 +37,27 @@ def brute(docs, pages):
         text = [weight * sum(math.log((table[x][0][c] + langid.SMOOTH) / table[x][1]) for c in at) for x in langs]
         host = url.split("://")[1].split("/")[0].split("@")[-1].split(":")[0] if url and "://" in url else None
         domain = ".".join(host.split(".")[-2:]) if host else None
-        rows.append((key, host, domain, host.split(".")[-1] if host else None, langid.declared(m), text, int(np.argmax(text))))
+        rows.append((key, host, domain, host.split(".")[-1] if host else None, langid.declared(m), text, int(np.argmax(text)) if at else None))
     votes = {c: defaultdict(Counter) for c in (1, 2, 3, 4)}
     for r in rows:
         for c in votes:
-            if r[c] is not None:
+            if r[c] is not None and r[6] is not None:
                 votes[c][r[c]][r[6]] += 1
-    every = Counter(r[6] for r in rows)
+    every = Counter(r[6] for r in rows if r[6] is not None)
     out = []
     for r in rows:
         z = []
         for i in range(len(langs)):
-            overall = (every[i] + langid.SMOOTH) / (len(rows) + langid.SMOOTH * len(langs))
+            overall = (every[i] + langid.SMOOTH) / (sum(every.values()) + langid.SMOOTH * len(langs))
             v = votes[2].get(r[2], Counter())
             near = (v[i] + langid.PULL * overall) / (sum(v.values()) + langid.PULL)
             v = Counter(votes[1].get(r[1], Counter()))
-            if r[1] is not None:
+            if r[1] is not None and r[6] is not None:
                 v[r[6]] -= 1
             prior = (v[i] + langid.PULL * near) / (sum(v.values()) + langid.PULL)
             score = r[5][i] + math.log(prior)
             for c in (3, 4):
-                if r[c] is not None:
+                if r[c] in votes[c]:
                     score += math.log((votes[c][r[c]][i] + langid.SMOOTH) / (sum(x[i] for x in votes[c].values())
                                                                            + langid.SMOOTH * (len(votes[c]) + 1)))
             z.append(score)
@@ -84,3 +84,12 @@ def test_too_many_languages_are_refused(case):
     docs, pages, *_ = case
     with pytest.raises(ValueError):
         langid.identify(pages, docs, most_languages=1)
+
+
+def test_empty_pages_change_no_other_page(spark, case):
+    docs, pages, *_ = case
+    empty = spark.createDataFrame([(100 + i, "http://b.example/", "<html lang='zz'><p></p>", "k", "v") for i in range(50)], pages.schema)
+    before = {(r.page_id, r.host): (r.language, r.probability) for r in langid.report(pages, docs).collect()}
+    after = langid.report(pages.unionByName(empty), docs).collect()
+    assert {(r.page_id, r.host): (r.language, r.probability) for r in after if (r.page_id or 0) < 100} == before
+    assert {r.text_language for r in after if (r.page_id or 0) >= 100} == {None} and {r.language for r in after if (r.page_id or 0) >= 100} == {"de"}

@@ -61,3 +61,19 @@ def test_repeated_rows_and_empty_table(make):
     twice = mixing.copies(docs.unionByName(docs), budget="corpus", entropy=0.9, block_tokens=200)
     assert twice.groupBy("key").agg(F.countDistinct("copies").alias("n")).where("n > 1").count() == 0
     assert mixing.mix(docs.limit(0), max_repeats=2.0).collect() == []
+
+
+def test_a_very_small_source_neither_crashes_nor_vanishes(spark):
+    """One token beside two sources of four thousand million."""
+    tokens = spark.createDataFrame([("a", 4_000_000_000), ("b", 4_000_000_000), ("tiny", 1)], "src string, n long")
+    for options in ({}, {"max_repeats": 1.5}, {"budget": 8_000_000_000}, {"budget": 1000, "entropy": 0.5}):
+        plan = {r.src: r for r in mixing.plan(tokens, **options).collect()}
+        assert plan["tiny"].passes >= 1, options
+        assert all(r.passes * r.n + r.rest >= 1 for r in plan.values())
+
+
+def test_a_small_source_keeps_a_document_under_any_budget(make):
+    texts = [" ".join(words(i, 400)) for i in range(30)] + ["lone word"]
+    docs = make(texts, source=["big"] * 30 + ["tiny"])
+    rows = mixing.copies(docs, budget=20, block_tokens=200).collect()
+    assert {r.copies for r in rows if r.source == "tiny"} == {1}
