@@ -41,6 +41,11 @@ class Bitmap:
         return (self.bytes[byte] >> bit) & 1 > 0
 
 
+def first_bits(names: Column) -> Column:
+    """The first 64 bits of binary names as a number."""
+    return F.conv(F.hex(F.substring(names, 1, 8)), 16, -10).cast("long")
+
+
 def bitmap(hashes: DataFrame, count: int | None = None) -> Bitmap:
     """The bitmap of the only column of ``hashes``, 64-bit numbers. It is made in slices by tasks that
     stream over their rows; no more than ``2**MOST_BITS`` bits reach the driver."""

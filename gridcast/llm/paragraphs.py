@@ -30,16 +30,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.bitmaps import Bitmap, bitmap, where
+from gridcast.llm.bitmaps import Bitmap, bitmap, first_bits, where
 from gridcast.llm.common import add_columns, fresh, materialize
-from gridcast.llm.minhash import digest, linked, signature
-from gridcast.llm.textscan import SPACED, U64, Chunk, as_bytes, chunks, distinct, grams, mix
+from gridcast.llm.minhash import linked, signature
+from gridcast.llm.textscan import SPACED, U64, Chunk, as_bytes, chunks, grams, mix
 
 SHINGLE, MIN_WORDS = 5, 20
 RUN, WINDOW = 18, 32  # a shared stretch of 49 words is always found
 RECALL_MISS, HASHES = 1e-6, 160
 LEAST = 10  # 0.25 ** 10 is less than RECALL_MISS
 PASSAGE, PARAGRAPH, LINE = 0, 1, 2
+SENT = 1 << 20  # paragraphs a task remembers having sent
 ASKS = 256  # requests to a first text in one row
 
 
@@ -80,28 +81,6 @@ class Units:
         self.short, self.short_sizes = first[short], size[short]
         self.short_of_text = np.searchsorted(chunk.text_of[self.short], np.arange(chunk.count + 1))
 
-    def passages(self, i: int) -> Iterator[tuple[int, int]]:
-        """(first word within the text, hash) of the picked runs of text ``i``."""
-        lo = self.cut[i]
-        for k in picked(self.runs[lo:self.cut[i + 1]]).tolist():
-            yield int(self.run_at[lo + k] - self.chunk.bounds[i]), int(self.runs[lo + k])
-
-    def paragraphs(self, i: int) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(first word within the text, words, shingle set) of the long lines of text ``i``."""
-        for k in range(self.of_text[i], self.of_text[i + 1]):
-            at, n = self.lines[k], self.sizes[k]
-            yield int(at - self.chunk.bounds[i]), int(n), distinct(grams(self.chunk.words[at:at + n], SHINGLE))
-
-    def short_lines(self, i: int) -> Iterator[tuple[int, int, bytes]]:
-        """(first word within the text, words, name) of the short lines of text ``i``."""
-        for k in range(self.short_of_text[i], self.short_of_text[i + 1]):
-            at, n = self.short[k], self.short_sizes[k]
-            yield int(at - self.chunk.bounds[i]), int(n), digest(mix(self.chunk.words[at:at + n]))
-
-    def passage_name(self, i: int, at: int) -> bytes:
-        lo = self.chunk.bounds[i] + at
-        return digest(mix(self.chunk.words[lo:lo + RUN]))
-
     def keys(self, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(kind, text, first word within the chunk, key) of the units' keys, units of a kind in order."""
         words, text_of = self.chunk.words, self.chunk.text_of
@@ -155,35 +134,90 @@ def _key_counts(rows: DataFrame, least: int) -> DataFrame:
     return rows.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def _digests(flat: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """The digests (see ``minhash.digest``) of runs of ``flat`` with the given positive sizes."""
+    if not len(sizes):
+        return []
+    first = np.cumsum(sizes) - sizes
+    place = (np.arange(len(flat)) - np.repeat(first, sizes) + 1).astype(U64)
+    a = np.bitwise_xor.reduceat(mix(flat + place * U64(0x9E3779B97F4A7C15)), first)
+    b = np.add.reduceat(mix(flat * U64(0xD6E8FEB86659FD93) + place), first)
+    raw = np.column_stack((a, b)).astype(">u8").tobytes()
+    return [raw[i:i + 16] for i in range(0, len(raw), 16)]
+
+
+def _runs_of(at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places at, at + 1, ... of runs of the given sizes, one after the other."""
+    return np.repeat(at - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def _line_sets(words: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct shingles of lines, one line after the other, and how many each has."""
+    n = sizes - SHINGLE + 1
+    line, h = np.repeat(np.arange(len(at)), n), grams(words, SHINGLE)[_runs_of(at, n)]
+    order = np.lexsort((h, line))
+    line, h = line[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
+    return h[new], np.bincount(line[new], minlength=len(at))
+
+
 def _described(rows: DataFrame, live: Bitmap, least: int) -> DataFrame:
-    """(doc, kind, start, words, digest, n, set) of the units with a live key."""
+    """(doc, kind, start, words, digest, n) of the units with a live key."""
     shared = rows.sparkSession.sparkContext.broadcast(live)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in chunks(as_bytes(batch.column(1)), SPACED):
-                units, where, rest = Units(chunk), [], []
-                kind, text, at, key = units.keys(least)
+                units = Units(chunk)
+                kind, _, at, key = units.keys(least)
                 hit = shared.value.has(key)
-                sizes = dict(zip(units.short.tolist(), units.short_sizes.tolist())) | dict(zip(units.lines.tolist(), units.sizes.tolist()))
-                for k, i, lo in sorted(set(zip(kind[hit].tolist(), text[hit].tolist(), at[hit].tolist()))):
-                    start = lo - int(chunk.bounds[i])
-                    where.append(chunk.first + i)
-                    if k == PASSAGE:
-                        rest.append((k, start, RUN, units.passage_name(i, start), 0, None))
-                    elif k == LINE:
-                        rest.append((k, start, sizes[lo], digest(mix(chunk.words[lo:lo + sizes[lo]])), 0, None))
-                    else:
-                        shingles = distinct(grams(chunk.words[lo:lo + sizes[lo]], SHINGLE))
-                        rest.append((k, start, sizes[lo], digest(shingles), len(shingles), shingles.tobytes()))
-                columns = list(zip(*rest)) if rest else [()] * 6
-                kinds = [pa.int8(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary()]
+                found = [np.unique(at[hit & (kind == k)]) for k in (PASSAGE, PARAGRAPH, LINE)]
+                sizes = [np.full(len(found[0]), RUN), units.sizes[np.searchsorted(units.lines, found[1])],
+                         units.short_sizes[np.searchsorted(units.short, found[2])]]
+                names, n = [], [np.zeros(len(x), np.int64) for x in found]
+                for k in (PASSAGE, PARAGRAPH, LINE):
+                    if k == PARAGRAPH and len(found[k]):
+                        flat, n[k] = _line_sets(chunk.words, found[k], sizes[k])
+                        names += _digests(flat, n[k])
+                    elif len(found[k]):
+                        names += _digests(mix(chunk.words[_runs_of(found[k], sizes[k])]), sizes[k])
+                place, text = np.concatenate(found), chunk.text_of[np.concatenate(found)] if len(names) else np.empty(0, np.int64)
+                kinds = np.repeat((PASSAGE, PARAGRAPH, LINE), list(map(len, found)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(where, pa.int64())), *[pa.array(c, t) for c, t in zip(columns, kinds)]],
-                    ["doc", "kind", "start", "words", "digest", "n", "set"])
+                    [batch.column(0).take(pa.array(chunk.first + text)), pa.array(kinds.astype(np.int8)),
+                     pa.array((place - chunk.bounds[text]).astype(np.int32)), pa.array(np.concatenate(sizes).astype(np.int32)),
+                     pa.array(names, pa.binary()), pa.array(np.concatenate(n))], ["doc", "kind", "start", "words", "digest", "n"])
 
     doc = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc {doc}, kind byte, start int, words int, digest binary, n long, set binary")
+    return rows.mapInArrow(run, f"doc {doc}, kind byte, start int, words int, digest binary, n long")
+
+
+def _sets(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """(node, set) of the paragraphs ``named(node, digest)``, made from the texts again; a task sends each once."""
+    held = rows.sparkSession.sparkContext.broadcast(bitmap(named.select(first_bits(F.col("digest")))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[bytes] = set()
+        for batch in batches:
+            for chunk in chunks(as_bytes(batch.column(0)), SPACED):
+                units = Units(chunk)
+                if not len(units.lines):
+                    continue
+                flat, n = _line_sets(chunk.words, units.lines, units.sizes)
+                names = _digests(flat, n)
+                likely = held.value.has(np.frombuffer(b"".join(x[:8] for x in names), ">u8").astype(U64))
+                first, out = np.cumsum(n) - n, {}
+                for i in np.flatnonzero(likely).tolist():
+                    if names[i] not in sent:
+                        out[names[i]] = flat[first[i]:first[i] + n[i]].tobytes()
+                if len(sent) > SENT:
+                    sent.clear()
+                sent |= out.keys()
+                yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.binary())], ["digest", "set"])
+
+    found = rows.select("text").mapInArrow(run, "digest binary, set binary")
+    return found.join(named, "digest").groupBy("node").agg(F.first("set").alias("set"))
 
 
 def _signed(sets: DataFrame) -> DataFrame:
@@ -208,10 +242,11 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     units = materialize(_described(rows, bitmap(live), least))
     place = F.struct("doc", "start")
     classes = materialize(units.groupBy("kind", "digest").agg(
-        F.min(place).alias("least"), F.max("doc").alias("most"), F.first("n").alias("n"), F.first("set").alias("set")).withColumn(
+        F.min(place).alias("least"), F.max("doc").alias("most"), F.first("n").alias("n")).withColumn(
         "node", F.monotonically_increasing_id()))
-    lines = classes.where(F.col("kind") == PARAGRAPH).select("node", "n", "set")
-    roots = linked(materialize(_signed(lines)), lambda nodes: lines.select("node", "set").join(nodes, "node"), percent, miss, HASHES)
+    lines = classes.where(F.col("kind") == PARAGRAPH).select("node", "digest", "n")
+    signed = materialize(_signed(_sets(rows, lines.select("node", "digest")).join(lines.select("node", "n"), "node").select("node", "n", "set")))
+    roots = linked(signed, lambda nodes: _sets(rows, materialize(lines.join(nodes, "node").select("node", "digest"))), percent, miss, HASHES)
     placed = classes.select("kind", "digest", "node", "least", "most").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = placed.groupBy("root").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least.doc <> most")
     named = materialize(placed.select("kind", "digest", "root").join(groups, "root").select("kind", "digest", F.col("least").alias("lead")))
