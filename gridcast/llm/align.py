@@ -183,13 +183,14 @@ class Aligner:
             self.learn(long)
             for x in parts:
                 yield self._text([self.number[p] for p in x])
-            if kept > KEPT_UNITS:
-                self._clear()
-            else:  # long ones are forgotten
-                for p in long:
-                    del self.number[p]
-                del self.groups[kept:]
-                self.figures, self.codes, self.first = self.figures[:kept], self.codes[:n_codes], self.first[:kept]
+            for p in long:  # long ones are forgotten
+                del self.number[p]
+            if kept > KEPT_UNITS:  # those met first are mostly the frequent ones, and stay
+                kept = KEPT_UNITS // 2
+                n_codes = int(self.first[kept])
+                self.number = {p: i for p, i in self.number.items() if i < kept}
+            del self.groups[kept:]
+            self.figures, self.codes, self.first = self.figures[:kept], self.codes[:n_codes], self.first[:kept]
             at = stop
 
     def _text(self, units: list[int]) -> tuple[list[int], bytes, np.ndarray, np.ndarray]:
