@@ -27,7 +27,6 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.bitmaps import bitmap, where
 from gridcast.llm.common import add_columns, fresh, materialize, remainder
 from gridcast.llm.textscan import SPACED, chunks, distinct
 
@@ -154,11 +153,9 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
           **options) -> RuleModel:
     """A model from the texts whose key has a label."""
     known = _labelled(labels, key, label)
-    # the scan itself passes over texts without a label, so no text is shuffled to find the others
-    name = F.xxhash64(F.col("key").cast("string"))
-    held = bitmap(known.select(name))
-    some = where(docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")), name, held)
-    return fit(materialize(with_statistics(some, "stats", only=["key"])).join(known, "key"), **options)
+    # statistics are narrow, so they meet the labels by a join that no text goes through
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    return fit(materialize(with_statistics(rows, "stats", only=["key"]).join(known, "key")), **options)
 
 
 def _labelled(labels: DataFrame, key: str, label: str) -> DataFrame:
