@@ -660,9 +660,10 @@ def fc_sequence(spark, sf):
 
 @query
 def fc_sequence_all(spark, sf):
-    """Six steps of all features."""
-    f = dates.add_basic_time_features(I.features(spark, sf, *LAGS))
-    out = sequence.sequence_ridge(materialize(f), ["requirement", *LAGS, "hour_auto", "dayofweek_auto"], grid=True)
+    """Six steps of all features: lags with nulls imputed, hour and day of the week."""
+    lags = ["REQUIREMENT_LAG_3D", *PAIR]
+    f = materialize(dates.add_basic_time_features(I.features(spark, sf, *lags)))
+    out = sequence.sequence_ridge(materialize(clean.impute_train_median(f, lags)), [*lags, "hour_auto", "dayofweek_auto"], grid=True)
     return out.where(F.col("split") == "test").select(*KEY, "requirement", "pred")
 
 

@@ -12,7 +12,7 @@ from gridcast.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 EAGER = {"scan_zone_csv", "write_table", "snapshot_run", "history_append", "stream_ingest", "stream_daily_mape",
-         "stream_drift", "fc_gbt_a", "fc_gbt_b", "drop_all_null_cols"}
+         "stream_drift", "fc_gbt_a", "fc_gbt_b", "param_search_trees", "drop_all_null_cols"}
 
 
 def plan(df, mode="formatted"):
