@@ -14,7 +14,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import fresh
 from gridcast.llm.textscan import U64
 
 MOST_BITS = 28  # 32 MB
@@ -76,15 +75,12 @@ def bitmap(hashes: DataFrame, count: int | None = None) -> Bitmap:
 
 
 def where(df: DataFrame, hashes: Column, held: Bitmap, hit: bool = True) -> DataFrame:
-    """The rows of ``df`` whose hash is, or with ``hit`` off is not, in the bitmap; no exchange."""
+    """The rows of ``df`` whose hash is, or with ``hit`` off is not, in the bitmap; no exchange, and
+    Python sees the hashes only."""
     shared = df.sparkSession.sparkContext.broadcast(held)
-    columns = df.columns
-    name = fresh(df, "__hash")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = batch.column(len(columns)).to_numpy(zero_copy_only=False).view(U64)
-            keep = pa.array(shared.value.has(h) == hit)
-            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in batch.columns[:-1]], names=columns)
+    @F.arrow_udf("boolean")
+    def kept(hashes: pa.Array) -> pa.Array:
+        return pa.array(shared.value.has(hashes.to_numpy(zero_copy_only=False).view(U64)) == hit)
 
-    return df.select(*[F.col(f"`{c}`") for c in columns], hashes.alias(name)).mapInArrow(run, df.schema)
+    return df.where(kept(hashes))

@@ -20,12 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm.bitmaps import bitmap, where
-from gridcast.llm.common import fresh, materialize
+from gridcast.llm.common import fresh, materialize, parts
 from gridcast.llm.minhash import digest, linked, signature, tune_bands, ROWS
 from gridcast.llm.textscan import CHUNK, SPACED, U64, Chunk, as_bytes, chunks, distinct, grams
 
 SHINGLE = 5
 SENT = 1 << 20  # digests a task remembers
+AT_ONCE = 1 << 22  # bytes of text
 
 
 def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -46,7 +47,7 @@ def _describe(docs: DataFrame, key: str, text: str, what: str, hashes: int = 0,
     ``also``, per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole, 1, AT_ONCE)):
             node, n, extra = [], [], []
             for s in shingle_sets(as_bytes(batch.column(1))):
                 n.append(len(s))
@@ -74,7 +75,7 @@ def _sets(docs: DataFrame, text: str, named: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[bytes] = set()
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole, 0, AT_ONCE)):
             names, sets, size = [], [], 0
             for s in shingle_sets(as_bytes(batch.column(0))):
                 if not len(s):
@@ -94,7 +95,7 @@ def _sets(docs: DataFrame, text: str, named: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(sets, pa.binary())], ["digest", "set"])
 
     found = docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, "digest binary, set binary")
-    return found.join(named, "digest").groupBy("node").agg(F.first("set").alias("set"))
+    return found.groupBy("digest").agg(F.first("set").alias("set")).join(named, "digest").select("node", "set")
 
 
 def _name(text: str) -> Column:

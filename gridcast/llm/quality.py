@@ -27,8 +27,10 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import add_columns, fresh, materialize, remainder
-from gridcast.llm.textscan import SPACED, chunks, distinct
+from gridcast.llm.common import add_columns, materialize, parts, remainder
+from gridcast.llm.textscan import SPACED, as_bytes, chunks, distinct
+
+AT_ONCE = 1 << 22  # bytes of text
 
 STATISTICS = (
     "log_bytes", "log_words", "word_length", "word_length_spread", "upper_share", "digit_share", "period_share",
@@ -80,7 +82,7 @@ def statistics(texts: list[bytes]) -> list[list[float]]:
 
 def with_statistics(docs: DataFrame, name: str, text: str = "text", only: list[str] | None = None) -> DataFrame:
     """``docs`` with the statistics as one array column."""
-    return add_columns(docs, text, [(name, "array<double>")], lambda texts, _: [statistics(texts)], only)
+    return add_columns(docs, text, [(name, "array<double>")], lambda texts, _: [statistics(texts)], only, at_once=AT_ONCE)
 
 
 @dataclass(frozen=True)
@@ -166,8 +168,15 @@ def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
               **options) -> DataFrame:
     """``docs``, same columns, without the texts whose score is below ``at_least``."""
     model = learn(docs, labels, key, text, **options)
-    name = fresh(docs, "__stats")
-    return with_statistics(docs, name, text).where(model.score(F.col(name)) >= at_least).drop(name)
+
+    @F.arrow_udf("array<double>")
+    def stats(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], ["text"])
+        rows = [x for part in parts(batch, 0, AT_ONCE) for x in statistics(as_bytes(part.column(0)))]
+        return pa.array(rows, pa.list_(pa.float64()))
+
+    # only the text and its statistics go through Python, the other columns stay where they are
+    return docs.where(model.score(stats(F.col(f"`{text}`").cast("string"))) >= at_least)
 
 
 def report(docs: DataFrame, labels: DataFrame, at_least: float = 0.3) -> DataFrame:
