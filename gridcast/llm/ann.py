@@ -35,6 +35,10 @@ from pyspark.sql import functions as F
 from gridcast.llm.common import materialize
 
 BLOCK, QUERY_BLOCK, COLUMNS = 4096, 512, 8
+ASKED = 128  # queries that meet a block together
+AT_ONCE = 512  # vectors that all queries of a block meet at once
+SPARSE = 8  # pairs are followed one by one when fewer than one in so many is left
+SCORED = 1 << 14  # pairs scored at once
 HELD = 400_000  # finds a task gathers before it cuts them down to the best of each query
 EPSILON = 2.1  # standard deviations of the test: an abandoned candidate is wrong about once in fifty
 RESULT = "query_id long, rank int, vec_id long, score double, query_hash long"
@@ -123,30 +127,74 @@ def _calibrate(index: Index, x: np.ndarray, points: np.ndarray, k: int, recall:
     return int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))))]) + 1
 
 
-def scan(block: np.ndarray, query: np.ndarray, k: int, skip: np.ndarray, slack: float) -> np.ndarray:
-    """Row numbers of ``block`` (dimensions x vectors) that may be among the ``k`` nearest."""
-    dims, n = block.shape
-    best = np.empty(0)
-    out = []
-    for at in range(0, n, 512):
-        alive = np.arange(at, min(n, at + 512))
-        alive = alive[~skip[alive]]
-        part = np.zeros(len(alive))
-        limit = np.partition(best, k - 1)[k - 1] if len(best) >= k else np.inf
-        for lo in range(0, dims, COLUMNS):
-            hi = min(dims, lo + COLUMNS)
-            step = block[lo:hi, alive] - query[lo:hi, None]
-            part = part + (step * step).sum(axis=0)
-            if limit < np.inf:
-                share = hi / dims
+def scan_all(blocks: np.ndarray, queries: np.ndarray, k: int, skip: np.ndarray, slack: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row) numbers of the pairs of a query and a vector of ``blocks`` (dimensions x vectors) that may be
+    among the query's ``k`` nearest; ``skip`` (queries x vectors) marks pairs to leave out.
+
+    All queries meet the next ``AT_ONCE`` vectors together. Partial distances grow a column block at a time, by
+    matrix products while many pairs are left and pair by pair later; the test abandons pairs in between.
+    """
+    dims, n = blocks.shape
+    best = np.full((len(queries), k), np.inf)
+    found: list[list[np.ndarray]] = [[], [], []]
+    for at in range(0, n, AT_ONCE):
+        block = blocks[:, at:at + AT_ONCE]
+        limit = best[:, k - 1]
+        alive = ~skip[:, at:at + AT_ONCE]
+        if not np.isfinite(limit).any():  # nothing to be abandoned yet
+            part = np.where(alive, _squares(queries, block), np.inf)
+        else:
+            part = np.zeros(alive.shape)
+            pairs = None
+            for lo in range(0, dims, COLUMNS):
+                hi = min(dims, lo + COLUMNS)
                 wide = (1 + EPSILON / hi ** 0.5) ** 2 if hi < dims else 1.0
-                keep = part <= limit * share * wide + slack
-                alive, part = alive[keep], part[keep]
-        out.append(alive)
-        best = np.concatenate([best, part])
-        if len(best) > k:
-            best = np.partition(best, k - 1)[:k]
-    return np.concatenate(out)
+                bound = limit * (hi / dims) * wide + slack
+                if pairs is None:
+                    part += _squares(queries[:, lo:hi], block[lo:hi])
+                    alive &= part <= bound[:, None]
+                    if hi < dims and np.count_nonzero(alive) * SPARSE < alive.size:
+                        pairs = np.nonzero(alive)
+                        left = part[pairs]
+                else:
+                    q, v = pairs
+                    step = block[lo:hi, v] - queries[q, lo:hi].T
+                    left = left + (step * step).sum(axis=0)
+                    keep = left <= bound[q]
+                    pairs, left = (q[keep], v[keep]), left[keep]
+            if pairs is None:
+                part[~alive] = np.inf
+            else:
+                part = np.full(alive.shape, np.inf)
+                part[pairs] = left
+        q, v = np.nonzero(part < np.inf)
+        for column, x in zip(found, (q, v + at, part[q, v])):
+            column.append(x)
+        both = np.concatenate((best, part), axis=1)
+        both.partition(k - 1, axis=1)
+        best = np.sort(both[:, :k], axis=1)
+    q, v, part = (np.concatenate(x) for x in found)
+    near = part <= best[q, k - 1] + slack  # later vectors were nearer than the others
+    order = np.lexsort((v[near], q[near]))
+    return q[near][order], v[near][order]
+
+
+def scan(block: np.ndarray, query: np.ndarray, k: int, skip: np.ndarray, slack: float) -> np.ndarray:
+    """Row numbers of ``block`` (dimensions x vectors) that may be among the ``k`` nearest of one query."""
+    return scan_all(block, query[None], k, skip[None], slack)[1]
+
+
+def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The squared distances of the rows of ``a`` and the columns of ``b``."""
+    return np.maximum(0.0, (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=0) - 2 * (a @ b))
+
+
+def scores(vectors: np.ndarray, queries: np.ndarray, q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The inner products of the given pairs, in double precision."""
+    out = np.empty(len(q))
+    for at in range(0, len(q), SCORED):
+        out[at:at + SCORED] = (vectors[v[at:at + SCORED]] * queries[q[at:at + SCORED]]).sum(axis=1)
+    return out
 
 
 def _best(parts: list[tuple], k: int) -> tuple:
@@ -209,12 +257,10 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, index: Index | None =
                 own, queries = np.frombuffer(r["q_rows"], np.int64), np.frombuffer(r["q_x"]).reshape(r["q_n"], -1)
                 columns = np.ascontiguousarray(shared.value.place(vectors).T)
                 asks = shared.value.place(queries, query=True)
-                slack = 1e-9 * shared.value.largest ** 2
-                for q, x, ask in zip(own, queries, asks):
-                    near = scan(columns, ask, k, lines == q, slack)
-                    score = (vectors[near] * x).sum(axis=1)
-                    top = np.lexsort((lines[near], ids[near], -score))[:k]
-                    held.append((np.full(len(top), q), ids[near][top], lines[near][top], score[top]))
+                for lo in range(0, len(own), ASKED):
+                    some, asked = own[lo:lo + ASKED], queries[lo:lo + ASKED]
+                    q, v = scan_all(columns, asks[lo:lo + ASKED], k, lines == some[:, None], 1e-9 * shared.value.largest ** 2)
+                    held.append(_best([(some[q], ids[v], lines[v], scores(vectors, asked, q, v))], k))
                 if sum(len(x[0]) for x in held) > HELD:
                     held = [_best(held, k)]
                     if len(held[0][0]) > HELD // 2:
