@@ -9,10 +9,10 @@ that the two texts share, and that stretch is the passage.
 
 A first scan leaves a few keys per unit: for paragraphs their ``LEAST`` smallest shingle hashes (of the
 first so many hashes of two paragraphs' union, each is in both with a chance as large as their similarity,
-so a pair at the threshold has no key in common with a chance of (1 - threshold)^LEAST), for passages and
+so a pair at the threshold has fewer than ``NEED`` keys in common with a chance of about 4e-7), for passages and
 short lines a hash of their words. Only the keys are shuffled, and counted. Those met in several rows go
-to a second scan as a bitmap of bounded size, and units without such a key are done; false hits cost time
-only. Of the others, passages and short lines are grouped by a 128-bit digest, paragraphs go through
+to a second scan as a bitmap of bounded size, and paragraphs with fewer than ``NEED`` such keys, or other units
+without one, are done; false hits cost time only. Of the others, passages and short lines are grouped by a 128-bit digest, paragraphs go through
 signatures, bands, pruning, exact Jaccard on full shingle sets, and connected components. In
 every group the first occurrence (smallest key, then place) is kept and the others are removals.
 
@@ -24,6 +24,7 @@ one document alone does not count; extra columns are not read, and :func:`remove
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm.bitmaps import Bitmap, bitmap, first_bits, where
-from gridcast.llm.common import add_columns, fresh, materialize
+from gridcast.llm.common import add_columns, fresh, materialize, release
 from gridcast.llm.minhash import linked, signature
 from gridcast.llm.textscan import SPACED, U64, Chunk, as_bytes, chunks, grams, mix
 
 SHINGLE, MIN_WORDS = 5, 20
 RUN, WINDOW = 18, 32  # a shared stretch of 49 words is always found
 RECALL_MISS, HASHES = 1e-6, 160
-LEAST = 10  # 0.25 ** 10 is less than RECALL_MISS
+LEAST, NEED = 20, 5  # of 20 keys fewer than 5 are shared at the threshold with a chance of 4e-7
 PASSAGE, PARAGRAPH, LINE = 0, 1, 2
 SENT = 1 << 20  # paragraphs a task remembers having sent
 ASKS = 256  # requests to a first text in one row
@@ -162,8 +163,24 @@ def _line_sets(words: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> tuple[np
     return h[new], np.bincount(line[new], minlength=len(at))
 
 
-def _described(rows: DataFrame, live: Bitmap, least: int) -> DataFrame:
-    """(doc, kind, start, words, digest, n) of the units with a live key."""
+def keys_of(threshold: float) -> int:
+    """How many keys a paragraph leaves, so that a pair at the threshold shares ``NEED`` but for ``RECALL_MISS``."""
+    n = LEAST
+    while sum(comb(n, i) * threshold ** i * (1 - threshold) ** (n - i) for i in range(NEED)) > RECALL_MISS:
+        n += 1
+    return n
+
+
+def likely(lines: np.ndarray, hit: np.ndarray, percent: int) -> np.ndarray:
+    """The places, sorted, of the lines with enough keys hit; ``lines`` has a line's place once per key. A line
+    with few distinct shingles leaves all as keys, of which a similar one shares that part."""
+    place, of, n = np.unique(lines, return_inverse=True, return_counts=True)
+    hits = np.bincount(of[hit], minlength=len(place))
+    return place[hits >= np.maximum(1, np.minimum(NEED, -(-percent * n // 100)))]
+
+
+def _described(rows: DataFrame, live: Bitmap, least: int, percent: int) -> DataFrame:
+    """(doc, kind, start, words, digest, n) of the units with a live key, or for paragraphs enough of them."""
     shared = rows.sparkSession.sparkContext.broadcast(live)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +189,8 @@ def _described(rows: DataFrame, live: Bitmap, least: int) -> DataFrame:
                 units = Units(chunk)
                 kind, _, at, key = units.keys(least)
                 hit = shared.value.has(key)
-                found = [np.unique(at[hit & (kind == k)]) for k in (PASSAGE, PARAGRAPH, LINE)]
+                found = [likely(at[kind == k], hit[kind == k], percent) if k == PARAGRAPH else np.unique(at[hit & (kind == k)])
+                         for k in (PASSAGE, PARAGRAPH, LINE)]
                 sizes = [np.full(len(found[0]), RUN), units.sizes[np.searchsorted(units.lines, found[1])],
                          units.short_sizes[np.searchsorted(units.short, found[2])]]
                 names, n = [], [np.zeros(len(x), np.int64) for x in found]
@@ -217,16 +235,17 @@ def _sets(rows: DataFrame, named: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.binary())], ["digest", "set"])
 
     found = rows.select("text").mapInArrow(run, "digest binary, set binary")
-    return found.join(named, "digest").groupBy("node").agg(F.first("set").alias("set"))
+    return found.groupBy("digest").agg(F.first("set").alias("set")).join(named, "digest").select("node", "set")
 
 
 def _signed(sets: DataFrame) -> DataFrame:
-    """(node, n, sig) of (node, n, set)."""
+    """(node, n, sig) of (node, set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            sig = [signature(np.frombuffer(s.as_buffer(), U64), HASHES).tobytes() for s in x.column(2)]
-            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), pa.array(sig, pa.binary())], ["node", "n", "sig"])
+            sets = [np.frombuffer(s.as_buffer(), U64) for s in x.column(1)]
+            sig = [signature(s, HASHES).tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays([x.column(0), pa.array(list(map(len, sets)), pa.int64()), pa.array(sig, pa.binary())], ["node", "n", "sig"])
 
     return sets.mapInArrow(run, "node long, n long, sig binary")
 
@@ -235,17 +254,16 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     """(doc, kind, start, words, first_doc, first_start, kept) for every unit repeated in another
     document: where it stands, in words from the text's begin, and its group's first occurrence."""
     rows = _keyed(docs, key, text)
-    least = LEAST
-    while (1 - percent / 100) ** least > RECALL_MISS:
-        least += 1
+    least = keys_of(percent / 100)
     live = materialize(_key_counts(rows, least).where("n > 1").select("key"))
-    units = materialize(_described(rows, bitmap(live), least))
+    units = materialize(_described(rows, bitmap(live), least, percent))
+    release(live)
     place = F.struct("doc", "start")
     classes = materialize(units.groupBy("kind", "digest").agg(
-        F.min(place).alias("least"), F.max("doc").alias("most"), F.first("n").alias("n")).withColumn(
+        F.min(place).alias("least"), F.max("doc").alias("most")).withColumn(
         "node", F.monotonically_increasing_id()))
-    lines = classes.where(F.col("kind") == PARAGRAPH).select("node", "digest", "n")
-    signed = materialize(_signed(_sets(rows, lines.select("node", "digest")).join(lines.select("node", "n"), "node").select("node", "n", "set")))
+    lines = classes.where(F.col("kind") == PARAGRAPH).select("node", "digest")
+    signed = materialize(_signed(_sets(rows, lines)))
     roots = linked(signed, lambda nodes: _sets(rows, materialize(lines.join(nodes, "node").select("node", "digest"))), percent, miss, HASHES)
     placed = classes.select("kind", "digest", "node", "least", "most").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = placed.groupBy("root").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least.doc <> most")
