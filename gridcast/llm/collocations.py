@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcast.llm.bitmaps import Bitmap, bitmap
-from gridcast.llm.common import materialize
+from gridcast.llm.common import materialize, parts
 from gridcast.llm.textscan import as_bytes, lower_ascii, mix, word_table, words_of
 
 U64 = np.uint64
@@ -42,7 +42,9 @@ WORDS = word_table(" \t" + ENDS)
 _IS_END = np.zeros(256, bool)
 _IS_END[np.frombuffer(ENDS.encode(), np.uint8)] = True
 
-GROUP = 8 << 20                       # bytes of text summed up at once
+GROUP = 4 << 20                       # bytes of text summed up at once
+PIECE = 1 << 20                       # bytes of text whose words are hashed at once
+ROWS = 1 << 16                        # phrases sent on at once
 LAYERS = (1 / 4,)                     # shares of a language's frequent occurrences at which layers end
 SENT = 1 << 20                        # words a task remembers having spelt
 SEP = b"\n"
@@ -67,7 +69,7 @@ class Texts:
         self.langs, self.bytes = langs, np.frombuffer(SEP.join(texts), np.uint8)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         first = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-        self.starts, self.ends, words = words_of(self.bytes, WORDS)
+        self.starts, self.ends, words = words_of(self.bytes, WORDS, PIECE)
         self.text = np.searchsorted(first, self.starts, side="right") - 1
         self.names = mix(words ^ self._of_lang(b"name"))
         for i in np.flatnonzero(np.isin(self.names, shared)).tolist() if len(shared) else ():
@@ -84,7 +86,7 @@ class Texts:
 
     def checks(self) -> np.ndarray:
         """Second hashes of language and word, independent of the names."""
-        return mix(words_of(_OTHER[lower_ascii(self.bytes)], _OTHER_WORDS)[2] ^ self._of_lang(b"check"))
+        return mix(words_of(_OTHER[lower_ascii(self.bytes)], _OTHER_WORDS, PIECE)[2] ^ self._of_lang(b"check"))
 
     def word(self, i: int) -> bytes:
         return lower_ascii(self.bytes[self.starts[i]:self.ends[i]]).tobytes()
@@ -121,16 +123,10 @@ def _groups(batch: pa.RecordBatch, open_: Bitmap | None = None) -> Iterator[tupl
     """Texts and languages, some MB at a time; with ``open_`` those of its languages only."""
     if open_ is not None:
         batch = batch.filter(pa.array(open_.has(batch.column(2).to_numpy(zero_copy_only=False).view(U64))))
-    texts, langs = as_bytes(batch.column(0)), batch.column(1).to_pylist()
-    at = 0
-    while at < len(texts):
-        stop, size = at, 0
-        while stop < len(texts) and (stop == at or size + len(texts[stop]) <= GROUP):
-            size += len(texts[stop])
-            stop += 1
-        if size:
-            yield texts[at:stop], langs[at:stop]
-        at = stop
+    for part in parts(batch, 0, GROUP):
+        texts = as_bytes(part.column(0))
+        if any(texts):
+            yield texts, part.column(1).to_pylist()
 
 
 def _word_counts(docs: DataFrame, shared: list[int]) -> DataFrame:
@@ -205,7 +201,9 @@ def _count(docs: DataFrame, shared: list[int], open_: Bitmap, frequent: Bitmap,
                         at = at[t.joined[at + j - 1] & good[at + j]]
                     at = at[wanted.has(t.hashes(at, m))]
                     if len(at):
-                        yield _summed(t, at, k)
+                        summed = _summed(t, at, k)
+                        for lo in range(0, summed.num_rows, ROWS):
+                            yield summed.slice(lo, ROWS)
 
     counted = docs.select("text", "lang", F.xxhash64("lang")).mapInArrow(run, "p array<bigint>, n bigint, before bigint, behind bigint")
     return counted.groupBy("p").agg(
@@ -217,14 +215,19 @@ def _summed(t: Texts, at: np.ndarray, k: int) -> pa.RecordBatch:
     """The phrases of k words at the given places, each once with its number; as neighbours the word that
     all occurrences share, or 0."""
     at = at[np.argsort(t.hashes(at, k), kind="stable")]
-    words = np.column_stack([t.names[at + j] for j in range(k)])
-    first = np.flatnonzero(np.concatenate(([True], (words[1:] != words[:-1]).any(axis=1))))
+    new = np.zeros(len(at), bool)
+    new[0] = True
+    for j in range(k):
+        word = t.names[at + j]
+        new[1:] |= word[1:] != word[:-1]
+    first = np.flatnonzero(new)
+    words = np.column_stack([t.names[at[first] + j] for j in range(k)])
     n = len(t.names)
     before = np.where((at > 0) & t.joined[at - 1], t.names[at - 1], U64(0))
     behind = np.where(t.joined[at + k - 1], t.names[np.minimum(at + k, n - 1)], U64(0))
     sides = [np.where((lo := np.minimum.reduceat(x, first)) == np.maximum.reduceat(x, first), lo, U64(0)) for x in (before, behind)]
     rows = len(first)
-    lists = pa.ListArray.from_arrays(np.arange(rows + 1, dtype=np.int32) * k, words[first].reshape(-1).view(np.int64))
+    lists = pa.ListArray.from_arrays(np.arange(rows + 1, dtype=np.int32) * k, words.reshape(-1).view(np.int64))
     return pa.RecordBatch.from_arrays([lists, pa.array(np.diff(np.append(first, len(at)))), *[pa.array(s.view(np.int64)) for s in sides]],
                                       names=["p", "n", "before", "behind"])
 

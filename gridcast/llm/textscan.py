@@ -42,7 +42,7 @@ def _byte_values(lower: bool) -> np.ndarray:
     return values[_LOWER] if lower else values
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = pow(_BASE, -1, 1 << 64)
     out = []
@@ -143,7 +143,7 @@ def words_of(b: np.ndarray, table: np.ndarray, piece: int = CHUNK) -> tuple[np.n
                 break
             stop = min(len(b), stop + 65536)
         s, e = spans_of(b[at:stop], table)
-        parts.append((s + at, e + at, hash_spans(b[at:stop], s, e) if stop - at <= 8 * piece else _long_words(b[at:stop], s, e)))
+        parts.append((s + at, e + at, hash_spans(b[at:stop], s, e) if stop - at <= 8 * CHUNK else _long_words(b[at:stop], s, e)))
         at = stop
     return tuple(np.concatenate(x) for x in zip(*parts))
 
