@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm.bitmaps import Bitmap, bitmap, first_bits, where
-from gridcast.llm.common import add_columns, fresh, materialize, release
+from gridcast.llm.common import add_columns, fresh, materialize, parts, release
 from gridcast.llm.minhash import linked, signature
 from gridcast.llm.textscan import SPACED, U64, Chunk, as_bytes, chunks, grams, mix
 
@@ -43,6 +43,7 @@ LEAST, NEED = 20, 5  # of 20 keys fewer than 5 are shared at the threshold with
 PASSAGE, PARAGRAPH, LINE = 0, 1, 2
 SENT = 1 << 20  # paragraphs a task remembers having sent
 ASKS = 256  # requests to a first text in one row
+TEXTS, PIECE = 1 << 22, 1 << 19  # bytes of text taken out of a batch, and looked at, at once
 
 
 def _sliding(a: np.ndarray, least: bool) -> np.ndarray:
@@ -114,6 +115,14 @@ class Units:
         return np.concatenate(kind), text_of[at] if len(at) else at, at, np.concatenate(key)
 
 
+def pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, Chunk]]:
+    """The texts of batches in small chunks, each with the part of the batch that it counts in; a unit needs
+    many times its text's bytes, so the chunk's size decides what a scan takes of memory."""
+    for batch in (part for whole in batches for part in parts(whole, column, TEXTS)):
+        for chunk in chunks(as_bytes(batch.column(column)), SPACED, PIECE):
+            yield batch, chunk
+
+
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").cast("string").alias("text")).where("doc is not null")
 
@@ -122,15 +131,14 @@ def _key_counts(rows: DataFrame, least: int) -> DataFrame:
     """(key, n): how many rows hold a unit with that key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk in chunks(as_bytes(batch.column(0)), SPACED):
-                _, text, _, key = Units(chunk).keys(least)
-                order = np.lexsort((text, key))
-                text, key = text[order], key[order]
-                new = np.ones(len(key), bool)
-                new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
-                key, n = np.unique(key[new], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
+        for _, chunk in pieces(batches, 0):
+            _, text, _, key = Units(chunk).keys(least)
+            order = np.lexsort((text, key))
+            text, key = text[order], key[order]
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
+            key, n = np.unique(key[new], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
 
     return rows.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -184,28 +192,27 @@ def _described(rows: DataFrame, live: Bitmap, least: int, percent: int) -> DataF
     shared = rows.sparkSession.sparkContext.broadcast(live)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk in chunks(as_bytes(batch.column(1)), SPACED):
-                units = Units(chunk)
-                kind, _, at, key = units.keys(least)
-                hit = shared.value.has(key)
-                found = [likely(at[kind == k], hit[kind == k], percent) if k == PARAGRAPH else np.unique(at[hit & (kind == k)])
-                         for k in (PASSAGE, PARAGRAPH, LINE)]
-                sizes = [np.full(len(found[0]), RUN), units.sizes[np.searchsorted(units.lines, found[1])],
-                         units.short_sizes[np.searchsorted(units.short, found[2])]]
-                names, n = [], [np.zeros(len(x), np.int64) for x in found]
-                for k in (PASSAGE, PARAGRAPH, LINE):
-                    if k == PARAGRAPH and len(found[k]):
-                        flat, n[k] = _line_sets(chunk.words, found[k], sizes[k])
-                        names += _digests(flat, n[k])
-                    elif len(found[k]):
-                        names += _digests(mix(chunk.words[_runs_of(found[k], sizes[k])]), sizes[k])
-                place, text = np.concatenate(found), chunk.text_of[np.concatenate(found)] if len(names) else np.empty(0, np.int64)
-                kinds = np.repeat((PASSAGE, PARAGRAPH, LINE), list(map(len, found)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(chunk.first + text)), pa.array(kinds.astype(np.int8)),
-                     pa.array((place - chunk.bounds[text]).astype(np.int32)), pa.array(np.concatenate(sizes).astype(np.int32)),
-                     pa.array(names, pa.binary()), pa.array(np.concatenate(n))], ["doc", "kind", "start", "words", "digest", "n"])
+        for batch, chunk in pieces(batches, 1):
+            units = Units(chunk)
+            kind, _, at, key = units.keys(least)
+            hit = shared.value.has(key)
+            found = [likely(at[kind == k], hit[kind == k], percent) if k == PARAGRAPH else np.unique(at[hit & (kind == k)])
+                     for k in (PASSAGE, PARAGRAPH, LINE)]
+            sizes = [np.full(len(found[0]), RUN), units.sizes[np.searchsorted(units.lines, found[1])],
+                     units.short_sizes[np.searchsorted(units.short, found[2])]]
+            names, n = [], [np.zeros(len(x), np.int64) for x in found]
+            for k in (PASSAGE, PARAGRAPH, LINE):
+                if k == PARAGRAPH and len(found[k]):
+                    flat, n[k] = _line_sets(chunk.words, found[k], sizes[k])
+                    names += _digests(flat, n[k])
+                elif len(found[k]):
+                    names += _digests(mix(chunk.words[_runs_of(found[k], sizes[k])]), sizes[k])
+            place, text = np.concatenate(found), chunk.text_of[np.concatenate(found)] if len(names) else np.empty(0, np.int64)
+            kinds = np.repeat((PASSAGE, PARAGRAPH, LINE), list(map(len, found)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(chunk.first + text)), pa.array(kinds.astype(np.int8)),
+                 pa.array((place - chunk.bounds[text]).astype(np.int32)), pa.array(np.concatenate(sizes).astype(np.int32)),
+                 pa.array(names, pa.binary()), pa.array(np.concatenate(n))], ["doc", "kind", "start", "words", "digest", "n"])
 
     doc = rows.schema["doc"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc {doc}, kind byte, start int, words int, digest binary, n long")
@@ -217,22 +224,21 @@ def _sets(rows: DataFrame, named: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[bytes] = set()
-        for batch in batches:
-            for chunk in chunks(as_bytes(batch.column(0)), SPACED):
-                units = Units(chunk)
-                if not len(units.lines):
-                    continue
-                flat, n = _line_sets(chunk.words, units.lines, units.sizes)
-                names = _digests(flat, n)
-                likely = held.value.has(np.frombuffer(b"".join(x[:8] for x in names), ">u8").astype(U64))
-                first, out = np.cumsum(n) - n, {}
-                for i in np.flatnonzero(likely).tolist():
-                    if names[i] not in sent:
-                        out[names[i]] = flat[first[i]:first[i] + n[i]].tobytes()
-                if len(sent) > SENT:
-                    sent.clear()
-                sent |= out.keys()
-                yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.binary())], ["digest", "set"])
+        for _, chunk in pieces(batches, 0):
+            units = Units(chunk)
+            if not len(units.lines):
+                continue
+            flat, n = _line_sets(chunk.words, units.lines, units.sizes)
+            names = _digests(flat, n)
+            likely = held.value.has(np.frombuffer(b"".join(x[:8] for x in names), ">u8").astype(U64))
+            first, out = np.cumsum(n) - n, {}
+            for i in np.flatnonzero(likely).tolist():
+                if names[i] not in sent:
+                    out[names[i]] = flat[first[i]:first[i] + n[i]].tobytes()
+            if len(sent) > SENT:
+                sent.clear()
+            sent |= out.keys()
+            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.binary())], ["digest", "set"])
 
     found = rows.select("text").mapInArrow(run, "digest binary, set binary")
     return found.groupBy("digest").agg(F.first("set").alias("set")).join(named, "digest").select("node", "set")

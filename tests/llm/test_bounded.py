@@ -113,3 +113,14 @@ def test_similar_paragraphs_pass_the_keys():
                 keys.append((at[kind == paragraphs.PARAGRAPH], key[kind == paragraphs.PARAGRAPH]))
             lost += not all(len(paragraphs.likely(at, np.isin(key, keys[1 - i][1]), 75)) for i, (at, key) in enumerate(keys))
         assert not lost
+
+
+def test_paragraph_scans_look_at_half_a_megabyte_at_once():
+    texts = [f"word{i} " * 400 for i in range(2500)] + [None, "", "long " * 200_000]
+    batches = [pa.RecordBatch.from_arrays([pa.array(part)], ["text"]) for part in (texts, texts[:0], texts[:3])]
+    seen, sizes = [], []
+    for part, chunk in paragraphs.pieces(batches, 0):
+        sizes.append((len(chunk.bytes), chunk.count))
+        seen += part.column(0)[chunk.first:chunk.first + chunk.count].to_pylist()
+    assert seen == texts + texts[:3]
+    assert all(size <= 1 << 19 or count == 1 for size, count in sizes)
