@@ -137,3 +137,10 @@ def test_windows_equal_a_recompute_for_any_cut(spark, tmp_path, files):
         last = max(int(x.split("=")[1]) for x in os.listdir(tmp_path / "out" / "windows" / "delta") if "batch" in x)
         changed = spark.read.parquet(f"{tmp_path}/out/windows/delta/batch={last}").collect()
         assert {(r.zone, r.window_start) for r in changed} == {("A", dt.date(2024, 1, 1) - dt.timedelta(days=b)) for b in range(3)}
+
+
+def test_rows_are_dealt_out_before_they_are_sorted(spark, tmp_path):
+    rows = spark.createDataFrame([], f"{SCHEMA}, batch bigint, _part string")
+    plan = table(spark, tmp_path).newest(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert "Aggregate" not in plan[plan.index("Exchange"):] and "Sort " not in plan[plan.index("Exchange"):]
