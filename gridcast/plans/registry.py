@@ -13,7 +13,7 @@ from gridcast.operators import (
     sequence, slices,
 )
 from gridcast.plans import inputs as I
-from gridcast.session import materialize, shared_dir
+from gridcast.session import listing, materialize, shared_dir
 from gridcast.sources import history as hist
 from gridcast.sources import tables, zones
 from gridcast.streaming import streams
@@ -52,7 +52,8 @@ def now() -> Column:
 def _write_files(df, root):
     """One file per zone; returns (zone, path) of all files in the zones' folders."""
     df.repartition("zone").write.mode("append").partitionBy("zone").option("header", True).csv(root)
-    listed = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(root).select("path")
+    with listing(df.sparkSession):
+        listed = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(root).select("path")
     return listed.select(F.regexp_extract("path", "zone=([^/]*)", 1).alias("zone"), "path")
 
 
@@ -60,7 +61,7 @@ def _write_files(df, root):
 def scan_zone_csv(spark, sf):
     """Train and test files side by side, in a folder with a blank, with their columns in another order."""
     root = f"{shared_dir(spark)}/zone files"
-    raw = I.raw_series(spark, sf)
+    raw = materialize(I.raw_series(spark, sf))
     train = materialize(_write_files(raw.where("split = 'train'").select("zone", "for_date", "requirement", "flag"), root))
     both = _write_files(raw.where("split = 'test'").select("zone", "flag", "requirement", "for_date"), root)
     test = both.join(train, "path", "left_anti").select("zone", "path")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.functions.dates import parse_for_date
-from gridcast.session import materialize
+from gridcast.session import listing, materialize
 
 
 def zone_registry(spark: SparkSession, paths: Mapping[str, Mapping[str, str]]) -> DataFrame:
@@ -27,27 +27,33 @@ def _plain(path: Column) -> Column:
 
 
 def _lines(spark: SparkSession, root: str) -> DataFrame:
-    """(path, start, line) of all files below ``root``, which may be a file itself."""
-    text = spark.read.option("recursiveFileLookup", True).text(root)
-    name = F.try_url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))  # the path as it was given
-    return text.select(_plain(name).alias("path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"))
+    """(file, start, line) of all files below ``root``, which may be a file itself; ``file`` is the encoded path."""
+    with listing(spark):
+        text = spark.read.option("recursiveFileLookup", True).text(root)
+    return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"))
+
+
+def _given(file: Column) -> Column:
+    """The path as it was given, without its encoding. For one row per file, since it costs more than reading a line."""
+    return _plain(F.try_url_decode(F.replace(file, F.lit("+"), F.lit("%2B"))))
 
 
 def _headers(lines: DataFrame) -> DataFrame:
-    """(path, header): each file's first line, found by the tasks that read the files."""
+    """(file, path, header): each file's first line, found by the tasks that read the files."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:  # the lines of a file follow each other
-            paths = pc.run_end_encode(batch.column(0))
+            files = pc.run_end_encode(batch.column(0))
             at, firsts = 0, []
-            for path, end in zip(paths.values.to_pylist(), paths.run_ends.to_pylist()):
-                if path != last:
+            for file, end in zip(files.values.to_pylist(), files.run_ends.to_pylist()):
+                if file != last:
                     firsts.append(at)
-                last, at = path, end
+                last, at = file, end
             yield batch.take(pa.array(firsts, pa.int64()))
 
-    return lines.where("start = 0").select("path", "line").mapInArrow(run, "path string, line string").toDF("path", "header")
+    heads = lines.where("start = 0").select("file", "line").mapInArrow(run, "file string, line string")
+    return heads.select("file", _given(F.col("file")).alias("path"), F.col("line").alias("header"))
 
 
 def _root(registry: DataFrame) -> str | None:
@@ -99,8 +105,8 @@ def scan_zone_csv(
     # a file belongs to the entry of its own path or of a folder above it
     parts = F.split("path", "/")
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
-    reach = heads.select("path", "header", F.explode(above).alias("entry"))
-    own = materialize(reach.join(registry.withColumnRenamed("path", "entry"), "entry").select("path", "header", "entry", "zone", "split"))
+    reach = heads.select("file", "path", "header", F.explode(above).alias("entry"))
+    own = materialize(reach.join(registry.withColumnRenamed("path", "entry"), "entry").select("file", "path", "header", "entry", "zone", "split"))
     if missing == "error":
         absent = [r.path for r in registry.join(own.select(F.col("entry").alias("path")), "path", "left_anti").select("path").limit(6).collect()]
         if absent:
@@ -119,7 +125,7 @@ def scan_zone_csv(
         # inside a lambda, so that a line is parsed once however many cells are taken
         wide = F.transform(F.array(row), _by_name(cs, names))[0]
         value = F.when(F.col("header") == header, wide).otherwise(value)
-    rows = lines.join(own.select("path", "header", "zone", "split"), "path").where("not (start = 0 and line = header) and trim(line) <> ''")
+    rows = lines.join(own.select("file", "path", "header", "zone", "split"), "file").where("not (start = 0 and line = header) and trim(line) <> ''")
     rows = rows.select("zone", "split", "path", "line", value.alias("_v"))
     if rejects:
         return rows.where("_v.bad is not null").select("zone", "split", "path", "line")

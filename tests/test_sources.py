@@ -84,3 +84,22 @@ def test_empty_files_and_registry(spark, tmp_path):
     registry = spark.createDataFrame(entries, "zone string, split string, path string")
     assert zones.scan_zone_csv(spark, registry, missing="skip").collect() == []
     assert zones.scan_zone_csv(spark, registry.limit(0)).collect() == []
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    """A folder per zone: a listing task has many of them, and lines are matched by their encoded path."""
+    for k in range(150):
+        (tmp_path / "zone files" / f"zone={k}").mkdir(parents=True)
+        (tmp_path / "zone files" / f"zone={k}" / "a+b.csv").write_text(f"for_date,requirement\nd{k},{k}\n")
+    entries = [(f"Z{k}", "train", str(tmp_path / "zone files" / f"zone={k}")) for k in range(150)]
+    registry = spark.createDataFrame(entries, "zone string, split string, path string").coalesce(1)
+    context = spark.sparkContext
+    context.setJobGroup("folders", "")
+    try:
+        got = zones.scan_zone_csv(spark, registry)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert {(r.zone, r.for_date, r.requirement) for r in got.collect()} == {(f"Z{k}", f"d{k}", str(k)) for k in range(150)}
+    status = context.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("folders") for s in status.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) <= max(100, 4 * context.defaultParallelism)
