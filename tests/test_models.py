@@ -110,3 +110,18 @@ def test_equal_buckets_hold_about_as_many_rows(spark):
         "make_dt_interval(CASE WHEN id % 3 = 1 THEN 0 ELSE id DIV 300 END, 0, 0, id % 86400)")).alias("for_date"), "id")
     sizes = sorted(r["count"] for r in with_bucket(df, ["zone"], ["for_date"], EQUAL, [F.col("id")]).groupBy("_bucket").count().collect())
     assert len(sizes) > 4 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_tree_settings_share_their_rows(spark, series, monkeypatch):
+    """Settings fitted together scale the rows once, and give what each gives alone."""
+    made, real = [], forecast.GbtRows
+    monkeypatch.setattr(forecast, "GbtRows", lambda *a: made.append(1) or real(*a))
+    base = models.TreeForecaster(features=["a", "b"], trees=2, step=0.3)
+    maps = [{base.depth: 2}, {base.depth: 3}, {base.depth: 2, base.target: "a"}]
+    rows = series.orderBy("zone", "for_date").coalesce(1).localCheckpoint()
+    together = base.fit(rows, maps[:2])
+    assert len(made) == 1
+    said = lambda m: sorted(map(str, m.transform(rows).collect()))
+    assert [said(m) for m in together] == [said(base.fit(rows, x)) for x in maps[:2]]
+    made.clear()
+    assert said(base.fit(rows, maps)[2]) == said(base.fit(rows, maps[2])) and len(made) == 4
