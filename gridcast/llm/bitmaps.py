@@ -35,6 +35,10 @@ class Bitmap:
         for k, x in parts.items():
             self.bytes[k * size:(k + 1) * size] = np.frombuffer(x, np.uint8)
 
+    def add(self, hashes: np.ndarray) -> None:
+        byte, bit = _bits(hashes, self.bits)
+        np.bitwise_or.at(self.bytes, byte, np.left_shift(1, bit).astype(np.uint8))
+
     def has(self, hashes: np.ndarray) -> np.ndarray:
         byte, bit = _bits(hashes, self.bits)
         return (self.bytes[byte] >> bit) & 1 > 0
@@ -54,8 +58,7 @@ def bitmap(hashes: DataFrame, count: int | None = None) -> Bitmap:
     name = hashes.columns[0]
     if n <= FEW:  # fewer bytes than the smallest bitmaps have; no need to deal them
         out = Bitmap(bits, {})
-        byte, bit = _bits(hashes.toArrow().column(0).to_numpy().view(U64), bits)
-        np.bitwise_or.at(out.bytes, byte, np.left_shift(1, bit).astype(np.uint8))
+        out.add(hashes.toArrow().column(0).to_numpy().view(U64))
         return out
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

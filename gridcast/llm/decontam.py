@@ -20,12 +20,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridcast.llm.bitmaps import Bitmap, bitmap, where
 from gridcast.llm.common import add_columns, fresh, materialize
 from gridcast.llm.textscan import ALNUM, U64, Chunk, chunks, grams, hash_spans, spans_of
 
 FIELDS = [("n_words", "bigint"), ("n_hit", "bigint"), ("items", "array<string>"),
           ("spans", "array<struct<start:int,end:int>>"), ("clean_text", "string")]
 _BITS = 22
+AT_ONCE = 1 << 22  # bytes of text
 
 
 class Windows:
@@ -50,9 +52,8 @@ class Windows:
                         same.append((wanted, {item}))
         self.maybe = {}
         for size, found in self.exact.items():
-            bits = np.zeros(1 << _BITS, bool)
-            bits[np.fromiter(found, U64, len(found)) >> U64(64 - _BITS)] = True
-            self.maybe[size] = bits
+            self.maybe[size] = Bitmap(_BITS, {})
+            self.maybe[size].add(np.fromiter(found, U64, len(found)))
 
     def search(self, chunk: Chunk) -> tuple[np.ndarray, dict[int, set[str]]]:
         """Which words of the chunk lie in a window, and the items found in each text."""
@@ -60,7 +61,7 @@ class Windows:
         items: dict[int, set[str]] = defaultdict(set)
         for size, found in self.exact.items():
             hashes, at = chunk.runs(size)
-            likely = np.flatnonzero(self.maybe[size][hashes >> U64(64 - _BITS)])
+            likely = np.flatnonzero(self.maybe[size].has(hashes))
             for h, i in zip(hashes[likely].tolist(), at[likely].tolist()):
                 same = found.get(h)
                 if same is None:
@@ -127,7 +128,7 @@ def _pass(docs: DataFrame, text: str, windows, clean: bool, again: bool, prefix:
         return out
 
     fields = [(prefix + n, t) for n, t in FIELDS]
-    return add_columns(docs, text, fields, rows, before=[prefix + "items", prefix + "spans"] if again else None)
+    return add_columns(docs, text, fields, rows, before=[prefix + "items", prefix + "spans"] if again else None, at_once=AT_ONCE)
 
 
 def _runs(chunk: Chunk, hit: np.ndarray, i: int) -> list[tuple[int, int]]:
@@ -151,13 +152,25 @@ def decontaminate(docs: DataFrame, bench: DataFrame, remove: str = "documents",
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
     new = fresh(docs, "found_")
-    scanned = scan(docs, bench, text=text, clean=remove == "spans", prefix=new, **options)
     if remove == "documents":
-        return scanned.where(F.col(new + "n_hit") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+        return _without_hits(docs, bench, text, new, **options)
+    scanned = scan(docs, bench, text=text, prefix=new, **options)
     return scanned.select(*[
         F.coalesce(F.col(new + "clean_text"), F.col(f"`{c}`")).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
 
 
+def _without_hits(docs: DataFrame, bench: DataFrame, text: str, new: str, **options) -> DataFrame:
+    """The rows without a hit word. A scan in small batches writes 128-bit names of the texts that are hit; whole rows
+    stay out of Python then, and only those whose name may be among these meet them in a join."""
+    name = F.unhex(F.md5(F.col(f"`{text}`").cast("string").cast("binary")))
+    named = docs.select(F.col(f"`{text}`"), name.alias(f"{new}name"))
+    scanned = scan(named, bench, text=text, only=[f"{new}name"], clean=False, prefix=new, **options)
+    dirty = materialize(scanned.where(F.col(f"{new}n_hit") > 0).select(f"{new}name").distinct())
+    held = bitmap(dirty.select(F.xxhash64(f"{new}name")))
+    plain, maybe = where(docs, F.xxhash64(name), held, hit=False), where(docs, F.xxhash64(name), held)
+    return plain.union(maybe.join(dirty, name == F.col(f"{new}name"), "left_anti"))
+
+
 def report(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """One row per document: words, hit words, items found, a digest of their ids, and the verdict."""
     found = scan(docs, bench, only=["doc_id"], clean=False)

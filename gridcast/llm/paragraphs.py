@@ -43,7 +43,7 @@ LEAST, NEED = 20, 5  # of 20 keys fewer than 5 are shared at the threshold with
 PASSAGE, PARAGRAPH, LINE = 0, 1, 2
 SENT = 1 << 20  # paragraphs a task remembers having sent
 ASKS = 256  # requests to a first text in one row
-TEXTS, PIECE = 1 << 22, 1 << 19  # bytes of text taken out of a batch, and looked at, at once
+TEXTS = 1 << 22  # bytes of text taken out of a batch at once
 
 
 def _sliding(a: np.ndarray, least: bool) -> np.ndarray:
@@ -119,7 +119,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.
     """The texts of batches in small chunks, each with the part of the batch that it counts in; a unit needs
     many times its text's bytes, so the chunk's size decides what a scan takes of memory."""
     for batch in (part for whole in batches for part in parts(whole, column, TEXTS)):
-        for chunk in chunks(as_bytes(batch.column(column)), SPACED, PIECE):
+        for chunk in chunks(as_bytes(batch.column(column)), SPACED):
             yield batch, chunk
 
 

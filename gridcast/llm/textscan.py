@@ -1,6 +1,6 @@
 """Vectorised word scanning over UTF-8 bytes, shared by the text operators.
 
-Texts are joined into buffers of a few MB with a separator byte, so the cost per text is small and
+Texts are joined into buffers of half a MB with a separator byte, so the cost per text is small and
 memory stays bounded however long a text is. All word classes used here are unions of ASCII bytes
 and "everything above 0x7F", so working on bytes gives the same words as working on characters.
 """
@@ -14,7 +14,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 21          # bytes of text handled at once
+CHUNK = 1 << 21          # bytes of one text handled at once
+PIECE = 1 << 19          # bytes of texts laid side by side: their arrays take many times as much
 SEPARATOR = b"\n"        # outside every word class below
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
@@ -164,8 +165,8 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.to_pylist()]
 
 
-def chunks(texts: list[bytes], table: np.ndarray, size: int = CHUNK) -> Iterator[Chunk]:
-    """The texts of a batch, a few MB at a time; a text is never cut."""
+def chunks(texts: list[bytes], table: np.ndarray, size: int = PIECE) -> Iterator[Chunk]:
+    """The texts of a batch, half a MB at a time; a text is never cut."""
     at = 0
     while at < len(texts):
         stop, total = at, 0

@@ -1,10 +1,12 @@
 import hashlib
+import pickle
 import re
 
 import pytest
 
 from conftest import words
 from gridcast.llm import decontam
+from gridcast.llm.textscan import ALNUM, chunks
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -70,3 +72,12 @@ def test_empty_tables(case, spark):
     _, _, docs, bench = case
     assert decontam.scan(docs.limit(0), bench).collect() == []
     assert all(r.n_hit == 0 for r in decontam.scan(docs, bench.limit(0)).collect())
+
+
+def test_a_task_holds_little():
+    """Windows of ten lengths in a few MB, and texts half a MB at a time."""
+    items = [(str(n), " ".join(f"w{n}x{i}" for i in range(n)).encode()) for n in range(1, 12)]
+    assert len(pickle.dumps(decontam.Windows(items, 10))) < 8_000_000
+    texts = [b"one two three " * 3000] * 70  # 3 MB
+    found = list(chunks(texts, ALNUM))
+    assert max(len(c.bytes) for c in found) <= 1 << 19 and sum(c.count for c in found) == 70
