@@ -6,12 +6,17 @@ of a bucket: every member against the bucket's smallest and largest class, then
 the most links so far. A bucket whose members are now all in one component is done. In the buckets
 that are left, all members outside the largest component are compared with all others, block
 by block inside tasks, which is what makes the result complete. Every link is confirmed on full sets.
+
+Bands are made of whole hashes; pairs are pruned by the last eight bits of each, which equal hashes share,
+so that no pair is lost by it. Full sets go only to blocks, and within them to members, that a signature
+leaves a pair.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 from math import comb
 
 import numpy as np
@@ -19,12 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import materialize
+from gridcast.llm.bitmaps import Bitmap, bitmap
+from gridcast.llm.common import materialize, release
 from gridcast.llm.components import components
 from gridcast.llm.textscan import U64, mix
 
 ROWS, BATCH = 4, 32
 BLOCK = 256  # members of a bucket compared at once in the last round
+PAIRS = 1 << 17  # pairs of signatures compared at once
 
 
 def tune_bands(threshold: float, miss: float, rows: int = ROWS) -> int:
@@ -80,34 +87,78 @@ def least_matches(threshold: float, miss: float, n: int) -> list[tuple[int, int]
     return out
 
 
-def _promising(a: np.ndarray, b: np.ndarray, needs: list[tuple[int, int]]) -> np.ndarray:
-    """Row numbers of the signature pairs that survive batch by batch."""
-    alive = np.arange(len(a))
-    matches = np.zeros(len(a), np.int64)
+def _alike(sig: np.ndarray, left: np.ndarray, right: np.ndarray, needs: list[tuple[int, int]]) -> np.ndarray:
+    """Numbers of the pairs of rows of ``sig`` that survive batch by batch."""
+    alive = np.arange(len(left))
+    matches = np.zeros(len(left), np.int64)
     done = 0
     for k, need in needs:
-        matches = matches + (a[alive, done:k] == b[alive, done:k]).sum(axis=1)
+        part = np.ascontiguousarray(sig[:, done:k])
+        same = (part[left[alive]] == part[right[alive]]).view(U64).sum(axis=1, dtype=U64)  # a count of up to BATCH / 8 in each byte
+        matches = matches + ((same * U64(0x0101010101010101)) >> U64(56)).astype(np.int64)
         keep = matches >= need
         alive, matches, done = alive[keep], matches[keep], k
     return alive
 
 
-def _signatures(column: pa.Array) -> np.ndarray:
+def _signatures(column: pa.Array, kind: type = np.uint8) -> np.ndarray:
     flat = column.to_pylist()
-    return np.frombuffer(b"".join(flat), np.uint32).reshape(len(flat), -1)
+    return np.frombuffer(b"".join(flat), kind).reshape(len(flat), -1)
+
+
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """A hash for every ``ROWS`` hashes of each signature and their place in it."""
+    bands = sig.shape[1] // ROWS
+    part = sig[:, :bands * ROWS].reshape(len(sig), bands, ROWS)
+    total = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=U64)), (len(sig), bands))
+    for j in range(ROWS):
+        total = mix(total * U64(0xD6E8FEB86659FD93) + part[:, :, j])
+    return total
+
+
+def _bands(classes: DataFrame, held: Bitmap | None = None) -> DataFrame:
+    """(node, key) of every band of every class, or of those whose key is in the bitmap."""
+    shared = held and classes.sparkSession.sparkContext.broadcast(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            if x.num_rows:
+                key = band_keys(_signatures(x.column(1), np.uint32))
+                node, key = np.repeat(x.column(0).to_numpy(), key.shape[1]), key.ravel()
+                if shared:
+                    hit = shared.value.has(key)
+                    node, key = node[hit], key[hit]
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(key.view(np.int64))], ["node", "key"])
+
+    return classes.select("node", "sig").mapInArrow(run, "node long, key long")
 
 
-def _prune(pairs: DataFrame, classes: DataFrame, threshold: float, miss: float, hashes: int) -> DataFrame:
+def _brief(classes: DataFrame, held: Bitmap) -> DataFrame:
+    """(node, n, sig) of the classes with a band in the bitmap, the last eight bits of each hash."""
+    shared = classes.sparkSession.sparkContext.broadcast(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            if x.num_rows:
+                sig = _signatures(x.column(2), np.uint32)
+                keep = np.flatnonzero(shared.value.has(band_keys(sig).ravel()).reshape(len(sig), -1).any(axis=1))
+                low = pa.array([y.tobytes() for y in sig[keep].astype(np.uint8)], pa.binary())
+                yield pa.RecordBatch.from_arrays([x.column(0).take(pa.array(keep)), x.column(1).take(pa.array(keep)), low], ["node", "n", "sig"])
+
+    return classes.select("node", "n", "sig").mapInArrow(run, "node long, n long, sig binary")
+
+
+def _prune(pairs: DataFrame, brief: DataFrame, threshold: float, miss: float, hashes: int) -> DataFrame:
     """The pairs that size and signature leave possible."""
     needs = least_matches(threshold, miss, hashes)
-    side = classes.select("node", "n", "sig")
-    rows = (pairs.join(side.toDF("a", "na", "sa"), "a").join(side.toDF("b", "nb", "sb"), "b")
+    rows = (pairs.join(brief.toDF("a", "na", "sa"), "a").join(brief.toDF("b", "nb", "sb"), "b")
             .where(F.least("na", "nb") >= F.greatest("na", "nb") * threshold).select("a", "b", "sa", "sb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             if x.num_rows:
-                keep = pa.array(_promising(_signatures(x.column(2)), _signatures(x.column(3)), needs))
+                sig, at = np.concatenate([_signatures(x.column(2)), _signatures(x.column(3))]), np.arange(x.num_rows)
+                keep = pa.array(_alike(sig, at, at + x.num_rows, needs))
                 yield pa.RecordBatch.from_arrays([x.column(0).take(keep), x.column(1).take(keep)], ["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long")
@@ -130,9 +181,42 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _rest(open_: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, miss: float, hashes: int) -> DataFrame:
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Whole blocks of rows sorted by (key, i, j), many of them at once, with the block's number for each row."""
+    held: list[pa.RecordBatch] = []
+    for batch in chain((x for x in batches if x.num_rows), (None,)):
+        if batch is None and not held:
+            return
+        rows = pa.concat_batches(held if batch is None else [*held, batch])
+        ids = np.column_stack([rows.column(c).to_numpy() for c in ("key", "i", "j")])
+        block = np.cumsum(np.concatenate(([0], (ids[1:] != ids[:-1]).any(axis=1))))
+        whole = len(block) if batch is None else int(np.searchsorted(block, block[-1]))
+        if whole:
+            yield rows.slice(0, whole), block[:whole]
+        held = [rows.slice(whole)]
+
+
+def _possible(rows: pa.RecordBatch, block: np.ndarray, threshold: float, needs: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(line's rows, column's rows): the pairs within blocks that root, size and signature leave possible, those
+    of one line together. The columns of a block stand before its lines."""
+    small, root, n = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("small", "root", "n"))
+    sig = _signatures(rows.column("sig"))
+    line = np.flatnonzero(small)
+    first = np.searchsorted(block, block[line])
+    count = np.bincount(block[~small], minlength=int(block[-1]) + 1)[block[line]]
+    for at in np.split(np.arange(len(line)), np.flatnonzero(np.diff(np.cumsum(count) // PAIRS)) + 1):
+        left = np.repeat(line[at], count[at])
+        right = np.repeat(first[at] - (np.cumsum(count[at]) - count[at]), count[at]) + np.arange(len(left))
+        keep = (root[left] != root[right]) & (np.minimum(n[left], n[right]) >= np.maximum(n[left], n[right]) * threshold)
+        left, right = left[keep], right[keep]
+        keep = _alike(sig, left, right, needs)
+        yield left[keep], right[keep]
+
+
+def _rest(open_: DataFrame, brief: DataFrame, sets: DataFrame, percent: int, miss: float, hashes: int) -> DataFrame:
     """Links between different components in ``open_(key, node, root)``: in every bucket, the members
-    outside its largest component against all others, block by block. Of the links of one class into
+    outside its largest component against all others, block by block. Signatures are compared first, and only
+    the members with a possible partner come again with their sets. Of the links of one class into
     one component a block leaves only one, since more would not change any component."""
     threshold = percent / 100
     needs = least_matches(threshold, miss, hashes)
@@ -147,32 +231,44 @@ def _rest(open_: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, m
         "key", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("lines")).alias("i"),
         F.explode(F.expr("sequence(0, columns - 1)")).alias("j"), F.lit(True).alias("small"), "node", "root")
     column, line = (x.withColumn("i", F.col("i").cast("long")).withColumn("j", F.col("j").cast("long")) for x in (column, line))
-    dealt = column.unionByName(line).join(classes.select("node", "n", "sig").join(sets, "node"), "node")
-
-    def run(group: pa.Table) -> pa.Table:
-        small = group.column("small").to_numpy()
-        node, root = group.column("node").to_numpy(), group.column("root").to_numpy()
-        n = group.column("n").to_numpy()
-        out: tuple[list, list] = ([], [])
-        right = np.flatnonzero(~small)
-        if len(right) and small.any():
-            sig = _signatures(group.column("sig").combine_chunks())
-            full = [np.frombuffer(x, U64) for x in group.column("set").to_pylist()]
-            for k in np.flatnonzero(small):
-                near = right[(root[right] != root[k]) & (np.minimum(n[right], n[k]) >= np.maximum(n[right], n[k]) * threshold)]
-                near = near[_promising(np.broadcast_to(sig[k], (len(near), sig.shape[1])), sig[near], needs)]
-                if len(near):
-                    shared = _shared(full[k], [full[m] for m in near])
+    place = ["key", "i", "j"]
+
+    def in_blocks(rows: DataFrame) -> DataFrame:
+        return rows.repartition(*place).sortWithinPartitions(*place, "small")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, block in blocks(batches):
+            met = np.zeros(rows.num_rows, bool)
+            for left, right in _possible(rows, block, threshold, needs):
+                met[left] = met[right] = True
+            yield rows.filter(pa.array(met))
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, block in blocks(batches):
+            node, root, n = (rows.column(c).to_numpy() for c in ("node", "root", "n"))
+            out: tuple[list, list] = ([], [])
+            for left, right in _possible(rows, block, threshold, needs):
+                cut = np.flatnonzero(np.diff(left)) + 1
+                for at in np.split(np.arange(len(left)), cut) if len(left) else ():
+                    k, others = left[at[0]], right[at]
+                    shared = _shared(_set(rows, k), [_set(rows, m) for m in others])
                     met = set()
-                    for m in near[100 * shared >= percent * (n[near] + n[k] - shared)]:
+                    for m in others[100 * shared >= percent * (n[others] + n[k] - shared)]:
                         if root[m] not in met:
                             met.add(root[m])
                             a, b = sorted((node[k], node[m]))
                             out[0].append(a)
                             out[1].append(b)
-        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], ["a", "b"])
+
+    dealt = in_blocks(column.unionByName(line).join(brief, "node").select(*place, "small", "node", "root", "n", "sig"))
+    left = materialize(dealt.mapInArrow(near, dealt.schema))
+    found = in_blocks(left.join(sets, "node").select(*place, "small", "node", "root", "n", "sig", "set"))
+    return found.mapInArrow(links, "a long, b long").distinct()
+
 
-    return dealt.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+def _set(rows: pa.RecordBatch, k: int) -> np.ndarray:
+    return np.frombuffer(rows.column("set")[int(k)].as_buffer(), U64)
 
 
 def _shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
@@ -192,15 +288,15 @@ def linked(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percen
     in the banding and again in the pruning; all others are decided on their full sets.
     """
     threshold = percent / 100
-    width = 4 * ROWS
-    keys = F.expr(f"transform(sequence(0, {hashes // ROWS - 1}), i -> xxhash64(i, substring(sig, i * {width} + 1, {width})))")
-    bands = classes.select("node", F.explode(keys).alias("key"))
-    hubs = bands.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
-    live = materialize(bands.join(hubs, "key"))
+    hubs = materialize(_bands(classes).groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last"))
+    held = bitmap(hubs.select("key"))
+    live = materialize(_bands(classes, held).join(hubs, "key"))
+    release(hubs)
+    brief = materialize(_brief(classes, held))
     sets = materialize(sets_of(live.select("node").distinct()))
     links = None
     for step in ("ends", "central"):
-        maybe = _prune(_star(live, step, links), classes, threshold, miss, hashes)
+        maybe = _prune(_star(live, step, links), brief, threshold, miss, hashes)
         new = materialize(_confirm(maybe, sets, percent))
         links = new if links is None else links.unionByName(new)
     roots = components(links)
@@ -209,7 +305,7 @@ def linked(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percen
     placed = materialize(placed.join(apart.select("key"), "key", "left_semi"))
     if placed.isEmpty():
         return roots
-    new = materialize(_rest(placed, classes, sets, percent, miss, hashes))
+    new = materialize(_rest(placed, brief, sets, percent, miss, hashes))
     if new.isEmpty():
         return roots
     return components(new.unionByName(roots.where("node <> root").toDF("a", "b")))

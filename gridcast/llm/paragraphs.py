@@ -44,6 +44,7 @@ PASSAGE, PARAGRAPH, LINE = 0, 1, 2
 SENT = 1 << 20  # paragraphs a task remembers having sent
 ASKS = 256  # requests to a first text in one row
 TEXTS = 1 << 22  # bytes of text taken out of a batch at once
+PLACES = 1 << 18  # words of two texts laid side by side at once
 
 
 def _sliding(a: np.ndarray, least: bool) -> np.ndarray:
@@ -127,8 +128,9 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").cast("string").alias("text")).where("doc is not null")
 
 
-def _key_counts(rows: DataFrame, least: int) -> DataFrame:
-    """(key, n): how many rows hold a unit with that key."""
+def _repeated_keys(rows: DataFrame, least: int) -> DataFrame:
+    """(key): the keys of units that several rows hold. A row's key is sent once, and sorted keys are counted as
+    they pass, so that no task holds more than a batch of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, chunk in pieces(batches, 0):
@@ -137,10 +139,28 @@ def _key_counts(rows: DataFrame, least: int) -> DataFrame:
             text, key = text[order], key[order]
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
-            key, n = np.unique(key[new], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
+            key = key[new]
+            new = np.ones(len(key), bool)
+            new[2:] = key[2:] != key[:-2]  # a key twice says as much as more often
+            yield pa.RecordBatch.from_arrays([pa.array(key[new].view(np.int64))], ["key"])
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.empty(0, np.int64)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(second(held, batch.column(0).to_numpy()))], ["key"])
+            held = np.concatenate((held, batch.column(0).to_numpy()))[-2:]
+
+    return rows.select("text").mapInArrow(run, "key long").repartition("key").sortWithinPartitions("key").mapInArrow(repeated, "key long")
 
-    return rows.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+def second(before: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Of sorted keys, those that are the second of their kind; ``before`` are the last two keys ahead of them."""
+    keys = np.concatenate((before, keys))
+    found = np.zeros(len(keys), bool)
+    found[1:] = keys[1:] == keys[:-1]
+    found[2:] &= keys[2:] != keys[:-2]
+    found[:len(before)] = False
+    return keys[found]
 
 
 def _digests(flat: np.ndarray, sizes: np.ndarray) -> list[bytes]:
@@ -261,7 +281,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     document: where it stands, in words from the text's begin, and its group's first occurrence."""
     rows = _keyed(docs, key, text)
     least = keys_of(percent / 100)
-    live = materialize(_key_counts(rows, least).where("n > 1").select("key"))
+    live = materialize(_repeated_keys(rows, least))
     units = materialize(_described(rows, bitmap(live), least, percent))
     release(live)
     place = F.struct("doc", "start")
@@ -269,8 +289,11 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
         F.min(place).alias("least"), F.max("doc").alias("most")).withColumn(
         "node", F.monotonically_increasing_id()))
     lines = classes.where(F.col("kind") == PARAGRAPH).select("node", "digest")
-    signed = materialize(_signed(_sets(rows, lines)))
-    roots = linked(signed, lambda nodes: _sets(rows, materialize(lines.join(nodes, "node").select("node", "digest"))), percent, miss, HASHES)
+    sets = materialize(_sets(rows, lines))
+    signed = materialize(_signed(sets))
+    node = F.xxhash64("node")
+    roots = linked(signed, lambda nodes: where(sets, node, bitmap(nodes.select(node))), percent, miss, HASHES)
+    release(sets, signed)
     placed = classes.select("kind", "digest", "node", "least", "most").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = placed.groupBy("root").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least.doc <> most")
     named = materialize(placed.select("kind", "digest", "root").join(groups, "root").select("kind", "digest", F.col("least").alias("lead")))
@@ -304,22 +327,25 @@ def _grown(picks: DataFrame, rows: DataFrame) -> DataFrame:
     asks = pairs.join(sized, "doc").join(asked, "first_doc").groupBy("first_doc", F.pmod(F.xxhash64("doc"), F.col("rows")).alias("dealt")).agg(
         F.collect_list(F.struct("doc", "size", "at")).alias("asks"))
 
+    names = ["doc", "first_doc", "at", "lo", "cut"]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, t in enumerate(as_bytes(batch.column(1))):
-                (chunk,) = chunks([t], SPACED)
-                asks = batch.column(2)[k].values
-                out: list[list] = [[], [], []]
-                for i, ask in enumerate(asks.to_pylist()):
-                    at, first = (np.array([x[c] for x in ask["at"]]) for c in ("start", "first_start"))
-                    lo, hi = max(0, int((first - at).min())), min(len(chunk.words), int((first - at).max()) + ask["size"])
-                    for col, x in zip(out, (i, lo, chunk.words[lo:hi].tobytes())):
-                        col.append(x)
-                take = pa.array(out[0], pa.int64())
-                doc, _, places = asks.flatten()
-                yield pa.RecordBatch.from_arrays(
-                    [doc.take(take), batch.column(0).take(pa.array([k] * len(take))), places.take(take),
-                     pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary())], ["doc", "first_doc", "at", "lo", "cut"])
+            out, size = [], 0
+            for k, words in _words(as_bytes(batch.column(1))):
+                doc, length, at = batch.column(2)[k].values.flatten()
+                start, first, of = _places(at)
+                lo = np.maximum(0, np.minimum.reduceat(first - start, of[:-1]))
+                hi = np.minimum(len(words), np.maximum.reduceat(first - start, of[:-1]) + length.to_numpy())
+                cuts = [words[x:y].tobytes() for x, y in zip(lo.tolist(), hi.tolist())]
+                out.append(pa.RecordBatch.from_arrays([doc, batch.column(0).take(pa.array([k] * len(cuts))), at, pa.array(lo, pa.int32()),
+                                                       pa.array(cuts, pa.binary())], names))
+                size += sum(map(len, cuts))
+                if size > TEXTS:
+                    yield pa.concat_batches(out)
+                    out, size = [], 0
+            if out:
+                yield pa.concat_batches(out)
 
     leads = _only(rows, picks.select("first_doc").distinct().toDF("doc"))
     cuts = asks.join(leads.select(F.col("doc").alias("first_doc"), "text"), "first_doc").select("first_doc", "text", "asks").mapInArrow(
@@ -327,18 +353,15 @@ def _grown(picks: DataFrame, rows: DataFrame) -> DataFrame:
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            where, out, last, words = [], [], None, None
-            for k, t in enumerate(batch.column(2).to_pylist()):
-                if t != last:
-                    (chunk,) = chunks(as_bytes(pa.array([t])), SPACED)
-                    last, words = t, chunk.words
-                lo, other = batch.column(4)[k].as_py(), np.frombuffer(batch.column(5)[k].as_buffer(), U64)
+            where, out = [np.empty(0, np.int64)], [np.empty((0, 4), np.int64)]
+            start, first, of = _places(batch.column(3))
+            lo = batch.column(4).to_pylist()
+            for k, words in _words(as_bytes(batch.column(2))):
+                other = np.frombuffer(batch.column(5)[k].as_buffer(), U64)
                 same = batch.column(0)[k] == batch.column(1)[k]
-                for x in stretches(words, other, lo, batch.column(3)[k].as_py(), same):
-                    where.append(k)
-                    out.append(x)
-            take = pa.array(where, pa.int64())
-            columns = list(zip(*out)) if out else [()] * 4
+                out.append(stretches(words, other, lo[k], start[of[k]:of[k + 1]], first[of[k]:of[k + 1]], same))
+                where.append(np.full(len(out[-1]), k))
+            take, columns = pa.array(np.concatenate(where)), np.concatenate(out).T
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *[pa.array(c, pa.int32()) for c in columns]],
                                              ["doc", "first_doc", "start", "words", "first_start", "pick"])
 
@@ -358,31 +381,57 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32())], ["doc", "size"])
 
 
-def stretches(words: np.ndarray, other: np.ndarray, lo: int, at: list[dict], same: bool) -> Iterator[tuple[int, int, int, int]]:
-    """(start, words, first_start, pick) of the maximal common stretches through the places ``at``;
-    ``other`` are the first text's words from number ``lo`` on. In one and the same text the first
-    occurrence itself is left whole."""
-    lines: dict[int, list[int]] = {}
-    for x in at:
-        lines.setdefault(x["start"] - x["first_start"], []).append(x["start"])
-    for shift, starts in lines.items():
-        begin = max(0, lo + shift)
-        end = min(len(words), lo + shift + len(other))
-        if end <= begin:
-            continue
-        apart = np.flatnonzero(words[begin:end] != other[begin - shift - lo:end - shift - lo]) + begin
-        done = -1
-        for start in sorted(starts):
-            if start < max(done, begin) or same and shift < RUN:
-                continue
-            k = int(np.searchsorted(apart, start))
-            s, e = int(apart[k - 1]) + 1 if k else begin, int(apart[k]) if k < len(apart) else end
-            if e - start < RUN:  # rows that repeat a key hold unlike texts
-                continue
-            done = e
-            if same:
-                s = max(s, start - shift + RUN)
-            yield s, e - s, s - shift, start - shift
+def _words(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+    """(number, word hashes) of each text; equal neighbours are looked at once."""
+    new = [k for k, t in enumerate(texts) if not k or t != texts[k - 1]]
+    ends = [*new[1:], len(texts)]
+    for chunk in chunks([texts[k] for k in new], SPACED):
+        for i in range(chunk.count):
+            words = chunk.words[chunk.bounds[i]:chunk.bounds[i + 1]]
+            for k in range(new[chunk.first + i], ends[chunk.first + i]):
+                yield k, words
+
+
+def _places(at: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The starts and first starts of lists of places, one list after the other, and where each list begins."""
+    start, first = (x.to_numpy().astype(np.int64) for x in at.flatten().flatten())
+    return start, first, np.concatenate(([0], np.cumsum(at.value_lengths().to_numpy())))
+
+
+def stretches(words: np.ndarray, other: np.ndarray, lo: int, start: np.ndarray, first: np.ndarray, same: bool) -> np.ndarray:
+    """Rows of (start, words, first_start, pick): the maximal common stretches through the places
+    ``start`` and, in the first text, ``first``; ``other`` are the first text's words from number ``lo`` on.
+    In one and the same text the first occurrence itself is left whole."""
+    order = np.lexsort((start, start - first))
+    start, shift = start[order], (start - first)[order]
+    begin, end = np.maximum(0, lo + shift), np.minimum(len(words), lo + shift + len(other))
+    inside = (begin <= start) & (start < end)
+    if same:
+        inside &= shift >= RUN
+    start, shift, begin, end = (x[inside] for x in (start, shift, begin, end))
+    of = np.cumsum(np.diff(shift, prepend=shift[:1]) != 0)
+    heads = np.searchsorted(of, np.arange(of[-1] + 1 if len(of) else 0))  # a place of each shift
+    out = [np.empty((0, 4), np.int64)]
+    # the texts are laid beside each other at many shifts at once, with an edge behind each
+    for some in np.split(heads, np.flatnonzero(np.diff(np.cumsum((end - begin + 1)[heads]) // PLACES)) + 1) if len(heads) else ():
+        size = (end - begin)[some]
+        zero = np.cumsum(size + 1) - (size + 1)
+        at = _runs_of(begin[some], size)
+        apart = np.ones(int(size.sum()) + len(some), bool)
+        apart[_runs_of(zero, size)] = words[at] != other[at - np.repeat(shift[some] + lo, size)]
+        edges = np.flatnonzero(apart)
+        mine = slice(*np.searchsorted(of, (of[some[0]], of[some[-1]] + 1)))
+        move = (begin[some] - zero)[of[mine] - of[some[0]]]
+        k = np.searchsorted(edges, start[mine] - move)
+        ok = np.flatnonzero(edges[k] + move - start[mine] >= RUN)  # rows that repeat a key hold unlike texts
+        ok = ok[np.diff(k[ok], prepend=-1) != 0]
+        move, k, pick = move[ok], k[ok], start[mine][ok]
+        gap = shift[mine][ok]
+        s, e = np.concatenate(([-1], edges))[k] + 1 + move, edges[k] + move
+        if same:
+            s = np.maximum(s, pick - gap + RUN)
+        out.append(np.column_stack((s, e - s, s - gap, pick - gap)))
+    return np.concatenate(out)
 
 
 def _merged(spans: str) -> str:
@@ -397,12 +446,13 @@ def spans(found: DataFrame) -> DataFrame:
     """One row per document with repeated units: the word ranges of these and of the removals among
     them, their sizes, the smallest document they lead to, the number of other documents they lead
     to, and every unit with its group's first occurrence."""
-    span = F.struct("start", (F.col("start") + F.col("words")).alias("end"))
-    per_doc = found.groupBy("doc").agg(
-        F.min("first_doc").alias("first_doc"), F.sort_array(F.collect_set(span)).alias("a"),
-        F.sort_array(F.collect_set(F.when(~F.col("kept"), span))).alias("b"),
-        F.count_distinct(F.when(F.col("first_doc") != F.col("doc"), F.col("first_doc"))).alias("n_links"),
-        F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("words")).alias("end"), "first_doc", "first_start", "kept"))).alias("units"))
+    per_doc = found.groupBy("doc").agg(F.min("first_doc").alias("first_doc"), F.sort_array(F.collect_set(
+        F.struct("start", (F.col("start") + F.col("words")).alias("end"), "first_doc", "first_start", "kept"))).alias("units"))
+    # units are in the order of their words; that a stretch may stand there several times is nothing to a merge
+    span = "transform({}, x -> named_struct('start', x.start, 'end', x.end))"
+    per_doc = per_doc.select(
+        "doc", "first_doc", "units", F.expr(span.format("units")).alias("a"), F.expr(span.format("filter(units, x -> not x.kept)")).alias("b"),
+        F.expr("size(array_distinct(transform(filter(units, x -> x.first_doc <> doc), x -> x.first_doc)))").cast("long").alias("n_links"))
     size = "aggregate({}, 0L, (n, x) -> n + x.end - x.start)"
     return per_doc.select("doc", "first_doc", "n_links", "units", F.expr(_merged("a")).alias("repeated"), F.expr(_merged("b")).alias("removed")).select(
         "doc", "first_doc", F.expr(size.format("repeated")).alias("n_repeated"),
