@@ -246,7 +246,8 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, index: Index | None =
     # rows alike in id and vector ask once, for the first of them
     queries = materialize(rows.where(is_query).groupBy("id", "x").agg(F.min("row").alias("row")).select("id", "row", "x"))
     asked = queries.mapInArrow(probe, listed_as)
-    blocks = _blocks(listed, BLOCK, "v").join(_blocks(asked, QUERY_BLOCK, "q"), "list").drop("list")
+    # Spark sizes the asked blocks by the queries before ``probe`` repeats them, so it must not broadcast them
+    blocks = _blocks(listed, BLOCK, "v").join(_blocks(asked, QUERY_BLOCK, "q").hint("merge"), "list").drop("list")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -277,8 +278,9 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, index: Index | None =
 
 def _blocks(rows: DataFrame, size: int, side: str) -> DataFrame:
     """(list, <side>_n, <side>_ids, <side>_rows, <side>_x): the rows of each list in blocks of about ``size``."""
+    # a row per list, whereas Spark's size of ``rows`` may be too low by as many times as a query asks lists
     parts = rows.groupBy("list").agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
-    dealt = rows.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("row", "list"), F.col("parts")))
+    dealt = rows.join(F.broadcast(parts), "list").withColumn("part", F.pmod(F.xxhash64("row", "list"), F.col("parts")))
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by("row")

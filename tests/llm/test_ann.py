@@ -97,3 +97,18 @@ def test_repeated_ids_give_distinct_rows(spark):
     assert len({v for _, v, _ in by[twenty]}) == 19
     asked = [v for k, v in by.items() if k[0] == 60]      # the eighty equal rows of id 60 asked once
     assert len(asked) == 2 and all(len(v) == 20 for v in asked)
+
+
+def test_asked_blocks_are_not_broadcast(spark):
+    """Spark sizes them by the queries before each is repeated for every list it asks."""
+    r = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, r.standard_normal(6).tolist()) for i in range(400)], "vec_id long, embedding array<double>")
+    plan = ann.report(df)._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    sent = []
+    for i, line in enumerate(plan):
+        if "BroadcastExchange" in line:
+            below = next((j for j in range(i + 1, len(plan)) if depth(plan[j]) <= depth(line)), len(plan))
+            sent.append(" ".join(plan[i:below]))
+    assert any("MapInArrow" in x for x in sent)  # rows per list
+    assert not any("FlatMapGroupsInArrow" in x for x in sent)
