@@ -2,13 +2,16 @@
 
 import datetime as dt
 import random
+import threading
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gridcast import config as C
 from gridcast.operators import cv, forecast, halving, models, sequence
 from gridcast.operators.ordered import EQUAL, with_bucket
+from gridcast.plans import registry
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "zone string, split string, for_date timestamp_ntz, requirement double, a double, b double"
@@ -125,3 +128,33 @@ def test_tree_settings_share_their_rows(spark, series, monkeypatch):
     assert [said(m) for m in together] == [said(base.fit(rows, x)) for x in maps[:2]]
     made.clear()
     assert said(base.fit(rows, maps)[2]) == said(base.fit(rows, maps[2])) and len(made) == 4
+
+
+def test_the_registered_search_grows_all_trees(spark, series, monkeypatch):
+    """Its settings leave the number of trees alone, so that must be the full one."""
+    asked = []
+    monkeypatch.setattr(registry, "_complete_train", lambda *a: series)
+    monkeypatch.setattr(registry.halving, "halving_search", lambda df, estimator, names, trials, **kw: asked.append((estimator, trials)) or (df, df))
+    registry.QUERIES["param_search_trees"](spark, "unread")
+    (estimator, trials), = asked
+    assert estimator.get("trees") == C.TREES_MODULAR["maxIter"] and all("trees" not in t for t in trials)
+
+
+def test_tree_settings_are_fitted_side_by_side(series, monkeypatch):
+    """Settings overlap, no more than so many at once, and come back in their order."""
+    at, most, lock, real = [0], [0], threading.Lock(), forecast.GbtRows.fit
+
+    def fit(self, *a):
+        with lock:
+            at[0] += 1
+            most[0] = max(most[0], at[0])
+        try:
+            return real(self, *a)
+        finally:
+            with lock:
+                at[0] -= 1
+
+    monkeypatch.setattr(forecast.GbtRows, "fit", fit)
+    base = models.TreeForecaster(features=["a", "b"], trees=2)
+    made = base.fit(series, [{base.depth: d} for d in (3, 1, 2, 1, 3, 2)])
+    assert [m.trees.trees[0].depth for m in made] == [3, 1, 2, 1, 3, 2] and 1 < most[0] <= models.SIDE_BY_SIDE
